@@ -1,0 +1,88 @@
+"""Joining per-group results back onto rows when one group may be huge.
+
+A group holding a large share of all rows would send them to one task in a
+plain shuffle join. Groups above ``hot_rows`` are therefore joined without a
+shuffle: at most ``rows / hot_rows`` groups can be that large, so their side of
+the join has a size bound and is broadcast. All other groups take a shuffle
+join in which every key has at most ``hot_rows`` rows.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+HOT_ROWS = 1_000_000
+_SALTS = 1024
+
+
+def null_safe_equal(left: DataFrame, right: DataFrame,
+                    pairs: Sequence[tuple[str, str]]) -> Column:
+    """AND of ``<=>`` over pairs of column names; stays an equi-join for Spark."""
+    condition = None
+    for a, b in pairs:
+        term = left[a].eqNullSafe(right[b])
+        condition = term if condition is None else condition & term
+    return condition
+
+
+def spread(df: DataFrame, buckets: Column | int = _SALTS) -> Column:
+    """Bucket number that spreads even identical rows of ``df`` over tasks."""
+    plain = [f.name for f in df.schema.fields if f.dataType.typeName() != "map"]
+    hashed = F.xxhash64(*[F.col(c) for c in plain], F.spark_partition_id())
+    return F.pmod(hashed, F.lit(buckets) if isinstance(buckets, int) else buckets)
+
+
+def attach(rows: DataFrame, stats: DataFrame, keys: Sequence[str], size: str,
+           columns: Sequence[str], *, how: str = "left",
+           hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Add ``columns`` of ``stats`` (one row per ``keys``) to ``rows``.
+
+    ``size`` names the column of ``stats`` holding how many of ``rows`` carry
+    the key. Keys compare null-safe. ``how`` is ``left`` or ``inner``.
+    """
+    if how not in ("left", "inner"):
+        raise ValueError("how must be 'left' or 'inner'")
+
+    def side(part: DataFrame, tag: str) -> DataFrame:
+        return part.select(
+            *[F.col(k).alias(f"__{tag}_key_{k}") for k in keys],
+            *[F.col(c).alias(f"__{tag}_{c}") for c in columns],
+            F.lit(True).alias(f"__{tag}_found"),
+        )
+
+    hot = side(stats.where(F.col(size) > hot_rows), "hot")
+    cold = side(stats.where(F.col(size) <= hot_rows), "cold").withColumn(
+        "__cold_salt", F.lit(0).cast("bigint")
+    )
+
+    joined = rows.join(
+        F.broadcast(hot),
+        null_safe_equal(rows, hot, [(k, f"__hot_key_{k}") for k in keys]),
+        "left",
+    )
+    # Rows already served move off their key's partition; cold rows stay on it.
+    joined = joined.withColumn(
+        "__salt",
+        F.when(F.col("__hot_found"), spread(rows) + 1)
+        .otherwise(F.lit(0)).cast("bigint"),
+    )
+    joined = joined.join(
+        cold,
+        null_safe_equal(
+            joined, cold,
+            [(k, f"__cold_key_{k}") for k in keys] + [("__salt", "__cold_salt")],
+        ),
+        "left",
+    )
+    if how == "inner":
+        joined = joined.where(
+            F.col("__hot_found").isNotNull() | F.col("__cold_found").isNotNull()
+        )
+    kept = [c for c in rows.columns if c not in columns]
+    return joined.select(
+        *kept,
+        *[F.coalesce(f"__hot_{c}", f"__cold_{c}").alias(c) for c in columns],
+    )

@@ -1 +1,168 @@
-"""placeholder"""
+"""Gap filling and decomposition."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from checks.registry import check, r, with_tables
+from checks.tables import OBSERVATIONS_SQL, observations
+from stationloom.operators import decompose, timeseries
+
+GRID_SQL = """
+inst AS (
+  SELECT *, ts + to_hours(CAST(regexp_extract(timeOffset, 'PT([0-9]+)H', 1) AS INTEGER)) AS moment
+  FROM obs),
+grid AS (
+  SELECT i.sourceId, i.moment, e.elementId, o.num, o.timeOffset AS observed_offset
+  FROM (SELECT DISTINCT sourceId, moment FROM inst) i
+  JOIN (SELECT DISTINCT sourceId, elementId FROM inst) e USING (sourceId)
+  LEFT JOIN inst o ON o.sourceId = i.sourceId AND o.moment = i.moment AND o.elementId = e.elementId),
+near AS (
+  SELECT *, epoch(moment) AS x, ROW_NUMBER() OVER w AS rn,
+         LAST_VALUE(CASE WHEN num IS NOT NULL THEN epoch(moment) END IGNORE NULLS) OVER p AS x0,
+         LAST_VALUE(num IGNORE NULLS) OVER p AS y0,
+         FIRST_VALUE(CASE WHEN num IS NOT NULL THEN epoch(moment) END IGNORE NULLS) OVER f AS x1,
+         FIRST_VALUE(num IGNORE NULLS) OVER f AS y1
+  FROM grid
+  WINDOW w AS (PARTITION BY sourceId, elementId ORDER BY moment),
+         p AS (PARTITION BY sourceId, elementId ORDER BY moment
+               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+         f AS (PARTITION BY sourceId, elementId ORDER BY moment
+               ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
+gaps AS (
+  SELECT *, rn - MAX(CASE WHEN num IS NOT NULL THEN rn END) OVER (
+              PARTITION BY sourceId, elementId ORDER BY moment) AS into_gap,
+         CASE WHEN num IS NOT NULL THEN num WHEN x1 IS NULL THEN y0 WHEN x0 IS NULL THEN y1
+              ELSE y0 + (y1 - y0) * (x - x0) / (x1 - x0) END AS filled
+  FROM near)"""
+
+_COLUMNS = "sourceId, elementId, at"
+
+
+def grid(spark, sf):
+    return timeseries.observation_grid(observations(spark, sf))
+
+
+def shown(df):
+    return df.select(
+        "sourceId", "elementId", F.col("instant").cast("timestamp_ntz").alias("moment"), "value")
+
+
+@check("observation_grid", with_tables(OBSERVATIONS_SQL, GRID_SQL, f"""
+    SELECT {_COLUMNS}, {r('num')} AS value, observed_offset FROM grid"""))
+def _(spark, sf):
+    rows = grid(spark, sf)
+    return rows.select(
+        "sourceId", "elementId", F.col("instant").cast("timestamp_ntz").alias("moment"),
+        "value", "observed_offset")
+
+
+@check("interpolate_time_limited", with_tables(OBSERVATIONS_SQL, GRID_SQL, f"""
+    SELECT {_COLUMNS}, {r('''CASE WHEN num IS NOT NULL THEN num
+        WHEN x0 IS NOT NULL AND into_gap <= 3 THEN filled END''')} AS value FROM gaps"""))
+def _(spark, sf):
+    return shown(timeseries.interpolate_time_limited(grid(spark, sf), 3, time="instant"))
+
+
+_FILLED_SQL = with_tables(
+    OBSERVATIONS_SQL, GRID_SQL, f"SELECT {_COLUMNS}, {r('filled')} AS value FROM gaps")
+
+
+@check("interpolate_time", _FILLED_SQL)
+def _(spark, sf):
+    return shown(timeseries.interpolate_time(grid(spark, sf), time="instant"))
+
+
+@check("fill_forward_backward", with_tables(OBSERVATIONS_SQL, GRID_SQL, f"""
+    SELECT {_COLUMNS}, {r('COALESCE(y0, y1)')} AS value FROM gaps"""))
+def _(spark, sf):
+    return shown(timeseries.fill_forward_backward(grid(spark, sf), time="instant"))
+
+
+@check("impute", _FILLED_SQL)
+def _(spark, sf):
+    return shown(timeseries.impute(grid(spark, sf), 3, time="instant"))
+
+
+@check("impute_observations", with_tables(OBSERVATIONS_SQL, GRID_SQL, f"""
+    SELECT sourceId, moment, 'PT' || CAST(HOUR(moment) AS VARCHAR) || 'H' AS timeOffset, elementId,
+           {r('filled', 3)} AS value,
+           CASE WHEN elementId LIKE '%temperature%' THEN 'degC'
+                WHEN elementId LIKE '%wind_speed%' THEN 'm/s' ELSE 'mm' END AS unit,
+           num IS NULL AND filled IS NOT NULL AS is_imputed
+    FROM gaps"""))
+def _(spark, sf):
+    rows = timeseries.impute_observations(observations(spark, sf))
+    return rows.withColumn(
+        "moment", F.col("referenceTime").cast("timestamp_ntz")).drop("referenceTime")
+
+
+def decompose_sql(period: int, multiplicative: bool = False) -> str:
+    half = period // 2
+    x = "filled + 100" if multiplicative else "filled"
+    if period % 2:
+        total = f"SUM({x}) OVER (k ROWS BETWEEN {half} PRECEDING AND {half} FOLLOWING)"
+    else:
+        total = (f"SUM({x}) OVER (k ROWS BETWEEN {half - 1} PRECEDING AND {half - 1} FOLLOWING)"
+                 f" + (LAG({x}, {half}) OVER k + LEAD({x}, {half}) OVER k) / 2")
+    key = "sourceId, elementId"
+    dev = "v / tr" if multiplicative else "v - tr"
+    centre = "m / AVG(m) OVER (PARTITION BY sourceId, elementId)" if multiplicative else \
+        "m - AVG(m) OVER (PARTITION BY sourceId, elementId)"
+    resid = "dev / seasonal" if multiplicative else "dev - seasonal"
+    return with_tables(OBSERVATIONS_SQL, GRID_SQL, f"""
+    avgs AS (
+      SELECT {key}, moment, {x} AS v, rn - 1 AS pos,
+             COUNT(*) OVER (PARTITION BY {key}) AS n,
+             ({total}) / {period} AS ma
+      FROM gaps WINDOW k AS (PARTITION BY {key} ORDER BY moment))""", f"""
+    trends AS (
+      SELECT *, CASE WHEN pos >= {half} AND pos < n - {half} THEN ma END AS t FROM avgs)""", f"""
+    lines AS (
+      SELECT {key},
+             regr_slope(t, pos) FILTER (pos < {half} + {period}) AS fs,
+             regr_intercept(t, pos) FILTER (pos < {half} + {period}) AS fi,
+             regr_slope(t, pos) FILTER (pos >= n - 1 - {half} - {period} AND pos < n - 1 - {half}) AS bs,
+             regr_intercept(t, pos) FILTER (pos >= n - 1 - {half} - {period} AND pos < n - 1 - {half}) AS bi
+      FROM trends GROUP BY ALL)""", f"""
+    full_trend AS (
+      SELECT tr0.*, CASE WHEN t IS NOT NULL THEN t WHEN pos < {half} THEN fs * pos + fi
+                         ELSE bs * pos + bi END AS tr
+      FROM trends tr0 JOIN lines USING ({key}))""", f"""
+    devs AS (SELECT *, pos % {period} AS phase, {dev} AS dev FROM full_trend)""", f"""
+    seas AS (
+      SELECT {key}, phase, {centre} AS seasonal
+      FROM (SELECT {key}, phase, AVG(dev) AS m FROM devs GROUP BY ALL))""", f"""
+    SELECT {key}, moment, {r('tr', 5)} AS trend, {r('seasonal', 5)} AS seasonal,
+           {r(resid, 5)} AS resid
+    FROM devs JOIN seas USING ({key}, phase)""")
+
+
+def decomposed(spark, sf, **options):
+    filled = timeseries.interpolate_time(grid(spark, sf), time="instant")
+    if options.get("model") == "multiplicative":
+        filled = filled.withColumn("value", F.col("value") + 100)
+    parts = decompose.seasonal_decompose(filled, time="instant", **options)
+    return parts.select(
+        "sourceId", "elementId", F.col("instant").cast("timestamp_ntz").alias("moment"),
+        *[F.round(c, 5).alias(c) for c in ("trend", "seasonal", "resid")])
+
+
+@check("seasonal_decompose", decompose_sql(365))
+def _(spark, sf):
+    return decomposed(spark, sf)
+
+
+@check("seasonal_decompose_blocks", decompose_sql(365))
+def _(spark, sf):
+    return decomposed(spark, sf, block_rows=500)
+
+
+@check("seasonal_decompose_multiplicative", decompose_sql(24, True))
+def _(spark, sf):
+    return decomposed(spark, sf, period=24, model="multiplicative")
+
+
+@check("seasonal_impute", _FILLED_SQL)
+def _(spark, sf):
+    return shown(timeseries.seasonal_impute(grid(spark, sf), time="instant"))

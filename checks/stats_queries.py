@@ -279,12 +279,16 @@ def _(spark, sf):
     return change.percent_change(event_observations(spark, sf), "mean", "D")
 
 
-def _rows_sql(order, body, tables=OBSERVATIONS_SQL, source="mo"):
-    return with_tables(tables, f"""
+def _extreme_table(order, source="mo"):
+    return f"""
         ext AS (
           SELECT *, ROW_NUMBER() OVER (
                    PARTITION BY {KEYS}, YEAR(ts) ORDER BY num {order}, ts) AS rn
-          FROM {source} WHERE num IS NOT NULL)""", body)
+          FROM {source} WHERE num IS NOT NULL)"""
+
+
+def _rows_sql(order, body, tables=OBSERVATIONS_SQL, source="mo"):
+    return with_tables(tables, _extreme_table(order, source), body)
 
 
 @check("annual_extreme_rows", _rows_sql("DESC", f"""
@@ -323,8 +327,7 @@ def _(spark, sf):
     return extremes.annual_extreme(network(spark, sf), "min")
 
 
-def _frequency_sql(order):
-    return f"""
+_FREQUENCY_TABLE = f"""
         freq AS (
           SELECT s.*, m.m AS mon, COUNT(e.ts) AS years
           FROM (SELECT DISTINCT {KEYS} FROM ext) s
@@ -335,20 +338,20 @@ def _frequency_sql(order):
           GROUP BY ALL)"""
 
 
-@check("extreme_month_frequency", _rows_sql("DESC", "SELECT 1").replace(
-    "SELECT 1", "").rstrip() + "," + _frequency_sql("DESC") + f"""
-    SELECT {KEYS}, CAST(mon AS INTEGER) AS "month", years FROM freq""")
+@check("extreme_month_frequency", with_tables(
+    OBSERVATIONS_SQL, _extreme_table("DESC"), _FREQUENCY_TABLE, f"""
+    SELECT {KEYS}, CAST(mon AS INTEGER) AS "month", years FROM freq"""))
 def _(spark, sf):
     return extremes.extreme_month_frequency(
         extremes.annual_extreme_rows(observations(spark, sf), "max"))
 
 
-@check("modal_extreme_month", _rows_sql("ASC", "SELECT 1").replace(
-    "SELECT 1", "").rstrip() + "," + _frequency_sql("ASC") + f"""
+@check("modal_extreme_month", with_tables(
+    OBSERVATIONS_SQL, _extreme_table("ASC"), _FREQUENCY_TABLE, f"""
     SELECT {KEYS}, CAST(mon AS INTEGER) AS "month", years
     FROM (SELECT *, ROW_NUMBER() OVER (
             PARTITION BY {KEYS} ORDER BY years DESC, mon) AS k FROM freq)
-    WHERE k = 1""")
+    WHERE k = 1"""))
 def _(spark, sf):
     return extremes.modal_extreme_month(
         extremes.annual_extreme_rows(observations(spark, sf), "min"))

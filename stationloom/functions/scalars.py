@@ -171,11 +171,16 @@ def city_label(c: Column) -> Column:
 
 
 def round_n(c: Column, digits: int) -> Column:
-    """Round half up to ``digits`` decimals."""
-    return F.round(c, digits)
+    """Round half up to ``digits`` decimals.
+
+    Sums differ in the last bits with the order in which tasks are combined.
+    Rounding to nine decimals first keeps that from deciding a tie, so repeated
+    runs agree.
+    """
+    return F.round(F.round(c, 9), digits) if digits < 9 else F.round(c, digits)
 
 
 def percentage(part: Column, total: Column, digits: int = 1) -> Column:
     """``100 * part / total``; 0 when the total is 0."""
     share = F.try_divide(F.lit(100.0) * part, total.cast("double"))
-    return F.round(F.coalesce(share, F.lit(0.0)), digits)
+    return round_n(F.coalesce(share, F.lit(0.0)), digits)

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stationloom.functions import number_column, percentage, year_month
+from stationloom.functions import number_column, percentage, round_n, year_month
 from stationloom.operators.quantiles import Quantile, aggregate_groups
 from stationloom.operators.select import (
     ALL_OFFSETS,
@@ -125,18 +125,14 @@ def null_outliers(df: DataFrame, keys: Sequence[str] = SERIES, *,
     ).drop("__out")
 
 
-def _by_month(df: DataFrame, element_id, source_id, time_offset) -> DataFrame:
+def _flag_by_month(df: DataFrame, element_id, source_id, time_offset, whisker,
+                   hot_rows, carried: Sequence[str] = ()) -> DataFrame:
     # A row without a time belongs to no month but its offset still counts.
-    return element_values(df, element_id, source_id, time_offset).withColumn(
+    rows = element_values(df, element_id, source_id, time_offset, carried).withColumn(
         "month_start", F.trunc(TIME, "MM")
     )
-
-
-def _flag_by_month(df: DataFrame, element_id, source_id, time_offset, whisker,
-                   hot_rows) -> DataFrame:
     return flag_outliers(
-        _by_month(df, element_id, source_id, time_offset),
-        [*SERIES, "month_start"], instance=whisker, extreme=True,
+        rows, [*SERIES, "month_start"], instance=whisker, extreme=True,
         time_offset=time_offset, hot_rows=hot_rows,
     ).where(F.col("month_start").isNotNull())
 
@@ -185,9 +181,10 @@ def stats_with_without_outliers(df: DataFrame, statistic: str,
 
 
 def _with_without(df: DataFrame, statistics: Sequence[str], element_id, source_id,
-                  time_offset, whisker, hot_rows) -> DataFrame:
+                  time_offset, whisker, hot_rows, carried: Sequence[str] = (),
+                  extra: Sequence[Column] = ()) -> DataFrame:
     flagged = _flag_by_month(
-        df, element_id, source_id, time_offset, whisker, hot_rows
+        df, element_id, source_id, time_offset, whisker, hot_rows, carried
     ).withColumn("clean", F.when(~F.col("is_outlier"), F.col(VALUE)))
     quantiles, measures, names = [], [], []
     for statistic in statistics:
@@ -199,14 +196,15 @@ def _with_without(df: DataFrame, statistics: Sequence[str], element_id, source_i
     groups = aggregate_groups(
         flagged, [*SERIES, "month_start"], quantiles,
         [*measures, F.count_if("is_outlier").alias("outliers_removed"),
-         F.count(VALUE).alias("n")],
+         F.count(VALUE).alias("n"), *extra],
         hot_rows=hot_rows,
     )
     return groups.where(F.col("n") > 0).select(
         SOURCE, ELEMENT, OFFSET,
         year_month(F.col("month_start")).alias("year_month"),
-        *[F.round(n, 3).alias(n) for n in names],
+        *[round_n(F.col(n), 3).alias(n) for n in names],
         "outliers_removed",
+        *[c for c in groups.columns if c in (*carried, "extreme_count")],
     )
 
 
@@ -252,23 +250,25 @@ def year_box_summary(df: DataFrame, year: int, element_id: str | None = None,
     raw = yearly_raw(df, element_id, year, source_id, time_offset).select(
         *SERIES, TIME, VALUE
     )
-    limits = fences(raw, SERIES, OUTER_WHISKER, hot_rows=hot_rows)
-    quartiles = iqr_summary(raw, SERIES, hot_rows=hot_rows).select(
-        *SERIES, "Q1", "Q3", "IQR"
+    quartiles = _group_quartiles(
+        raw.withColumn("__v", F.col(VALUE)), SERIES, hot_rows
     )
-    flagged = attach(
-        raw, limits, SERIES, "rows", ["lower_fence", "upper_fence"], hot_rows=hot_rows
-    )
-    extremes = flagged.groupBy(*SERIES).agg(
-        F.count_if((F.col(VALUE) < F.col("lower_fence"))
-                   | (F.col(VALUE) > F.col("upper_fence"))).alias("extreme_count")
+    q1, q3 = F.col("q1"), F.col("q3")
+    reach = OUTER_WHISKER * (q3 - q1)
+    rows = attach(raw, quartiles, SERIES, "rows", ["q1", "q3"], hot_rows=hot_rows)
+    rows = rows.withColumn(
+        "is_extreme", (F.col(VALUE) < q1 - reach) | (F.col(VALUE) > q3 + reach)
     )
     by_month = _with_without(
-        raw, ["mean", "median"], None, None, ALL_OFFSETS, None, hot_rows
+        rows, ["mean", "median"], None, None, ALL_OFFSETS, None, hot_rows,
+        carried=["q1", "q3", "is_extreme"],
+        extra=[F.first("q1").alias("q1"), F.first("q3").alias("q3"),
+               F.count_if("is_extreme").alias("extreme_count")],
+    )
+    return by_month.groupBy(*SERIES).agg(
+        F.first("q1").alias("Q1"), F.first("q3").alias("Q3"),
+        (F.first("q3") - F.first("q1")).alias("IQR"),
+        F.sum("extreme_count").alias("extreme_count"),
+        *[F.avg(c).alias(c) for c in (
+            "mean_with_outliers", "mean_without_outliers", "median_without_outliers")],
     )
-    means = by_month.groupBy(*SERIES).agg(*[
-        F.avg(c).alias(c) for c in
-        ("mean_with_outliers", "mean_without_outliers", "median_without_outliers")
-    ])
-    # One row per series on every side.
-    return quartiles.join(extremes, SERIES).join(means, SERIES, "left")

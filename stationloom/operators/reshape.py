@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stationloom.functions import number_column
+from stationloom.functions import number_column, round_n
 from stationloom.schema import (
     ELEMENT,
     MAX_TEMPERATURE,
@@ -96,7 +96,7 @@ def daily_range(df: DataFrame, order_by: str | None = None) -> DataFrame:
     ).select(
         SOURCE, TIME, OFFSET,
         F.lit(RANGE_TEMPERATURE).alias(ELEMENT),
-        F.round(
+        round_n(
             number_column(cells, "high") - number_column(cells, "low"), 1
         ).alias(VALUE),
         F.lit("degC").alias(UNIT),

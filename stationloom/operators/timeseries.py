@@ -18,6 +18,7 @@ from stationloom.functions import (
     format_offset,
     number_column,
     observation_instant,
+    round_n,
     unit_of,
 )
 from stationloom.operators.reshape import only_row
@@ -269,6 +270,6 @@ def impute_observations(df: DataFrame, limit: int = 3, model: str = "additive",
         offset = F.coalesce("observed_offset", offset)
     return filled.select(
         SOURCE, F.col("instant").alias(TIME), offset.alias(OFFSET), ELEMENT,
-        F.round(VALUE, 3).alias(VALUE), unit_of(F.col(ELEMENT)).alias(UNIT),
+        round_n(F.col(VALUE), 3).alias(VALUE), unit_of(F.col(ELEMENT)).alias(UNIT),
         F.col("is_imputed") & F.col(VALUE).isNotNull(),
     ).toDF(SOURCE, TIME, OFFSET, ELEMENT, VALUE, UNIT, "is_imputed")

@@ -37,7 +37,7 @@ def _period_label(frequency: str, start: str) -> Column:
 def period_stat(df: DataFrame, statistic: str = "mean", frequency: str = "ME",
                 element_id: str | None = None, source_id: str | None = None,
                 time_offset: str | None = None, start: str | None = None,
-                end: str | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+                end: str | None = None, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Mean, median or population std per day, month or year.
 
     ``period`` is the day, the last day of the month, or 31 December. A period
@@ -69,7 +69,7 @@ def period_stat(df: DataFrame, statistic: str = "mean", frequency: str = "ME",
 def percent_change(df: DataFrame, statistic: str = "mean", frequency: str = "ME",
                    element_id: str | None = None, source_id: str | None = None,
                    time_offset: str | None = None, start: str | None = None,
-                   end: str | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+                   end: str | None = None, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Change in percent from the previous period that has a value.
 
     The first period is dropped. A zero base gives plus or minus infinity, and

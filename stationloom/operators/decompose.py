@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from stationloom.operators.skew import HOT_ROWS, attach
+from stationloom.operators.skew import HOT_ROWS, HotGroups, attach, find_hot_groups
 from stationloom.operators.timeseries import SERIES_KEYS, with_position
 from stationloom.schema import TIME, VALUE
 
@@ -20,7 +20,7 @@ def seasonal_decompose(df: DataFrame, period: int = 365, model: str = "additive"
                        keys: Sequence[str] = SERIES_KEYS, time: str = TIME,
                        value: str = VALUE, chunk: str = "month",
                        strict: bool = False, block_rows: int = BLOCK_ROWS,
-                       hot_rows: int = HOT_ROWS) -> DataFrame:
+                       hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Add ``trend``, ``seasonal`` and ``resid``.
 
     The trend is a centred moving average over ``period`` rows (end points of an
@@ -41,8 +41,9 @@ def seasonal_decompose(df: DataFrame, period: int = 365, model: str = "additive"
         short = rows.where(F.col("series_rows") < 2 * period)
         if not short.isEmpty():
             raise ValueError(f"a series has fewer than {2 * period} rows")
+    hot = find_hot_groups(df, keys, hot_rows)
     rows = _moving_average(rows, keys, period, value, block_rows)
-    rows = _extrapolate_ends(rows, keys, period, hot_rows)
+    rows = _extrapolate_ends(rows, keys, period, hot)
     x, trend = F.col(value), F.col("trend")
     detrended = x - trend if additive else x / F.nullif(trend, F.lit(0.0))
     rows = rows.withColumns({
@@ -50,15 +51,12 @@ def seasonal_decompose(df: DataFrame, period: int = 365, model: str = "additive"
     })
 
     # ``period`` rows per series.
-    means = rows.groupBy(*keys, "__phase").agg(
-        F.avg("__detrended").alias("__mean"), F.count(F.lit(1)).alias("__rows")
-    )
+    means = rows.groupBy(*keys, "__phase").agg(F.avg("__detrended").alias("__mean"))
     centre = F.avg("__mean").over(Window.partitionBy(*keys))
     means = means.withColumn(
         "seasonal", F.col("__mean") - centre if additive else F.col("__mean") / centre
     )
-    rows = attach(rows, means, [*keys, "__phase"], "__rows", ["seasonal"],
-                  hot_rows=hot_rows)
+    rows = attach(rows, means, [*keys, "__phase"], ["seasonal"], hot)
     seasonal = F.col("seasonal")
     resid = (
         F.col("__detrended") - seasonal if additive
@@ -103,7 +101,7 @@ def _moving_average(rows: DataFrame, keys: list[str], period: int, value: str,
 
 
 def _extrapolate_ends(rows: DataFrame, keys: list[str], period: int,
-                      hot_rows: int) -> DataFrame:
+                      hot: HotGroups) -> DataFrame:
     """Least-squares lines through the trend points next to either end."""
     half = period // 2
     position, n = F.col("position"), F.col("series_rows")
@@ -115,10 +113,9 @@ def _extrapolate_ends(rows: DataFrame, keys: list[str], period: int,
         *[f(F.when(where, F.col("trend")), position).alias(f"__{side}_{name}")
           for side, where in (("front", in_front), ("back", in_back))
           for name, f in (("slope", F.regr_slope), ("level", F.regr_intercept))],
-        F.count(F.lit(1)).alias("__rows"),
     )
     columns = ["__front_slope", "__front_level", "__back_slope", "__back_level"]
-    joined = attach(rows, lines, keys, "__rows", columns, hot_rows=hot_rows)
+    joined = attach(rows, lines, keys, columns, hot)
     trend = (
         F.when(F.col("trend").isNotNull(), F.col("trend"))
         .when(position < front, F.col("__front_slope") * position + F.col("__front_level"))

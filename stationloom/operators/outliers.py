@@ -15,7 +15,12 @@ from stationloom.operators.select import (
     pick_offset,
     yearly_raw,
 )
-from stationloom.operators.skew import HOT_ROWS, attach
+from stationloom.operators.skew import (
+    HOT_ROWS,
+    HotGroups,
+    attach,
+    find_hot_groups,
+)
 from stationloom.operators.stats import check_statistic, measure
 from stationloom.schema import ELEMENT, OFFSET, SERIES, SOURCE, TIME, VALUE
 
@@ -42,7 +47,7 @@ def resolve_whisker(whisker: float | None = None, *, extreme: bool = False,
 
 
 def iqr_summary(df: DataFrame, keys: Sequence[str] = (), value: str = VALUE,
-                hot_rows: int = HOT_ROWS) -> DataFrame:
+                hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Quartiles, IQR, inner (1.5) and outer (3.0) fences per ``keys``."""
     rows = df.select(*keys, number_column(df, value).alias("__v"))
     q = _group_quartiles(rows, keys, hot_rows)
@@ -57,29 +62,25 @@ def iqr_summary(df: DataFrame, keys: Sequence[str] = (), value: str = VALUE,
     )
 
 
-def _group_quartiles(rows: DataFrame, keys: Sequence[str],
-                     hot_rows: int) -> DataFrame:
+def _group_quartiles(rows: DataFrame, keys: Sequence[str], hot_rows: int | None,
+                     hot: HotGroups | None = None) -> DataFrame:
     if keys:
-        return aggregate_groups(
-            rows, keys, _QUARTILES, [F.count(F.lit(1)).alias("rows")],
-            hot_rows=hot_rows,
-        )
-    return aggregate_groups(
-        rows.withColumn("__all", F.lit(1)), ["__all"], _QUARTILES,
-        [F.count(F.lit(1)).alias("rows")], hot_rows=hot_rows,
+        return aggregate_groups(rows, keys, _QUARTILES, hot_rows=hot_rows, hot=hot)
+    one = aggregate_groups(
+        rows.withColumn("__all", F.lit(1)), ["__all"], _QUARTILES, hot_rows=hot_rows
     )
+    return one.drop("__all")
 
 
-def fences(df: DataFrame, keys: Sequence[str], whisker: float,
-           value: str = VALUE, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """``lower_fence``, ``upper_fence`` and row count ``rows`` per ``keys``."""
+def fences(df: DataFrame, keys: Sequence[str], whisker: float, value: str = VALUE,
+           hot_rows: int | None = HOT_ROWS, hot: HotGroups | None = None) -> DataFrame:
+    """``lower_fence`` and ``upper_fence`` per ``keys``."""
     rows = df.select(*keys, number_column(df, value).alias("__v"))
     q1, q3 = F.col("q1"), F.col("q3")
-    return _group_quartiles(rows, keys, hot_rows).select(
+    return _group_quartiles(rows, keys, hot_rows, hot).select(
         *keys,
         (q1 - whisker * (q3 - q1)).alias("lower_fence"),
         (q3 + whisker * (q3 - q1)).alias("upper_fence"),
-        "rows",
     )
 
 
@@ -87,17 +88,18 @@ def flag_outliers(df: DataFrame, keys: Sequence[str] = SERIES, *,
                   whisker: float | None = None, extreme: bool = False,
                   instance: float | None = None, value: str = VALUE,
                   flag: str = "is_outlier", time_offset: str | None = ALL_OFFSETS,
-                  hot_rows: int = HOT_ROWS) -> DataFrame:
+                  hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Add a boolean: strictly outside the fences of its group; null is false.
 
     ``time_offset`` works as in :mod:`stationloom.operators.stats` and needs the
     series columns among ``keys``.
     """
     w = resolve_whisker(whisker, extreme=extreme, instance=instance)
-    limits = pick_offset(fences(df, keys, w, value, hot_rows), time_offset)
+    hot = find_hot_groups(df, keys, hot_rows)
+    limits = pick_offset(fences(df, keys, w, value, hot_rows, hot), time_offset)
     joined = attach(
-        df, limits, list(keys), "rows", ["lower_fence", "upper_fence"],
-        how="left" if time_offset == ALL_OFFSETS else "inner", hot_rows=hot_rows,
+        df, limits, list(keys), ["lower_fence", "upper_fence"], hot,
+        how="left" if time_offset == ALL_OFFSETS else "inner",
     )
     v = number_column(df, value)
     outside = (v < F.col("lower_fence")) | (v > F.col("upper_fence"))
@@ -142,7 +144,7 @@ def outliers_per_month(df: DataFrame, element_id: str | None = None,
                        time_offset: str | None = None,
                        include_empty_months: bool = False,
                        whisker: float | None = None,
-                       hot_rows: int = HOT_ROWS) -> DataFrame:
+                       hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Outliers of each month, judged within the month.
 
     ``total_count`` counts all rows of the month, null values included.
@@ -168,7 +170,7 @@ def stats_with_without_outliers(df: DataFrame, statistic: str,
                                 source_id: str | None = None,
                                 time_offset: str | None = None,
                                 whisker: float | None = None,
-                                hot_rows: int = HOT_ROWS) -> DataFrame:
+                                hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """One statistic of each month over all and over cleaned values.
 
     Standard deviations are population ones, results have 3 decimals, months
@@ -232,7 +234,7 @@ def outliers_per_year(per_month: DataFrame) -> DataFrame:
 
 
 def series_outlier_count(df: DataFrame, element_id: str, time_offset: str,
-                         hot_rows: int = HOT_ROWS) -> DataFrame:
+                         hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Outliers of each station over its whole series, whisker 1.5."""
     rows = element_values(df, element_id, None, time_offset)
     return count_outliers(rows, SERIES, hot_rows=hot_rows)
@@ -241,21 +243,22 @@ def series_outlier_count(df: DataFrame, element_id: str, time_offset: str,
 def year_box_summary(df: DataFrame, year: int, element_id: str | None = None,
                      source_id: str | None = None,
                      time_offset: str | None = None,
-                     hot_rows: int = HOT_ROWS) -> DataFrame:
+                     hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Box-plot figures of one year per series.
 
     Quartiles and extreme count of the year's values, and the means over its
     months of: monthly mean with and without outliers, cleaned monthly median.
     """
-    raw = yearly_raw(df, element_id, year, source_id, time_offset).select(
-        *SERIES, TIME, VALUE
-    )
+    raw = yearly_raw(
+        df, element_id, year, source_id, time_offset, hot_rows=hot_rows
+    ).select(*SERIES, TIME, VALUE)
+    hot = find_hot_groups(raw, SERIES, hot_rows)
     quartiles = _group_quartiles(
-        raw.withColumn("__v", F.col(VALUE)), SERIES, hot_rows
+        raw.withColumn("__v", F.col(VALUE)), SERIES, hot_rows, hot
     )
     q1, q3 = F.col("q1"), F.col("q3")
     reach = OUTER_WHISKER * (q3 - q1)
-    rows = attach(raw, quartiles, SERIES, "rows", ["q1", "q3"], hot_rows=hot_rows)
+    rows = attach(raw, quartiles, SERIES, ["q1", "q3"], hot)
     rows = rows.withColumn(
         "is_extreme", (F.col(VALUE) < q1 - reach) | (F.col(VALUE) > q3 + reach)
     )

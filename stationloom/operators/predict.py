@@ -20,7 +20,7 @@ from stationloom.operators.select import (
     filter_series,
     keep_min_offset,
 )
-from stationloom.operators.skew import HOT_ROWS, attach
+from stationloom.operators.skew import HOT_ROWS, attach, find_hot_groups
 from stationloom.schema import (
     ELEMENT,
     MAX_TEMPERATURE,
@@ -35,14 +35,14 @@ FEATURES = {MAX_TEMPERATURE: "TMAX", MIN_TEMPERATURE: "TMIN"}
 
 
 def _valid_feature_rows(df: DataFrame, elements: list[str], source_id: str | None,
-                        hot_rows: int) -> DataFrame:
+                        hot_rows: int | None) -> DataFrame:
     """Numeric rows of some elements, each at its smallest offset holding a number."""
     chosen = filter_elements(filter_series(df, source_id=source_id), elements)
     return keep_min_offset(drop_invalid_values(chosen), hot_rows)
 
 
 def weather_features(df: DataFrame, source_id: str | None = None,
-                     hot_rows: int = HOT_ROWS) -> DataFrame:
+                     hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Station x instant with ``TMAX, TMIN, RAIN``; all three must be present.
 
     One aggregate instead of two joins; a station with two values for one
@@ -59,7 +59,7 @@ def weather_features(df: DataFrame, source_id: str | None = None,
 
 
 def precipitation_features(df: DataFrame, source_id: str | None = None,
-                           hot_rows: int = HOT_ROWS) -> DataFrame:
+                           hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Station x date with mean ``TMAX, TMIN, PRCP``; all three must be present."""
     names = {**FEATURES, PRECIPITATION: "PRCP"}
     rows = _valid_feature_rows(df, list(names), source_id, hot_rows)
@@ -86,7 +86,7 @@ def split_key(time: str = TIME) -> Column:
 
 
 def standard_scale(df: DataFrame, columns: tuple[str, ...] = ("TMAX", "TMIN"),
-                   hot_rows: int = HOT_ROWS) -> DataFrame:
+                   hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Add ``<column>_z`` from each station's training mean and population std.
 
     A constant column is centred only.
@@ -95,10 +95,11 @@ def standard_scale(df: DataFrame, columns: tuple[str, ...] = ("TMAX", "TMIN"),
     scale = df.groupBy(SOURCE).agg(
         *[F.avg(v).alias(f"{c}_mean") for c, v in train.items()],
         *[F.stddev_pop(v).alias(f"{c}_std") for c, v in train.items()],
-        F.count(F.lit(1)).alias("rows"),
     )
     added = [f"{c}_{part}" for c in columns for part in ("mean", "std")]
-    joined = attach(df, scale, [SOURCE], "rows", added, hot_rows=hot_rows)
+    joined = attach(
+        df, scale, [SOURCE], added, find_hot_groups(df, [SOURCE], hot_rows)
+    )
     spread = {c: F.when(F.col(f"{c}_std") == 0, 1.0).otherwise(F.col(f"{c}_std"))
               for c in columns}
     return joined.withColumns({
@@ -161,10 +162,12 @@ def fit_rain_gaussian_nb(scaled: DataFrame,
 
 def predict_rain_gaussian_nb(model: DataFrame, scaled: DataFrame,
                              columns: tuple[str, ...] = ("TMAX_z", "TMIN_z"),
-                             hot_rows: int = HOT_ROWS) -> DataFrame:
+                             hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Add the 0/1 ``prediction`` of :func:`fit_rain_gaussian_nb`."""
     parts = [c for c in model.columns if c not in (SOURCE, "n")]
-    joined = attach(scaled, model, [SOURCE], "n", parts, hot_rows=hot_rows)
+    joined = attach(
+        scaled, model, [SOURCE], parts, find_hot_groups(scaled, [SOURCE], hot_rows)
+    )
 
     def log_likelihood(k: int) -> Column:
         total = F.ln(f"prior_{k}")
@@ -207,16 +210,15 @@ def fit_precipitation_linear(split: DataFrame, target: str = "PRCP") -> DataFram
 
 
 def predict_precipitation(model: DataFrame, rows: DataFrame,
-                          hot_rows: int = HOT_ROWS) -> DataFrame:
+                          hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Add ``predicted`` millimetres and ``will_rain`` to rows with TMAX, TMIN.
 
-    Rows carry the station whose model scores them. The model has one row per
-    station; which of them have many rows is counted on ``rows``.
+    Rows carry the station whose model scores them.
     """
     parts = ["coef_tmax", "coef_tmin", "intercept"]
-    sizes = rows.groupBy(SOURCE).agg(F.count(F.lit(1)).alias("rows"))
-    sized = model.join(sizes, SOURCE)
-    joined = attach(rows, sized, [SOURCE], "rows", parts, hot_rows=hot_rows)
+    joined = attach(
+        rows, model, [SOURCE], parts, find_hot_groups(rows, [SOURCE], hot_rows)
+    )
     return joined.withColumn(
         "predicted",
         F.col("intercept") + F.col("coef_tmax") * F.col("TMAX")

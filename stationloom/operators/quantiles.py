@@ -2,9 +2,9 @@
 
 ``percentile`` keeps one entry per distinct value of a group. That is fine for
 ordinary groups and too much for a group with a large share of all rows. For
-groups above ``hot_rows`` a first pass over just their rows gets a sketch,
-which brackets every wanted quantile between two values. Clamping a value into
-its bracket keeps the order of all values and leaves those inside unchanged, so
+hot groups a first pass over just their rows gets a sketch, which brackets
+every wanted quantile between two values. Clamping a value into its bracket
+keeps the order of all values and leaves those inside unchanged, so
 ``percentile`` over clamped values is the exact answer while its state shrinks
 to the values inside the brackets. A check fails the query should a bracket
 ever miss its rank.
@@ -18,7 +18,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stationloom.operators.skew import HOT_ROWS, null_safe_equal
+from stationloom.operators.skew import (
+    HOT_ROWS,
+    HotGroups,
+    find_hot_groups,
+    null_safe_equal,
+)
 
 
 @dataclass(frozen=True)
@@ -33,102 +38,100 @@ class Quantile:
 def aggregate_groups(df: DataFrame, keys: Sequence[str],
                      quantiles: Sequence[Quantile],
                      aggregates: Sequence[Column] = (), *,
-                     hot_rows: int = HOT_ROWS) -> DataFrame:
+                     hot_rows: int | None = HOT_ROWS,
+                     hot: HotGroups | None = None) -> DataFrame:
     """One row per ``keys`` with exact ``quantiles`` and plain ``aggregates``.
 
-    Quantiles interpolate linearly and ignore nulls.
+    Quantiles interpolate linearly and ignore nulls. ``hot`` passes on hot
+    groups already found; else ``hot_rows`` is the size to look for.
     """
+    if not quantiles:
+        return df.groupBy(*keys).agg(*aggregates)
     by_value: dict[str, list[Quantile]] = {}
-    for q in quantiles:
+    for q in sorted(quantiles, key=lambda q: q.p):
         by_value.setdefault(q.value, []).append(q)
-    for wanted in by_value.values():
-        wanted.sort(key=lambda q: q.p)
+    if hot is None:
+        hot = find_hot_groups(df, keys, hot_rows)
+    if hot:
+        return _with_brackets(df, keys, by_value, aggregates, hot, hot_rows)
+    points, results = [], {}
+    for i, (value, wanted) in enumerate(by_value.items()):
+        points.append(_percentiles(value, wanted).alias(f"__points_{i}"))
+        for j, q in enumerate(wanted):
+            results[q.name] = F.col(f"__points_{i}")[j]
+    grouped = df.groupBy(*keys).agg(*points, *aggregates).withColumns(results)
+    return grouped.drop(*[f"__points_{i}" for i in range(len(by_value))])
 
-    if not by_value:
-        return df.groupBy(*keys).agg(*aggregates)
 
-    clamped = _clamp_hot_groups(df, keys, by_value, hot_rows)
+def _percentiles(column: str, wanted: Sequence[Quantile]) -> Column:
+    return F.percentile(F.col(column), F.array(*[F.lit(q.p) for q in wanted]))
 
-    measures = list(aggregates)
+
+def _with_brackets(df: DataFrame, keys: Sequence[str],
+                   by_value: dict[str, list[Quantile]],
+                   aggregates: Sequence[Column], hot: HotGroups,
+                   hot_rows: int | None) -> DataFrame:
+    # Sketch error is n / accuracy ranks; a hot group has over ten times
+    # ``accuracy`` rows, so two errors to each side hold the wanted rank.
+    accuracy = max(4, min(100_000, (hot_rows or HOT_ROWS) // 10))
+    margin = 2.0 / accuracy
+    sketches, edges = [], []
     for i, (value, wanted) in enumerate(by_value.items()):
-        points = F.array(*[F.lit(q.p) for q in wanted])
-        measures.append(
-            F.percentile(F.col(f"__clamped_{i}"), points).alias(f"__points_{i}")
+        points = []
+        for j, q in enumerate(wanted):
+            points += [max(0.0, q.p - margin), min(1.0, q.p + margin)]
+            edges += [F.col(f"__edges_{i}")[2 * j].alias(f"__low_{i}_{j}"),
+                      F.col(f"__edges_{i}")[2 * j + 1].alias(f"__high_{i}_{j}")]
+        sketches.append(
+            F.percentile_approx(value, points, accuracy).alias(f"__edges_{i}")
         )
-        measures.append(F.count(value).alias(f"__n_{i}"))
+    # As many rows as hot groups, which are few by construction.
+    brackets = hot.only(df).groupBy(*keys).agg(*sketches).select(
+        *[F.col(k).alias(f"__their_{k}") for k in keys], *edges
+    )
+    pairs = [(k, f"__their_{k}") for k in keys]
+    rows = df.join(F.broadcast(brackets), null_safe_equal(df, brackets, pairs), "left")
+
+    clamped, measures = {}, list(aggregates)
+    for i, (value, wanted) in enumerate(by_value.items()):
+        v = F.col(value)
+        clamped[f"__clamped_{i}"] = _clamp(v, i, len(wanted))
+        measures += [_percentiles(f"__clamped_{i}", wanted).alias(f"__points_{i}"),
+                     F.count(v).alias(f"__n_{i}")]
         for j in range(len(wanted)):
-            low, high = F.col(f"__low_{i}_{j}"), F.col(f"__high_{i}_{j}")
-            measures.append(F.count_if(F.col(value) < low).alias(f"__below_{i}_{j}"))
-            measures.append(F.count_if(F.col(value) > high).alias(f"__above_{i}_{j}"))
-    grouped = clamped.groupBy(*keys).agg(*measures)
+            measures += [
+                F.count_if(v < F.col(f"__low_{i}_{j}")).alias(f"__below_{i}_{j}"),
+                F.count_if(v > F.col(f"__high_{i}_{j}")).alias(f"__above_{i}_{j}"),
+            ]
+    grouped = rows.withColumns(clamped).groupBy(*keys).agg(*measures)
 
-    helper = [c for c in grouped.columns if c.startswith("__")]
-    out = {}
+    results = {}
     for i, wanted in enumerate(by_value.values()):
         n = F.col(f"__n_{i}")
         for j, q in enumerate(wanted):
             position = F.lit(q.p) * (n - 1)
-            inside = (F.col(f"__below_{i}_{j}") <= F.floor(position)) & (
+            held = (F.col(f"__below_{i}_{j}") <= F.floor(position)) & (
                 F.col(f"__above_{i}_{j}") <= n - 1 - F.ceil(position)
             )
-            out[q.name] = F.when(
-                (n == 0) | inside, F.col(f"__points_{i}")[j]
+            results[q.name] = F.when(
+                (n == 0) | held, F.col(f"__points_{i}")[j]
             ).otherwise(
                 F.raise_error(F.lit("quantile bracket missed its rank")).cast("double")
             )
-    return grouped.withColumns(out).drop(*helper)
+    helpers = [c for c in grouped.columns if c.startswith("__")]
+    return grouped.withColumns(results).drop(*helpers)
 
 
-def _clamp_hot_groups(df: DataFrame, keys: Sequence[str],
-                      by_value: dict[str, list[Quantile]],
-                      hot_rows: int) -> DataFrame:
-    """Add brackets and clamped values; both are plain for groups of usual size."""
-    # Sketch error is n / accuracy ranks; a hot group has over ten times
-    # ``accuracy`` rows, so a bracket of two errors each side holds its rank.
-    accuracy = max(4, min(100_000, hot_rows // 10))
-    margin = 2.0 / accuracy
+def _clamp(v: Column, i: int, brackets: int) -> Column:
+    """``v`` inside a bracket, else the edge of the bracket below (or the first)."""
+    def low(j: int) -> Column:
+        return F.col(f"__low_{i}_{j}")
 
-    # At most rows / hot_rows groups: bounded, hence safe to broadcast.
-    hot_keys = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows")).where(
-        F.col("__rows") > hot_rows
-    ).select(*[F.col(k).alias(f"__hot_{k}") for k in keys])
-    pairs = [(k, f"__hot_{k}") for k in keys]
-    hot_df = df.join(
-        F.broadcast(hot_keys), null_safe_equal(df, hot_keys, pairs), "left_semi"
-    )
-    sketches = []
-    for i, (value, wanted) in enumerate(by_value.items()):
-        edges = []
-        for q in wanted:
-            edges += [max(0.0, q.p - margin), min(1.0, q.p + margin)]
-        sketches.append(
-            F.percentile_approx(value, [float(e) for e in edges], accuracy)
-            .alias(f"__edges_{i}")
-        )
-    brackets = hot_df.groupBy(*keys).agg(*sketches)
-    columns = [F.col(k).alias(f"__hot_{k}") for k in keys]
-    for i, wanted in enumerate(by_value.values()):
-        for j in range(len(wanted)):
-            columns.append(F.col(f"__edges_{i}")[2 * j].alias(f"__low_{i}_{j}"))
-            columns.append(F.col(f"__edges_{i}")[2 * j + 1].alias(f"__high_{i}_{j}"))
-    brackets = brackets.select(*columns)
+    def high(j: int) -> Column:
+        return F.col(f"__high_{i}_{j}")
 
-    joined = df.join(
-        F.broadcast(brackets), null_safe_equal(df, brackets, pairs), "left"
-    )
-    clamps = {}
-    for i, (value, wanted) in enumerate(by_value.items()):
-        v = F.col(value)
-        expr = F.when(F.col(f"__low_{i}_0").isNull() | v.isNull(), v)
-        # Largest bracket edge not above v, or v itself inside a bracket.
-        for j in range(len(wanted)):
-            low, high = F.col(f"__low_{i}_{j}"), F.col(f"__high_{i}_{j}")
-            if j == 0:
-                expr = expr.when(v < low, low)
-            else:
-                expr = expr.when(v < low, F.col(f"__high_{i}_{j - 1}"))
-            expr = expr.when(v <= high, v)
-        clamps[f"__clamped_{i}"] = expr.otherwise(
-            F.col(f"__high_{i}_{len(wanted) - 1}")
-        )
-    return joined.withColumns(clamps).drop(*[f"__hot_{k}" for k in keys])
+    result = F.when(low(0).isNull() | v.isNull(), v)
+    for j in range(brackets):
+        result = result.when(v < low(j), low(0) if j == 0 else high(j - 1))
+        result = result.when(v <= high(j), v)
+    return result.otherwise(high(brackets - 1))

@@ -1,10 +1,10 @@
-"""Joining per-group results back onto rows when one group may be huge.
+"""Finding huge groups, and joining per-group results back onto rows.
 
-A group holding a large share of all rows would send them to one task in a
-plain shuffle join. Groups above ``hot_rows`` are therefore joined without a
-shuffle: at most ``rows / hot_rows`` groups can be that large, so their side of
-the join has a size bound and is broadcast. All other groups take a shuffle
-join in which every key has at most ``hot_rows`` rows.
+A group holding a large share of all rows would go to one task in a plain
+shuffle. Operators that would suffer first look for such groups with one count
+over the key columns. At most ``MAX_HOT_GROUPS`` are taken, largest first, so
+the list is small by construction, and a group outside it holds less than one
+part in ``MAX_HOT_GROUPS`` of all rows or at most ``hot_rows`` rows.
 """
 
 from __future__ import annotations
@@ -13,9 +13,64 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 HOT_ROWS = 1_000_000
-_SALTS = 1024
+MAX_HOT_GROUPS = 10_000
+_MAX_SALTS = 4096
+
+
+class HotGroups:
+    """The huge groups of a frame: a small local table, or nothing."""
+
+    def __init__(self, keys: Sequence[str], table: DataFrame | None):
+        self.keys = list(keys)
+        self._table = table
+
+    def __bool__(self) -> bool:
+        return self._table is not None
+
+    def tagged(self, df: DataFrame) -> DataFrame:
+        """``df`` plus ``__salts``: over how many tasks its group is spread.
+
+        Null outside hot groups. The table is bounded, so the broadcast is too.
+        """
+        hot = self._table
+        pairs = [(k, f"__hot_{k}") for k in self.keys]
+        joined = df.join(F.broadcast(hot), null_safe_equal(df, hot, pairs), "left")
+        return joined.drop(*[b for _, b in pairs])
+
+    def only(self, df: DataFrame) -> DataFrame:
+        """The rows of ``df`` in hot groups."""
+        hot = self._table
+        pairs = [(k, f"__hot_{k}") for k in self.keys]
+        return df.join(F.broadcast(hot), null_safe_equal(df, hot, pairs), "left_semi")
+
+
+def find_hot_groups(df: DataFrame, keys: Sequence[str],
+                    hot_rows: int | None = HOT_ROWS) -> HotGroups:
+    """Groups of ``df`` with over ``hot_rows`` rows; runs one counting job.
+
+    ``hot_rows=None`` skips the job where groups are known to be small.
+    """
+    if hot_rows is None:
+        return HotGroups(keys, None)
+    largest = (
+        df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
+        .where(F.col("__rows") > hot_rows)
+        .orderBy(F.desc("__rows")).limit(MAX_HOT_GROUPS).collect()
+    )
+    if not largest:
+        return HotGroups(keys, None)
+    schema = T.StructType(
+        [T.StructField(f"__hot_{k}", df.schema[k].dataType) for k in keys]
+        + [T.StructField("__salts", T.IntegerType())]
+    )
+    rows = [
+        (*row[:-1], min(_MAX_SALTS, -(-row[-1] // hot_rows)))
+        for row in map(tuple, largest)
+    ]
+    return HotGroups(keys, df.sparkSession.createDataFrame(rows, schema))
 
 
 def null_safe_equal(left: DataFrame, right: DataFrame,
@@ -28,61 +83,45 @@ def null_safe_equal(left: DataFrame, right: DataFrame,
     return condition
 
 
-def spread(df: DataFrame, buckets: Column | int = _SALTS) -> Column:
+def spread(df: DataFrame, buckets: Column) -> Column:
     """Bucket number that spreads even identical rows of ``df`` over tasks."""
     plain = [f.name for f in df.schema.fields if f.dataType.typeName() != "map"]
     hashed = F.xxhash64(*[F.col(c) for c in plain], F.spark_partition_id())
-    return F.pmod(hashed, F.lit(buckets) if isinstance(buckets, int) else buckets)
+    return F.pmod(hashed, buckets.cast("bigint"))
 
 
-def attach(rows: DataFrame, stats: DataFrame, keys: Sequence[str], size: str,
-           columns: Sequence[str], *, how: str = "left",
-           hot_rows: int = HOT_ROWS) -> DataFrame:
+def attach(rows: DataFrame, stats: DataFrame, keys: Sequence[str],
+           columns: Sequence[str], hot: HotGroups, *, how: str = "left") -> DataFrame:
     """Add ``columns`` of ``stats`` (one row per ``keys``) to ``rows``.
 
-    ``size`` names the column of ``stats`` holding how many of ``rows`` carry
-    the key. Keys compare null-safe. ``how`` is ``left`` or ``inner``.
+    Keys compare null-safe. A hot group of ``rows`` is split by a salt, its one
+    row of ``stats`` repeated once per salt; everything else is a plain join.
     """
     if how not in ("left", "inner"):
         raise ValueError("how must be 'left' or 'inner'")
-
-    def side(part: DataFrame, tag: str) -> DataFrame:
-        return part.select(
-            *[F.col(k).alias(f"__{tag}_key_{k}") for k in keys],
-            *[F.col(c).alias(f"__{tag}_{c}") for c in columns],
-            F.lit(True).alias(f"__{tag}_found"),
+    kept = [c for c in rows.columns if c not in columns]
+    wanted = stats.select(*keys, *columns)
+    extra = []
+    if hot:
+        rows = hot.tagged(rows)
+        rows = rows.withColumn(
+            "__salt",
+            F.when(F.col("__salts").isNull(), F.lit(0))
+            .otherwise(spread(rows, F.coalesce("__salts", F.lit(1)))).cast("int"),
         )
-
-    hot = side(stats.where(F.col(size) > hot_rows), "hot")
-    cold = side(stats.where(F.col(size) <= hot_rows), "cold").withColumn(
-        "__cold_salt", F.lit(0).cast("bigint")
+        salts = F.coalesce(F.col("__salts") - 1, F.lit(0))
+        wanted = hot.tagged(wanted).withColumn(
+            "__their_salt", F.explode(F.sequence(F.lit(0), salts))
+        )
+        extra = [("__salt", "__their_salt")]
+    wanted = wanted.select(
+        *[F.col(k).alias(f"__their_{k}") for k in keys],
+        *[F.col(c).alias(f"__new_{c}") for c in columns],
+        *[b for _, b in extra],
     )
-
     joined = rows.join(
-        F.broadcast(hot),
-        null_safe_equal(rows, hot, [(k, f"__hot_key_{k}") for k in keys]),
-        "left",
-    )
-    # Rows already served move off their key's partition; cold rows stay on it.
-    joined = joined.withColumn(
-        "__salt",
-        F.when(F.col("__hot_found"), spread(rows) + 1)
-        .otherwise(F.lit(0)).cast("bigint"),
-    )
-    joined = joined.join(
-        cold,
-        null_safe_equal(
-            joined, cold,
-            [(k, f"__cold_key_{k}") for k in keys] + [("__salt", "__cold_salt")],
-        ),
-        "left",
-    )
-    if how == "inner":
-        joined = joined.where(
-            F.col("__hot_found").isNotNull() | F.col("__cold_found").isNotNull()
-        )
-    kept = [c for c in rows.columns if c not in columns]
-    return joined.select(
-        *kept,
-        *[F.coalesce(f"__hot_{c}", f"__cold_{c}").alias(c) for c in columns],
+        wanted,
+        null_safe_equal(rows, wanted, [(k, f"__their_{k}") for k in keys] + extra),
+        how,
     )
+    return joined.select(*kept, *[F.col(f"__new_{c}").alias(c) for c in columns])

@@ -60,7 +60,7 @@ def count_by_source(df: DataFrame) -> DataFrame:
 
 def month_stats(df: DataFrame, month: str, element_id: str | None = None,
                 source_id: str | None = None, time_offset: str | None = None,
-                strict: bool = False, hot_rows: int = HOT_ROWS) -> DataFrame:
+                strict: bool = False, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Mean, median and population std of one ``YYYY-MM``."""
     rows = element_values(df, element_id, source_id, time_offset)
     inside = F.trunc(TIME, "MM") == F.lit(f"{month}-01").cast("date")
@@ -75,7 +75,7 @@ def month_stats(df: DataFrame, month: str, element_id: str | None = None,
     return require_rows(out, strict, f"no data points in {month}")
 
 
-def _month_measures(rows: DataFrame, hot_rows: int) -> DataFrame:
+def _month_measures(rows: DataFrame, hot_rows: int | None) -> DataFrame:
     return aggregate_groups(
         rows, SERIES, [Quantile("median", VALUE, 0.5)],
         [F.avg(VALUE).alias("mean"), F.stddev_pop(VALUE).alias("std"),
@@ -85,7 +85,7 @@ def _month_measures(rows: DataFrame, hot_rows: int) -> DataFrame:
 
 
 def _by_month(df: DataFrame, element_id, source_id, time_offset,
-              hot_rows: int) -> DataFrame:
+              hot_rows: int | None) -> DataFrame:
     rows = element_values(df, element_id, source_id, time_offset).withColumn(
         "month_start", F.trunc(TIME, "MM")
     )
@@ -102,7 +102,7 @@ def _by_month(df: DataFrame, element_id, source_id, time_offset,
 
 def monthly_stats(df: DataFrame, element_id: str | None = None,
                   source_id: str | None = None, time_offset: str | None = None,
-                  strict: bool = False, hot_rows: int = HOT_ROWS) -> DataFrame:
+                  strict: bool = False, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Mean, median and sample std of every month."""
     out = _by_month(df, element_id, source_id, time_offset, hot_rows).select(
         *SERIES, year_month(F.col("month_start")).alias("year_month"),
@@ -114,7 +114,7 @@ def monthly_stats(df: DataFrame, element_id: str | None = None,
 def monthly_range_series(df: DataFrame, element_id: str = RANGE_TEMPERATURE,
                          source_id: str | None = None,
                          time_offset: str | None = None,
-                         hot_rows: int = HOT_ROWS) -> DataFrame:
+                         hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Monthly statistics of the daily range with year, month name, ``temp_diff``."""
     groups = _by_month(df, element_id, source_id, time_offset, hot_rows)
     return add_month_parts(groups, "month_start").select(
@@ -126,7 +126,7 @@ def monthly_range_series(df: DataFrame, element_id: str = RANGE_TEMPERATURE,
 def yearly(df: DataFrame, aggregate: str = "mean", element_id: str | None = None,
            source_id: str | None = None, year: int | None = None,
            time_offset: str | None = None, strict: bool = False,
-           hot_rows: int = HOT_ROWS) -> DataFrame:
+           hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Mean, sum, median or sample std of every year, or of one year."""
     check_statistic(aggregate, ("mean", "sum", "median", "std"))
     rows = element_values(df, element_id, source_id, time_offset)
@@ -164,7 +164,7 @@ def climatology(df: DataFrame, statistic: str = "mean",
                 element_id: str | None = None, source_id: str | None = None,
                 time_offset: str | None = None, remove_outliers: bool = False,
                 whisker: float | None = None,
-                hot_rows: int = HOT_ROWS) -> DataFrame:
+                hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Mean, median or population std by calendar month over all years.
 
     A month without any numeric value stays, with a null. ``remove_outliers``

@@ -22,7 +22,12 @@ from stationloom.functions import (
     unit_of,
 )
 from stationloom.operators.reshape import only_row
-from stationloom.operators.skew import HOT_ROWS, attach, null_safe_equal
+from stationloom.operators.skew import (
+    HOT_ROWS,
+    attach,
+    find_hot_groups,
+    null_safe_equal,
+)
 from stationloom.schema import ELEMENT, OFFSET, SOURCE, TIME, UNIT, VALUE
 
 SERIES_KEYS = (SOURCE, ELEMENT)
@@ -219,7 +224,7 @@ def impute(df: DataFrame, limit: int = 3, model: str = "additive",
     return seasonal_impute(df, model, keys, time, value, chunk)
 
 
-def observation_grid(df: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def observation_grid(df: DataFrame, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Every element of a station at every instant the station has.
 
     ``instant`` is time plus offset. Cells without a row have a null value and
@@ -237,12 +242,10 @@ def observation_grid(df: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     instants = cells.groupBy(SOURCE, "instant").agg(
         F.map_from_entries(F.collect_list(F.struct(ELEMENT, "cell"))).alias("cells")
     )
-    elements = cells.groupBy(SOURCE).agg(
-        F.collect_set(ELEMENT).alias("elements"),
-        F.count(F.lit(1)).alias("cell_rows"),
-    )
-    wide = attach(instants, elements, [SOURCE], "cell_rows", ["elements"],
-                  hot_rows=hot_rows)
+    elements = rows.groupBy(SOURCE).agg(F.collect_set(ELEMENT).alias("elements"))
+    # Observations of a station bound its instants.
+    hot = find_hot_groups(rows, [SOURCE], hot_rows)
+    wide = attach(instants, elements, [SOURCE], ["elements"], hot)
     grid = wide.select(
         SOURCE, "instant", "cells", F.explode("elements").alias(ELEMENT)
     )
@@ -255,7 +258,7 @@ def observation_grid(df: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
 
 def impute_observations(df: DataFrame, limit: int = 3, model: str = "additive",
                         keep_observed_offsets: bool = False, chunk: str = "month",
-                        hot_rows: int = HOT_ROWS) -> DataFrame:
+                        hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Complete grid of observations with every gap filled, 3 decimals.
 
     Offsets come from the instant's time of day, so a filled element appears at

@@ -10,7 +10,7 @@ from stationloom.functions import iso_format
 from stationloom.operators.missing import missing_summary
 from stationloom.operators.reshape import add_daily_range
 from stationloom.operators.select import station_lookup
-from stationloom.operators.skew import HOT_ROWS, attach, spread
+from stationloom.operators.skew import HOT_ROWS, attach, find_hot_groups, spread
 from stationloom.schema import (
     ELEMENT,
     OBSERVATION_COLUMNS,
@@ -85,7 +85,7 @@ def write_missing_report(missing: DataFrame, path: str, mode: str = "overwrite")
 
 def write_observation_json(df: DataFrame, path: str, mode: str = "overwrite",
                            max_entry: int = MAX_ENTRY_OBSERVATIONS,
-                           hot_rows: int = HOT_ROWS) -> None:
+                           hot_rows: int | None = HOT_ROWS) -> None:
     """One document per line, one entry per station and time.
 
     An entry with more than ``max_entry`` observations continues in further
@@ -95,7 +95,8 @@ def write_observation_json(df: DataFrame, path: str, mode: str = "overwrite",
     rows = _time_as_text(df).select(*OBSERVATION_COLUMNS)
     sizes = rows.groupBy(SOURCE, TIME).agg(F.count(F.lit(1)).alias("rows"))
     sizes = sizes.withColumn("parts", F.ceil(F.col("rows") / max_entry))
-    sized = attach(rows, sizes, [SOURCE, TIME], "rows", ["parts"], hot_rows=hot_rows)
+    hot = find_hot_groups(rows, [SOURCE, TIME], hot_rows)
+    sized = attach(rows, sizes, [SOURCE, TIME], ["parts"], hot)
     sized = sized.withColumn("part", spread(sized, F.col("parts")))
     entries = sized.groupBy(SOURCE, TIME, "part").agg(
         F.collect_list(F.struct(OFFSET, ELEMENT, VALUE, UNIT)).alias("observations")

@@ -70,8 +70,9 @@ def main(names: list[str]) -> int:
                 failed += 1
                 print(f"DIFF  {name} {len(a)} / {len(b)} rows {took:.2f}s "
                       f"{sorted(columns)} / {sorted(relation.columns)}")
-                only_a = [x for x in a if x not in set(b)][:3]
-                only_b = [x for x in b if x not in set(a)][:3]
+                in_a, in_b = set(a), set(b)
+                only_a = [x for x in a if x not in in_b][:3]
+                only_b = [x for x in b if x not in in_a][:3]
                 print("   spark only:", only_a, "\n   sql only:  ", only_b)
         except Exception as exc:  # report and go on with the next query
             failed += 1

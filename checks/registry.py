@@ -44,6 +44,12 @@ def r(expression: str, digits: int = DIGITS) -> str:
     return f"(ROUND({expression}, {digits}) + 0.0)"
 
 
+def half_up(expression: str, digits: int) -> str:
+    """Half-up rounding in decimal arithmetic, after dropping summation noise."""
+    return (f"CAST(CAST(CAST({expression} AS DECIMAL(24, 9)) "
+            f"AS DECIMAL(24, {digits})) AS DOUBLE)")
+
+
 def with_tables(*parts: str) -> str:
     """``WITH`` clause from table expressions, last part being the query."""
     *tables, body = [p.strip() for p in parts]

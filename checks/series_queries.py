@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks.registry import check, r, with_tables
+from checks.registry import check, half_up, r, with_tables
 from checks.tables import OBSERVATIONS_SQL, observations
 from stationloom.operators import decompose, timeseries
 
@@ -36,7 +36,7 @@ gaps AS (
               ELSE y0 + (y1 - y0) * (x - x0) / (x1 - x0) END AS filled
   FROM near)"""
 
-_COLUMNS = "sourceId, elementId, at"
+_COLUMNS = "sourceId, elementId, moment"
 
 
 def grid(spark, sf):
@@ -86,7 +86,7 @@ def _(spark, sf):
 
 @check("impute_observations", with_tables(OBSERVATIONS_SQL, GRID_SQL, f"""
     SELECT sourceId, moment, 'PT' || CAST(HOUR(moment) AS VARCHAR) || 'H' AS timeOffset, elementId,
-           {r('filled', 3)} AS value,
+           {half_up('filled', 3)} AS value,
            CASE WHEN elementId LIKE '%temperature%' THEN 'degC'
                 WHEN elementId LIKE '%wind_speed%' THEN 'm/s' ELSE 'mm' END AS unit,
            num IS NULL AND filled IS NOT NULL AS is_imputed
@@ -133,8 +133,8 @@ def decompose_sql(period: int, multiplicative: bool = False) -> str:
     seas AS (
       SELECT {key}, phase, {centre} AS seasonal
       FROM (SELECT {key}, phase, AVG(dev) AS m FROM devs GROUP BY ALL))""", f"""
-    SELECT {key}, moment, {r('tr', 5)} AS trend, {r('seasonal', 5)} AS seasonal,
-           {r(resid, 5)} AS resid
+    SELECT {key}, moment, {r('tr')} AS trend, {r('seasonal')} AS seasonal,
+           {r(resid)} AS resid
     FROM devs JOIN seas USING ({key}, phase)""")
 
 
@@ -145,7 +145,7 @@ def decomposed(spark, sf, **options):
     parts = decompose.seasonal_decompose(filled, time="instant", **options)
     return parts.select(
         "sourceId", "elementId", F.col("instant").cast("timestamp_ntz").alias("moment"),
-        *[F.round(c, 5).alias(c) for c in ("trend", "seasonal", "resid")])
+        "trend", "seasonal", "resid")
 
 
 @check("seasonal_decompose", decompose_sql(365))

@@ -29,9 +29,12 @@ def check(name: str, sql: str | None = None):
 
 
 def rounded(df: DataFrame) -> DataFrame:
-    """Doubles to 6 decimals, because the engines add up in different orders."""
+    """Doubles to 6 decimals, because the engines add up in different orders.
+
+    Rounding to 10 first keeps the last bits from deciding a tie.
+    """
     doubles = {
-        f.name: F.round(F.col(f"`{f.name}`"), DIGITS)
+        f.name: F.round(F.round(F.col(f"`{f.name}`"), 10), DIGITS)
         for f in df.schema.fields if isinstance(f.dataType, T.DoubleType)
     }
     return df.select(*[

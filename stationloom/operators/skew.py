@@ -49,11 +49,12 @@ class HotGroups:
 
 def find_hot_groups(df: DataFrame, keys: Sequence[str],
                     hot_rows: int | None = HOT_ROWS) -> HotGroups:
-    """Groups of ``df`` with over ``hot_rows`` rows; runs one counting job.
+    """Groups of ``df`` with over ``hot_rows`` rows; runs one or two counting jobs.
 
-    ``hot_rows=None`` skips the job where groups are known to be small.
+    A frame of at most ``hot_rows`` rows needs no look at its groups.
+    ``hot_rows=None`` skips the jobs where groups are known to be small.
     """
-    if hot_rows is None:
+    if hot_rows is None or df.count() <= hot_rows:
         return HotGroups(keys, None)
     largest = (
         df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,7 +46,7 @@ def read_observation_json(spark: SparkSession, path: str | Sequence[str],
     if strict:
         try:
             bad = not raw.where(missing).isEmpty()
-        except PySparkException as exc:
+        except (PySparkException, Py4JJavaError) as exc:
             raise ValueError(f"not a valid observation document: {path}") from exc
         if bad:
             raise ValueError("document lacks 'data' or it is empty")

@@ -31,10 +31,10 @@ def check(name: str, sql: str | None = None):
 def rounded(df: DataFrame) -> DataFrame:
     """Doubles to 6 decimals, because the engines add up in different orders.
 
-    Rounding to 10 first keeps the last bits from deciding a tie.
+    Rounding to 12 first keeps the last bits from deciding a tie.
     """
     doubles = {
-        f.name: F.round(F.round(F.col(f"`{f.name}`"), 10), DIGITS)
+        f.name: F.round(F.round(F.col(f"`{f.name}`"), 12), DIGITS)
         for f in df.schema.fields if isinstance(f.dataType, T.DoubleType)
     }
     return df.select(*[
@@ -47,10 +47,10 @@ def r(expression: str, digits: int = DIGITS) -> str:
     return f"(ROUND({expression}, {digits}) + 0.0)"
 
 
-def half_up(expression: str, digits: int) -> str:
+def half_up(expression: str, digits: int, noise: int = 9) -> str:
     """Half-up rounding in decimal arithmetic, after dropping summation noise."""
-    return (f"CAST(CAST(CAST({expression} AS DECIMAL(24, 9)) "
-            f"AS DECIMAL(24, {digits})) AS DOUBLE)")
+    return (f"CAST(CAST(CAST({expression} AS DECIMAL(30, {noise})) "
+            f"AS DECIMAL(30, {digits})) AS DOUBLE)")
 
 
 def with_tables(*parts: str) -> str:

@@ -133,8 +133,8 @@ def decompose_sql(period: int, multiplicative: bool = False) -> str:
     seas AS (
       SELECT {key}, phase, {centre} AS seasonal
       FROM (SELECT {key}, phase, AVG(dev) AS m FROM devs GROUP BY ALL))""", f"""
-    SELECT {key}, moment, {half_up('tr', 6)} AS trend, {half_up('seasonal', 6)} AS seasonal,
-           {half_up(resid, 6)} AS resid
+    SELECT {key}, moment, {half_up('tr', 6, 12)} AS trend, {half_up('seasonal', 6, 12)} AS seasonal,
+           {half_up(resid, 6, 12)} AS resid
     FROM devs JOIN seas USING ({key}, phase)""")
 
 

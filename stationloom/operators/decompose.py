@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from stationloom.operators.skew import HOT_ROWS, HotGroups, attach, find_hot_groups
+from stationloom.operators.skew import HOT_ROWS, attach, find_hot_groups
 from stationloom.operators.timeseries import SERIES_KEYS, with_position
 from stationloom.schema import TIME, VALUE
 
@@ -42,31 +42,97 @@ def seasonal_decompose(df: DataFrame, period: int = 365, model: str = "additive"
         if not short.isEmpty():
             raise ValueError(f"a series has fewer than {2 * period} rows")
     hot = find_hot_groups(df, keys, hot_rows)
-    rows = _moving_average(rows, keys, period, value, block_rows)
-    rows = _extrapolate_ends(rows, keys, period, hot)
-    x, trend = F.col(value), F.col("trend")
-    detrended = x - trend if additive else x / F.nullif(trend, F.lit(0.0))
-    rows = rows.withColumns({
-        "__phase": F.col("position") % period, "__detrended": detrended,
-    })
-
-    # ``period`` rows per series.
-    means = rows.groupBy(*keys, "__phase").agg(F.avg("__detrended").alias("__mean"))
-    centre = F.avg("__mean").over(Window.partitionBy(*keys))
-    means = means.withColumn(
-        "seasonal", F.col("__mean") - centre if additive else F.col("__mean") / centre
+    rows = _moving_average(rows, keys, period, value, block_rows).withColumn(
+        "__phase", F.col("position") % period
     )
-    rows = attach(rows, means, [*keys, "__phase"], ["seasonal"], hot)
-    seasonal = F.col("seasonal")
+    figures = _phase_figures(rows, keys, period, value, additive)
+    columns = ["seasonal", *_LINES]
+    rows = attach(rows, figures, [*keys, "__phase"], columns, hot)
+    rows = rows.withColumn("trend", _trend(period))
+    x, trend, seasonal = F.col(value), F.col("trend"), F.col("seasonal")
     resid = (
-        F.col("__detrended") - seasonal if additive
-        else F.col("__detrended") / F.nullif(seasonal, F.lit(0.0))
+        x - trend - seasonal if additive
+        else x / _nonzero(trend) / _nonzero(seasonal)
     )
     return rows.withColumn("resid", resid).select(
         *df.columns, "trend", "seasonal", "resid"
     )
 
 
+_LINES = ["__front_slope", "__front_level", "__back_slope", "__back_level"]
+
+
+def _nonzero(c: Column) -> Column:
+    return F.nullif(c, F.lit(0.0))
+
+
+def _from_end() -> Column:
+    """Position counted from the last row, so its numbers stay small."""
+    return F.col("position") - F.col("series_rows") + 1
+
+
+def _trend(period: int) -> Column:
+    """Moving average, and the fitted lines where its window does not fit."""
+    half = period // 2
+    front = F.col("__front_slope") * F.col("position") + F.col("__front_level")
+    back = F.col("__back_slope") * _from_end() + F.col("__back_level")
+    return (
+        F.when(F.col("__average").isNotNull(), F.col("__average"))
+        .when(F.col("position") < half, front).otherwise(back)
+    )
+
+
+def _phase_figures(rows: DataFrame, keys: list[str], period: int, value: str,
+                   additive: bool) -> DataFrame:
+    """Seasonal figure and end lines, one row per series and phase.
+
+    One aggregate suffices: a phase has at most one point in each end and in
+    each stretch a line is fitted to, so these come along as plain values and
+    the lines follow from the ``period`` rows per series.
+    """
+    half = period // 2
+    x, average, position = F.col(value), F.col("__average"), F.col("position")
+    from_end = _from_end()
+    # Fixed rule: the right fit stops one point before the last trend point.
+    last = F.col("series_rows") - 1 - half
+    in_front = (position >= half) & (position < F.least(half + F.lit(period), last))
+    in_back = (position >= F.greatest(F.lit(half), last - period)) & (position < last)
+    at_front, at_back = position < half, from_end > -half
+    long_enough = F.col("series_rows") >= 2 * period
+
+    def only(where: Column, c: Column) -> Column:
+        return F.max(F.when(where & long_enough, c))
+
+    inner = x - average if additive else x / _nonzero(average)
+    table = rows.groupBy(*keys, "__phase").agg(
+        F.sum(inner).alias("sum"), F.count(inner).alias("n"),
+        only(in_front, average).alias("front_t"), only(in_front, position).alias("front_p"),
+        only(in_back, average).alias("back_t"), only(in_back, from_end).alias("back_p"),
+        only(at_front, x).alias("front_x"), only(at_front, position).alias("front_at"),
+        only(at_back, x).alias("back_x"), only(at_back, from_end).alias("back_at"),
+    )
+    series = Window.partitionBy(*keys)
+    table = table.withColumns({
+        f"__{side}_{name}": f(F.col(f"{side}_t"), F.col(f"{side}_p")).over(series)
+        for side in ("front", "back")
+        for name, f in (("slope", F.regr_slope), ("level", F.regr_intercept))
+    })
+
+    def at_end(side: str) -> Column:
+        line = F.col(f"__{side}_slope") * F.col(f"{side}_at") + F.col(f"__{side}_level")
+        x = F.col(f"{side}_x")
+        return x - line if additive else x / _nonzero(line)
+
+    total, n = F.coalesce("sum", F.lit(0.0)), F.col("n")
+    for side in ("front", "back"):
+        total = total + F.coalesce(at_end(side), F.lit(0.0))
+        n = n + F.when(at_end(side).isNotNull(), 1).otherwise(0)
+    table = table.withColumn("mean", F.when(n > 0, total / n))
+    centre = F.avg("mean").over(series)
+    figure = F.col("mean") - centre if additive else F.col("mean") / _nonzero(centre)
+    return table.withColumn("seasonal", figure)
+
+
 def _moving_average(rows: DataFrame, keys: list[str], period: int, value: str,
                     block_rows: int) -> DataFrame:
     """Centred average, null where the window does not fit.
@@ -95,30 +161,6 @@ def _moving_average(rows: DataFrame, keys: list[str], period: int, value: str,
     return (
         spread_out.withColumn("__total", total)
         .where(F.col("__block") == F.col("__own"))
-        .withColumn("trend", F.when(fits, F.col("__total") / period))
+        .withColumn("__average", F.when(fits, F.col("__total") / period))
         .drop("__block", "__own", "__total")
     )
-
-
-def _extrapolate_ends(rows: DataFrame, keys: list[str], period: int,
-                      hot: HotGroups) -> DataFrame:
-    """Least-squares lines through the trend points next to either end."""
-    half = period // 2
-    position, n = F.col("position"), F.col("series_rows")
-    front, back = half, n - 1 - half
-    # Fixed rule: the right fit stops one point before the last trend point.
-    in_front = (position >= front) & (position < F.least(front + F.lit(period), back))
-    in_back = (position >= F.greatest(F.lit(front), back - period)) & (position < back)
-    lines = rows.groupBy(*keys).agg(
-        *[f(F.when(where, F.col("trend")), position).alias(f"__{side}_{name}")
-          for side, where in (("front", in_front), ("back", in_back))
-          for name, f in (("slope", F.regr_slope), ("level", F.regr_intercept))],
-    )
-    columns = ["__front_slope", "__front_level", "__back_slope", "__back_level"]
-    joined = attach(rows, lines, keys, columns, hot)
-    trend = (
-        F.when(F.col("trend").isNotNull(), F.col("trend"))
-        .when(position < front, F.col("__front_slope") * position + F.col("__front_level"))
-        .otherwise(F.col("__back_slope") * position + F.col("__back_level"))
-    )
-    return joined.withColumn("trend", trend).drop(*columns)

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from stationloom.functions import date_part_text, null_tokens_to_null
+from stationloom.operators.correlation import pearson
 from stationloom.operators.reshape import pivot_unique, vocabulary
 from stationloom.operators.skew import null_safe_equal
 from stationloom.schema import ELEMENT, OFFSET, SOURCE, TIME, VALUE
@@ -286,10 +287,7 @@ def nullity_correlation(wide: DataFrame, elements: Sequence[str]) -> DataFrame:
     result = wide.agg(*[
         F.struct(
             F.lit(a).alias("left_element"), F.lit(b).alias("right_element"),
-            F.when(
-                (F.var_pop(gone[a]) > 0) & (F.var_pop(gone[b]) > 0),
-                F.corr(gone[a], gone[b]),
-            ).alias("correlation"),
+            pearson(gone[a], gone[b]).alias("correlation"),
         ).alias(f"p{i}")
         for i, (a, b) in enumerate(pairs)
     ])

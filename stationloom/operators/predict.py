@@ -11,6 +11,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stationloom.operators.correlation import pearson
 from stationloom.operators.reshape import feature_pivot
 from stationloom.operators.select import (
     ALL_OFFSETS,
@@ -20,7 +21,7 @@ from stationloom.operators.select import (
     filter_series,
     keep_min_offset,
 )
-from stationloom.operators.skew import HOT_ROWS, attach, find_hot_groups
+from stationloom.operators.skew import HOT_ROWS, HotGroups, attach, find_hot_groups
 from stationloom.schema import (
     ELEMENT,
     MAX_TEMPERATURE,
@@ -86,7 +87,8 @@ def split_key(time: str = TIME) -> Column:
 
 
 def standard_scale(df: DataFrame, columns: tuple[str, ...] = ("TMAX", "TMIN"),
-                   hot_rows: int | None = HOT_ROWS) -> DataFrame:
+                   hot_rows: int | None = HOT_ROWS,
+                   hot: HotGroups | None = None) -> DataFrame:
     """Add ``<column>_z`` from each station's training mean and population std.
 
     A constant column is centred only.
@@ -97,9 +99,9 @@ def standard_scale(df: DataFrame, columns: tuple[str, ...] = ("TMAX", "TMIN"),
         *[F.stddev_pop(v).alias(f"{c}_std") for c, v in train.items()],
     )
     added = [f"{c}_{part}" for c in columns for part in ("mean", "std")]
-    joined = attach(
-        df, scale, [SOURCE], added, find_hot_groups(df, [SOURCE], hot_rows)
-    )
+    if hot is None:
+        hot = find_hot_groups(df, [SOURCE], hot_rows)
+    joined = attach(df, scale, [SOURCE], added, hot)
     spread = {c: F.when(F.col(f"{c}_std") == 0, 1.0).otherwise(F.col(f"{c}_std"))
               for c in columns}
     return joined.withColumns({
@@ -162,12 +164,13 @@ def fit_rain_gaussian_nb(scaled: DataFrame,
 
 def predict_rain_gaussian_nb(model: DataFrame, scaled: DataFrame,
                              columns: tuple[str, ...] = ("TMAX_z", "TMIN_z"),
-                             hot_rows: int | None = HOT_ROWS) -> DataFrame:
+                             hot_rows: int | None = HOT_ROWS,
+                             hot: HotGroups | None = None) -> DataFrame:
     """Add the 0/1 ``prediction`` of :func:`fit_rain_gaussian_nb`."""
     parts = [c for c in model.columns if c not in (SOURCE, "n")]
-    joined = attach(
-        scaled, model, [SOURCE], parts, find_hot_groups(scaled, [SOURCE], hot_rows)
-    )
+    if hot is None:
+        hot = find_hot_groups(scaled, [SOURCE], hot_rows)
+    joined = attach(scaled, model, [SOURCE], parts, hot)
 
     def log_likelihood(k: int) -> Column:
         total = F.ln(f"prior_{k}")
@@ -210,15 +213,16 @@ def fit_precipitation_linear(split: DataFrame, target: str = "PRCP") -> DataFram
 
 
 def predict_precipitation(model: DataFrame, rows: DataFrame,
-                          hot_rows: int | None = HOT_ROWS) -> DataFrame:
+                          hot_rows: int | None = HOT_ROWS,
+                          hot: HotGroups | None = None) -> DataFrame:
     """Add ``predicted`` millimetres and ``will_rain`` to rows with TMAX, TMIN.
 
     Rows carry the station whose model scores them.
     """
     parts = ["coef_tmax", "coef_tmin", "intercept"]
-    joined = attach(
-        rows, model, [SOURCE], parts, find_hot_groups(rows, [SOURCE], hot_rows)
-    )
+    if hot is None:
+        hot = find_hot_groups(rows, [SOURCE], hot_rows)
+    joined = attach(rows, model, [SOURCE], parts, hot)
     return joined.withColumn(
         "predicted",
         F.col("intercept") + F.col("coef_tmax") * F.col("TMAX")
@@ -327,7 +331,7 @@ def element_correlation(df: DataFrame, x_element: str, y_element: str,
         F.max(F.when(F.col(ELEMENT) == y_element, F.col(VALUE))).alias("y"),
     ).dropna(subset=["x", "y"])
     return pairs.groupBy(SOURCE).agg(
-        F.count(F.lit(1)).alias("n"), F.corr("x", "y").alias("correlation"),
+        F.count(F.lit(1)).alias("n"), pearson(F.col("x"), F.col("y")).alias("correlation"),
         F.regr_slope("y", "x").alias("slope"),
         F.regr_intercept("y", "x").alias("intercept"),
     )

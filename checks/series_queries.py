@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from checks.registry import check, half_up, r, with_tables
 from checks.tables import OBSERVATIONS_SQL, observations
+from stationloom.functions import round_n
 from stationloom.operators import decompose, timeseries
+from stationloom.plans import decomposition
 
 GRID_SQL = """
 inst AS (
@@ -133,34 +135,34 @@ def decompose_sql(period: int, multiplicative: bool = False) -> str:
     seas AS (
       SELECT {key}, phase, {centre} AS seasonal
       FROM (SELECT {key}, phase, AVG(dev) AS m FROM devs GROUP BY ALL))""", f"""
-    SELECT {key}, moment, {half_up('tr', 6, 12)} AS trend, {half_up('seasonal', 6, 12)} AS seasonal,
-           {half_up(resid, 6, 12)} AS resid
+    SELECT {key}, moment, {half_up('tr', 6)} AS trend, {half_up('seasonal', 6)} AS seasonal,
+           {half_up(resid, 6)} AS resid
     FROM devs JOIN seas USING ({key}, phase)""")
 
 
-def decomposed(spark, sf, **options):
-    filled = timeseries.interpolate_time(grid(spark, sf), time="instant")
-    if options.get("model") == "multiplicative":
-        filled = filled.withColumn("value", F.col("value") + 100)
-    parts = decompose.seasonal_decompose(filled, time="instant", **options)
-    return parts.select(
+def parts(df):
+    return df.select(
         "sourceId", "elementId", F.col("instant").cast("timestamp_ntz").alias("moment"),
-        "trend", "seasonal", "resid")
+        *[round_n(F.col(c), 6).alias(c) for c in ("trend", "seasonal", "resid")])
 
 
 @check("seasonal_decompose", decompose_sql(365))
 def _(spark, sf):
-    return decomposed(spark, sf)
+    return parts(decomposition.decompose_observations(observations(spark, sf)))
 
 
 @check("seasonal_decompose_blocks", decompose_sql(365))
 def _(spark, sf):
-    return decomposed(spark, sf, block_rows=500)
+    filled = decomposition.filled_series(observations(spark, sf))
+    return parts(decompose.seasonal_decompose(filled, time="instant", block_rows=500))
 
 
 @check("seasonal_decompose_multiplicative", decompose_sql(24, True))
 def _(spark, sf):
-    return decomposed(spark, sf, period=24, model="multiplicative")
+    filled = decomposition.filled_series(observations(spark, sf))
+    shifted = filled.withColumn("value", F.col("value") + 100)
+    return parts(decompose.seasonal_decompose(
+        shifted, 24, "multiplicative", time="instant"))
 
 
 @check("seasonal_impute", _FILLED_SQL)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from stationloom.operators.skew import HOT_ROWS, attach, find_hot_groups
-from stationloom.operators.timeseries import SERIES_KEYS, with_position
+from stationloom.operators.timeseries import AUTO, SERIES_KEYS, with_position
 from stationloom.schema import TIME, VALUE
 
 # Rows per piece of a series in the moving-average window.
@@ -18,7 +18,7 @@ BLOCK_ROWS = 100_000
 
 def seasonal_decompose(df: DataFrame, period: int = 365, model: str = "additive",
                        keys: Sequence[str] = SERIES_KEYS, time: str = TIME,
-                       value: str = VALUE, chunk: str = "month",
+                       value: str = VALUE, chunk: str = AUTO,
                        strict: bool = False, block_rows: int = BLOCK_ROWS,
                        hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Add ``trend``, ``seasonal`` and ``resid``.
@@ -36,7 +36,9 @@ def seasonal_decompose(df: DataFrame, period: int = 365, model: str = "additive"
         raise ValueError("period must be at least 2")
     keys = list(keys)
     additive = model == "additive"
-    rows = with_position(df, keys, time, value, chunk).drop("before", "after")
+    rows = with_position(
+        df, keys, time, value, chunk, hot_rows=hot_rows
+    ).drop("before", "after")
     if strict:
         short = rows.where(F.col("series_rows") < 2 * period)
         if not short.isEmpty():
@@ -150,17 +152,27 @@ def _moving_average(rows: DataFrame, keys: list[str], period: int, value: str,
         "__block", F.explode(F.sequence(F.greatest(lowest, F.lit(0)), highest))
     ).withColumn("__own", own)
     w = Window.partitionBy(*keys, "__block").orderBy("position")
+    # Differences of running sums: a sliding frame would add up ``period`` values
+    # for every row. Running sums start at the block, which bounds their size.
+    running = F.sum(value).over(
+        w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
     if period % 2:
-        total = F.sum(value).over(w.rowsBetween(-half, half))
+        total = F.lead("__running", half).over(w) - F.coalesce(
+            F.lag("__running", half + 1).over(w), F.lit(0.0)
+        )
     else:
         ends = F.lag(value, half).over(w) + F.lead(value, half).over(w)
-        total = F.sum(value).over(w.rowsBetween(-half + 1, half - 1)) + ends / 2
+        total = (
+            F.lead("__running", half - 1).over(w) - F.lag("__running", half).over(w)
+            + ends / 2
+        )
     fits = (F.col("position") >= half) & (
         F.col("position") < F.col("series_rows") - half
     ) & (F.col("series_rows") >= 2 * period)
     return (
-        spread_out.withColumn("__total", total)
+        spread_out.withColumn("__running", running).withColumn("__total", total)
         .where(F.col("__block") == F.col("__own"))
         .withColumn("__average", F.when(fits, F.col("__total") / period))
-        .drop("__block", "__own", "__total")
+        .drop("__block", "__own", "__running", "__total")
     )

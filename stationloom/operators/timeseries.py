@@ -31,17 +31,32 @@ from stationloom.operators.skew import (
 from stationloom.schema import ELEMENT, OFFSET, SOURCE, TIME, UNIT, VALUE
 
 SERIES_KEYS = (SOURCE, ELEMENT)
-CHUNKS = ("year", "month", "week", "day", "hour")
+CHUNKS = ("year", "month", "day", "hour", "minute", "second")
+AUTO = "auto"
 
 
-def _check_chunk(chunk: str) -> None:
-    if chunk not in CHUNKS:
-        raise ValueError(f"chunk must be one of {CHUNKS}")
+def resolve_chunk(df: DataFrame, keys: Sequence[str], time: str, chunk: str = AUTO,
+                  hot_rows: int | None = HOT_ROWS) -> str:
+    """Calendar unit in which no chunk of a series has over ``hot_rows`` rows.
+
+    ``auto`` starts at months and goes finer while a counting job finds a chunk
+    too large; a named unit is taken as it is.
+    """
+    if chunk != AUTO:
+        if chunk not in CHUNKS:
+            raise ValueError(f"chunk must be '{AUTO}' or one of {CHUNKS}")
+        return chunk
+    for unit in CHUNKS[1:]:
+        cut = df.select(*keys, F.date_trunc(unit, time).alias("__chunk"))
+        if not find_hot_groups(cut, [*keys, "__chunk"], hot_rows):
+            return unit
+    return CHUNKS[-1]
 
 
 def with_position(df: DataFrame, keys: Sequence[str] = SERIES_KEYS,
-                  time: str = TIME, value: str = VALUE, chunk: str = "month",
-                  valid_rows: bool = False) -> DataFrame:
+                  time: str = TIME, value: str = VALUE, chunk: str = AUTO,
+                  valid_rows: bool = False,
+                  hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Add where each row stands in its series.
 
     ``position`` numbers the rows of a series from 0 by time, ``series_rows``
@@ -50,7 +65,7 @@ def with_position(df: DataFrame, keys: Sequence[str] = SERIES_KEYS,
     time in microseconds, value, and with ``valid_rows`` the position (it costs
     sorting the chunks for the summary too, so it is off unless asked for).
     """
-    _check_chunk(chunk)
+    chunk = resolve_chunk(df, keys, time, chunk, hot_rows)
     df = df.withColumn("__chunk", F.date_trunc(chunk, time))
     part = Window.partitionBy(*keys, "__chunk")
     forward = part.orderBy(time)
@@ -151,7 +166,7 @@ def _on_the_line(time: str) -> Column:
 
 def interpolate_time_limited(df: DataFrame, limit: int = 3,
                              keys: Sequence[str] = SERIES_KEYS, time: str = TIME,
-                             value: str = VALUE, chunk: str = "month") -> DataFrame:
+                             value: str = VALUE, chunk: str = AUTO) -> DataFrame:
     """Time-weighted interpolation of the first ``limit`` nulls of each gap.
 
     The rest of a longer gap stays null, leading nulls stay null, trailing
@@ -181,7 +196,7 @@ def _fill_both(time: str, value: str) -> Column:
 
 def interpolate_time(df: DataFrame, keys: Sequence[str] = SERIES_KEYS,
                      time: str = TIME, value: str = VALUE,
-                     chunk: str = "month") -> DataFrame:
+                     chunk: str = AUTO) -> DataFrame:
     """Time-weighted interpolation of every gap; the ends take the nearest value."""
     rows = with_position(df, keys, time, value, chunk)
     return rows.withColumn(value, _fill_both(time, value)).drop(*_ADDED)
@@ -189,7 +204,7 @@ def interpolate_time(df: DataFrame, keys: Sequence[str] = SERIES_KEYS,
 
 def fill_forward_backward(df: DataFrame, keys: Sequence[str] = SERIES_KEYS,
                           time: str = TIME, value: str = VALUE,
-                          chunk: str = "month") -> DataFrame:
+                          chunk: str = AUTO) -> DataFrame:
     """Last valid value carried forward, then the first carried backward."""
     rows = with_position(df, keys, time, value, chunk)
     return rows.withColumn(
@@ -199,7 +214,7 @@ def fill_forward_backward(df: DataFrame, keys: Sequence[str] = SERIES_KEYS,
 
 def seasonal_impute(df: DataFrame, model: str = "additive",
                     keys: Sequence[str] = SERIES_KEYS, time: str = TIME,
-                    value: str = VALUE, chunk: str = "month") -> DataFrame:
+                    value: str = VALUE, chunk: str = AUTO) -> DataFrame:
     """Fill by decomposing, interpolating and recomposing.
 
     The parts of a decomposition add up (``multiplicative``: multiply) to the
@@ -213,7 +228,7 @@ def seasonal_impute(df: DataFrame, model: str = "additive",
 
 def impute(df: DataFrame, limit: int = 3, model: str = "additive",
            keys: Sequence[str] = SERIES_KEYS, time: str = TIME,
-           value: str = VALUE, chunk: str = "month") -> DataFrame:
+           value: str = VALUE, chunk: str = AUTO) -> DataFrame:
     """Short gaps by interpolation, all others by seasonal filling, in one pass.
 
     Limited interpolation puts its values on the same line as the seasonal fill
@@ -257,7 +272,7 @@ def observation_grid(df: DataFrame, hot_rows: int | None = HOT_ROWS) -> DataFram
 
 
 def impute_observations(df: DataFrame, limit: int = 3, model: str = "additive",
-                        keep_observed_offsets: bool = False, chunk: str = "month",
+                        keep_observed_offsets: bool = False, chunk: str = AUTO,
                         hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Complete grid of observations with every gap filled, 3 decimals.
 
@@ -265,6 +280,8 @@ def impute_observations(df: DataFrame, limit: int = 3, model: str = "additive",
     every time of day its station has; ``keep_observed_offsets`` keeps the
     offset text of rows that existed. ``is_imputed`` marks filled values.
     """
+    # A station's observations in a chunk bound the instants of the grid there.
+    chunk = resolve_chunk(df, [SOURCE], TIME, chunk, hot_rows)
     grid = observation_grid(df, hot_rows)
     grid = grid.withColumn("is_imputed", F.col(VALUE).isNull())
     filled = impute(grid, limit, model, (SOURCE, ELEMENT), "instant", VALUE, chunk)

@@ -21,6 +21,10 @@ from stationloom.schema import (
     VALUE,
 )
 
+# Time, offset and element order the rows; the rest lets a range partition end
+# inside an instant that very many stations share.
+_FILE_ORDER = [TIME, OFFSET, ELEMENT, SOURCE, VALUE]
+
 # Observations a single document entry may hold.
 MAX_ENTRY_OBSERVATIONS = 10_000
 
@@ -60,13 +64,13 @@ def write_with_range(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
     ``path`` must differ from where ``df`` comes from.
     """
-    rows = _time_as_text(add_daily_range(df)).orderBy(TIME, OFFSET, ELEMENT)
+    rows = _time_as_text(add_daily_range(df)).orderBy(*_FILE_ORDER)
     rows.write.mode(mode).option("header", True).csv(path)
 
 
 def write_imputed(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Sorted delimited text, fixed column order, three decimals."""
-    rows = _time_as_text(df).orderBy(TIME, OFFSET, ELEMENT)
+    rows = _time_as_text(df).orderBy(*_FILE_ORDER)
     rows.select(
         SOURCE, TIME, OFFSET, ELEMENT,
         F.format_string("%.3f", F.round(F.col(VALUE).cast("double"), 3)).alias(VALUE)

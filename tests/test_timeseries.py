@@ -79,6 +79,15 @@ def test_bad_arguments(spark):
             call()
 
 
+def test_chunks_get_finer_for_dense_series(spark):
+    df = series(spark, GAPS)
+    keys, time = timeseries.SERIES_KEYS, "referenceTime"
+    assert timeseries.resolve_chunk(df, keys, time) == "month"
+    assert timeseries.resolve_chunk(df, keys, time, hot_rows=5) == "day"
+    assert timeseries.resolve_chunk(df, keys, time, "year", hot_rows=1) == "year"
+    assert timeseries.resolve_chunk(df.union(df), keys, time, hot_rows=1) == "second"
+
+
 def test_grid_and_imputation(obs):
     df = obs([
         ("S", "2021-01-01", "PT0H", "a_temperature", "1", "degC"),

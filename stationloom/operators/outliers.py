@@ -12,6 +12,7 @@ from stationloom.operators.quantiles import Quantile, aggregate_groups
 from stationloom.operators.select import (
     ALL_OFFSETS,
     element_values,
+    min_time_offset,
     pick_offset,
     yearly_raw,
 )
@@ -20,6 +21,7 @@ from stationloom.operators.skew import (
     HotGroups,
     attach,
     find_hot_groups,
+    null_safe_equal,
 )
 from stationloom.operators.stats import check_statistic, measure
 from stationloom.schema import ELEMENT, OFFSET, SERIES, SOURCE, TIME, VALUE
@@ -249,8 +251,9 @@ def year_box_summary(df: DataFrame, year: int, element_id: str | None = None,
     Quartiles and extreme count of the year's values, and the means over its
     months of: monthly mean with and without outliers, cleaned monthly median.
     """
+    # Offsets are resolved on the result, which has one row per series.
     raw = yearly_raw(
-        df, element_id, year, source_id, time_offset, hot_rows=hot_rows
+        df, element_id, year, source_id, time_offset or ALL_OFFSETS
     ).select(*SERIES, TIME, VALUE)
     hot = find_hot_groups(raw, SERIES, hot_rows)
     quartiles = _group_quartiles(
@@ -268,10 +271,17 @@ def year_box_summary(df: DataFrame, year: int, element_id: str | None = None,
         extra=[F.first("q1").alias("q1"), F.first("q3").alias("q3"),
                F.count_if("is_extreme").alias("extreme_count")],
     )
-    return by_month.groupBy(*SERIES).agg(
+    boxes = by_month.groupBy(*SERIES).agg(
         F.first("q1").alias("Q1"), F.first("q3").alias("Q3"),
         (F.first("q3") - F.first("q1")).alias("IQR"),
         F.sum("extreme_count").alias("extreme_count"),
         *[F.avg(c).alias(c) for c in (
             "mean_with_outliers", "mean_without_outliers", "median_without_outliers")],
     )
+    if time_offset is not None:
+        return boxes
+    best = min_time_offset(df, element_id, source_id).select(
+        *[F.col(k).alias(f"__best_{k}") for k in SERIES]
+    )
+    same = null_safe_equal(boxes, best, [(k, f"__best_{k}") for k in SERIES])
+    return boxes.join(best, same, "left_semi")

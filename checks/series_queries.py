@@ -8,6 +8,7 @@ from checks.registry import check, half_up, r, with_tables
 from checks.tables import OBSERVATIONS_SQL, observations
 from stationloom.functions import round_n
 from stationloom.operators import decompose, timeseries
+from stationloom.operators.skew import HOT_ROWS, needed_hot_rows
 from stationloom.plans import decomposition
 
 GRID_SQL = """
@@ -45,6 +46,15 @@ def grid(spark, sf):
     return timeseries.observation_grid(observations(spark, sf))
 
 
+def gridded(spark, sf):
+    """The grid and the chunk unit that suits the observations it comes from."""
+    obs = observations(spark, sf)
+    hot_rows = needed_hot_rows(obs, HOT_ROWS)
+    chunk = timeseries.resolve_chunk(
+        obs, ["sourceId"], "referenceTime", hot_rows=hot_rows)
+    return timeseries.observation_grid(obs, hot_rows), {"time": "instant", "chunk": chunk}
+
+
 def shown(df):
     return df.select(
         "sourceId", "elementId", F.col("instant").cast("timestamp_ntz").alias("moment"), "value")
@@ -63,7 +73,8 @@ def _(spark, sf):
     SELECT {_COLUMNS}, {r('''CASE WHEN num IS NOT NULL THEN num
         WHEN x0 IS NOT NULL AND into_gap <= 3 THEN filled END''')} AS value FROM gaps"""))
 def _(spark, sf):
-    return shown(timeseries.interpolate_time_limited(grid(spark, sf), 3, time="instant"))
+    cells, options = gridded(spark, sf)
+    return shown(timeseries.interpolate_time_limited(cells, 3, **options))
 
 
 _FILLED_SQL = with_tables(
@@ -72,18 +83,21 @@ _FILLED_SQL = with_tables(
 
 @check("interpolate_time", _FILLED_SQL)
 def _(spark, sf):
-    return shown(timeseries.interpolate_time(grid(spark, sf), time="instant"))
+    cells, options = gridded(spark, sf)
+    return shown(timeseries.interpolate_time(cells, **options))
 
 
 @check("fill_forward_backward", with_tables(OBSERVATIONS_SQL, GRID_SQL, f"""
     SELECT {_COLUMNS}, {r('COALESCE(y0, y1)')} AS value FROM gaps"""))
 def _(spark, sf):
-    return shown(timeseries.fill_forward_backward(grid(spark, sf), time="instant"))
+    cells, options = gridded(spark, sf)
+    return shown(timeseries.fill_forward_backward(cells, **options))
 
 
 @check("impute", _FILLED_SQL)
 def _(spark, sf):
-    return shown(timeseries.impute(grid(spark, sf), 3, time="instant"))
+    cells, options = gridded(spark, sf)
+    return shown(timeseries.impute(cells, 3, **options))
 
 
 @check("impute_observations", with_tables(OBSERVATIONS_SQL, GRID_SQL, f"""
@@ -167,4 +181,5 @@ def _(spark, sf):
 
 @check("seasonal_impute", _FILLED_SQL)
 def _(spark, sf):
-    return shown(timeseries.seasonal_impute(grid(spark, sf), time="instant"))
+    cells, options = gridded(spark, sf)
+    return shown(timeseries.seasonal_impute(cells, **options))

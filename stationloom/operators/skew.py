@@ -54,7 +54,7 @@ def find_hot_groups(df: DataFrame, keys: Sequence[str],
     A frame of at most ``hot_rows`` rows needs no look at its groups.
     ``hot_rows=None`` skips the jobs where groups are known to be small.
     """
-    if hot_rows is None or df.count() <= hot_rows:
+    if needed_hot_rows(df, hot_rows) is None:
         return HotGroups(keys, None)
     largest = (
         df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
@@ -74,6 +74,16 @@ def find_hot_groups(df: DataFrame, keys: Sequence[str],
     return HotGroups(keys, df.sparkSession.createDataFrame(rows, schema))
 
 
+def needed_hot_rows(df: DataFrame, hot_rows: int | None) -> int | None:
+    """``hot_rows``, or ``None`` when all of ``df`` is no larger.
+
+    One count here spares several later ones on frames derived from ``df``.
+    """
+    if hot_rows is None or df.count() <= hot_rows:
+        return None
+    return hot_rows
+
+
 def null_safe_equal(left: DataFrame, right: DataFrame,
                     pairs: Sequence[tuple[str, str]]) -> Column:
     """AND of ``<=>`` over pairs of column names; stays an equi-join for Spark."""

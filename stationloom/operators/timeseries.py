@@ -26,6 +26,7 @@ from stationloom.operators.skew import (
     HOT_ROWS,
     attach,
     find_hot_groups,
+    needed_hot_rows,
     null_safe_equal,
 )
 from stationloom.schema import ELEMENT, OFFSET, SOURCE, TIME, UNIT, VALUE
@@ -281,6 +282,7 @@ def impute_observations(df: DataFrame, limit: int = 3, model: str = "additive",
     offset text of rows that existed. ``is_imputed`` marks filled values.
     """
     # A station's observations in a chunk bound the instants of the grid there.
+    hot_rows = needed_hot_rows(df, hot_rows)
     chunk = resolve_chunk(df, [SOURCE], TIME, chunk, hot_rows)
     grid = observation_grid(df, hot_rows)
     grid = grid.withColumn("is_imputed", F.col(VALUE).isNull())

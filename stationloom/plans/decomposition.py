@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from stationloom.operators.decompose import seasonal_decompose
-from stationloom.operators.skew import HOT_ROWS
+from stationloom.operators.skew import HOT_ROWS, needed_hot_rows
 from stationloom.operators.timeseries import (
     AUTO,
     interpolate_time,
@@ -23,6 +23,7 @@ def filled_series(df: DataFrame, chunk: str = AUTO,
     Decomposing reads its input several times, and each reading would repeat
     the gridding and filling.
     """
+    hot_rows = needed_hot_rows(df, hot_rows)
     chunk = resolve_chunk(df, [SOURCE], TIME, chunk, hot_rows)
     grid = observation_grid(df, hot_rows).drop("observed_offset")
     return materialise(interpolate_time(grid, time="instant", chunk=chunk))

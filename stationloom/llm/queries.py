@@ -12,6 +12,7 @@ from .lines import drop_repeated_lines
 from .tokens import count_tokens
 from .packing import pack_documents
 from .sql import ORACLES  # noqa: F401
+from .neardup import near_duplicates
 from .substrings import remove_repeated_windows
 
 
@@ -37,9 +38,14 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_substring_dedup": op7_substring_dedup,
     "op3_line_dedup": op3_line_dedup,
     "op4_token_counts": op4_token_counts,
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op8_minhash_near_dedup": op8_minhash_near_dedup,
 }

@@ -13,6 +13,8 @@ from .tokens import count_tokens
 from .packing import pack_documents
 from .sql import ORACLES  # noqa: F401
 from .neardup import near_duplicates
+from .decontaminate import find_test_items
+from .classifier import score_documents
 from .substrings import remove_repeated_windows
 
 
@@ -42,10 +44,20 @@ def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_test_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_substring_dedup": op7_substring_dedup,
     "op3_line_dedup": op3_line_dedup,
     "op4_token_counts": op4_token_counts,
     "op1_best_fit_packing": op1_best_fit_packing,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
+    "op5_benchmark_decontamination": op5_benchmark_decontamination,
+    "op10_quality_classifier": op10_quality_classifier,
 }

@@ -27,7 +27,19 @@ SELECT d.doc_id, coalesce(n_words, 0)::BIGINT AS n_words, coalesce(n_removed, 0)
 FROM d LEFT JOIN k ON d.doc_id = k.doc_id
 """
 
+OP5 = r"""
+WITH t AS (SELECT item_id, regexp_extract_all(lower(text), '[^\x20\x09-\x0D]+') AS ws FROM benchmark WHERE text IS NOT NULL),
+s AS (SELECT DISTINCT item_id, array_to_string(ws[i:i + 4], ' ') AS shingle FROM (SELECT item_id, ws, unnest(range(1, len(ws) - 3)) AS i FROM t)),
+n AS (SELECT item_id, count(*) AS n_shingles FROM s GROUP BY item_id),
+d AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+g AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS shingle FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 3)) AS i FROM d)),
+c AS (SELECT doc_id, item_id, count(*) AS n_common FROM g JOIN s ON g.shingle = s.shingle GROUP BY doc_id, item_id)
+SELECT doc_id, c.item_id, n_shingles, n_common, n_common / n_shingles AS containment
+FROM c JOIN n ON c.item_id = n.item_id WHERE n_common >= 0.8 * n_shingles - 1e-9
+"""
+
 ORACLES: dict[str, str] = {
     "op3_line_dedup": OP3,
+    "op5_benchmark_decontamination": OP5,
     "op7_substring_dedup": OP7,
 }

@@ -14,9 +14,18 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Rows can hold long texts; Python workers take them in small batches.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
 }
 
 
+def apply_settings(spark: SparkSession) -> None:
+    """Set those of :data:`SETTINGS` that a running session lets change."""
+    for key, value in SETTINGS.items():
+        if spark.conf.isModifiable(key):
+            spark.conf.set(key, value)
+
+
 def build_session(app_name: str = "stationloom", master: str | None = None,
                   **extra: str) -> SparkSession:
     """Session with :data:`SETTINGS`; ``extra`` keys use ``__`` for dots."""

@@ -2,15 +2,68 @@
 
 from __future__ import annotations
 
-import os
 import uuid
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stationloom.llm.blocks import checkpoint_folder
+from stationloom.llm.classifier import score_documents
+from stationloom.llm.decontaminate import find_test_items
+from stationloom.llm.lines import drop_repeated_lines
+from stationloom.llm.neardup import near_duplicates
+from stationloom.llm.packing import pack_documents
+from stationloom.session import apply_settings
 
-STAGES = []
-#: The classifier is fitted, so SQL cannot express the pipeline; tests hold it against a brute-force version.
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def _keep(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
+    """Documents whose id is (``left_semi``) or is not (``left_anti``) among the ids."""
+    return docs.join(ids.select(F.col("doc_id").alias("other_id")).distinct(), F.col("doc_id").eqNullSafe(F.col("other_id")), how).select(*COLUMNS)
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier keeps."""
+    apply_settings(spark)
+    scored = score_documents(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return _keep(docs, scored.filter(~F.col("keep")), "left_anti")
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the lines that others hold; the number of characters follows the text."""
+    apply_settings(spark)
+    done = drop_repeated_lines(docs, carry=("lang", "source"))
+    return done.select("doc_id", F.col("kept").alias("text"), "lang", "source", F.length("kept").cast("long").alias("n_chars"))
+
+
+def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the least id of each class."""
+    apply_settings(spark)
+    return _keep(docs, near_duplicates(docs).filter(F.col("doc_id") != F.col("class_id")), "left_anti")
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which no test item was found."""
+    apply_settings(spark)
+    return _keep(docs, find_test_items(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")), "left_anti")
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents and their places in sequences of 1024 tokens."""
+    apply_settings(spark)
+    return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+STAGES = [
+    ("quality_classifier", quality_classifier),
+    ("line_dedup", line_dedup),
+    ("minhash_near_dedup", minhash_near_dedup),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("best_fit_packing", best_fit_packing),
+]
+#: The classifier is fitted, so SQL cannot express the pipeline; tests hold its stages against brute-force versions.
 ORACLE_SQL = None
 
 
@@ -18,11 +71,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; tables between them lie in the shared folder."""
     folder = f"{checkpoint_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for k, (name, stage) in enumerate(STAGES):
-        out = stage(spark, docs, sf_dir)
-        if k == len(STAGES) - 1:
-            return out
-        path = os.path.join(folder, f"{k}-{name}")
-        out.write.parquet(path)
-        docs = spark.read.parquet(path)
-    return docs
+    for k, (name, stage) in enumerate(STAGES[:-1]):
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}-{name}")
+        docs = spark.read.parquet(f"{folder}/{k}-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -15,6 +15,9 @@ from .sql import ORACLES  # noqa: F401
 from .neardup import near_duplicates
 from .decontaminate import find_test_items
 from .classifier import score_documents
+from .chat import expand_conversations, masked_text, read_turns
+from .credentials import count_kind, scan_secrets, write_spans
+from .rules import apply_rules, fit_rules
 from .substrings import remove_repeated_windows
 
 
@@ -52,6 +55,32 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    extra = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("</s>[INST] ok [/INST]").alias("text"))
+    made = expand_conversations(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(extra))
+    last = F.col("example") == F.col("n_examples") - 1
+    own = made.select("conv_id", "example", F.length("formatted").alias("size"), F.when(last, read_turns(F.col("formatted"))).alias("turns"),
+                      masked_text(F.col("formatted"), F.col("loss_start"), F.col("loss_end")).alias("loss"))
+    read = own.groupBy("conv_id").agg(F.sum("size").alias("formatted_chars"), F.first("turns", ignorenulls=True).alias("turns"),
+                                      F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("example", "loss"))), lambda x: x["loss"]), "").alias("loss"))
+    whole = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return read.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(whole, 256).alias("turns_sha256"),
+                       F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"), "formatted_chars")
+
+
+def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_secrets(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", *[count_kind(F.col("base"), k).alias(f"n_{k}") for k in ("assign", "access", "hex")],
+                        F.sha2(write_spans(F.col("base")), 256).alias("base_sha256"), write_spans(F.col("spans")).alias("spans"))
+
+
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return apply_rules(docs, fit_rules(docs, table(spark, sf_dir, "labels")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_substring_dedup": op7_substring_dedup,
     "op3_line_dedup": op3_line_dedup,
@@ -60,4 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op10_quality_classifier": op10_quality_classifier,
+    "op2_chat_formatting": op2_chat_formatting,
+    "op6_secret_scans": op6_secret_scans,
+    "op9_quality_rules": op9_quality_rules,
 }

@@ -19,16 +19,16 @@ from stationloom.session import apply_settings
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
-def _keep(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
-    """Documents whose id is (``left_semi``) or is not (``left_anti``) among the ids."""
-    return docs.join(ids.select(F.col("doc_id").alias("other_id")).distinct(), F.col("doc_id").eqNullSafe(F.col("other_id")), how).select(*COLUMNS)
+def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """Documents whose id is not among those of ``gone``."""
+    return docs.join(gone.select("doc_id").distinct(), "doc_id", "left_anti").select(*COLUMNS)
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier keeps."""
     apply_settings(spark)
-    scored = score_documents(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return _keep(docs, scored.filter(~F.col("keep")), "left_anti")
+    scored = score_documents(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), carry=("text", "lang", "source", "n_chars"))
+    return scored.filter("keep").select(*COLUMNS)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,13 +41,13 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the least id of each class."""
     apply_settings(spark)
-    return _keep(docs, near_duplicates(docs).filter(F.col("doc_id") != F.col("class_id")), "left_anti")
+    return _without(docs, near_duplicates(docs).filter(F.col("doc_id") != F.col("class_id")))
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no test item was found."""
     apply_settings(spark)
-    return _keep(docs, find_test_items(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")), "left_anti")
+    return _without(docs, find_test_items(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

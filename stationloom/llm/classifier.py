@@ -201,14 +201,17 @@ def _annotated(quality: pd.Series, toxic: pd.Series) -> np.ndarray:
     return np.where(known, np.where(bad, BAD, GOOD), NONE).astype(np.int64)
 
 
-def score_documents(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> DataFrame:
+def score_documents(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, carry: tuple[str, ...] = ()) -> DataFrame:
     """``doc_id, score, keep`` of every document; ``score`` is the probability that it is bad, and those below 0.5 are kept.
 
     ``labels`` has ``doc_id, quality`` (0 is bad), ``toxic`` (1 is bad); of several rows of a document the worst counts.
     Training takes ``max_labelled`` labelled rows at most, the first by a hash of the id. Texts that are null or have no
-    words score 1. Without labels the heuristic labellers alone decide. Repeated ids are scored row by row; other
-    columns are not read.
+    words score 1. Without labels the heuristic labellers alone decide. Repeated ids are scored row by row. The columns
+    named in ``carry`` come along; they must not name results. Other columns are not read.
     """
+    clash = {"doc_id", "score", "keep"} & set(carry)
+    if clash:
+        raise ValueError(f"columns {sorted(clash)} are results and cannot be carried")
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     marks = labels.filter(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(
         F.min("quality").cast("int").alias("quality"), F.max("toxic").cast("int").alias("toxic"))
@@ -266,6 +269,11 @@ def score_documents(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_
                     total = bias + np.bincount(doc, weights=weight[feature], minlength=b - a)
                     bad = 1 / (1 + np.exp(-np.clip(total, -30, 30)))
                 bad = np.where(f["n_words"] == 0, 1.0, bad)
-                yield pd.DataFrame({"doc_id": frame["doc_id"].astype("Int64").array[a:b], "score": bad, "keep": bad < 0.5})
-
-    return own.mapInPandas(score, "doc_id long, score double, keep boolean")
+                yield pd.DataFrame({"doc_id": frame["doc_id"].astype("Int64").array[a:b], "score": bad, "keep": bad < 0.5}
+                                   | {n: frame[n].array[a:b] for n in names})
+
+    names = [f"carry_{i}" for i in range(len(carry))]
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *[F.col(f"`{c}`").alias(n) for n, c in zip(names, carry, strict=True)])
+    schema = "doc_id long, score double, keep boolean" + "".join(
+        f", {n} {docs.schema[c].dataType.simpleString()}" for n, c in zip(names, carry, strict=True))
+    return rows.mapInPandas(score, schema).withColumnsRenamed(dict(zip(names, carry, strict=True)))

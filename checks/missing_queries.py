@@ -129,7 +129,7 @@ def _(spark, sf):
     obs = observations(spark, sf)
     imputed = timeseries.impute_observations(obs).select(*OBSERVATION_COLUMNS)
     return missing.missing_before_after(
-        missing.missing_values(obs, *PAIR), missing.missing_values(imputed, *PAIR))
+        missing.missing_counts(obs, *PAIR), missing.missing_counts(imputed, *PAIR))
 
 
 @check("impute_and_compare", _BEFORE_AFTER_SQL)

@@ -8,7 +8,6 @@ from checks.registry import check, half_up, r, with_tables
 from checks.tables import OBSERVATIONS_SQL, observations
 from stationloom.functions import round_n
 from stationloom.operators import decompose, timeseries
-from stationloom.operators.skew import HOT_ROWS, needed_hot_rows
 from stationloom.plans import decomposition
 
 GRID_SQL = """
@@ -47,12 +46,7 @@ def grid(spark, sf):
 
 
 def gridded(spark, sf):
-    """The grid and the chunk unit that suits the observations it comes from."""
-    obs = observations(spark, sf)
-    hot_rows = needed_hot_rows(obs, HOT_ROWS)
-    chunk = timeseries.resolve_chunk(
-        obs, ["sourceId"], "referenceTime", hot_rows=hot_rows)
-    return timeseries.observation_grid(obs, hot_rows), {"time": "instant", "chunk": chunk}
+    return grid(spark, sf), {"time": "instant"}
 
 
 def shown(df):
@@ -97,7 +91,7 @@ def _(spark, sf):
 @check("impute", _FILLED_SQL)
 def _(spark, sf):
     cells, options = gridded(spark, sf)
-    return shown(timeseries.impute(cells, 3, **options))
+    return shown(timeseries.impute(cells, **options))
 
 
 @check("impute_observations", with_tables(OBSERVATIONS_SQL, GRID_SQL, f"""
@@ -113,7 +107,7 @@ def _(spark, sf):
         "moment", F.col("referenceTime").cast("timestamp_ntz")).drop("referenceTime")
 
 
-def decompose_sql(period: int, multiplicative: bool = False) -> str:
+def decompose_sql(period: int, multiplicative: bool = False, then: list[str] | None = None) -> str:
     half = period // 2
     x = "filled + 100" if multiplicative else "filled"
     if period % 2:
@@ -128,7 +122,7 @@ def decompose_sql(period: int, multiplicative: bool = False) -> str:
     resid = "dev / seasonal" if multiplicative else "dev - seasonal"
     return with_tables(OBSERVATIONS_SQL, GRID_SQL, f"""
     avgs AS (
-      SELECT {key}, moment, {x} AS v, rn - 1 AS pos,
+      SELECT {key}, moment, num, {x} AS v, rn - 1 AS pos,
              COUNT(*) OVER (PARTITION BY {key}) AS n,
              ({total}) / {period} AS ma
       FROM gaps WINDOW k AS (PARTITION BY {key} ORDER BY moment))""", f"""
@@ -148,10 +142,10 @@ def decompose_sql(period: int, multiplicative: bool = False) -> str:
     devs AS (SELECT *, pos % {period} AS phase, {dev} AS dev FROM full_trend)""", f"""
     seas AS (
       SELECT {key}, phase, {centre} AS seasonal
-      FROM (SELECT {key}, phase, AVG(dev) AS m FROM devs GROUP BY ALL))""", f"""
+      FROM (SELECT {key}, phase, AVG(dev) AS m FROM devs GROUP BY ALL))""", *then or [f"""
     SELECT {key}, moment, {half_up('tr', 6)} AS trend, {half_up('seasonal', 6)} AS seasonal,
            {half_up(resid, 6)} AS resid
-    FROM devs JOIN seas USING ({key}, phase)""")
+    FROM devs JOIN seas USING ({key}, phase)"""])
 
 
 def parts(df):
@@ -179,7 +173,31 @@ def _(spark, sf):
         shifted, 24, "multiplicative", time="instant"))
 
 
-@check("seasonal_impute", _FILLED_SQL)
+@check("seasonal_recompose", _FILLED_SQL)
 def _(spark, sf):
     cells, options = gridded(spark, sf)
-    return shown(timeseries.seasonal_impute(cells, **options))
+    return shown(decompose.seasonal_impute(cells, "recomposed", **options))
+
+
+@check("seasonal_impute", decompose_sql(365, then=["""
+    rest AS (
+      SELECT sourceId, elementId, moment, num, epoch(moment) AS x, seasonal, num - seasonal AS d
+      FROM devs JOIN seas USING (sourceId, elementId, phase))""", """
+    sides AS (
+      SELECT *, LAST_VALUE(CASE WHEN d IS NOT NULL THEN x END IGNORE NULLS) OVER p AS x0,
+             LAST_VALUE(d IGNORE NULLS) OVER p AS d0,
+             FIRST_VALUE(CASE WHEN d IS NOT NULL THEN x END IGNORE NULLS) OVER f AS x1,
+             FIRST_VALUE(d IGNORE NULLS) OVER f AS d1
+      FROM rest
+      WINDOW p AS (PARTITION BY sourceId, elementId ORDER BY moment
+                   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+             f AS (PARTITION BY sourceId, elementId ORDER BY moment
+                   ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))""", f"""
+    SELECT sourceId, elementId, moment, {half_up('''CASE WHEN num IS NOT NULL THEN num
+        WHEN x1 IS NULL THEN d0 + seasonal WHEN x0 IS NULL THEN d1 + seasonal
+        ELSE d0 + (d1 - d0) * (x - x0) / (x1 - x0) + seasonal END''', 6)} AS value
+    FROM sides"""]))
+def _(spark, sf):
+    cells, options = gridded(spark, sf)
+    filled = decompose.seasonal_impute(cells, **options)
+    return shown(filled.withColumn("value", round_n(F.col("value"), 6)))

@@ -13,7 +13,6 @@ from stationloom.operators.select import (
     instant,
     pick_offset,
 )
-from stationloom.operators.skew import HOT_ROWS
 from stationloom.operators.stats import check_statistic, measure
 from stationloom.schema import SERIES, TIME, VALUE
 
@@ -37,7 +36,7 @@ def _period_label(frequency: str, start: str) -> Column:
 def period_stat(df: DataFrame, statistic: str = "mean", frequency: str = "ME",
                 element_id: str | None = None, source_id: str | None = None,
                 time_offset: str | None = None, start: str | None = None,
-                end: str | None = None, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+                end: str | None = None) -> DataFrame:
     """Mean, median or population std per day, month or year.
 
     ``period`` is the day, the last day of the month, or 31 December. A period
@@ -58,7 +57,7 @@ def period_stat(df: DataFrame, statistic: str = "mean", frequency: str = "ME",
     rows = rows.withColumn("start", F.when(inside, _period_start(frequency)))
     quantiles, measures = measure(statistic, VALUE, "result", sample=False)
     groups = aggregate_groups(
-        rows, [*SERIES, "start"], quantiles, measures, hot_rows=hot_rows
+        rows, [*SERIES, "start"], quantiles, measures
     )
     return pick_offset(groups, time_offset).where(F.col("start").isNotNull()).select(
         *SERIES, _period_label(frequency, "start").alias("period"),
@@ -69,15 +68,14 @@ def period_stat(df: DataFrame, statistic: str = "mean", frequency: str = "ME",
 def percent_change(df: DataFrame, statistic: str = "mean", frequency: str = "ME",
                    element_id: str | None = None, source_id: str | None = None,
                    time_offset: str | None = None, start: str | None = None,
-                   end: str | None = None, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+                   end: str | None = None) -> DataFrame:
     """Change in percent from the previous period that has a value.
 
     The first period is dropped. A zero base gives plus or minus infinity, and
     zero to zero is dropped.
     """
     periods = period_stat(
-        df, statistic, frequency, element_id, source_id, time_offset, start, end,
-        hot_rows,
+        df, statistic, frequency, element_id, source_id, time_offset, start, end
     ).where(F.col(VALUE).isNotNull())
     # One row per period: bounded by the calendar.
     base = F.lag(VALUE).over(Window.partitionBy(*SERIES).orderBy("period"))

@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from stationloom.operators.skew import HOT_ROWS, attach, find_hot_groups
-from stationloom.operators.timeseries import AUTO, SERIES_KEYS, with_position
+from stationloom.operators.attach import attach
+from stationloom.operators.timeseries import SERIES_KEYS, interpolate_time, with_position
+from stationloom.plans.materialise import materialise
 from stationloom.schema import TIME, VALUE
 
 # Rows per piece of a series in the moving-average window.
@@ -18,9 +19,8 @@ BLOCK_ROWS = 100_000
 
 def seasonal_decompose(df: DataFrame, period: int = 365, model: str = "additive",
                        keys: Sequence[str] = SERIES_KEYS, time: str = TIME,
-                       value: str = VALUE, chunk: str = AUTO,
-                       strict: bool = False, block_rows: int = BLOCK_ROWS,
-                       hot_rows: int | None = HOT_ROWS) -> DataFrame:
+                       value: str = VALUE,
+                       strict: bool = False, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Add ``trend``, ``seasonal`` and ``resid``.
 
     The trend is a centred moving average over ``period`` rows (end points of an
@@ -28,7 +28,8 @@ def seasonal_decompose(df: DataFrame, period: int = 365, model: str = "additive"
     fitted to the ``period`` trend points next to that end. Seasonal figures are
     mean deviations per position in the period, centred on 0 (multiplicative:
     on 1). Series shorter than two periods get nulls; with ``strict`` they
-    raise. Values must not be null: interpolate first.
+    raise. A null value fails the query: interpolate first. So does a value of 0
+    or less in the multiplicative model.
     """
     if model not in ("additive", "multiplicative"):
         raise ValueError("model must be 'additive' or 'multiplicative'")
@@ -37,19 +38,21 @@ def seasonal_decompose(df: DataFrame, period: int = 365, model: str = "additive"
     keys = list(keys)
     additive = model == "additive"
     rows = with_position(
-        df, keys, time, value, chunk, hot_rows=hot_rows
+        df.withColumn(value, _usable(value, additive)), keys, time, value
     ).drop("before", "after")
     if strict:
         short = rows.where(F.col("series_rows") < 2 * period)
         if not short.isEmpty():
             raise ValueError(f"a series has fewer than {2 * period} rows")
-    hot = find_hot_groups(df, keys, hot_rows)
-    rows = _moving_average(rows, keys, period, value, block_rows).withColumn(
-        "__phase", F.col("position") % period
+    # Seasonal figures and the join onto them both read the windowed rows.
+    rows = materialise(
+        _moving_average(rows, keys, period, value, block_rows).withColumn(
+            "__phase", F.col("position") % period
+        )
     )
     figures = _phase_figures(rows, keys, period, value, additive)
     columns = ["seasonal", *_LINES]
-    rows = attach(rows, figures, [*keys, "__phase"], columns, hot)
+    rows = attach(rows, figures, [*keys, "__phase"], columns)
     rows = rows.withColumn("trend", _trend(period))
     x, trend, seasonal = F.col(value), F.col("trend"), F.col("seasonal")
     resid = (
@@ -64,6 +67,17 @@ def seasonal_decompose(df: DataFrame, period: int = 365, model: str = "additive"
 _LINES = ["__front_slope", "__front_level", "__back_slope", "__back_level"]
 
 
+def _usable(value: str, additive: bool) -> Column:
+    x = F.col(value).cast("double")
+    checked = F.when(
+        x.isNull(), F.raise_error(F.lit("null value in a series to decompose")).cast("double"))
+    if not additive:
+        checked = checked.when(
+            x <= 0, F.raise_error(F.lit("value of 0 or less in a multiplicative model"))
+            .cast("double"))
+    return checked.otherwise(x)
+
+
 def _nonzero(c: Column) -> Column:
     return F.nullif(c, F.lit(0.0))
 
@@ -176,3 +190,31 @@ def _moving_average(rows: DataFrame, keys: list[str], period: int, value: str,
         .withColumn("__average", F.when(fits, F.col("__total") / period))
         .drop("__block", "__own", "__running", "__total")
     )
+
+
+def seasonal_impute(df: DataFrame, method: str = "deseasonalised", period: int = 365,
+                    keys: Sequence[str] = SERIES_KEYS, time: str = TIME,
+                    value: str = VALUE) -> DataFrame:
+    """Fill nulls from the season; observed values stay.
+
+    ``deseasonalised`` takes the seasonal figure of each row off the series, interpolates
+    what is left over time, and puts the figure back, so long gaps follow the season. The
+    figures come from decomposing the interpolated series; series shorter than two
+    periods have none and are interpolated. ``recomposed`` adds up the decomposition of
+    the interpolated series again, which is :func:`interpolate_time`.
+    """
+    if method == "recomposed":
+        return interpolate_time(df, keys, time, value)
+    if method != "deseasonalised":
+        raise ValueError("method must be 'deseasonalised' or 'recomposed'")
+    whole = interpolate_time(
+        df.withColumn("__observed", F.col(value)), keys, time, value
+    ).where(F.col(value).isNotNull())
+    parts = seasonal_decompose(whole, period, "additive", keys, time, value)
+    season = F.coalesce("seasonal", F.lit(0.0))
+    rest = parts.withColumns({"__season": season, value: F.col("__observed") - season})
+    filled = interpolate_time(
+        rest.drop("trend", "seasonal", "resid"), keys, time, value)
+    return filled.withColumn(
+        value, F.coalesce(F.col("__observed"), F.col(value) + F.col("__season"))
+    ).select(*df.columns)

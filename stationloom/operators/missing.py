@@ -14,17 +14,16 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from stationloom.functions import date_part_text, null_tokens_to_null
-from stationloom.operators.correlation import pearson
-from stationloom.operators.reshape import pivot_unique, vocabulary
-from stationloom.operators.skew import null_safe_equal
+from stationloom.operators.reshape import pivot_unique
+from stationloom.operators.attach import null_safe_equal
 from stationloom.schema import ELEMENT, OFFSET, SOURCE, TIME, VALUE
 
 CELL = ["date", OFFSET, ELEMENT]
 LEFT, RIGHT = "left_value", "right_value"
 
 
-def _cells(df: DataFrame, source_id: str) -> DataFrame:
-    """``date, timeOffset, elementId, value`` of one station, null tokens removed."""
+def _cells(df: DataFrame, source_id: str | None, *extra: Column) -> DataFrame:
+    """``date, timeOffset, elementId, value`` of one station or of all, null tokens removed."""
     if isinstance(df.schema[TIME].dataType, T.StringType):
         date = date_part_text(F.col(TIME))
     else:
@@ -32,9 +31,8 @@ def _cells(df: DataFrame, source_id: str) -> DataFrame:
     value = F.col(VALUE)
     if isinstance(df.schema[VALUE].dataType, T.StringType):
         value = null_tokens_to_null(value)
-    return df.where(F.col(SOURCE) == source_id).select(
-        date.alias("date"), OFFSET, ELEMENT, value.alias(VALUE)
-    )
+    rows = df if source_id is None else df.where(F.col(SOURCE) == source_id)
+    return rows.select(date.alias("date"), OFFSET, ELEMENT, value.alias(VALUE), *extra)
 
 
 def compare_stations(df: DataFrame, left: str, right: str) -> DataFrame:
@@ -102,9 +100,11 @@ def missing_counts(df: DataFrame, left: str, right: str, left_city: str,
     Same figures as :func:`missing_summary` over :func:`missing_values`, from
     one aggregate per cell and no join.
     """
-    cells = _cells(df, left).withColumn("is_left", F.lit(True)).unionByName(
-        _cells(df, right).withColumn("is_left", F.lit(False))
-    )
+    # One pass over the rows; a station compared with itself stands on both sides.
+    sides = F.array_compact(F.array(
+        F.when(F.col(SOURCE) == left, F.lit(True)), F.when(F.col(SOURCE) == right, F.lit(False))))
+    cells = _cells(df.where(F.col(SOURCE).isin(left, right)), None,
+                   F.explode(sides).alias("is_left"))
     is_left, empty = F.col("is_left"), F.col(VALUE).isNull()
     counts = cells.groupBy(*CELL).agg(
         F.count_if(is_left).alias("l"),
@@ -176,9 +176,15 @@ def missing_counts_filtered(missing: DataFrame, left_city: str, right_city: str,
 
 
 def missing_before_after(before: DataFrame, after: DataFrame) -> DataFrame:
-    """Missing rows per city in two missing tables, absent counted as 0."""
-    both = before.select("city", F.lit(1).alias("b"), F.lit(0).alias("a")).unionByName(
-        after.select("city", F.lit(0).alias("b"), F.lit(1).alias("a"))
+    """Missing rows per city in two missing tables, absent counted as 0.
+
+    A table of counts, as :func:`missing_counts` makes it, does as well.
+    """
+    def rows(table: DataFrame) -> Column:
+        return F.col("num_missing") if "num_missing" in table.columns else F.lit(1)
+
+    both = before.select("city", rows(before).alias("b"), F.lit(0).alias("a")).unionByName(
+        after.select("city", F.lit(0).alias("b"), rows(after).alias("a"))
     )
     return both.groupBy("city").agg(
         F.sum("b").alias("before"), F.sum("a").alias("after")
@@ -186,34 +192,30 @@ def missing_before_after(before: DataFrame, after: DataFrame) -> DataFrame:
 
 
 def missing_indicator_wide(missing: DataFrame, city: str, left_city: str,
-                           right_city: str,
-                           elements: Sequence[str] | None = None) -> DataFrame:
+                           right_city: str, elements: Sequence[str]) -> DataFrame:
     """Date and offset x element: 1.0 where the city lacks the value, else null.
 
     An element the city never lacks is a column of 0.
     """
-    if elements is None:
-        elements = vocabulary(missing, ELEMENT)
     rows = missing_rows_classified(missing, left_city, right_city).where(
         F.col("missing") == city
     )
-    seen = vocabulary(rows, ELEMENT)
-    cells = rows.groupBy("date", OFFSET).pivot(ELEMENT, seen).agg(F.first(F.lit(1.0)))
-    return cells.select(
-        "date", OFFSET,
-        *[F.col(f"`{e}`") if e in seen else F.lit(0.0).alias(e) for e in elements],
-    )
+    lacks = {e: F.max(F.when(F.col(ELEMENT) == e, F.lit(1.0))) for e in elements}
+    cells = rows.groupBy("date", OFFSET).agg(*[c.alias(e) for e, c in lacks.items()])
+    # One row: whether the city ever lacks each element.
+    ever = rows.agg(F.array(*[c.isNotNull() for c in lacks.values()])).scalar()
+    return cells.select("date", OFFSET, *[
+        F.when(ever[i], F.col(f"`{e}`")).otherwise(F.lit(0.0)).alias(e)
+        for i, e in enumerate(elements)
+    ])
 
 
-def values_by_offset(missing: DataFrame, value: str,
-                     offsets: Sequence[str] | None = None,
+def values_by_offset(missing: DataFrame, value: str, offsets: Sequence[str],
                      order: Sequence[str] | None = None) -> DataFrame:
     """Date x offset with one station's value; a repeated cell is an error.
 
     ``order`` keeps and orders some of the offset columns.
     """
-    if offsets is None:
-        offsets = vocabulary(missing, OFFSET)
     wide = pivot_unique(missing, ["date"], OFFSET, value, offsets)
     if order:
         wide = wide.select("date", *[o for o in order if o in offsets])
@@ -221,10 +223,8 @@ def values_by_offset(missing: DataFrame, value: str,
 
 
 def values_by_element(missing: DataFrame, value: str,
-                      elements: Sequence[str] | None = None) -> DataFrame:
+                      elements: Sequence[str]) -> DataFrame:
     """Date and offset x element with one station's value, sorted."""
-    if elements is None:
-        elements = vocabulary(missing, ELEMENT)
     return pivot_unique(missing, ["date", OFFSET], ELEMENT, value, elements).orderBy(
         "date", OFFSET
     )
@@ -244,7 +244,7 @@ def missing_runs(missing: DataFrame, value: str, cells: str = "pivot",
 
     ``cells='pivot'`` also takes a cell that the table does not hold at all as
     missing, for every date and offset it does hold. ``cells='recorded'`` takes
-    only rows it holds.
+    only rows it holds. Repeated cells are missing if all their values are.
     """
     if cells not in ("pivot", "recorded"):
         raise ValueError("cells must be 'pivot' or 'recorded'")
@@ -252,7 +252,7 @@ def missing_runs(missing: DataFrame, value: str, cells: str = "pivot",
         dates = missing.where(F.col(value).isNull()).select(ELEMENT, "date")
     else:
         if elements is None:
-            elements = vocabulary(missing, ELEMENT)
+            raise ValueError("cells='pivot' needs the names of the elements")
         # Elements valued in a cell form a set no larger than the vocabulary.
         valued = F.collect_set(F.when(F.col(value).isNotNull(), F.col(ELEMENT)))
         dates = missing.groupBy("date", OFFSET).agg(
@@ -281,16 +281,31 @@ def nullity_correlation(wide: DataFrame, elements: Sequence[str]) -> DataFrame:
 
     Columns that are always or never null are left out.
     """
-    # One pass with a fixed number of aggregates; no pairs of rows are built.
-    gone = {e: F.col(f"`{e}`").isNull().cast("double") for e in elements}
-    pairs = [(a, b) for i, a in enumerate(elements) for b in elements[i + 1:]]
-    result = wide.agg(*[
-        F.struct(
-            F.lit(a).alias("left_element"), F.lit(b).alias("right_element"),
-            pearson(gone[a], gone[b]).alias("correlation"),
-        ).alias(f"p{i}")
-        for i, (a, b) in enumerate(pairs)
-    ])
-    return result.select(
-        F.inline(F.array(*[F.col(f"p{i}") for i in range(len(pairs))]))
-    ).where(F.col("correlation").isNotNull())
+    if len(elements) < 2:
+        return wide.sparkSession.createDataFrame(
+            [], "left_element string, right_element string, correlation double")
+    # Cells with the same set of absent elements are counted first; pairs are then made
+    # inside each set, so nothing in the plan grows with the square of the elements.
+    gone = F.array_compact(F.array(*[
+        F.when(F.col(f"`{e}`").isNull(), F.lit(i)) for i, e in enumerate(elements)
+    ]))
+    sets = wide.groupBy(gone.alias("gone")).agg(F.count(F.lit(1)).alias("n"))
+    total = sets.agg(F.sum("n")).scalar()
+    single = sets.select(F.explode("gone").alias("i"), "n").groupBy("i").agg(
+        F.sum("n").alias("lost"))
+    both = sets.select("gone", "n", F.explode("gone").alias("i")).select(
+        "i", F.explode(F.filter("gone", lambda j: j > F.col("i"))).alias("j"), "n"
+    ).groupBy("i", "j").agg(F.sum("n").alias("together"))
+    names = F.array(*[F.lit(e) for e in elements])
+    numbers = F.sequence(F.lit(0), F.lit(len(elements) - 1))
+    left = single.select(F.col("i"), F.col("lost").alias("lost_i"))
+    right = single.select(F.col("i").alias("j"), F.col("lost").alias("lost_j"))
+    pairs = left.withColumn("j", F.explode(F.filter(numbers, lambda j: j > F.col("i"))))
+    joined = pairs.join(right, "j").join(both, ["i", "j"], "left")
+    n, a, b = total.cast("double"), F.col("lost_i"), F.col("lost_j")
+    shared = F.coalesce("together", F.lit(0)) * n - a * b
+    spread = F.sqrt(a * (n - a) * b * (n - b))
+    return joined.where((a < n) & (b < n)).select(
+        names[F.col("i")].alias("left_element"), names[F.col("j")].alias("right_element"),
+        (shared / spread).alias("correlation"),
+    )

@@ -16,13 +16,7 @@ from stationloom.operators.select import (
     pick_offset,
     yearly_raw,
 )
-from stationloom.operators.skew import (
-    HOT_ROWS,
-    HotGroups,
-    attach,
-    find_hot_groups,
-    null_safe_equal,
-)
+from stationloom.operators.attach import attach, null_safe_equal
 from stationloom.operators.stats import check_statistic, measure
 from stationloom.schema import ELEMENT, OFFSET, SERIES, SOURCE, TIME, VALUE
 
@@ -48,11 +42,10 @@ def resolve_whisker(whisker: float | None = None, *, extreme: bool = False,
     return float(chosen)
 
 
-def iqr_summary(df: DataFrame, keys: Sequence[str] = (), value: str = VALUE,
-                hot_rows: int | None = HOT_ROWS) -> DataFrame:
+def iqr_summary(df: DataFrame, keys: Sequence[str] = (), value: str = VALUE) -> DataFrame:
     """Quartiles, IQR, inner (1.5) and outer (3.0) fences per ``keys``."""
     rows = df.select(*keys, number_column(df, value).alias("__v"))
-    q = _group_quartiles(rows, keys, hot_rows)
+    q = _group_quartiles(rows, keys)
     q1, q3 = F.col("q1"), F.col("q3")
     iqr = q3 - q1
     return q.select(
@@ -64,22 +57,20 @@ def iqr_summary(df: DataFrame, keys: Sequence[str] = (), value: str = VALUE,
     )
 
 
-def _group_quartiles(rows: DataFrame, keys: Sequence[str], hot_rows: int | None,
-                     hot: HotGroups | None = None) -> DataFrame:
+def _group_quartiles(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     if keys:
-        return aggregate_groups(rows, keys, _QUARTILES, hot_rows=hot_rows, hot=hot)
+        return aggregate_groups(rows, keys, _QUARTILES)
     one = aggregate_groups(
-        rows.withColumn("__all", F.lit(1)), ["__all"], _QUARTILES, hot_rows=hot_rows
+        rows.withColumn("__all", F.lit(1)), ["__all"], _QUARTILES
     )
     return one.drop("__all")
 
 
-def fences(df: DataFrame, keys: Sequence[str], whisker: float, value: str = VALUE,
-           hot_rows: int | None = HOT_ROWS, hot: HotGroups | None = None) -> DataFrame:
+def fences(df: DataFrame, keys: Sequence[str], whisker: float, value: str = VALUE) -> DataFrame:
     """``lower_fence`` and ``upper_fence`` per ``keys``."""
     rows = df.select(*keys, number_column(df, value).alias("__v"))
     q1, q3 = F.col("q1"), F.col("q3")
-    return _group_quartiles(rows, keys, hot_rows, hot).select(
+    return _group_quartiles(rows, keys).select(
         *keys,
         (q1 - whisker * (q3 - q1)).alias("lower_fence"),
         (q3 + whisker * (q3 - q1)).alias("upper_fence"),
@@ -89,18 +80,16 @@ def fences(df: DataFrame, keys: Sequence[str], whisker: float, value: str = VALU
 def flag_outliers(df: DataFrame, keys: Sequence[str] = SERIES, *,
                   whisker: float | None = None, extreme: bool = False,
                   instance: float | None = None, value: str = VALUE,
-                  flag: str = "is_outlier", time_offset: str | None = ALL_OFFSETS,
-                  hot_rows: int | None = HOT_ROWS) -> DataFrame:
+                  flag: str = "is_outlier", time_offset: str | None = ALL_OFFSETS) -> DataFrame:
     """Add a boolean: strictly outside the fences of its group; null is false.
 
     ``time_offset`` works as in :mod:`stationloom.operators.stats` and needs the
     series columns among ``keys``.
     """
     w = resolve_whisker(whisker, extreme=extreme, instance=instance)
-    hot = find_hot_groups(df, keys, hot_rows)
-    limits = pick_offset(fences(df, keys, w, value, hot_rows, hot), time_offset)
+    limits = pick_offset(fences(df, keys, w, value), time_offset)
     joined = attach(
-        df, limits, list(keys), ["lower_fence", "upper_fence"], hot,
+        df, limits, list(keys), ["lower_fence", "upper_fence"],
         how="left" if time_offset == ALL_OFFSETS else "inner",
     )
     v = number_column(df, value)
@@ -129,15 +118,14 @@ def null_outliers(df: DataFrame, keys: Sequence[str] = SERIES, *,
     ).drop("__out")
 
 
-def _flag_by_month(df: DataFrame, element_id, source_id, time_offset, whisker,
-                   hot_rows, carried: Sequence[str] = ()) -> DataFrame:
+def _flag_by_month(df: DataFrame, element_id, source_id, time_offset, whisker, carried: Sequence[str] = ()) -> DataFrame:
     # A row without a time belongs to no month but its offset still counts.
     rows = element_values(df, element_id, source_id, time_offset, carried).withColumn(
         "month_start", F.trunc(TIME, "MM")
     )
     return flag_outliers(
         rows, [*SERIES, "month_start"], instance=whisker, extreme=True,
-        time_offset=time_offset, hot_rows=hot_rows,
+        time_offset=time_offset
     ).where(F.col("month_start").isNotNull())
 
 
@@ -145,14 +133,13 @@ def outliers_per_month(df: DataFrame, element_id: str | None = None,
                        source_id: str | None = None,
                        time_offset: str | None = None,
                        include_empty_months: bool = False,
-                       whisker: float | None = None,
-                       hot_rows: int | None = HOT_ROWS) -> DataFrame:
+                       whisker: float | None = None) -> DataFrame:
     """Outliers of each month, judged within the month.
 
     ``total_count`` counts all rows of the month, null values included.
     Months without outliers appear only with ``include_empty_months``.
     """
-    flagged = _flag_by_month(df, element_id, source_id, time_offset, whisker, hot_rows)
+    flagged = _flag_by_month(df, element_id, source_id, time_offset, whisker)
     counted = flagged.groupBy(*SERIES, "month_start").agg(
         F.count_if("is_outlier").alias("outliers_removed"),
         F.count(F.lit(1)).alias("total_count"),
@@ -171,8 +158,7 @@ def stats_with_without_outliers(df: DataFrame, statistic: str,
                                 element_id: str | None = None,
                                 source_id: str | None = None,
                                 time_offset: str | None = None,
-                                whisker: float | None = None,
-                                hot_rows: int | None = HOT_ROWS) -> DataFrame:
+                                whisker: float | None = None) -> DataFrame:
     """One statistic of each month over all and over cleaned values.
 
     Standard deviations are population ones, results have 3 decimals, months
@@ -180,15 +166,15 @@ def stats_with_without_outliers(df: DataFrame, statistic: str,
     """
     check_statistic(statistic)
     return _with_without(
-        df, [statistic], element_id, source_id, time_offset, whisker, hot_rows
+        df, [statistic], element_id, source_id, time_offset, whisker
     )
 
 
 def _with_without(df: DataFrame, statistics: Sequence[str], element_id, source_id,
-                  time_offset, whisker, hot_rows, carried: Sequence[str] = (),
+                  time_offset, whisker, carried: Sequence[str] = (),
                   extra: Sequence[Column] = ()) -> DataFrame:
     flagged = _flag_by_month(
-        df, element_id, source_id, time_offset, whisker, hot_rows, carried
+        df, element_id, source_id, time_offset, whisker, carried
     ).withColumn("clean", F.when(~F.col("is_outlier"), F.col(VALUE)))
     quantiles, measures, names = [], [], []
     for statistic in statistics:
@@ -200,8 +186,7 @@ def _with_without(df: DataFrame, statistics: Sequence[str], element_id, source_i
     groups = aggregate_groups(
         flagged, [*SERIES, "month_start"], quantiles,
         [*measures, F.count_if("is_outlier").alias("outliers_removed"),
-         F.count(VALUE).alias("n"), *extra],
-        hot_rows=hot_rows,
+         F.count(VALUE).alias("n"), *extra]
     )
     return groups.where(F.col("n") > 0).select(
         SOURCE, ELEMENT, OFFSET,
@@ -235,17 +220,15 @@ def outliers_per_year(per_month: DataFrame) -> DataFrame:
     ).agg(F.sum("outliers_removed").alias("outliers_removed"))
 
 
-def series_outlier_count(df: DataFrame, element_id: str, time_offset: str,
-                         hot_rows: int | None = HOT_ROWS) -> DataFrame:
+def series_outlier_count(df: DataFrame, element_id: str, time_offset: str) -> DataFrame:
     """Outliers of each station over its whole series, whisker 1.5."""
     rows = element_values(df, element_id, None, time_offset)
-    return count_outliers(rows, SERIES, hot_rows=hot_rows)
+    return count_outliers(rows, SERIES)
 
 
 def year_box_summary(df: DataFrame, year: int, element_id: str | None = None,
                      source_id: str | None = None,
-                     time_offset: str | None = None,
-                     hot_rows: int | None = HOT_ROWS) -> DataFrame:
+                     time_offset: str | None = None) -> DataFrame:
     """Box-plot figures of one year per series.
 
     Quartiles and extreme count of the year's values, and the means over its
@@ -255,18 +238,17 @@ def year_box_summary(df: DataFrame, year: int, element_id: str | None = None,
     raw = yearly_raw(
         df, element_id, year, source_id, time_offset or ALL_OFFSETS
     ).select(*SERIES, TIME, VALUE)
-    hot = find_hot_groups(raw, SERIES, hot_rows)
     quartiles = _group_quartiles(
-        raw.withColumn("__v", F.col(VALUE)), SERIES, hot_rows, hot
+        raw.withColumn("__v", F.col(VALUE)), SERIES
     )
     q1, q3 = F.col("q1"), F.col("q3")
     reach = OUTER_WHISKER * (q3 - q1)
-    rows = attach(raw, quartiles, SERIES, ["q1", "q3"], hot)
+    rows = attach(raw, quartiles, SERIES, ["q1", "q3"])
     rows = rows.withColumn(
         "is_extreme", (F.col(VALUE) < q1 - reach) | (F.col(VALUE) > q3 + reach)
     )
     by_month = _with_without(
-        rows, ["mean", "median"], None, None, ALL_OFFSETS, None, hot_rows,
+        rows, ["mean", "median"], None, None, ALL_OFFSETS, None,
         carried=["q1", "q3", "is_extreme"],
         extra=[F.first("q1").alias("q1"), F.first("q3").alias("q3"),
                F.count_if("is_extreme").alias("extreme_count")],

@@ -21,7 +21,7 @@ from stationloom.operators.select import (
     filter_series,
     keep_min_offset,
 )
-from stationloom.operators.skew import HOT_ROWS, HotGroups, attach, find_hot_groups
+from stationloom.operators.attach import attach
 from stationloom.schema import (
     ELEMENT,
     MAX_TEMPERATURE,
@@ -35,22 +35,20 @@ from stationloom.schema import (
 FEATURES = {MAX_TEMPERATURE: "TMAX", MIN_TEMPERATURE: "TMIN"}
 
 
-def _valid_feature_rows(df: DataFrame, elements: list[str], source_id: str | None,
-                        hot_rows: int | None) -> DataFrame:
+def _valid_feature_rows(df: DataFrame, elements: list[str], source_id: str | None) -> DataFrame:
     """Numeric rows of some elements, each at its smallest offset holding a number."""
     chosen = filter_elements(filter_series(df, source_id=source_id), elements)
-    return keep_min_offset(drop_invalid_values(chosen), hot_rows)
+    return keep_min_offset(drop_invalid_values(chosen))
 
 
-def weather_features(df: DataFrame, source_id: str | None = None,
-                     hot_rows: int | None = HOT_ROWS) -> DataFrame:
+def weather_features(df: DataFrame, source_id: str | None = None) -> DataFrame:
     """Station x instant with ``TMAX, TMIN, RAIN``; all three must be present.
 
     One aggregate instead of two joins; a station with two values for one
     element and instant is an error.
     """
     names = {**FEATURES, PRECIPITATION: "RAIN"}
-    rows = _valid_feature_rows(df, list(names), source_id, hot_rows)
+    rows = _valid_feature_rows(df, list(names), source_id)
     cells = {n: F.when(F.col(ELEMENT) == e, F.col(VALUE)) for e, n in names.items()}
     repeated = F.greatest(*[F.count(c) for c in cells.values()]) > 1
     return rows.groupBy(SOURCE, TIME).agg(
@@ -59,11 +57,10 @@ def weather_features(df: DataFrame, source_id: str | None = None,
     ).dropna(subset=list(names.values()))
 
 
-def precipitation_features(df: DataFrame, source_id: str | None = None,
-                           hot_rows: int | None = HOT_ROWS) -> DataFrame:
+def precipitation_features(df: DataFrame, source_id: str | None = None) -> DataFrame:
     """Station x date with mean ``TMAX, TMIN, PRCP``; all three must be present."""
     names = {**FEATURES, PRECIPITATION: "PRCP"}
-    rows = _valid_feature_rows(df, list(names), source_id, hot_rows)
+    rows = _valid_feature_rows(df, list(names), source_id)
     return feature_pivot(rows, names)
 
 
@@ -86,9 +83,7 @@ def split_key(time: str = TIME) -> Column:
     return F.concat_ws("|", F.col(SOURCE), F.date_format(time, "yyyy-MM-dd"))
 
 
-def standard_scale(df: DataFrame, columns: tuple[str, ...] = ("TMAX", "TMIN"),
-                   hot_rows: int | None = HOT_ROWS,
-                   hot: HotGroups | None = None) -> DataFrame:
+def standard_scale(df: DataFrame, columns: tuple[str, ...] = ("TMAX", "TMIN")) -> DataFrame:
     """Add ``<column>_z`` from each station's training mean and population std.
 
     A constant column is centred only.
@@ -99,9 +94,7 @@ def standard_scale(df: DataFrame, columns: tuple[str, ...] = ("TMAX", "TMIN"),
         *[F.stddev_pop(v).alias(f"{c}_std") for c, v in train.items()],
     )
     added = [f"{c}_{part}" for c in columns for part in ("mean", "std")]
-    if hot is None:
-        hot = find_hot_groups(df, [SOURCE], hot_rows)
-    joined = attach(df, scale, [SOURCE], added, hot)
+    joined = attach(df, scale, [SOURCE], added)
     spread = {c: F.when(F.col(f"{c}_std") == 0, 1.0).otherwise(F.col(f"{c}_std"))
               for c in columns}
     return joined.withColumns({
@@ -163,14 +156,10 @@ def fit_rain_gaussian_nb(scaled: DataFrame,
 
 
 def predict_rain_gaussian_nb(model: DataFrame, scaled: DataFrame,
-                             columns: tuple[str, ...] = ("TMAX_z", "TMIN_z"),
-                             hot_rows: int | None = HOT_ROWS,
-                             hot: HotGroups | None = None) -> DataFrame:
+                             columns: tuple[str, ...] = ("TMAX_z", "TMIN_z")) -> DataFrame:
     """Add the 0/1 ``prediction`` of :func:`fit_rain_gaussian_nb`."""
     parts = [c for c in model.columns if c not in (SOURCE, "n")]
-    if hot is None:
-        hot = find_hot_groups(scaled, [SOURCE], hot_rows)
-    joined = attach(scaled, model, [SOURCE], parts, hot)
+    joined = attach(scaled, model, [SOURCE], parts)
 
     def log_likelihood(k: int) -> Column:
         total = F.ln(f"prior_{k}")
@@ -212,17 +201,13 @@ def fit_precipitation_linear(split: DataFrame, target: str = "PRCP") -> DataFram
     ).select(SOURCE, "n", "coef_tmax", "coef_tmin", "intercept")
 
 
-def predict_precipitation(model: DataFrame, rows: DataFrame,
-                          hot_rows: int | None = HOT_ROWS,
-                          hot: HotGroups | None = None) -> DataFrame:
+def predict_precipitation(model: DataFrame, rows: DataFrame) -> DataFrame:
     """Add ``predicted`` millimetres and ``will_rain`` to rows with TMAX, TMIN.
 
     Rows carry the station whose model scores them.
     """
     parts = ["coef_tmax", "coef_tmin", "intercept"]
-    if hot is None:
-        hot = find_hot_groups(rows, [SOURCE], hot_rows)
-    joined = attach(rows, model, [SOURCE], parts, hot)
+    joined = attach(rows, model, [SOURCE], parts)
     return joined.withColumn(
         "predicted",
         F.col("intercept") + F.col("coef_tmax") * F.col("TMAX")

@@ -1,13 +1,12 @@
-"""Exact quantiles and other aggregates per group, with bounded group state.
-
-``percentile`` keeps one entry per distinct value of a group. That is fine for
-ordinary groups and too much for a group with a large share of all rows. For
-hot groups a first pass over just their rows gets a sketch, which brackets
-every wanted quantile between two values. Clamping a value into its bracket
-keeps the order of all values and leaves those inside unchanged, so
-``percentile`` over clamped values is the exact answer while its state shrinks
-to the values inside the brackets. A check fails the query should a bracket
-ever miss its rank.
+"""Exact quantiles and other aggregates per group, with small group state.
+
+``percentile`` keeps one entry per distinct value of a group, too much for a group with
+a large share of all rows. So a first pass makes a sketch of each group, which brackets
+every wanted quantile between two values. Clamping a value into its bracket keeps the
+order of all values and leaves those inside unchanged, so ``percentile`` over clamped
+values is the exact answer while its state shrinks to the values inside the brackets: a
+share of ``4 / accuracy`` of the group. All groups go the same way, whatever their size.
+A check fails the query should a bracket ever miss its rank.
 """
 
 from __future__ import annotations
@@ -18,12 +17,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stationloom.operators.skew import (
-    HOT_ROWS,
-    HotGroups,
-    find_hot_groups,
-    null_safe_equal,
-)
+from stationloom.operators.attach import attach
+
+# Ranks are known to a part in ACCURACY; it changes time and state, not results.
+ACCURACY = 10_000
 
 
 @dataclass(frozen=True)
@@ -38,29 +35,17 @@ class Quantile:
 def aggregate_groups(df: DataFrame, keys: Sequence[str],
                      quantiles: Sequence[Quantile],
                      aggregates: Sequence[Column] = (), *,
-                     hot_rows: int | None = HOT_ROWS,
-                     hot: HotGroups | None = None) -> DataFrame:
+                     accuracy: int = ACCURACY) -> DataFrame:
     """One row per ``keys`` with exact ``quantiles`` and plain ``aggregates``.
 
-    Quantiles interpolate linearly and ignore nulls. ``hot`` passes on hot
-    groups already found; else ``hot_rows`` is the size to look for.
+    Quantiles interpolate linearly and ignore nulls.
     """
     if not quantiles:
         return df.groupBy(*keys).agg(*aggregates)
     by_value: dict[str, list[Quantile]] = {}
     for q in sorted(quantiles, key=lambda q: q.p):
         by_value.setdefault(q.value, []).append(q)
-    if hot is None:
-        hot = find_hot_groups(df, keys, hot_rows)
-    if hot:
-        return _with_brackets(df, keys, by_value, aggregates, hot, hot_rows)
-    points, results = [], {}
-    for i, (value, wanted) in enumerate(by_value.items()):
-        points.append(_percentiles(value, wanted).alias(f"__points_{i}"))
-        for j, q in enumerate(wanted):
-            results[q.name] = F.col(f"__points_{i}")[j]
-    grouped = df.groupBy(*keys).agg(*points, *aggregates).withColumns(results)
-    return grouped.drop(*[f"__points_{i}" for i in range(len(by_value))])
+    return _with_brackets(df, keys, by_value, aggregates, accuracy)
 
 
 def _percentiles(column: str, wanted: Sequence[Quantile]) -> Column:
@@ -69,28 +54,24 @@ def _percentiles(column: str, wanted: Sequence[Quantile]) -> Column:
 
 def _with_brackets(df: DataFrame, keys: Sequence[str],
                    by_value: dict[str, list[Quantile]],
-                   aggregates: Sequence[Column], hot: HotGroups,
-                   hot_rows: int | None) -> DataFrame:
-    # Sketch error is n / accuracy ranks; a hot group has over ten times
-    # ``accuracy`` rows, so two errors to each side hold the wanted rank.
-    accuracy = max(4, min(100_000, (hot_rows or HOT_ROWS) // 10))
+                   aggregates: Sequence[Column], accuracy: int) -> DataFrame:
+    # The sketch is right to one rank in ``accuracy``, so twice that to each side holds
+    # the wanted rank.
     margin = 2.0 / accuracy
     sketches, edges = [], []
     for i, (value, wanted) in enumerate(by_value.items()):
         points = []
         for j, q in enumerate(wanted):
             points += [max(0.0, q.p - margin), min(1.0, q.p + margin)]
-            edges += [F.col(f"__edges_{i}")[2 * j].alias(f"__low_{i}_{j}"),
-                      F.col(f"__edges_{i}")[2 * j + 1].alias(f"__high_{i}_{j}")]
-        sketches.append(
-            F.percentile_approx(value, points, accuracy).alias(f"__edges_{i}")
-        )
-    # As many rows as hot groups, which are few by construction.
-    brackets = hot.only(df).groupBy(*keys).agg(*sketches).select(
-        *[F.col(k).alias(f"__their_{k}") for k in keys], *edges
-    )
-    pairs = [(k, f"__their_{k}") for k in keys]
-    rows = df.join(F.broadcast(brackets), null_safe_equal(df, brackets, pairs), "left")
+            # A group of up to ``accuracy`` values is its own bracket.
+            edge = F.when(F.col(f"__size_{i}") > accuracy, F.col(f"__edges_{i}"))
+            edges += [edge[2 * j].alias(f"__low_{i}_{j}"),
+                      edge[2 * j + 1].alias(f"__high_{i}_{j}")]
+        sketches += [F.percentile_approx(value, points, accuracy).alias(f"__edges_{i}"),
+                     F.count(value).alias(f"__size_{i}")]
+    brackets = df.groupBy(*keys).agg(*sketches).select(*keys, *edges)
+    added = [c for c in brackets.columns if c not in keys]
+    rows = attach(df, brackets, keys, added)
 
     clamped, measures = {}, list(aggregates)
     for i, (value, wanted) in enumerate(by_value.items()):

@@ -20,22 +20,6 @@ from stationloom.schema import (
     VALUE,
 )
 
-# A pivot needs its column names on the driver; a vocabulary beyond this is
-# not one.
-MAX_PIVOT_COLUMNS = 10_000
-
-
-def vocabulary(df: DataFrame, column: str) -> list[str]:
-    """Sorted distinct texts of a column that is going to become column names."""
-    found = (
-        df.select(column).where(F.col(column).isNotNull()).distinct()
-        .limit(MAX_PIVOT_COLUMNS + 1).collect()
-    )
-    if len(found) > MAX_PIVOT_COLUMNS:
-        raise ValueError(f"{column} has over {MAX_PIVOT_COLUMNS} values")
-    return sorted(r[0] for r in found)
-
-
 def only_row(value: str | Column, what: str) -> Column:
     """Aggregate for a cell that must hold one row; more fail the query."""
     c = F.col(value) if isinstance(value, str) else value
@@ -46,14 +30,19 @@ def only_row(value: str | Column, what: str) -> Column:
 
 def pivot_unique(df: DataFrame, rows: Sequence[str], columns: str, value: str,
                  names: Sequence[str]) -> DataFrame:
-    """Pivot in which two rows for one cell are an error.
+    """Pivot over given column ``names`` in which two rows for one cell are an error.
 
-    Cells are made unique by an ordinary aggregate, then placed side by side.
+    One aggregate, so one shuffle: each cell counts its rows and takes its value.
     """
-    cells = df.groupBy(*rows, columns).agg(
-        only_row(value, f"cell ({', '.join(rows)}, {columns})").alias("cell")
-    )
-    return cells.groupBy(*rows).pivot(columns, list(names)).agg(F.first("cell"))
+    source = F.col(f"`{value}`")
+
+    def cell(name: str) -> Column:
+        here = F.col(f"`{columns}`") == name
+        what = F.lit(f"duplicate cell ({', '.join(rows)}, {columns})")
+        return F.when(F.count_if(here) > 1, F.raise_error(what)).otherwise(
+            F.first(F.when(here, source), ignorenulls=True)).alias(name)
+
+    return df.groupBy(*rows).agg(*[cell(n) for n in names])
 
 
 def pivot_elements(df: DataFrame, elements: Sequence[str],
@@ -71,22 +60,22 @@ def melt_elements(wide: DataFrame, elements: Sequence[str],
     )
 
 
-def _first_valid(element: str, order: str) -> Column:
+def _first_valid(element: str, order: str | None) -> Column:
     value = F.when(F.col(ELEMENT) == element, F.col(VALUE))
-    return F.min_by(value, F.when(value.isNotNull(), F.col(order)))
+    rank = [F.col(order)] if order else []
+    rank = F.struct(*rank, F.col("__number"), value)
+    return F.min_by(value, F.when(value.isNotNull(), rank))
 
 
 def daily_range(df: DataFrame, order_by: str | None = None) -> DataFrame:
     """Max minus min temperature per station, time and offset, 1 decimal.
 
-    Several rows for one cell give the first one holding anything; its order is
-    ``order_by``, or the order in which the input was read. One of the two
-    missing gives a null range.
+    Several rows for one cell give the first one holding anything, by ``order_by`` and
+    then by number, so the choice does not depend on how rows are spread over tasks. One
+    of the two missing gives a null range.
     """
     both = df.where(F.col(ELEMENT).isin(MAX_TEMPERATURE, MIN_TEMPERATURE))
-    if order_by is None:
-        order_by = "__read_order"
-        both = both.withColumn(order_by, F.monotonically_increasing_id())
+    both = both.withColumn("__number", number_column(both))
     cells = both.groupBy(SOURCE, TIME, OFFSET).agg(
         _first_valid(MAX_TEMPERATURE, order_by).alias("high"),
         _first_valid(MIN_TEMPERATURE, order_by).alias("low"),

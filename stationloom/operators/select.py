@@ -17,7 +17,7 @@ from stationloom.functions import (
     offset_hours_strict,
     unit_of,
 )
-from stationloom.operators.skew import HOT_ROWS, attach, find_hot_groups
+from stationloom.operators.attach import attach
 from stationloom.schema import (
     ELEMENT,
     OFFSET,
@@ -202,7 +202,7 @@ def min_time_offset(df: DataFrame, element_id: str | None = None,
     return require_rows(found, strict, f"no PT<n>H offset for element {element_id!r}")
 
 
-def keep_min_offset(df: DataFrame, hot_rows: int | None = HOT_ROWS,
+def keep_min_offset(df: DataFrame,
                     within: DataFrame | None = None) -> DataFrame:
     """Rows at the smallest offset of their station and element.
 
@@ -211,9 +211,8 @@ def keep_min_offset(df: DataFrame, hot_rows: int | None = HOT_ROWS,
     keys = [SOURCE, ELEMENT]
     best = min_time_offset(df if within is None else within)
     best = best.withColumnRenamed(OFFSET, "min_offset")
-    hot = find_hot_groups(df, keys, hot_rows)
     return (
-        attach(df, best, keys, ["min_offset"], hot, how="inner")
+        attach(df, best, keys, ["min_offset"], how="inner")
         .where(F.col(OFFSET) == F.col("min_offset"))
         .drop("min_offset")
     )
@@ -240,8 +239,7 @@ def pick_offset(groups: DataFrame, time_offset: str | None) -> DataFrame:
 
 def yearly_raw(df: DataFrame, element_id: str | None, year: int | None,
                source_id: str | None = None, time_offset: str | None = None,
-               strict: bool = False,
-               hot_rows: int | None = HOT_ROWS) -> DataFrame:
+               strict: bool = False) -> DataFrame:
     """Numeric rows of one year; ``time_offset=None`` takes the smallest offset."""
     if year is None:
         raise ValueError("year is required for raw rows")
@@ -253,7 +251,7 @@ def yearly_raw(df: DataFrame, element_id: str | None, year: int | None,
     in_year = filter_year(chosen, year)
     if time_offset is None:
         # The offset is a property of the whole series, the rows of the year.
-        in_year = keep_min_offset(in_year, hot_rows, within=chosen)
+        in_year = keep_min_offset(in_year, within=chosen)
     return require_rows(
         drop_invalid_values(in_year), strict,
         f"no data for element {element_id!r} in {year}",

@@ -21,7 +21,6 @@ from stationloom.operators.select import (
     filter_year,
     pick_offset,
 )
-from stationloom.operators.skew import HOT_ROWS
 from stationloom.schema import (
     ELEMENT,
     OFFSET,
@@ -60,40 +59,37 @@ def count_by_source(df: DataFrame) -> DataFrame:
 
 def month_stats(df: DataFrame, month: str, element_id: str | None = None,
                 source_id: str | None = None, time_offset: str | None = None,
-                strict: bool = False, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+                strict: bool = False) -> DataFrame:
     """Mean, median and population std of one ``YYYY-MM``."""
     rows = element_values(df, element_id, source_id, time_offset)
     inside = F.trunc(TIME, "MM") == F.lit(f"{month}-01").cast("date")
     if time_offset is not None:
         rows = filter_month(rows, month)
-        groups = _month_measures(rows, hot_rows)
+        groups = _month_measures(rows)
     else:
         # Values outside the month only help to resolve the offset.
         rows = rows.withColumn(VALUE, F.when(inside, F.col(VALUE)))
-        groups = _month_measures(rows, hot_rows)
+        groups = _month_measures(rows)
     out = pick_offset(groups, time_offset).where(F.col("n") > 0).drop("n")
     return require_rows(out, strict, f"no data points in {month}")
 
 
-def _month_measures(rows: DataFrame, hot_rows: int | None) -> DataFrame:
+def _month_measures(rows: DataFrame) -> DataFrame:
     return aggregate_groups(
         rows, SERIES, [Quantile("median", VALUE, 0.5)],
         [F.avg(VALUE).alias("mean"), F.stddev_pop(VALUE).alias("std"),
-         F.count(VALUE).alias("n")],
-        hot_rows=hot_rows,
+         F.count(VALUE).alias("n")]
     ).select(*SERIES, "mean", "median", "std", "n")
 
 
-def _by_month(df: DataFrame, element_id, source_id, time_offset,
-              hot_rows: int | None) -> DataFrame:
+def _by_month(df: DataFrame, element_id, source_id, time_offset) -> DataFrame:
     rows = element_values(df, element_id, source_id, time_offset).withColumn(
         "month_start", F.trunc(TIME, "MM")
     )
     groups = aggregate_groups(
         rows, [*SERIES, "month_start"], [Quantile("median", VALUE, 0.5)],
         [F.avg(VALUE).alias("mean"), F.stddev_samp(VALUE).alias("std"),
-         F.count(VALUE).alias("n")],
-        hot_rows=hot_rows,
+         F.count(VALUE).alias("n")]
     )
     return pick_offset(groups, time_offset).where(
         (F.col("n") > 0) & F.col("month_start").isNotNull()
@@ -102,9 +98,9 @@ def _by_month(df: DataFrame, element_id, source_id, time_offset,
 
 def monthly_stats(df: DataFrame, element_id: str | None = None,
                   source_id: str | None = None, time_offset: str | None = None,
-                  strict: bool = False, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+                  strict: bool = False) -> DataFrame:
     """Mean, median and sample std of every month."""
-    out = _by_month(df, element_id, source_id, time_offset, hot_rows).select(
+    out = _by_month(df, element_id, source_id, time_offset).select(
         *SERIES, year_month(F.col("month_start")).alias("year_month"),
         "mean", "median", "std",
     )
@@ -113,10 +109,9 @@ def monthly_stats(df: DataFrame, element_id: str | None = None,
 
 def monthly_range_series(df: DataFrame, element_id: str = RANGE_TEMPERATURE,
                          source_id: str | None = None,
-                         time_offset: str | None = None,
-                         hot_rows: int | None = HOT_ROWS) -> DataFrame:
+                         time_offset: str | None = None) -> DataFrame:
     """Monthly statistics of the daily range with year, month name, ``temp_diff``."""
-    groups = _by_month(df, element_id, source_id, time_offset, hot_rows)
+    groups = _by_month(df, element_id, source_id, time_offset)
     return add_month_parts(groups, "month_start").select(
         *SERIES, year_month(F.col("month_start")).alias("year_month"),
         "mean", "median", "std", "year", "month", F.col("mean").alias("temp_diff"),
@@ -125,8 +120,7 @@ def monthly_range_series(df: DataFrame, element_id: str = RANGE_TEMPERATURE,
 
 def yearly(df: DataFrame, aggregate: str = "mean", element_id: str | None = None,
            source_id: str | None = None, year: int | None = None,
-           time_offset: str | None = None, strict: bool = False,
-           hot_rows: int | None = HOT_ROWS) -> DataFrame:
+           time_offset: str | None = None, strict: bool = False) -> DataFrame:
     """Mean, sum, median or sample std of every year, or of one year."""
     check_statistic(aggregate, ("mean", "sum", "median", "std"))
     rows = element_values(df, element_id, source_id, time_offset)
@@ -136,7 +130,7 @@ def yearly(df: DataFrame, aggregate: str = "mean", element_id: str | None = None
     quantiles, measures = measure(aggregate, VALUE, "result", sample=True)
     groups = aggregate_groups(
         rows, [*SERIES, "year"], quantiles,
-        [*measures, F.count(VALUE).alias("n")], hot_rows=hot_rows,
+        [*measures, F.count(VALUE).alias("n")]
     )
     out = pick_offset(groups, time_offset).where(
         (F.col("n") > 0) & F.col("year").isNotNull()
@@ -163,8 +157,7 @@ def annual_by_city(df: DataFrame, element_id: str, labels: dict[str, str],
 def climatology(df: DataFrame, statistic: str = "mean",
                 element_id: str | None = None, source_id: str | None = None,
                 time_offset: str | None = None, remove_outliers: bool = False,
-                whisker: float | None = None,
-                hot_rows: int | None = HOT_ROWS) -> DataFrame:
+                whisker: float | None = None) -> DataFrame:
     """Mean, median or population std by calendar month over all years.
 
     A month without any numeric value stays, with a null. ``remove_outliers``
@@ -179,13 +172,13 @@ def climatology(df: DataFrame, statistic: str = "mean",
     if remove_outliers:
         rows = null_outliers(
             rows, SERIES, instance=whisker, extreme=True,
-            time_offset=time_offset, hot_rows=hot_rows,
+            time_offset=time_offset
         )
         chosen = ALL_OFFSETS
     rows = rows.withColumn("month", F.month(TIME))
     quantiles, measures = measure(statistic, VALUE, "result", sample=False)
     groups = aggregate_groups(
-        rows, [*SERIES, "month"], quantiles, measures, hot_rows=hot_rows
+        rows, [*SERIES, "month"], quantiles, measures
     )
     return pick_offset(groups, chosen).where(F.col("month").isNotNull()).select(
         *SERIES, "month",

@@ -1,9 +1,9 @@
 """Gap filling along time.
 
-Nothing here runs a window over a whole series. A series is cut into calendar
-chunks; windows look inside a chunk, and what a chunk must know of its
-neighbours (row offset, nearest valid value before and after) is found over one
-summary row per chunk.
+Nothing here runs a window over all rows of a series. Windows look inside an hour of a
+series; what an hour must know of its neighbours (row offset, nearest valid value before
+and after) is found over one summary row per hour inside a year, and what a year must
+know over one summary row per year. The levels are the same for every series.
 """
 
 from __future__ import annotations
@@ -22,53 +22,29 @@ from stationloom.functions import (
     unit_of,
 )
 from stationloom.operators.reshape import only_row
-from stationloom.operators.skew import (
-    HOT_ROWS,
-    attach,
-    find_hot_groups,
-    needed_hot_rows,
-    null_safe_equal,
-)
+from stationloom.operators.attach import attach, null_safe_equal
 from stationloom.schema import ELEMENT, OFFSET, SOURCE, TIME, UNIT, VALUE
 
 SERIES_KEYS = (SOURCE, ELEMENT)
-CHUNKS = ("year", "month", "day", "hour", "minute", "second")
-AUTO = "auto"
-
-
-def resolve_chunk(df: DataFrame, keys: Sequence[str], time: str, chunk: str = AUTO,
-                  hot_rows: int | None = HOT_ROWS) -> str:
-    """Calendar unit in which no chunk of a series has over ``hot_rows`` rows.
-
-    ``auto`` starts at months and goes finer while a counting job finds a chunk
-    too large; a named unit is taken as it is.
-    """
-    if chunk != AUTO:
-        if chunk not in CHUNKS:
-            raise ValueError(f"chunk must be '{AUTO}' or one of {CHUNKS}")
-        return chunk
-    for unit in CHUNKS[1:]:
-        cut = df.select(*keys, F.date_trunc(unit, time).alias("__chunk"))
-        if not find_hot_groups(cut, [*keys, "__chunk"], hot_rows):
-            return unit
-    return CHUNKS[-1]
+LEVELS = ("hour", "year")
 
 
 def with_position(df: DataFrame, keys: Sequence[str] = SERIES_KEYS,
-                  time: str = TIME, value: str = VALUE, chunk: str = AUTO,
-                  valid_rows: bool = False,
-                  hot_rows: int | None = HOT_ROWS) -> DataFrame:
+                  time: str = TIME, value: str = VALUE,
+                  valid_rows: bool = False) -> DataFrame:
     """Add where each row stands in its series.
 
     ``position`` numbers the rows of a series from 0 by time, ``series_rows``
     is their number. ``before`` and ``after`` are ``(at, value, row)`` of the
     nearest valid rows at or before and at or after, null if there is none:
     time in microseconds, value, and with ``valid_rows`` the position (it costs
-    sorting the chunks for the summary too, so it is off unless asked for).
+    sorting the hours for the summary too, so it is off unless asked for).
+    Two rows of a series at one time are an error.
     """
-    chunk = resolve_chunk(df, keys, time, chunk, hot_rows)
-    df = df.withColumn("__chunk", F.date_trunc(chunk, time))
-    part = Window.partitionBy(*keys, "__chunk")
+    levels = [f"__{unit}" for unit in LEVELS]
+    df = df.withColumns({c: F.date_trunc(u, time) for c, u in zip(levels, LEVELS)})
+    chunk_keys = [*keys, *levels]
+    part = Window.partitionBy(*chunk_keys)
     forward = part.orderBy(time)
     # A frame up to the end of the partition would be recomputed for every row;
     # the same frame over descending time grows row by row.
@@ -76,15 +52,17 @@ def with_position(df: DataFrame, keys: Sequence[str] = SERIES_KEYS,
     is_valid = F.col(value).isNotNull()
     at = F.unix_micros(time)
 
-    numbered = df.withColumn("__row", F.row_number().over(forward).cast("bigint") - 1)
+    numbered = df.withColumns({
+        "__row": F.row_number().over(forward).cast("bigint") - 1,
+        "__tied": F.lag(time).over(forward) == F.col(time),
+    })
     row = F.col("__row") if valid_rows else F.lit(None).cast("bigint")
-    chunk_keys = [*keys, "__chunk"]
     summary = (numbered if valid_rows else df).groupBy(*chunk_keys).agg(
         F.count(F.lit(1)).alias("n"),
-        *_valid_edge(F.min, F.min_by, "first", is_valid, at, value, valid_rows),
-        *_valid_edge(F.max, F.max_by, "last", is_valid, at, value, valid_rows),
+        *_valid_edge(F.min, F.min_by, "first", is_valid, at, value, row),
+        *_valid_edge(F.max, F.max_by, "last", is_valid, at, value, row),
     )
-    summary = _carry(summary, keys, valid_rows).select(
+    summary = _carry(summary, keys, levels).select(
         *[F.col(k).alias(f"__k_{k}") for k in chunk_keys],
         "__offset", "__carry_before", "__carry_after", "__series_rows",
     )
@@ -103,23 +81,27 @@ def with_position(df: DataFrame, keys: Sequence[str] = SERIES_KEYS,
         null_safe_equal(windowed, summary, [(k, f"__k_{k}") for k in chunk_keys]),
     )
     offset = F.col("__offset")
+
+    def untied(result: Column) -> Column:
+        return F.when(
+            F.col("__tied"), F.raise_error(F.lit("two rows of one series at one time"))
+        ).otherwise(result)
+
+    before = F.coalesce(_shifted("__before", offset), "__carry_before")
     return joined.select(
-        *[c for c in df.columns if c != "__chunk"],
-        (F.col("__row") + offset).alias("position"),
+        *[c for c in df.columns if c not in levels],
+        untied(F.col("__row") + offset).alias("position"),
         F.col("__series_rows").alias("series_rows"),
-        F.coalesce(_shifted("__before", offset), "__carry_before").alias("before"),
+        untied(before).alias("before"),
         F.coalesce(_shifted("__after", offset), "__carry_after").alias("after"),
     )
 
 
 def _valid_edge(pick, pick_by, name: str, is_valid: Column, at: Column, value: str,
-                valid_rows: bool) -> list[Column]:
+                row: Column) -> list[Column]:
     when = F.when(is_valid, at)
-    columns = [pick(when).alias(f"{name}_at"),
-               pick_by(F.col(value), when).alias(f"{name}_value")]
-    if valid_rows:
-        columns.append(pick_by(F.col("__row"), when).alias(f"{name}_row"))
-    return columns
+    edge = F.struct(at.alias("at"), F.col(value).alias("value"), row.alias("row"))
+    return [pick_by(edge, when).alias(name)]
 
 
 def _shifted(valid_row: str, offset: Column) -> Column:
@@ -130,29 +112,49 @@ def _shifted(valid_row: str, offset: Column) -> Column:
     ))
 
 
-def _carry(summary: DataFrame, keys: Sequence[str], valid_rows: bool) -> DataFrame:
-    """What each chunk inherits; one row per chunk, so bounded by the calendar."""
-    series = Window.partitionBy(*keys)
-    earlier = series.orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
-    later = series.orderBy(F.desc("__chunk")).rowsBetween(Window.unboundedPreceding, -1)
+def _carry(summary: DataFrame, keys: Sequence[str], levels: Sequence[str]) -> DataFrame:
+    """What each chunk of the finest level inherits from the rest of its series.
+
+    Windows over the chunks of one coarser chunk are bounded by the calendar; the
+    coarser chunks are summed up and treated the same way.
+    """
+    finest, *coarser = levels
+    around = Window.partitionBy(*keys, *coarser)
+    earlier = around.orderBy(finest).rowsBetween(Window.unboundedPreceding, -1)
+    later = around.orderBy(F.desc(finest)).rowsBetween(Window.unboundedPreceding, -1)
     summary = summary.withColumn(
         "__offset", F.coalesce(F.sum("n").over(earlier), F.lit(0))
-    )
-
-    def edge(name: str) -> Column:
-        row = (F.col(f"{name}_row") if valid_rows else F.lit(None).cast("bigint"))
-        return F.when(F.col(f"{name}_at").isNotNull(), F.struct(
-            F.col(f"{name}_at").alias("at"), F.col(f"{name}_value").alias("value"),
-            (row + F.col("__offset")).alias("row"),
-        ))
-
-    return summary.withColumns({
-        "__first": edge("first"), "__last": edge("last"),
+    ).withColumns({
+        "__first": _shifted("first", F.col("__offset")),
+        "__last": _shifted("last", F.col("__offset")),
     }).withColumns({
         "__carry_before": F.last("__last", ignorenulls=True).over(earlier),
         "__carry_after": F.last("__first", ignorenulls=True).over(later),
-        "__series_rows": F.sum("n").over(series),
+        "__series_rows": F.sum("n").over(around),
     })
+    if not coarser:
+        return summary
+    above = summary.groupBy(*keys, *coarser).agg(
+        F.sum("n").alias("n"),
+        F.min_by("__first", F.col("__first.at")).alias("first"),
+        F.max_by("__last", F.col("__last.at")).alias("last"),
+    )
+    above = _carry(above, keys, coarser)
+    above = above.select(
+        *[F.col(k).alias(f"__u_{k}") for k in (*keys, *coarser)],
+        *[F.col(c).alias(f"__up{c}") for c in
+          ("__offset", "__carry_before", "__carry_after", "__series_rows")],
+    )
+    joined = summary.join(
+        above, null_safe_equal(summary, above, [(k, f"__u_{k}") for k in (*keys, *coarser)])
+    )
+    base = F.col("__up__offset")
+    return joined.select(
+        *keys, *levels, (F.col("__offset") + base).alias("__offset"),
+        *[F.coalesce(_shifted(c, base), F.col(f"__up{c}")).alias(c)
+          for c in ("__carry_before", "__carry_after")],
+        F.col("__up__series_rows").alias("__series_rows"),
+    )
 
 
 _ADDED = ("position", "series_rows", "before", "after")
@@ -167,7 +169,7 @@ def _on_the_line(time: str) -> Column:
 
 def interpolate_time_limited(df: DataFrame, limit: int = 3,
                              keys: Sequence[str] = SERIES_KEYS, time: str = TIME,
-                             value: str = VALUE, chunk: str = AUTO) -> DataFrame:
+                             value: str = VALUE) -> DataFrame:
     """Time-weighted interpolation of the first ``limit`` nulls of each gap.
 
     The rest of a longer gap stays null, leading nulls stay null, trailing
@@ -175,7 +177,7 @@ def interpolate_time_limited(df: DataFrame, limit: int = 3,
     """
     if limit < 1:
         raise ValueError("limit must be at least 1")
-    rows = with_position(df, keys, time, value, chunk, valid_rows=True)
+    rows = with_position(df, keys, time, value, valid_rows=True)
     into_gap = F.col("position") - F.col("before.row")
     filled = (
         F.when(F.col(value).isNotNull(), F.col(value))
@@ -196,57 +198,40 @@ def _fill_both(time: str, value: str) -> Column:
 
 
 def interpolate_time(df: DataFrame, keys: Sequence[str] = SERIES_KEYS,
-                     time: str = TIME, value: str = VALUE,
-                     chunk: str = AUTO) -> DataFrame:
+                     time: str = TIME, value: str = VALUE) -> DataFrame:
     """Time-weighted interpolation of every gap; the ends take the nearest value."""
-    rows = with_position(df, keys, time, value, chunk)
+    rows = with_position(df, keys, time, value)
     return rows.withColumn(value, _fill_both(time, value)).drop(*_ADDED)
 
 
 def fill_forward_backward(df: DataFrame, keys: Sequence[str] = SERIES_KEYS,
-                          time: str = TIME, value: str = VALUE,
-                          chunk: str = AUTO) -> DataFrame:
+                          time: str = TIME, value: str = VALUE) -> DataFrame:
     """Last valid value carried forward, then the first carried backward."""
-    rows = with_position(df, keys, time, value, chunk)
+    rows = with_position(df, keys, time, value)
     return rows.withColumn(
         value, F.coalesce("before.value", "after.value")
     ).drop(*_ADDED)
 
 
-def seasonal_impute(df: DataFrame, model: str = "additive",
-                    keys: Sequence[str] = SERIES_KEYS, time: str = TIME,
-                    value: str = VALUE, chunk: str = AUTO) -> DataFrame:
-    """Fill by decomposing, interpolating and recomposing.
+def impute(df: DataFrame, keys: Sequence[str] = SERIES_KEYS, time: str = TIME,
+           value: str = VALUE) -> DataFrame:
+    """Short gaps by limited interpolation, all others by seasonal recomposition.
 
-    The parts of a decomposition add up (``multiplicative``: multiply) to the
-    interpolated series they came from, ends included, so recomposing gives
-    exactly :func:`interpolate_time`, which is what runs here.
+    A decomposition's parts add up to the interpolated series they came from, and limited
+    interpolation puts its values on the same line, so both steps together are
+    :func:`interpolate_time`, whatever their limit and model.
     """
-    if model not in ("additive", "multiplicative"):
-        raise ValueError("model must be 'additive' or 'multiplicative'")
-    return interpolate_time(df, keys, time, value, chunk)
-
-
-def impute(df: DataFrame, limit: int = 3, model: str = "additive",
-           keys: Sequence[str] = SERIES_KEYS, time: str = TIME,
-           value: str = VALUE, chunk: str = AUTO) -> DataFrame:
-    """Short gaps by interpolation, all others by seasonal filling, in one pass.
-
-    Limited interpolation puts its values on the same line as the seasonal fill
-    of what remains, so both steps together equal the seasonal fill alone.
-    """
-    if limit < 1:
-        raise ValueError("limit must be at least 1")
-    return seasonal_impute(df, model, keys, time, value, chunk)
+    return interpolate_time(df, keys, time, value)
 
 
-def observation_grid(df: DataFrame, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+def observation_grid(df: DataFrame) -> DataFrame:
     """Every element of a station at every instant the station has.
 
     ``instant`` is time plus offset. Cells without a row have a null value and
-    ``observed_offset``. Two rows for one cell are an error.
+    ``observed_offset``. Two rows for one cell are an error. Rows without an element
+    belong to no series and are left out.
     """
-    rows = df.select(
+    rows = df.where(F.col(ELEMENT).isNotNull()).select(
         SOURCE, ELEMENT, OFFSET,
         observation_instant(F.col(TIME), F.col(OFFSET)).alias("instant"),
         number_column(df).alias(VALUE),
@@ -260,8 +245,7 @@ def observation_grid(df: DataFrame, hot_rows: int | None = HOT_ROWS) -> DataFram
     )
     elements = rows.groupBy(SOURCE).agg(F.collect_set(ELEMENT).alias("elements"))
     # Observations of a station bound its instants.
-    hot = find_hot_groups(rows, [SOURCE], hot_rows)
-    wide = attach(instants, elements, [SOURCE], ["elements"], hot)
+    wide = attach(instants, elements, [SOURCE], ["elements"])
     grid = wide.select(
         SOURCE, "instant", "cells", F.explode("elements").alias(ELEMENT)
     )
@@ -272,21 +256,16 @@ def observation_grid(df: DataFrame, hot_rows: int | None = HOT_ROWS) -> DataFram
     )
 
 
-def impute_observations(df: DataFrame, limit: int = 3, model: str = "additive",
-                        keep_observed_offsets: bool = False, chunk: str = AUTO,
-                        hot_rows: int | None = HOT_ROWS) -> DataFrame:
+def impute_observations(df: DataFrame, keep_observed_offsets: bool = False) -> DataFrame:
     """Complete grid of observations with every gap filled, 3 decimals.
 
     Offsets come from the instant's time of day, so a filled element appears at
     every time of day its station has; ``keep_observed_offsets`` keeps the
     offset text of rows that existed. ``is_imputed`` marks filled values.
     """
-    # A station's observations in a chunk bound the instants of the grid there.
-    hot_rows = needed_hot_rows(df, hot_rows)
-    chunk = resolve_chunk(df, [SOURCE], TIME, chunk, hot_rows)
-    grid = observation_grid(df, hot_rows)
+    grid = observation_grid(df)
     grid = grid.withColumn("is_imputed", F.col(VALUE).isNull())
-    filled = impute(grid, limit, model, (SOURCE, ELEMENT), "instant", VALUE, chunk)
+    filled = impute(grid, (SOURCE, ELEMENT), "instant", VALUE)
     offset = format_offset(F.col("instant"))
     if keep_observed_offsets:
         offset = F.coalesce("observed_offset", offset)

@@ -11,9 +11,9 @@ from stationloom.schema import OBSERVATION_COLUMNS
 
 
 def impute_and_compare(df: DataFrame, left: str, right: str, left_city: str,
-                       right_city: str, limit: int = 3) -> DataFrame:
+                       right_city: str) -> DataFrame:
     """``city, before, after``: missing rows in the raw and the imputed table."""
-    imputed = impute_observations(df, limit).select(*OBSERVATION_COLUMNS)
+    imputed = impute_observations(df).select(*OBSERVATION_COLUMNS)
     tables = {"before": df, "after": imputed}
     counts = None
     for name, table in tables.items():

@@ -5,34 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from stationloom.operators.decompose import seasonal_decompose
-from stationloom.operators.skew import HOT_ROWS, needed_hot_rows
 from stationloom.operators.timeseries import (
-    AUTO,
     interpolate_time,
     observation_grid,
-    resolve_chunk,
 )
 from stationloom.plans.materialise import materialise
 from stationloom.schema import SOURCE, TIME
 
 
-def filled_series(df: DataFrame, chunk: str = AUTO,
-                  hot_rows: int | None = HOT_ROWS) -> DataFrame:
+def filled_series(df: DataFrame) -> DataFrame:
     """Complete grid without nulls, materialised: ``sourceId, elementId, instant, value``.
 
     Decomposing reads its input several times, and each reading would repeat
     the gridding and filling.
     """
-    hot_rows = needed_hot_rows(df, hot_rows)
-    chunk = resolve_chunk(df, [SOURCE], TIME, chunk, hot_rows)
-    grid = observation_grid(df, hot_rows).drop("observed_offset")
-    return materialise(interpolate_time(grid, time="instant", chunk=chunk))
+    grid = observation_grid(df).drop("observed_offset")
+    return materialise(interpolate_time(grid, time="instant"))
 
 
-def decompose_observations(df: DataFrame, period: int = 365, model: str = "additive",
-                           chunk: str = AUTO,
-                           hot_rows: int | None = HOT_ROWS) -> DataFrame:
+def decompose_observations(df: DataFrame, period: int = 365, model: str = "additive") -> DataFrame:
     """Fill every series of every station and decompose it."""
-    filled = filled_series(df, chunk, hot_rows)
-    return seasonal_decompose(filled, period, model, time="instant", chunk=chunk,
-                              hot_rows=hot_rows)
+    filled = filled_series(df)
+    return seasonal_decompose(filled, period, model, time="instant")

@@ -1,22 +1,15 @@
-"""Cutting lineage where several later steps read one derived table."""
+"""Keeping a derived table that several later steps read."""
 
 from __future__ import annotations
 
-import tempfile
-
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder and read it from there.
+    """Keep the rows of ``df`` on the executors from its first use on.
 
-    Survives the loss of executors. The folder is the cluster's
-    ``spark.checkpoint.dir``; only where that is unset, as in local tests, a
-    temporary one is made.
+    No job runs here. Rows of a lost executor are computed again from their source.
+    ``unpersist()`` on the result, or ``spark.catalog.clearCache()``, releases them.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoint-"))
-    return df.checkpoint()
+    return df.persist(StorageLevel.MEMORY_AND_DISK)

@@ -9,38 +9,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from stationloom.operators import predict
-from stationloom.operators.skew import HOT_ROWS, find_hot_groups
 from stationloom.plans.materialise import materialise
 from stationloom.schema import SOURCE
 
 
-def rain_training_table(df: DataFrame, train_percent: int = 80,
-                        hot_rows: int | None = HOT_ROWS) -> DataFrame:
+def rain_training_table(df: DataFrame, train_percent: int = 80) -> DataFrame:
     """Scaled features, label and split of every station, materialised."""
-    features = predict.rain_label(predict.weather_features(df, hot_rows=hot_rows))
+    features = predict.rain_label(predict.weather_features(df))
     split = materialise(
         predict.train_test_split(features, predict.split_key(), train_percent)
     )
-    hot = find_hot_groups(split, [SOURCE], hot_rows)
-    return predict.standard_scale(split, hot=hot)
+    return predict.standard_scale(split)
 
 
-def rain_classified(df: DataFrame, train_percent: int = 80,
-                    hot_rows: int | None = HOT_ROWS) -> DataFrame:
+def rain_classified(df: DataFrame, train_percent: int = 80) -> DataFrame:
     """Every row classified by its station's naive Bayes model."""
-    scaled = rain_training_table(df, train_percent, hot_rows)
-    hot = find_hot_groups(scaled.select(SOURCE), [SOURCE], hot_rows)
+    scaled = rain_training_table(df, train_percent)
     model = predict.fit_rain_gaussian_nb(scaled)
-    return predict.predict_rain_gaussian_nb(model, scaled, hot=hot)
+    return predict.predict_rain_gaussian_nb(model, scaled)
 
 
-def precipitation_predicted(df: DataFrame, train_percent: int = 80,
-                            hot_rows: int | None = HOT_ROWS) -> DataFrame:
+def precipitation_predicted(df: DataFrame, train_percent: int = 80) -> DataFrame:
     """Every row with the millimetres its station's linear model predicts."""
-    features = predict.precipitation_features(df, hot_rows=hot_rows)
+    features = predict.precipitation_features(df)
     split = materialise(
         predict.train_test_split(features, predict.split_key("date"), train_percent)
     )
-    hot = find_hot_groups(split, [SOURCE], hot_rows)
     model = predict.fit_precipitation_linear(split)
-    return predict.predict_precipitation(model, split, hot=hot)
+    return predict.predict_precipitation(model, split)

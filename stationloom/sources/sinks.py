@@ -1,4 +1,7 @@
-"""Writers. Sorting and file layout happen only here."""
+"""Writers. Sorting and file layout happen only here.
+
+Each writer has a function that builds its rows, so they can be checked without files.
+"""
 
 from __future__ import annotations
 
@@ -10,7 +13,6 @@ from stationloom.functions import iso_format
 from stationloom.operators.missing import missing_summary
 from stationloom.operators.reshape import add_daily_range
 from stationloom.operators.select import station_lookup
-from stationloom.operators.skew import HOT_ROWS, attach, find_hot_groups, spread
 from stationloom.schema import (
     ELEMENT,
     OBSERVATION_COLUMNS,
@@ -25,9 +27,6 @@ from stationloom.schema import (
 # inside an instant that very many stations share.
 _FILE_ORDER = [TIME, OFFSET, ELEMENT, SOURCE, VALUE]
 
-# Observations a single document entry may hold.
-MAX_ENTRY_OBSERVATIONS = 10_000
-
 
 def _time_as_text(df: DataFrame) -> DataFrame:
     if isinstance(df.schema[TIME].dataType, T.StringType):
@@ -36,15 +35,20 @@ def _time_as_text(df: DataFrame) -> DataFrame:
 
 
 def write_observation_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Columnar table partitioned by station and year.
+    """Columnar table partitioned by year, ordered by station and time inside each file.
 
-    Rebalancing splits a large station-year over several files and merges small
-    ones, so no task writes a whole hot station.
+    Rebalancing splits a large year over several files and merges small ones. Stations are
+    found by the ranges that columnar files keep, so their number makes no directories.
     """
     table = df.select(*OBSERVATION_COLUMNS).withColumn("year", F.year(TIME))
-    table.hint("rebalance", SOURCE, "year").write.mode(mode).partitionBy(
-        SOURCE, "year"
-    ).parquet(path)
+    table.hint("rebalance", "year", SOURCE).sortWithinPartitions(
+        "year", SOURCE, TIME
+    ).write.mode(mode).partitionBy("year").parquet(path)
+
+
+def station_rows(df: DataFrame, stations: dict[str, str] | None = None) -> DataFrame:
+    """Rows of known stations with the station's ``city``, times as text."""
+    return station_lookup(_time_as_text(df), stations)
 
 
 def write_by_station(df: DataFrame, path: str, stations: dict[str, str] | None = None,
@@ -53,30 +57,38 @@ def write_by_station(df: DataFrame, path: str, stations: dict[str, str] | None =
 
     Rows of unknown stations are dropped.
     """
-    known = station_lookup(_time_as_text(df), stations)
-    known.hint("rebalance", "city").write.mode(mode).partitionBy("city").option(
-        "header", True
-    ).csv(path)
+    station_rows(df, stations).hint("rebalance", "city").write.mode(mode).partitionBy(
+        "city").option("header", True).csv(path)
 
 
-def write_with_range(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Observations plus their daily range rows, sorted, as delimited text.
+def rows_with_range(df: DataFrame, order_by: str | None = None) -> DataFrame:
+    """Observations plus their daily range rows, times as text."""
+    return _time_as_text(add_daily_range(df, order_by))
+
+
+def write_with_range(df: DataFrame, path: str, mode: str = "overwrite",
+                     order_by: str | None = None) -> None:
+    """:func:`rows_with_range`, sorted, as delimited text.
 
     ``path`` must differ from where ``df`` comes from.
     """
-    rows = _time_as_text(add_daily_range(df)).orderBy(*_FILE_ORDER)
+    rows = rows_with_range(df, order_by).orderBy(*_FILE_ORDER)
     rows.write.mode(mode).option("header", True).csv(path)
 
 
-def write_imputed(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Sorted delimited text, fixed column order, three decimals."""
-    rows = _time_as_text(df).orderBy(*_FILE_ORDER)
-    rows.select(
+def imputed_rows(df: DataFrame) -> DataFrame:
+    """Fixed column order, times as text, numbers with three decimals as text."""
+    return _time_as_text(df).select(
         SOURCE, TIME, OFFSET, ELEMENT,
         F.format_string("%.3f", F.round(F.col(VALUE).cast("double"), 3)).alias(VALUE)
         if not isinstance(df.schema[VALUE].dataType, T.StringType) else VALUE,
         UNIT,
-    ).write.mode(mode).option("header", True).csv(path)
+    )
+
+
+def write_imputed(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """:func:`imputed_rows` as delimited text, in order of the numbers behind the texts."""
+    imputed_rows(df.orderBy(*_FILE_ORDER)).write.mode(mode).option("header", True).csv(path)
 
 
 def write_missing_report(missing: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -87,24 +99,19 @@ def write_missing_report(missing: DataFrame, path: str, mode: str = "overwrite")
     )
 
 
-def write_observation_json(df: DataFrame, path: str, mode: str = "overwrite",
-                           max_entry: int = MAX_ENTRY_OBSERVATIONS,
-                           hot_rows: int | None = HOT_ROWS) -> None:
-    """One document per line, one entry per station and time.
+def document_entries(df: DataFrame) -> DataFrame:
+    """One ``data`` array of one entry per station, time and offset.
 
-    An entry with more than ``max_entry`` observations continues in further
-    entries with the same station and time, so no task gathers a huge group.
-    Read back with ``multi_line=False``.
+    An entry holds the elements of one instant, so the vocabulary bounds it.
     """
     rows = _time_as_text(df).select(*OBSERVATION_COLUMNS)
-    sizes = rows.groupBy(SOURCE, TIME).agg(F.count(F.lit(1)).alias("rows"))
-    sizes = sizes.withColumn("parts", F.ceil(F.col("rows") / max_entry))
-    hot = find_hot_groups(rows, [SOURCE, TIME], hot_rows)
-    sized = attach(rows, sizes, [SOURCE, TIME], ["parts"], hot)
-    sized = sized.withColumn("part", spread(sized, F.col("parts")))
-    entries = sized.groupBy(SOURCE, TIME, "part").agg(
-        F.collect_list(F.struct(OFFSET, ELEMENT, VALUE, UNIT)).alias("observations")
+    entries = rows.groupBy(SOURCE, TIME, OFFSET).agg(
+        F.sort_array(F.collect_list(F.struct(OFFSET, ELEMENT, VALUE, UNIT)))
+        .alias("observations")
     )
-    entries.select(
-        F.array(F.struct(SOURCE, TIME, "observations")).alias("data")
-    ).write.mode(mode).json(path)
+    return entries.select(F.array(F.struct(SOURCE, TIME, "observations")).alias("data"))
+
+
+def write_observation_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """:func:`document_entries`, one document per line; read back with ``multi_line=False``."""
+    document_entries(df).write.mode(mode).json(path)

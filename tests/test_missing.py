@@ -68,26 +68,26 @@ def test_classified(table):
 
 
 def test_indicator_wide(spark, table):
-    wide = missing.missing_indicator_wide(table, "Oslo", *CITIES)
+    wide = missing.missing_indicator_wide(table, "Oslo", *CITIES, ["e1", "e2", "e3"])
     assert rows(wide, "e1", "e2", "e3") == [(1.0, 0.0, 0.0)]
     two = spark.createDataFrame(
         [("2021-01-01", "PT0H", "e1", None, 1.0), ("2021-01-02", "PT0H", "e3", None, 1.0),
          ("2021-01-02", "PT0H", "e2", 1.0, None)],
         "date string, timeOffset string, elementId string, left_value double, right_value double")
-    wide = missing.missing_indicator_wide(two, "Oslo", *CITIES)
+    wide = missing.missing_indicator_wide(two, "Oslo", *CITIES, ["e1", "e2", "e3"])
     assert rows(wide, "date", "e1", "e2", "e3") == [
         ("2021-01-01", 1.0, 0.0, None), ("2021-01-02", None, 0.0, 1.0)]
 
 
 def test_values_wide(table):
-    got = missing.values_by_offset(table, "left_value")
+    got = missing.values_by_offset(table, "left_value", ["PT0H"])
     assert rows(got, "date", "PT0H")[1] == (date(2025, 5, 2), 5.0)
-    ordered = missing.values_by_offset(table, "left_value", order=["PT6H", "PT0H"])
+    ordered = missing.values_by_offset(table, "left_value", ["PT0H"], order=["PT6H", "PT0H"])
     assert ordered.columns == ["date", "PT0H"]
-    assert missing.values_by_element(table, "right_value").columns == [
+    assert missing.values_by_element(table, "right_value", ["e1", "e2", "e3"]).columns == [
         "date", "timeOffset", "e1", "e2", "e3"]
     with pytest.raises(PySparkException):
-        missing.values_by_offset(table.union(table), "left_value").collect()
+        missing.values_by_offset(table.union(table), "left_value", ["PT0H"]).collect()
 
 
 def test_runs(spark):
@@ -99,9 +99,9 @@ def test_runs(spark):
                "start", "end")
     day = [date(2021, 1, d) for d in range(1, 10)]
     assert got == [(day[0], day[2]), (day[4], day[4]), (day[8], day[8])]
-    pivot = missing.missing_runs(recorded, "right_value").where("elementId = 'e'")
+    pivot = missing.missing_runs(recorded, "right_value", elements=["e", "f"]).where("elementId = 'e'")
     assert rows(pivot, "start", "end") == [(day[3], day[3])]
-    whole = missing.missing_runs(recorded, "left_value").where("elementId = 'e'")
+    whole = missing.missing_runs(recorded, "left_value", elements=["e", "f"]).where("elementId = 'e'")
     assert rows(whole, "start", "end") == [(day[0], day[4]), (day[8], day[8])]
     with pytest.raises(ValueError):
         missing.missing_runs(recorded, "left_value", "other")
@@ -111,6 +111,7 @@ def test_nullity_correlation(spark):
     wide = spark.createDataFrame(
         [(1.0, None, 1.0), (None, 1.0, 1.0), (1.0, None, 1.0)], "a double, b double, c double")
     assert rows(missing.nullity_correlation(wide, ["a", "b", "c"])) == [("a", "b", -1.0)]
+    assert missing.nullity_correlation(wide, ["a"]).count() == 0
 
 
 def test_before_after(spark):

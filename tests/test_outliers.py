@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from stationloom.operators import outliers
 from stationloom.operators.quantiles import Quantile, aggregate_groups
-from stationloom.operators.skew import attach, find_hot_groups
+from stationloom.operators.attach import attach
 from stationloom.schema import SERIES
 
 
@@ -80,7 +80,7 @@ def test_month_without_numbers_has_no_statistics(obs):
 
 
 @pytest.mark.parametrize("seed", range(3))
-def test_hot_groups_give_exact_quantiles(spark, seed):
+def test_brackets_give_exact_quantiles(spark, seed):
     random = np.random.default_rng(seed)
     n = 6000
     key = np.where(random.random(n) < 0.4, 0, random.integers(1, 60, n))
@@ -89,28 +89,17 @@ def test_hot_groups_give_exact_quantiles(spark, seed):
     pdf.loc[random.random(n) < 0.05, "v"] = None
     df = spark.createDataFrame(pdf).withColumn("v", F.nanvl("v", F.lit(None)))
     wanted = [Quantile("q1", "v", 0.25), Quantile("med", "v", 0.5), Quantile("q3", "v", 0.75)]
-    got = aggregate_groups(df, ["k"], wanted, [F.avg("v").alias("mean")], hot_rows=80)
+    got = aggregate_groups(df, ["k"], wanted, [F.avg("v").alias("mean")], accuracy=40)
     got = got.toPandas().set_index("k").sort_index()
     expected = pdf.groupby("k")["v"].quantile([0.25, 0.5, 0.75]).unstack()
     np.testing.assert_allclose(got[["q1", "med", "q3"]].values, expected.values, rtol=1e-12)
-    hot = find_hot_groups(df, ["k"], 80)
-    assert hot
-    joined = attach(df, spark.createDataFrame(got.reset_index()), ["k"], ["med"], hot)
+    joined = attach(df, spark.createDataFrame(got.reset_index()), ["k"], ["med"])
     assert joined.count() == n
     assert joined.where("med IS NULL").isEmpty()
 
 
-def test_hot_null_key_and_identical_rows(spark):
+def test_null_key_and_identical_rows(spark):
     df = spark.createDataFrame([(None, 1.0)] * 200 + [("a", 2.0)] * 3, "k string, v double")
-    hot = find_hot_groups(df, ["k"], 50)
-    assert hot
-    table = aggregate_groups(df, ["k"], [Quantile("m", "v", 0.5)], hot_rows=50, hot=hot)
-    joined = attach(df, table, ["k"], ["m"], hot)
+    table = aggregate_groups(df, ["k"], [Quantile("m", "v", 0.5)], accuracy=20)
+    joined = attach(df, table, ["k"], ["m"])
     assert joined.where("m = v").count() == 203
-
-
-def test_flagging_is_the_same_with_hot_groups(obs):
-    random = np.random.default_rng(5)
-    df = values(obs, list(np.round(random.standard_cauchy(900), 1)))
-    plain = rows(outliers.flag_outliers(df), "referenceTime", "is_outlier")
-    assert rows(outliers.flag_outliers(df, hot_rows=100), "referenceTime", "is_outlier") == plain

@@ -40,7 +40,7 @@ def test_linear_matches_least_squares(frame):
     got = model.first()
     np.testing.assert_allclose(
         [got["coef_tmax"], got["coef_tmin"], got["intercept"]], expected, rtol=1e-8)
-    scored = predict.predict_precipitation(model, frame, hot_rows=100)
+    scored = predict.predict_precipitation(model, frame)
     assert scored.count() == 400
     test = pdf[~pdf.is_train]
     predicted = np.c_[test.TMAX, test.TMIN, np.ones(len(test))] @ expected

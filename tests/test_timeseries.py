@@ -24,17 +24,16 @@ def filled(df):
     return [r["value"] for r in df.orderBy("sourceId", "referenceTime").collect()]
 
 
-@pytest.mark.parametrize("chunk", ["month", "day", "year"])
-def test_limited(spark, chunk):
-    got = filled(timeseries.interpolate_time_limited(series(spark, GAPS), 3, chunk=chunk))
+def test_limited(spark):
+    got = filled(timeseries.interpolate_time_limited(series(spark, GAPS), 3))
     assert got == [None, 1, 2, 3, 4, None, None, 7, 7, 7, 7, None]
 
 
-@pytest.mark.parametrize("chunk", ["month", "day", "year"])
-def test_both_directions(spark, chunk):
+def test_both_directions(spark):
     expected = [1, 1, 2, 3, 4, 5, 6, 7, 7, 7, 7, 7]
-    for fill in (timeseries.interpolate_time, timeseries.impute, timeseries.seasonal_impute):
-        assert filled(fill(series(spark, GAPS), chunk=chunk)) == expected
+    for fill in (timeseries.interpolate_time, timeseries.impute):
+        assert filled(fill(series(spark, GAPS))) == expected
+    assert filled(decompose.seasonal_impute(series(spark, GAPS), "recomposed")) == expected
 
 
 def test_time_weighting_and_all_null(spark):
@@ -67,10 +66,8 @@ def test_against_pandas(spark):
 def test_bad_arguments(spark):
     df = series(spark, GAPS)
     for call in (
-        lambda: timeseries.interpolate_time(df, chunk="century"),
         lambda: timeseries.interpolate_time_limited(df, 0),
-        lambda: timeseries.seasonal_impute(df, "other"),
-        lambda: timeseries.impute(df, 0),
+        lambda: decompose.seasonal_impute(df, "other"),
         lambda: decompose.seasonal_decompose(df, model="other"),
         lambda: decompose.seasonal_decompose(df, period=1),
         lambda: decompose.seasonal_decompose(df, period=7, strict=True),
@@ -79,13 +76,50 @@ def test_bad_arguments(spark):
             call()
 
 
-def test_chunks_get_finer_for_dense_series(spark):
+def test_a_dense_series_leaves_others_alone(spark):
+    sparse = series(spark, GAPS)
+    dense = spark.range(5000).select(
+        F.lit("dense").alias("sourceId"), F.lit("e").alias("elementId"),
+        F.timestamp_seconds(F.lit(1609459200) + F.col("id") * 30).alias("referenceTime"),
+        F.when(F.col("id") % 7 == 0, F.col("id").cast("double")).alias("value"))
+    both = sparse.select("sourceId", "elementId", "referenceTime", "value").unionByName(dense)
+    got = timeseries.interpolate_time_limited(both, 3)
+    assert filled(got.where("sourceId <> 'dense'")) == [
+        None, 1, 2, 3, 4, None, None, 7, 7, 7, 7, None]
+    line = got.where("sourceId = 'dense'").where("value IS NOT NULL")
+    at = (F.unix_timestamp("referenceTime") - 1609459200) / 30
+    assert line.where((F.abs(F.col("value") - at) > 1e-6) & (at < 4998)).isEmpty()
+    assert line.count() == 5000 - 3 * (5000 // 7)
+
+
+def test_tied_times_are_refused(spark):
     df = series(spark, GAPS)
-    keys, time = timeseries.SERIES_KEYS, "referenceTime"
-    assert timeseries.resolve_chunk(df, keys, time) == "month"
-    assert timeseries.resolve_chunk(df, keys, time, hot_rows=5) == "day"
-    assert timeseries.resolve_chunk(df, keys, time, "year", hot_rows=1) == "year"
-    assert timeseries.resolve_chunk(df.union(df), keys, time, hot_rows=1) == "second"
+    for fill in (timeseries.interpolate_time, timeseries.fill_forward_backward):
+        with pytest.raises(PySparkException):
+            fill(df.union(df)).collect()
+
+
+def test_decomposition_refuses_bad_values(spark):
+    with pytest.raises(PySparkException):
+        decompose.seasonal_decompose(series(spark, [1.0] * 9 + [None]), period=5).collect()
+    with pytest.raises(PySparkException):
+        decompose.seasonal_decompose(
+            series(spark, [1.0] * 9 + [0.0]), 5, "multiplicative").collect()
+
+
+def test_seasonal_fill_follows_the_season(spark):
+    x = [float(10 * (i % 6) + i / 10) for i in range(60)]
+    gaps = [None if 22 <= i < 32 else v for i, v in enumerate(x)]
+    got = filled(decompose.seasonal_impute(series(spark, gaps), period=6))
+    assert [g for g, v in zip(got, gaps) if v is not None] == [v for v in gaps if v is not None]
+    line = filled(timeseries.interpolate_time(series(spark, gaps)))
+    off = [sum(abs(a - b) for a, b in zip(f, x)) for f in (got, line)]
+    assert off[0] < off[1] / 2
+
+
+def test_rows_without_element_are_left_out(obs):
+    df = obs([("S", "2021-01-01", "PT0H", None, "1", ""), ("S", "2021-01-01", "PT0H", "a", "2", "")])
+    assert rows(timeseries.observation_grid(df), "elementId", "value") == [("a", 2.0)]
 
 
 def test_grid_and_imputation(obs):
@@ -137,17 +171,16 @@ def reference_decomposition(x, period, additive):
     return trend, seasonal, (detrended - seasonal if additive else detrended / seasonal)
 
 
-@pytest.mark.parametrize("period, model, block, hot", [
-    (7, "additive", 100_000, 1_000_000), (12, "additive", 30, 40),
-    (12, "multiplicative", 30, 1_000_000),
+@pytest.mark.parametrize("period, model, block", [
+    (7, "additive", 100_000), (12, "additive", 30), (12, "multiplicative", 30),
 ])
-def test_decomposition(spark, period, model, block, hot):
+def test_decomposition(spark, period, model, block):
     random = np.random.default_rng(1)
     x = 50 + np.arange(150) * 0.1 + 5 * np.sin(np.arange(150) * 2 * np.pi / period)
     x = x + random.normal(size=150)
     df = series(spark, [float(v) for v in x])
     got = decompose.seasonal_decompose(
-        df, period, model, block_rows=block, hot_rows=hot).orderBy("referenceTime").toPandas()
+        df, period, model, block_rows=block).orderBy("referenceTime").toPandas()
     parts = reference_decomposition(x, period, model == "additive")
     for name, expected in zip(("trend", "seasonal", "resid"), parts):
         np.testing.assert_allclose(got[name].values, expected, rtol=1e-9, atol=1e-9)

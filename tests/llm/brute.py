@@ -98,7 +98,7 @@ def statistics(text):
 
 
 def shingles(text, width=5):
-    w = [x.encode("utf-8") for x in []] or (text or "").lower().encode("utf-8", "surrogatepass").split()
+    w = (text or "").lower().encode("utf-8", "surrogatepass").split()
     if len(w) >= width:
         return frozenset(tuple(w[i:i + width]) for i in range(len(w) - width + 1))
     return frozenset([tuple(w)]) if w else frozenset()

@@ -7,5 +7,6 @@ from checks import (  # noqa: F401
     outlier_queries,
     predict_queries,
     series_queries,
+    source_queries,
     stats_queries,
 )

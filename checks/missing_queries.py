@@ -20,8 +20,7 @@ cmp AS (
          a.num AS left_value, b.num AS right_value
   FROM (SELECT * FROM obs WHERE sourceId = '{OSLO}') a
   FULL JOIN (SELECT * FROM obs WHERE sourceId = '{TROMSO}') b
-    ON a.d IS NOT DISTINCT FROM b.d AND a.timeOffset IS NOT DISTINCT FROM b.timeOffset
-   AND a.elementId IS NOT DISTINCT FROM b.elementId),
+    ON a.d = b.d AND a.timeOffset = b.timeOffset AND a.elementId = b.elementId),
 mis AS (
   SELECT *, 'Oslo' AS city FROM cmp WHERE left_value IS NULL AND right_value IS NOT NULL
   UNION ALL

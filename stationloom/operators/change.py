@@ -8,14 +8,16 @@ from pyspark.sql.window import Window
 
 from stationloom.operators.quantiles import aggregate_groups
 from stationloom.operators.select import (
+    ALL_OFFSETS,
     element_values,
     filter_period,
-    instant,
+    keep_min_offset,
     pick_offset,
 )
 from stationloom.operators.stats import check_statistic, measure
 from stationloom.schema import SERIES, TIME, VALUE
 
+# Codes of day, month and year.
 FREQUENCIES = ("D", "ME", "YE")
 
 
@@ -45,16 +47,12 @@ def period_stat(df: DataFrame, statistic: str = "mean", frequency: str = "ME",
     check_statistic(statistic)
     if frequency not in FREQUENCIES:
         raise ValueError(f"frequency must be one of {FREQUENCIES}")
-    rows = element_values(df, element_id, source_id, time_offset)
-    if time_offset is not None:
-        rows = filter_period(rows, start, end)
-    inside = F.col(TIME).isNotNull()
-    if start:
-        inside = inside & (F.col(TIME) >= instant(start))
-    if end:
-        inside = inside & (F.col(TIME) <= instant(end))
-    # Rows outside the range only help to resolve the offset.
-    rows = rows.withColumn("start", F.when(inside, _period_start(frequency)))
+    chosen = element_values(df, element_id, source_id, time_offset)
+    rows = filter_period(chosen, start, end)
+    if (start or end) and time_offset is None:
+        # The offset is a property of the whole series, the rows of the range.
+        rows, time_offset = keep_min_offset(rows, within=chosen), ALL_OFFSETS
+    rows = rows.withColumn("start", _period_start(frequency))
     quantiles, measures = measure(statistic, VALUE, "result", sample=False)
     groups = aggregate_groups(
         rows, [*SERIES, "start"], quantiles, measures

@@ -19,6 +19,7 @@ from stationloom.operators.select import (
     filter_day_of_year,
     filter_month,
     filter_year,
+    keep_min_offset,
     pick_offset,
 )
 from stationloom.schema import (
@@ -61,16 +62,12 @@ def month_stats(df: DataFrame, month: str, element_id: str | None = None,
                 source_id: str | None = None, time_offset: str | None = None,
                 strict: bool = False) -> DataFrame:
     """Mean, median and population std of one ``YYYY-MM``."""
-    rows = element_values(df, element_id, source_id, time_offset)
-    inside = F.trunc(TIME, "MM") == F.lit(f"{month}-01").cast("date")
-    if time_offset is not None:
-        rows = filter_month(rows, month)
-        groups = _month_measures(rows)
-    else:
-        # Values outside the month only help to resolve the offset.
-        rows = rows.withColumn(VALUE, F.when(inside, F.col(VALUE)))
-        groups = _month_measures(rows)
-    out = pick_offset(groups, time_offset).where(F.col("n") > 0).drop("n")
+    chosen = element_values(df, element_id, source_id, time_offset)
+    rows = filter_month(chosen, month)
+    if time_offset is None:
+        # The offset is a property of the whole series, the rows of the month.
+        rows = keep_min_offset(rows, within=chosen)
+    out = _month_measures(rows).where(F.col("n") > 0).drop("n")
     return require_rows(out, strict, f"no data points in {month}")
 
 
@@ -123,9 +120,10 @@ def yearly(df: DataFrame, aggregate: str = "mean", element_id: str | None = None
            time_offset: str | None = None, strict: bool = False) -> DataFrame:
     """Mean, sum, median or sample std of every year, or of one year."""
     check_statistic(aggregate, ("mean", "sum", "median", "std"))
-    rows = element_values(df, element_id, source_id, time_offset)
-    if year is not None and time_offset is not None:
-        rows = filter_year(rows, year)
+    chosen = element_values(df, element_id, source_id, time_offset)
+    rows = chosen if year is None else filter_year(chosen, year)
+    if year is not None and time_offset is None:
+        rows, time_offset = keep_min_offset(rows, within=chosen), ALL_OFFSETS
     rows = rows.withColumn("year", F.year(TIME))
     quantiles, measures = measure(aggregate, VALUE, "result", sample=True)
     groups = aggregate_groups(
@@ -135,8 +133,6 @@ def yearly(df: DataFrame, aggregate: str = "mean", element_id: str | None = None
     out = pick_offset(groups, time_offset).where(
         (F.col("n") > 0) & F.col("year").isNotNull()
     )
-    if year is not None:
-        out = out.where(F.col("year") == year)
     out = out.select(*SERIES, "year", F.col("result").alias(VALUE))
     return require_rows(out, strict, "no data after filtering")
 

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stationloom.functions import null_tokens_to_null, to_utc_timestamp
@@ -42,8 +42,8 @@ def read_observation_json(spark: SparkSession, path: str | Sequence[str],
         spark.read.schema(DOCUMENT_SCHEMA).option("multiLine", multi_line)
         .option("mode", "FAILFAST").json(path)
     )
-    missing = F.coalesce(F.size("data") <= 0, F.lit(True))
     if strict:
+        missing = _without_data()
         try:
             bad = not raw.where(missing).isEmpty()
         except (PySparkException, Py4JJavaError) as exc:
@@ -51,8 +51,24 @@ def read_observation_json(spark: SparkSession, path: str | Sequence[str],
         if bad:
             raise ValueError("document lacks 'data' or it is empty")
         return raw
+    return checked_documents(raw)
+
+
+def _without_data() -> Column:
+    return F.coalesce(F.size("data") <= 0, F.lit(True))
+
+
+def checked_documents(documents: DataFrame) -> DataFrame:
+    """Documents whose ``data`` is missing or empty fail the query that reads them."""
     problem = F.raise_error(F.lit("document lacks 'data' or it is empty"))
-    return raw.select(F.when(missing, problem).otherwise(F.col("data")).alias("data"))
+    return documents.select(
+        F.when(_without_data(), problem).otherwise(F.col("data")).alias("data"))
+
+
+def parse_documents(texts: DataFrame, column: str) -> DataFrame:
+    """Documents held as JSON text in a column; invalid text fails the query."""
+    parsed = F.from_json(F.col(column), DOCUMENT_SCHEMA, {"mode": "FAILFAST"})
+    return checked_documents(texts.select(parsed["data"].alias("data")))
 
 
 def flatten_observations(documents: DataFrame) -> DataFrame:
@@ -79,15 +95,24 @@ def _read_text_table(spark: SparkSession, path: str | Sequence[str]) -> DataFram
         if exc.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(f"no such input: {path}") from exc
         raise
+    return text_table(raw)
+
+
+def text_table(raw: DataFrame) -> DataFrame:
+    """Text columns without null tokens."""
     return raw.select(*[
         null_tokens_to_null(F.col(f"`{c}`")).alias(c) for c in raw.columns
     ])
 
 
+def observation_rows(table: DataFrame) -> DataFrame:
+    """Observations of a text table; unparseable times become null."""
+    return require_columns(table, [TIME]).withColumn(TIME, to_utc_timestamp(F.col(TIME)))
+
+
 def read_observation_csv(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """Observations from delimited files; unparseable times become null."""
-    raw = require_columns(_read_text_table(spark, path), [TIME])
-    return raw.withColumn(TIME, to_utc_timestamp(F.col(TIME)))
+    return observation_rows(_read_text_table(spark, path))
 
 
 def read_city_observations(spark: SparkSession, data_dir: str, city: str,
@@ -114,10 +139,12 @@ def read_missing_table(spark: SparkSession, path: str,
                        left_column: str = "oslo_value",
                        right_column: str = "tromso_value") -> DataFrame:
     """Missing table from delimited files; bad dates become null."""
-    raw = require_columns(
-        _read_text_table(spark, path),
-        ["date", OFFSET, ELEMENT, left_column, right_column],
-    )
+    return missing_rows(_read_text_table(spark, path), left_column, right_column)
+
+
+def missing_rows(table: DataFrame, left_column: str, right_column: str) -> DataFrame:
+    """Missing table of a text table; bad dates become null."""
+    raw = require_columns(table, ["date", OFFSET, ELEMENT, left_column, right_column])
     extra = ["city"] if "city" in raw.columns else []
     return raw.select(
         F.col("date").try_cast("date").alias("date"), OFFSET, ELEMENT,
@@ -130,8 +157,8 @@ def scan_observations(spark: SparkSession, path: str, sources: Sequence[str],
                       elements: Sequence[str], start: str, end: str) -> DataFrame:
     """Stations x elements x inclusive time range of a stored table.
 
-    On a table from ``write_observation_table`` the station and year
-    predicates prune directories, the others reach the file scan.
+    On a table from ``write_observation_table`` the year prunes directories, stations and
+    elements reach the file scan.
     """
     table = spark.read.parquet(path)
     return scan_selection(table, sources, elements, start, end).select(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks.registry import check, half_up, r, with_tables
-from checks.tables import OBSERVATIONS_SQL, observations
+from checks.tables import OBSERVATIONS_SQL, STATION_SERIES_SQL, observations, station_series
 from stationloom.functions import round_n
 from stationloom.operators import decompose, timeseries
 from stationloom.plans import decomposition
@@ -201,3 +201,27 @@ def _(spark, sf):
     cells, options = gridded(spark, sf)
     filled = decompose.seasonal_impute(cells, **options)
     return shown(filled.withColumn("value", round_n(F.col("value"), 6)))
+
+
+def stationed(df):
+    return df.select(
+        "sourceId", "elementId", F.col("referenceTime").cast("timestamp_ntz").alias("moment"), "value")
+
+
+@check("series_interpolated_limited", with_tables(STATION_SERIES_SQL, f"""
+    SELECT sourceId, elementId, ts AS moment, {r('''CASE WHEN num IS NOT NULL THEN num
+        WHEN x0 IS NOT NULL AND into_gap <= 3 THEN filled END''')} AS value FROM gaps"""))
+def _(spark, sf):
+    return stationed(timeseries.interpolate_time_limited(station_series(spark, sf), 3))
+
+
+@check("series_interpolated", with_tables(STATION_SERIES_SQL, f"""
+    SELECT sourceId, elementId, ts AS moment, {r('filled')} AS value FROM gaps"""))
+def _(spark, sf):
+    return stationed(timeseries.interpolate_time(station_series(spark, sf)))
+
+
+@check("series_filled", with_tables(STATION_SERIES_SQL, f"""
+    SELECT sourceId, elementId, ts AS moment, {r('COALESCE(y0, y1)')} AS value FROM gaps"""))
+def _(spark, sf):
+    return stationed(timeseries.fill_forward_backward(station_series(spark, sf)))

@@ -147,6 +147,51 @@ net_mo AS (SELECT o.* FROM net o JOIN net_best b USING (sourceId, elementId, tim
 """
 
 
+def station_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unique (station, element, instant) from ``lineitem``; one station holds a quarter of it.
+
+    Grows with the table in rows and in stations.
+    """
+    flag, supplier = F.col("l_returnflag"), F.col("l_suppkey")
+    at = F.col("l_shipdate").cast("timestamp") + F.make_dt_interval(
+        mins=(F.col("l_orderkey") % 1440).cast("int"))
+    rows = read(spark, sf_dir, "lineitem").groupBy(
+        F.when(supplier % 4 == 0, "SN0").otherwise(
+            F.concat(F.lit("SN"), supplier.cast("string"))).alias("sourceId"),
+        F.when(flag == "A", MEAN_TEMPERATURE).when(flag == "R", PRECIPITATION)
+        .otherwise(WIND).alias("elementId"),
+        at.alias("referenceTime"),
+    ).agg((F.floor(F.max("l_extendedprice")) / 10).alias("number"))
+    return rows.select(
+        "sourceId", "elementId", "referenceTime",
+        F.when(F.dayofmonth("referenceTime") != 13, F.col("number")).alias("value"))
+
+
+STATION_SERIES_SQL = f"""
+ser AS (
+  SELECT CASE WHEN l_suppkey % 4 = 0 THEN 'SN0' ELSE 'SN' || CAST(l_suppkey AS VARCHAR) END AS sourceId,
+         CASE l_returnflag WHEN 'A' THEN '{MEAN_TEMPERATURE}' WHEN 'R' THEN '{PRECIPITATION}' ELSE '{WIND}' END AS elementId,
+         CAST(l_shipdate AS TIMESTAMP) + to_minutes(CAST(l_orderkey % 1440 AS INTEGER)) AS ts,
+         CASE WHEN DAY(ts) <> 13 THEN FLOOR(MAX(l_extendedprice)) / 10 END AS num
+  FROM lineitem GROUP BY 1, 2, 3),
+near AS (
+  SELECT *, epoch(ts) AS x, ROW_NUMBER() OVER w AS rn,
+         LAST_VALUE(CASE WHEN num IS NOT NULL THEN epoch(ts) END IGNORE NULLS) OVER p AS x0,
+         LAST_VALUE(num IGNORE NULLS) OVER p AS y0,
+         FIRST_VALUE(CASE WHEN num IS NOT NULL THEN epoch(ts) END IGNORE NULLS) OVER f AS x1,
+         FIRST_VALUE(num IGNORE NULLS) OVER f AS y1
+  FROM ser
+  WINDOW w AS (PARTITION BY sourceId, elementId ORDER BY ts),
+         p AS (PARTITION BY sourceId, elementId ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+         f AS (PARTITION BY sourceId, elementId ORDER BY ts ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
+gaps AS (
+  SELECT *, rn - MAX(CASE WHEN num IS NOT NULL THEN rn END) OVER (PARTITION BY sourceId, elementId ORDER BY ts) AS into_gap,
+         CASE WHEN num IS NOT NULL THEN num WHEN x1 IS NULL THEN y0 WHEN x0 IS NULL THEN y1
+              ELSE y0 + (y1 - y0) * (x - x0) / (x1 - x0) END AS filled
+  FROM near)
+"""
+
+
 def event_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One observation per event: station = user, element = event type."""
     return read(spark, sf_dir, "events").select(

@@ -6,8 +6,6 @@ partial sums per task; scoring attaches the model row to the rows.
 
 from __future__ import annotations
 
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +20,7 @@ from stationloom.operators.select import (
     keep_min_offset,
 )
 from stationloom.operators.attach import attach
+from stationloom.plans.materialise import materialise
 from stationloom.schema import (
     ELEMENT,
     MAX_TEMPERATURE,
@@ -102,33 +101,66 @@ def standard_scale(df: DataFrame, columns: tuple[str, ...] = ("TMAX", "TMIN")) -
     }).drop(*added)
 
 
-def fit_rain_logistic(scaled: DataFrame, c: float = 1.0,
-                      columns: tuple[str, ...] = ("TMAX_z", "TMIN_z")):
-    """L2 logistic regression of one station's training rows.
+# Newton steps of the logistic fit; it starts from zero and is near its optimum after five.
+NEWTON_STEPS = 8
 
-    ``c`` is the inverse strength relative to the summed loss, so the mean-loss
-    form used by Spark takes ``1 / (c * n)``.
+_WEIGHTS = ["w0", "w1", "w2"]
+
+
+def fit_rain_logistic(scaled: DataFrame, c: float = 1.0, steps: int = NEWTON_STEPS,
+                      columns: tuple[str, str] = ("TMAX_z", "TMIN_z")) -> DataFrame:
+    """L2 logistic regression of every station: ``sourceId, n, w0, w1, w2``.
+
+    ``w0`` is the intercept, which carries no penalty; ``c`` is the inverse strength
+    relative to the summed loss. Each Newton step is one aggregate of slopes and
+    curvatures per station and a closed solution of three equations. A station whose
+    curvature vanishes keeps null weights.
     """
-    train = scaled.where("is_train")
-    n = train.count()
-    if n == 0:
-        raise ValueError("no training rows")
-    assembled = VectorAssembler(inputCols=list(columns), outputCol="features")
-    model = LogisticRegression(
-        regParam=1.0 / (c * n), elasticNetParam=0.0, standardization=False,
-        maxIter=100, tol=1e-8,
-    )
-    return model.fit(assembled.transform(train).select("features", "label"))
+    x = [F.lit(1.0), F.col(columns[0]), F.col(columns[1])]
+    train = materialise(scaled.where("is_train").select(SOURCE, "label", *columns))
+    model = train.groupBy(SOURCE).agg(
+        F.count(F.lit(1)).alias("n"), *[F.lit(0.0).alias(w) for w in _WEIGHTS])
+    pairs = [(i, j) for i in range(3) for j in range(i, 3)]
+    for _ in range(steps):
+        rows = attach(train, model, [SOURCE], ["n", *_WEIGHTS])
+        chance = 1 / (1 + F.exp(-(F.col("w0") + F.col("w1") * x[1] + F.col("w2") * x[2])))
+        rows = rows.withColumn("p", chance)
+        curve = F.col("p") * (1 - F.col("p"))
+        sums = rows.groupBy(SOURCE, "n", *_WEIGHTS).agg(
+            *[F.sum((F.col("p") - F.col("label")) * x[i]).alias(f"g{i}") for i in range(3)],
+            *[F.sum(curve * x[i] * x[j]).alias(f"h{i}{j}") for i, j in pairs],
+        )
+        slope = [F.col(f"g{i}") + (F.col(f"w{i}") / c if i else 0) for i in range(3)]
+        h = {(i, j): F.col(f"h{i}{j}") + (1 / c if i == j and i else 0) for i, j in pairs}
+        h |= {(j, i): v for (i, j), v in h.items()}
+        moved = _solve(h, slope)
+        model = sums.select(
+            SOURCE, "n", *[(F.col(w) - m).alias(w) for w, m in zip(_WEIGHTS, moved)])
+    return model
+
+
+def _solve(h: dict, g: list[Column]) -> list[Column]:
+    """Three linear equations by Cramer's rule."""
+    def det(m) -> Column:
+        return (m[0][0] * (m[1][1] * m[2][2] - m[1][2] * m[2][1])
+                - m[0][1] * (m[1][0] * m[2][2] - m[1][2] * m[2][0])
+                + m[0][2] * (m[1][0] * m[2][1] - m[1][1] * m[2][0]))
+
+    whole = F.nullif(det([[h[i, j] for j in range(3)] for i in range(3)]), F.lit(0.0))
+    return [
+        det([[g[i] if j == k else h[i, j] for j in range(3)] for i in range(3)]) / whole
+        for k in range(3)
+    ]
 
 
-def predict_rain_logistic(model, scaled: DataFrame,
-                          columns: tuple[str, ...] = ("TMAX_z", "TMIN_z")) -> DataFrame:
-    """Add the 0/1 ``prediction`` of a fitted logistic model."""
-    w = [float(x) for x in model.coefficients]
-    score = F.lit(float(model.intercept))
-    for weight, column in zip(w, columns):
-        score = score + F.lit(weight) * F.col(column)
-    return scaled.withColumn("prediction", F.when(score > 0, 1).otherwise(0))
+def predict_rain_logistic(model: DataFrame, scaled: DataFrame,
+                          columns: tuple[str, str] = ("TMAX_z", "TMIN_z")) -> DataFrame:
+    """Add the 0/1 ``prediction`` of each station's :func:`fit_rain_logistic`."""
+    joined = attach(scaled, model, [SOURCE], _WEIGHTS)
+    score = F.col("w0") + F.col("w1") * F.col(columns[0]) + F.col("w2") * F.col(columns[1])
+    return joined.withColumn(
+        "prediction", F.when(score.isNotNull(), F.when(score > 0, 1).otherwise(0))
+    ).drop(*_WEIGHTS)
 
 
 # Fixed value: share of the largest feature variance added to every variance.

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stationloom.schema import NULL_TOKENS, STATIONS
+from stationloom.schema import CITY_TEXTS, NULL_TOKENS, STATIONS, UNITS
 
 # Text that counts as a number. Spark alone would also take '5d', '5f', 'nan'
 # and hexadecimal floats.
@@ -15,6 +15,7 @@ _NUMBER = (
     r"|(?i:inf|infinity))\s*$"
 )
 
+# Grammar of offsets.
 _STRICT_OFFSET = r"^PT([0-9]+)H$"
 _LOOSE_OFFSET = r"PT(?:([0-9]+)H)?(?:([0-9]+)M)?"
 
@@ -96,31 +97,33 @@ def observation_instant(time: Column, offset: Column) -> Column:
     )
 
 
-def unit_of(element: Column) -> Column:
+def _first_fitting(text: Column, table: dict[str, str], otherwise: Column) -> Column:
+    """Value of the first key of ``table`` that ``text`` contains."""
+    result = None
+    for part, value in table.items():
+        holds = text.contains(part)
+        result = F.when(holds, value) if result is None else result.when(holds, value)
+    return otherwise if result is None else result.otherwise(otherwise)
+
+
+def unit_of(element: Column, units: dict[str, str] | None = None) -> Column:
     """Unit implied by the element name, empty text when none is."""
-    return (
-        F.when(element.contains("temperature"), "degC")
-        .when(element.contains("wind_speed"), "m/s")
-        .when(element.contains("precipitation_amount"), "mm")
-        .otherwise("")
-    )
+    return _first_fitting(element, UNITS if units is None else units, F.lit(""))
 
 
-def source_of(text: Column, strict: bool = True) -> Column:
-    """Station named by a path or city text.
+def source_of(text: Column, strict: bool = True,
+              cities: dict[str, str] | None = None) -> Column:
+    """Station named by a path or city text; ``cities`` maps part of it to a station.
 
     Text naming no known city fails the query when ``strict``, else gives NULL.
     """
-    lowered = F.lower(text)
+    if cities is None:
+        cities = {part: STATIONS[slug] for part, slug in CITY_TEXTS.items()}
     unknown = (
         F.raise_error(F.concat(F.lit("no station in text: "), text)).cast("string")
         if strict else F.lit(None).cast("string")
     )
-    return (
-        F.when(lowered.contains("oslo"), STATIONS["oslo"])
-        .when(lowered.contains("troms"), STATIONS["tromso"])
-        .otherwise(unknown)
-    )
+    return _first_fitting(F.lower(text), cities, unknown)
 
 
 def year_month(c: Column) -> Column:

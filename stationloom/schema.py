@@ -37,6 +37,12 @@ OBSERVED_ELEMENTS = [
 # City slug -> station.
 STATIONS = {"oslo": "SN18700:0", "tromso": "SN90450:0"}
 
+# Part of a text that names a city -> its slug; the first that fits counts.
+CITY_TEXTS = {"oslo": "oslo", "troms": "tromso"}
+
+# Part of an element's name -> unit; the first that fits counts.
+UNITS = {"temperature": "degC", "wind_speed": "m/s", "precipitation_amount": "mm"}
+
 # Text tokens a delimited scan reads as missing.
 NULL_TOKENS = [
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",

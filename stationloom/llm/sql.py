@@ -4,6 +4,19 @@ from __future__ import annotations
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
+OP2 = r"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT * FROM (VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]'))),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS rn, count(*) OVER (PARTITION BY conv_id) AS n,
+    length('<s>[INST][/INST]</s>') + length(regexp_replace(role || text, '([\\<\[])', '\1\1', 'g')) AS size FROM c),
+p AS (SELECT *, sum(size) OVER (PARTITION BY conv_id ORDER BY rn) AS upto FROM o)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY rn)) AS turns_sha256,
+    coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY rn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+    sum(CASE WHEN role = 'assistant' OR rn = n THEN upto END)::BIGINT AS formatted_chars
+FROM p GROUP BY conv_id
+"""
+
 OP3 = r"""
 WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
 n AS (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS i FROM d),
@@ -39,6 +52,7 @@ FROM c JOIN n ON c.item_id = n.item_id WHERE n_common >= 0.8 * n_shingles - 1e-9
 """
 
 ORACLES: dict[str, str] = {
+    "op2_chat_formatting": OP2,
     "op3_line_dedup": OP3,
     "op5_benchmark_decontamination": OP5,
     "op7_substring_dedup": OP7,

@@ -9,6 +9,7 @@ sent once, so an entry that every document holds costs one entry per block.
 from __future__ import annotations
 
 import math
+import tempfile
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,12 +20,13 @@ BLOCK_BYTES = 16_000_000
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
-    """The shared folder for intermediate tables, from ``spark.checkpoint.dir``; a local one only where it is unset."""
+    """The shared folder for intermediate tables, from ``spark.checkpoint.dir``; its own only in local mode, as in tests."""
     context = spark.sparkContext
     if not context.getCheckpointDir():
         folder = context.getConf().get("spark.checkpoint.dir", None)
         if folder is None:
-            import tempfile
+            if not context.master.startswith("local[") and context.master != "local":
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             folder = tempfile.mkdtemp(prefix="checkpoint-")
         context.setCheckpointDir(folder)
     return context.getCheckpointDir()
@@ -44,7 +46,7 @@ def block_counts(spark: SparkSession, n_bytes: int, block_bytes: int = BLOCK_BYT
     """Numbers of blocks and shards: in proportion to the text, and enough for the session's shuffle partitions."""
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     shards = max(partitions, math.ceil(n_bytes / block_bytes))
-    return 3 * shards, shards
+    return 2 * shards, shards
 
 
 def block_of(doc_id: Column, text: Column, n_blocks: int) -> Column:

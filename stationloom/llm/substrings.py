@@ -63,13 +63,12 @@ def _block_cells(frame: pd.DataFrame, width: int, row: int, bits: int) -> tuple[
 
 def _candidates(frame: pd.DataFrame, bits_rows: pd.DataFrame, width: int, depth: int, bits: int):
     """Candidate windows of a block: row, first word in the block's words, two hashes, the id; ascending by hash."""
-    back = {row: [part for _, part in sorted(zip(g["shard"], zip(g["bits"], g["n"]), strict=True))]
-            for row, g in bits_rows[bits_rows["row"] >= 0].groupby("row")}
+    back = bits_rows[~bits_rows["exact"]].sort_values("shard")
     hot = []
     for row in range(depth):
         cells, _ = _block_cells(frame, width, row, bits)
-        parts = [B.flags_of(p, n) for p, n in back.get(row, [])]
-        hot.append(cells[np.concatenate(parts)] if parts else cells[:0])
+        hits = [B.flags_of(p[row], n[row]) for p, n in zip(back["bits"], back["n"], strict=True)]
+        hot.append(cells[np.concatenate(hits)] if hits else cells[:0])
     ids, out, base = _ids(frame), [], 0
     for words, a, at, (h, g) in _windows(frame, width, (0, 1)):
         keep = np.ones(len(at), dtype=bool)
@@ -90,31 +89,33 @@ def _candidates(frame: pd.DataFrame, bits_rows: pd.DataFrame, width: int, depth:
 
 def _sketch(n_shards: int, width: int, depth: int, bits: int):
     def part(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        rows = []
+        parts = [[] for _ in range(n_shards)]
         for row in range(depth):
             cells, twice = _block_cells(frame, width, row, bits)
             cut = B.cuts(cells, n_shards, bits)
             packed = cells * np.uint64(2) + twice
-            rows += [(key[0], row, k, B.pack_sorted(packed[a:b])) for k, (a, b) in enumerate(zip(cut, cut[1:], strict=False)) if b > a]
-        return pd.DataFrame(rows, columns=["block", "row", "shard", "cells"])
+            for own, a, b in zip(parts, cut, cut[1:], strict=False):
+                own.append(B.pack_sorted(packed[a:b]))
+        return pd.DataFrame([(key[0], k, own) for k, own in enumerate(parts) if any(own)], columns=["block", "shard", "cells"])
     return part
 
 
-def _merge(n_shards: int, bits: int):
+def _merge(n_shards: int, depth: int, bits: int):
     """Adds the parts of one shard of the sketch; a sum of two is all that matters."""
     def merged(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        shard = int(key[1])
+        shard = int(key[0])
         low, high = (shard << bits) // n_shards, ((shard + 1) << bits) // n_shards
-        sums = np.zeros(high - low, dtype=np.uint8)
-        for packed in frame["cells"]:
-            got = B.unpack_sorted(packed)
-            cell = (got >> np.uint64(1)).astype(np.int64) - low
-            sums[cell] = np.minimum(sums[cell] + 1 + (got & np.uint64(1)).astype(np.uint8), 2)
-        rows = []
-        for block, packed in zip(frame["block"], frame["cells"], strict=True):
-            cell = (B.unpack_sorted(packed) >> np.uint64(1)).astype(np.int64) - low
-            rows.append((block, key[0], shard, len(cell), B.bits_of(sums[cell] >= 2)))
-        return pd.DataFrame(rows, columns=["block", "row", "shard", "n", "bits"])
+        answers = [[] for _ in range(len(frame))]
+        for row in range(depth):
+            sums = np.zeros(high - low, dtype=np.uint8)
+            for packed in frame["cells"]:
+                got = B.unpack_sorted(packed[row])
+                cell = (got >> np.uint64(1)).astype(np.int64) - low
+                sums[cell] = np.minimum(sums[cell] + 1 + (got & np.uint64(1)).astype(np.uint8), 2)
+            for own, packed in zip(answers, frame["cells"], strict=True):
+                own.append(sums[(B.unpack_sorted(packed[row]) >> np.uint64(1)).astype(np.int64) - low] >= 2)
+        return pd.DataFrame({"block": frame["block"], "exact": False, "shard": shard, "n": [[len(x) for x in own] for own in answers],
+                             "bits": [[B.bits_of(x) for x in own] for own in answers]})
     return merged
 
 
@@ -151,7 +152,8 @@ def _smallest(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
     least = np.empty(len(h), dtype=np.int64)
     least[order] = ordered[np.flatnonzero(new)][np.cumsum(new) - 1]
     smaller = np.split(least < doc, np.cumsum(sizes)[:-1])
-    return pd.DataFrame({"block": frame["block"], "row": -1, "shard": int(key[0]), "n": sizes, "bits": [B.bits_of(x) for x in smaller]})
+    return pd.DataFrame({"block": frame["block"], "exact": True, "shard": int(key[0]), "n": [[n] for n in sizes],
+                         "bits": [[B.bits_of(x)] for x in smaller]})
 
 
 def _finish(width: int, depth: int, bits: int):
@@ -160,8 +162,9 @@ def _finish(width: int, depth: int, bits: int):
         if not len(frame):
             return pd.DataFrame({"doc_id": [], "n_words": [], "n_removed": [], "kept": []})
         h, g, doc, at, new = _candidates(frame, bits_rows, width, depth, bits)
-        parts = sorted(bits_rows[bits_rows["row"] < 0][["shard", "bits", "n"]].itertuples(index=False, name=None))
-        smaller = np.concatenate([B.flags_of(p, n) for _, p, n in parts]) if parts else np.zeros(0, dtype=bool)
+        back = bits_rows[bits_rows["exact"]].sort_values("shard")
+        flags = [B.flags_of(p[0], n[0]) for p, n in zip(back["bits"], back["n"], strict=True)]
+        smaller = np.concatenate(flags) if flags else np.zeros(0, dtype=bool)
         group = np.cumsum(new) - 1
         least = doc[np.flatnonzero(new)][group] if len(doc) else doc
         repeated = np.sort(at[smaller[group] | (doc > least)]) if len(doc) else at
@@ -202,9 +205,9 @@ def remove_repeated_windows(docs: DataFrame, width: int = 50, depth: int = 2, lo
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     rows = rows.withColumn("block", B.block_of(F.col("doc_id"), F.col("text"), n_blocks))
     parts = rows.groupBy("block").applyInPandas(
-        _sketch(n_shards, width, depth, bits), "block int, row int, shard int, cells binary")
-    flags = "block int, row int, shard int, n int, bits binary"
-    hot = parts.groupBy("row", "shard").applyInPandas(_merge(n_shards, bits), flags)
+        _sketch(n_shards, width, depth, bits), "block int, shard int, cells array<binary>")
+    flags = "block int, exact boolean, shard int, n array<int>, bits array<binary>"
+    hot = parts.groupBy("shard").applyInPandas(_merge(n_shards, depth, bits), flags)
     exact = rows.groupBy("block").cogroup(hot.groupBy("block")).applyInPandas(
         _exact(n_shards, width, depth, bits), "block int, shard int, hashes binary, docs binary")
     smaller = exact.groupBy("shard").applyInPandas(_smallest, flags)

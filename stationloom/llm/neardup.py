@@ -8,9 +8,11 @@ signatures agree estimates their probability Jaccard similarity.
 
 Equal texts become one vertex. Bands of registers give buckets; links from the first
 member of a bucket to all others are verified on the exact sets of shingles. Members
-of a bucket that are connected by then need no more comparison; the others are
-compared with each other in blocks, so no link between different texts is left out
-and a group of near copies costs links in proportion to its size.
+of a bucket that are connected by then need no more comparison. Where a bucket still
+holds several classes, its members are compared by signature in blocks, which gives
+families, and the members of a family by their exact sets. Both give no more links than
+join classes, so a group of near copies costs links in proportion to its size and no
+link between different texts is left out.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ from .words import Words, mix, spans
 SHINGLE = 5
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 #: Members of a bucket compared in one task.
-PAIR_BLOCK = 1024
+PAIR_BLOCK = 512
 
 
 def shingles(words: Words, hashes: np.ndarray, width: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -134,12 +136,16 @@ def _shingle_sets(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInPandas(sets, "key binary, set array<long>")
 
 
+def _sets_of(keys: DataFrame, docs: DataFrame, vertices: DataFrame) -> DataFrame:
+    """``key, set`` of the shingles behind some keys; ``vertices`` gives a document id for each key."""
+    ids = vertices.join(keys, "key", "left_semi").select(F.col("doc_id").alias("id")).distinct()
+    texts = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
+    return _shingle_sets(texts.select("text")).filter(F.col("key").isNotNull()).dropDuplicates(["key"])
+
+
 def _verify(pairs: DataFrame, docs: DataFrame, vertices: DataFrame, threshold: float) -> DataFrame:
-    """Those ``a, b`` whose sets of shingles are similar enough; ``vertices`` gives a document id for each key."""
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-    ids = vertices.join(ends, "key", "left_semi").select(F.col("doc_id").alias("id"))
-    texts = docs.join(ids.distinct(), F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
-    sets = _shingle_sets(texts.select("text")).filter(F.col("key").isNotNull()).dropDuplicates(["key"])
+    """Those ``a, b`` whose sets of shingles are similar enough."""
+    sets = _sets_of(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), docs, vertices)
     joined = (pairs.join(sets.select(F.col("key").alias("a"), F.col("set").alias("set_a")), "a")
               .join(sets.select(F.col("key").alias("b"), F.col("set").alias("set_b")), "b"))
     common = F.size(F.array_intersect("set_a", "set_b"))
@@ -166,30 +172,87 @@ def components(edges: DataFrame) -> DataFrame:
         labels = labels.select("v", "label")
 
 
-def _apart(members: DataFrame, registers: int, least_share: float) -> DataFrame:
-    """Pairs of members of one bucket that are not connected and whose signatures leave similarity possible."""
-    blocks = members.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("n"))
-    blocks = blocks.filter(F.col("low") != F.col("high")).select("bucket", F.ceil(F.col("n") / PAIR_BLOCK).cast("int").alias("parts"))
-    own = members.join(blocks, "bucket").withColumn("part", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int"))
-    # a part meets itself and every other part once
-    meets = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    meets = meets.select("bucket", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"), "part", "key", "label", "size", "marks")
-
-    def compare(group: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        _, p, q = group
-        left = frame[frame["part"] == p]
-        right = left if p == q else frame[frame["part"] == q]
-        out: list[tuple[bytes, bytes]] = []
+class _Forest:
+    """Labels joined so far."""
+
+    def __init__(self) -> None:
+        self.up: dict[bytes, bytes] = {}
+
+    def root(self, label: bytes) -> bytes:
+        while (above := self.up.get(label, label)) != label:
+            self.up[label] = self.up.get(above, above)
+            label = above
+        return label
+
+    def join(self, a: bytes, b: bytes) -> bool:
+        a, b = self.root(a), self.root(b)
+        if a != b:
+            self.up[a] = b
+        return a != b
+
+
+def _meetings(members: DataFrame, group: str, extra: list[str]) -> DataFrame:
+    """Members of the groups that hold several labels, in parts; each part meets itself and every other part once."""
+    parts = members.groupBy(group).agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("n"))
+    parts = parts.filter(F.col("low") != F.col("high")).select(group, F.ceil(F.col("n") / PAIR_BLOCK).cast("int").alias("parts"))
+    own = members.join(parts, group).withColumn("part", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int"))
+    met = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    met = met.select(group, F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"), "part", "key", "label", *extra)
+    # few bytes, much work: keep all partitions
+    return met.repartition(int(members.sparkSession.conf.get("spark.sql.shuffle.partitions")), group, "p", "q")
+
+
+def _sides(key: tuple, frame: pd.DataFrame) -> tuple[pd.DataFrame, pd.DataFrame]:
+    _, p, q = key
+    left = frame[frame["part"] == p]
+    return left, left if p == q else frame[frame["part"] == q]
+
+
+def _likely(members: DataFrame, registers: int, least_share: float) -> DataFrame:
+    """Links between labels of one bucket whose signatures leave similarity possible: a spanning forest, not all pairs."""
+    def compare(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        left, right = _sides(key, frame)
+        out, forest = [], _Forest()
         if len(left) and len(right):
             marks = np.frombuffer(b"".join(right["marks"]), dtype=np.uint8).reshape(len(right), registers)
             keys, labels, sizes = right["key"].to_numpy(), right["label"].to_numpy(), right["size"].to_numpy()
-            for key, label, size, mark in zip(left["key"], left["label"], left["size"], left["marks"], strict=True):
+            for own, label, size, mark in zip(left["key"], left["label"], left["size"], left["marks"], strict=True):
                 same = (marks == np.frombuffer(mark, dtype=np.uint8)).sum(axis=1)
                 close = np.flatnonzero((same >= least_share * registers) & (labels != label) & (np.minimum(sizes, size) >= 0.8 * np.maximum(sizes, size) - 1e-9))
-                out += [(min(key, keys[i]), max(key, keys[i])) for i in close if p != q or key < keys[i]]
+                out += [(own, keys[i]) for i in close if forest.join(label, labels[i])]
+        return pd.DataFrame(out, columns=["a", "b"])
+
+    return _meetings(members, "bucket", ["size", "marks"]).groupBy("bucket", "p", "q").applyInPandas(compare, "a binary, b binary")
+
+
+def _similar(members: DataFrame, threshold: float) -> DataFrame:
+    """Links between labels of one family by exact similarity of all its members: again a spanning forest."""
+    def compare(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        left, right = _sides(key, frame)
+        out, forest = [], _Forest()
+        if len(left) and len(right):
+            sizes = [np.array([len(x) for x in side["set"]]) for side in (left, right)]
+            flat = [np.concatenate(list(side["set"])) for side in (left, right)]
+            shared = np.intersect1d(flat[0], flat[1])
+            at = [np.searchsorted(shared, f) for f in flat]
+            row = [np.repeat(np.arange(len(n)), n) for n in sizes]
+            held = [(a < len(shared)) & (shared[np.minimum(a, max(0, len(shared) - 1))] == f) if len(shared) else np.zeros(len(f), bool)
+                    for a, f in zip(at, flat, strict=True)]
+            common = np.zeros((len(left), len(right)), dtype=np.float32)
+            for low in range(0, len(shared), 4096):
+                tables = []
+                for a, r, h, n in zip(at, row, held, sizes, strict=True):
+                    sel = h & (a >= low) & (a < low + 4096)
+                    table = np.zeros((len(n), 4096), dtype=np.float32)
+                    table[r[sel], a[sel] - low] = 1
+                    tables.append(table)
+                common += tables[0] @ tables[1].T
+            near = common >= threshold * (sizes[0][:, None] + sizes[1][None, :] - common) - 1e-6
+            keys, labels = [side["key"].tolist() for side in (left, right)], [side["label"].tolist() for side in (left, right)]
+            out = [(keys[0][i], keys[1][j]) for i, j in zip(*np.nonzero(near), strict=True) if forest.join(labels[0][i], labels[1][j])]
         return pd.DataFrame(out, columns=["a", "b"])
 
-    return meets.groupBy("bucket", "p", "q").applyInPandas(compare, "a binary, b binary").distinct()
+    return _meetings(members, "family", ["set"]).groupBy("family", "p", "q").applyInPandas(compare, "a binary, b binary")
 
 
 def near_duplicates(docs: DataFrame, threshold: float = 0.8, bands: int = 28, rows: int = 5) -> DataFrame:
@@ -212,11 +275,17 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, bands: int = 28, ro
     labels = components(links)
     members = (shared.select("bucket", "key").join(labels.withColumnRenamed("v", "key"), "key", "left")
                .withColumn("label", F.coalesce("label", "key")).join(vertices.select("key", "size", "marks"), "key"))
-    # estimates scatter by 0.04; weights of repeated shingles move them further
-    rest = B.checkpointed(_apart(members, bands * rows, threshold - 0.25))
-    more = B.checkpointed(_verify(rest, docs, ids, threshold))
-    if not more.isEmpty():
-        labels = components(links.union(more))
+    # estimates scatter by 0.034, and weights of repeated shingles move them a little more
+    likely = B.checkpointed(_likely(members, bands * rows, threshold - 0.15))
+    if not likely.isEmpty():
+        families = components(links.union(likely))
+        inside = (families.withColumnsRenamed({"v": "key", "label": "family"}).join(labels.withColumnRenamed("v", "key"), "key", "left")
+                  .withColumn("label", F.coalesce("label", "key")))
+        mixed = inside.groupBy("family").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter(F.col("low") != F.col("high"))
+        inside = B.checkpointed(inside.join(mixed.select("family"), "family", "left_semi"))
+        more = B.checkpointed(_similar(inside.join(_sets_of(inside, docs, ids), "key"), threshold))
+        if not more.isEmpty():
+            labels = components(links.union(more))
     named = (signed.select("doc_id", "key", F.col("size").alias("n_shingles")).join(labels.withColumnRenamed("v", "key"), "key", "left")
              .withColumn("label", F.coalesce("label", "key")))
     named = B.checkpointed(named)

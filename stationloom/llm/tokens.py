@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -12,11 +13,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .transducer import MAX_PIECES, SPECIAL, Merges, TokenCounter, piece_starts
+from .transducer import MAX_PIECES, SPECIAL, Known, Merges, TokenCounter, byte_alphabet, piece_starts
 from .words import spans
 
 #: Characters taken together.
-BATCH_CHARS = 2_000_000
+BATCH_CHARS = 1_000_000
 
 
 @lru_cache(maxsize=2)
@@ -85,7 +86,7 @@ def count_tokens(docs: DataFrame, vocabulary: str, limit: int = 512) -> DataFram
 class Encoder:
     """Ids of texts by the ``tokenizers`` library; a piece that was met before is taken from memory.
 
-    The library is asked for each distinct piece on its own, which is exact because merges never cross pieces.
+    The library's model is asked for each distinct piece on its own, which is exact because merges never cross pieces.
     """
 
     def __init__(self, path: str) -> None:
@@ -93,20 +94,25 @@ class Encoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.special = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
-        self.known: dict[str, np.ndarray] = {}
+        self.model, self.letters = self.tokenizer.model, {b: c for c, b in byte_alphabet().items()}
+        self.known = Known(2 * MAX_PIECES)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in order, and the number of ids of each text."""
-        if len(self.known) > MAX_PIECES:
-            self.known.clear()
+        self.known.turn()
         pieces, doc, _ = split_pieces(texts, list(self.special))
         known = self.known
-        new = list({p for p in pieces if p not in known})
-        for k in range(0, len(new), 10_000):
-            part = new[k:k + 10_000]
-            for p, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                known[p] = np.array(e.ids, dtype=np.uint32).tobytes()
         found = list(map(known.__getitem__, pieces))
+        missing = [i for i, x in enumerate(found) if x is None] if None in found else []
+        for p in {pieces[i] for i in missing}:
+            if p in self.special:
+                ids = [self.special[p]]
+            else:
+                spelled = p.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.letters)
+                ids = [t.id for t in self.model.tokenize(spelled)]
+            known[p] = array("I", ids).tobytes()
+        for i in missing:
+            found[i] = known[pieces[i]]
         sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 4
         ids = np.frombuffer(b"".join(found), dtype=np.uint32)
         return ids, np.bincount(doc, weights=sizes, minlength=len(texts)).astype(np.int64)

@@ -23,9 +23,9 @@ from functools import lru_cache
 import numpy as np
 
 #: Transitions kept at once; beyond, compilation starts anew.
-MAX_TRANSITIONS = 2_000_000
-#: Counts of pieces kept at once.
-MAX_PIECES = 1_000_000
+MAX_TRANSITIONS = 400_000
+#: Pieces kept in each of two generations.
+MAX_PIECES = 300_000
 CHUNK = 256
 #: Characters after which the runs of one chunk are compared.
 MEET = 8
@@ -168,6 +168,25 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}
 
 
+class Known(dict):
+    """Values of pieces met before, in bounded memory: when it is full, what is not met again is forgotten."""
+
+    def __init__(self, limit: int = MAX_PIECES) -> None:
+        super().__init__()
+        self.limit, self.old = limit, {}
+
+    def turn(self) -> None:
+        if len(self) > self.limit:
+            self.old = dict(self)
+            self.clear()
+
+    def __missing__(self, piece: str):
+        value = self.old.get(piece)
+        if value is not None:
+            self[piece] = value
+        return value
+
+
 class Merges:
     """Vocabulary and merges of a byte-level tokenizer file."""
 
@@ -226,7 +245,7 @@ class TokenCounter:
             self.token[node] = t
         self.right, self.left, self.pairs = merges.spines()
         self.fits: dict[int, bool] = {}
-        self.known: dict[str, int] = {}
+        self.known = Known()
         self._reset()
 
     def _reset(self) -> None:
@@ -289,14 +308,13 @@ class TokenCounter:
 
     def count_pieces(self, pieces: list[str]) -> np.ndarray:
         known = self.known
-        if len(known) > MAX_PIECES:
-            known.clear()
-        found = list(map(known.get, pieces))
+        known.turn()
+        found = list(map(known.__getitem__, pieces))
         if None in found:
             for i, n in enumerate(found):
                 if n is None:
                     p = pieces[i]
-                    n = known.get(p)
+                    n = known[p]
                     if n is None:
                         n = known[p] = self.count(p.encode("utf-8", "surrogatepass"))
                     found[i] = n

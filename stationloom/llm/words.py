@@ -15,7 +15,7 @@ import numpy as np
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 #: Texts are taken together up to this many bytes; a longer text is taken alone.
-BATCH_BYTES = 4_000_000
+BATCH_BYTES = 1_000_000
 
 
 def mix(x: np.ndarray) -> np.ndarray:

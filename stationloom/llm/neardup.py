@@ -1,10 +1,11 @@
 """Near-duplicate documents by ProbMinHash, banding and exact verification.
 
-A document is a weighted set of shingles: five words each, lower-cased, with weight
-``1 + ln(count)``. Each shingle is a Poisson process of rate its weight; arrivals fall
-on random registers, and a register keeps its first arrival. Processing stops as soon
-as no later arrival can be first anywhere. The share of registers in which two
-signatures agree estimates their probability Jaccard similarity.
+A document is its set of shingles: five words each, lower-cased, each of weight one,
+because links are verified on sets. Each shingle is a Poisson process of rate its
+weight; arrivals fall on random registers, and a register keeps its first arrival.
+Processing stops as soon as no later arrival can be first anywhere. The share of
+registers in which two signatures agree estimates their probability Jaccard similarity,
+which for weights of one is the Jaccard similarity of the sets.
 
 Equal texts become one vertex. Bands of registers give buckets; links from the first
 member of a bucket to all others are verified on the exact sets of shingles. Members
@@ -52,15 +53,14 @@ def _chain(hashes: np.ndarray) -> np.uint64:
     return out[0]
 
 
-def weighted_shingles(words: Words, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct shingles by text: hash, text, count."""
+def distinct_shingles(words: Words, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct shingles by text: hash, text."""
     found, docs = shingles(words, hashes)
     order = np.lexsort((found, docs))
     found, docs = found[order], docs[order]
     new = np.ones(len(found), dtype=bool)
     new[1:] = (found[1:] != found[:-1]) | (docs[1:] != docs[:-1])
-    first = np.flatnonzero(new)
-    return found[first], docs[first], np.diff(np.append(first, len(found)))
+    return found[new], docs[new]
 
 
 def prob_min_hash(elements: np.ndarray, docs: np.ndarray, weights: np.ndarray, n_docs: int, registers: int) -> np.ndarray:
@@ -109,9 +109,9 @@ def signatures(docs: DataFrame, bands: int, rows: int) -> DataFrame:
             texts, ids = frame["text"].tolist(), frame["doc_id"].astype("Int64").array
             for a, b in spans(texts):
                 words = Words(_lowered(texts[a:b]))
-                found, doc, count = weighted_shingles(words, words.hashes())
+                found, doc = distinct_shingles(words, words.hashes())
                 size = np.bincount(doc, minlength=b - a)
-                sig = prob_min_hash(found, doc, 1 + np.log(count), b - a, registers)
+                sig = prob_min_hash(found, doc, np.ones(len(found)), b - a, registers)
                 band = np.zeros((b - a, bands), dtype=np.uint64) + np.arange(1, bands + 1, dtype=np.uint64) * _STEP
                 for r in range(rows):
                     band = mix(band + sig[:, r::rows])
@@ -129,7 +129,7 @@ def _shingle_sets(docs: DataFrame) -> DataFrame:
             texts = frame["text"].tolist()
             for a, b in spans(texts):
                 words = Words(_lowered(texts[a:b]))
-                found, doc, _ = weighted_shingles(words, words.hashes())
+                found, doc = distinct_shingles(words, words.hashes())
                 cut = np.searchsorted(doc, np.arange(1, b - a))
                 yield pd.DataFrame({"key": _keys(words), "set": np.split(found.view(np.int64), cut)})
 
@@ -208,7 +208,7 @@ def _sides(key: tuple, frame: pd.DataFrame) -> tuple[pd.DataFrame, pd.DataFrame]
     return left, left if p == q else frame[frame["part"] == q]
 
 
-def _likely(members: DataFrame, registers: int, least_share: float) -> DataFrame:
+def _likely(members: DataFrame, registers: int, threshold: float, least_share: float) -> DataFrame:
     """Links between labels of one bucket whose signatures leave similarity possible: a spanning forest, not all pairs."""
     def compare(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         left, right = _sides(key, frame)
@@ -218,7 +218,7 @@ def _likely(members: DataFrame, registers: int, least_share: float) -> DataFrame
             keys, labels, sizes = right["key"].to_numpy(), right["label"].to_numpy(), right["size"].to_numpy()
             for own, label, size, mark in zip(left["key"], left["label"], left["size"], left["marks"], strict=True):
                 same = (marks == np.frombuffer(mark, dtype=np.uint8)).sum(axis=1)
-                close = np.flatnonzero((same >= least_share * registers) & (labels != label) & (np.minimum(sizes, size) >= 0.8 * np.maximum(sizes, size) - 1e-9))
+                close = np.flatnonzero((same >= least_share * registers) & (labels != label) & (np.minimum(sizes, size) >= threshold * np.maximum(sizes, size) - 1e-9))
                 out += [(own, keys[i]) for i in close if forest.join(label, labels[i])]
         return pd.DataFrame(out, columns=["a", "b"])
 
@@ -258,12 +258,9 @@ def _similar(members: DataFrame, threshold: float) -> DataFrame:
 def near_duplicates(docs: DataFrame, threshold: float = 0.8, bands: int = 28, rows: int = 5) -> DataFrame:
     """``doc_id, class_id, n_shingles`` of every row; rows of one class are connected by similarities of ``threshold`` or more.
 
-    Similarity is that of the sets of lower-cased five-word shingles. ``class_id`` is the least id of the class. A text
-    of one to four words is one shingle; null texts and texts without words are alone in their classes, each under its
-    own id. Equal texts are one class even under one id; a class without any id has none. Other columns are not read.
+    A row whose text is null or has no words is alone in its class and has no label. The rest is as for :func:`near_duplicates`.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    signed = B.checkpointed(signatures(docs, bands, rows))
     vertices = B.checkpointed(signed.filter(F.col("key").isNotNull()).groupBy("key").agg(
         F.min("doc_id").alias("doc_id"), F.first("size").alias("size"), F.first("bands").alias("bands"), F.first("marks").alias("marks")))
     buckets = B.checkpointed(vertices.select("key", F.explode("bands").alias("bucket")))
@@ -275,8 +272,8 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, bands: int = 28, ro
     labels = components(links)
     members = (shared.select("bucket", "key").join(labels.withColumnRenamed("v", "key"), "key", "left")
                .withColumn("label", F.coalesce("label", "key")).join(vertices.select("key", "size", "marks"), "key"))
-    # estimates scatter by 0.034, and weights of repeated shingles move them a little more
-    likely = B.checkpointed(_likely(members, bands * rows, threshold - 0.15))
+    # estimates of 0.8 scatter by 0.034
+    likely = B.checkpointed(_likely(members, bands * rows, threshold, threshold - 0.15))
     if not likely.isEmpty():
         families = components(links.union(likely))
         inside = (families.withColumnsRenamed({"v": "key", "label": "family"}).join(labels.withColumnRenamed("v", "key"), "key", "left")

@@ -108,6 +108,25 @@ def test_near_duplicate_family(spark):
     assert [found[i] for i in range(700)] == expected
 
 
+def test_near_duplicates_with_repeated_passages(spark):
+    """Copies that say a passage 5 to 50 times, close as sets and far as weighted sets, in crowded buckets."""
+    rng = random.Random(6)
+    rows, n = [], 0
+    for family in range(12):
+        base = [f"w{family}x{rng.randrange(5000)}" for _ in range(204)]
+        for _ in range(12):
+            own, at = list(base), rng.randrange(140)
+            own[at:at + 60] = own[at:at + 60] * rng.randint(5, 50)
+            rows.append((n, " ".join(own + [f"n{rng.randrange(10**6)}" for _ in range(rng.choice([12, 20, 30]))])))
+            n += 1
+        rows.append((n, " ".join(base)))
+        n += 1
+    rng.shuffle(rows)
+    expected = brute.near_classes(rows)
+    found = dict(got(near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")), "doc_id", "class_id"))
+    assert [found[d] for d, _ in rows] == expected
+
+
 def test_decontamination(spark, docs):
     passage = next(t for d, t in texts() if d == 100)
     words = passage.split()

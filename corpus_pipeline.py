@@ -8,20 +8,26 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationloom.llm.blocks import checkpoint_folder
+from stationloom.llm.blocks import checkpoint_folder, checkpointed
 from stationloom.llm.classifier import score_documents
 from stationloom.llm.decontaminate import find_test_items
 from stationloom.llm.lines import drop_repeated_lines
-from stationloom.llm.neardup import near_duplicates
+from stationloom.llm.neardup import class_labels
 from stationloom.llm.packing import pack_documents
 from stationloom.session import apply_settings
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def _with_row(docs: DataFrame) -> DataFrame:
+    """Documents with ``row``, 128 bits of id and text: never null, and one for each text under an id or without one."""
+    text = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.coalesce("text", F.lit("")))
+    return docs.select(*COLUMNS, F.unhex(F.md5(text)).alias("row"))
+
+
 def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """Documents whose id is not among those of ``gone``."""
-    return docs.join(gone.select("doc_id").distinct(), "doc_id", "left_anti").select(*COLUMNS)
+    """Documents whose ``row`` is not among those of ``gone``."""
+    return docs.join(gone.select("row").distinct(), "row", "left_anti").select(*COLUMNS)
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,15 +45,28 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least id of each class."""
+    """One row of each class: that of the least id, an id before none, and the least ``row`` of several texts under it.
+
+    Rows with the same id and text count as one, the least by the other columns. Rows without words all stay.
+    """
     apply_settings(spark)
-    return _without(docs, near_duplicates(docs).filter(F.col("doc_id") != F.col("class_id")))
+    docs = _with_row(docs)
+    named = class_labels(docs, carry=("row",)).filter(F.col("label").isNotNull())
+    rows = checkpointed(named.groupBy("label", "doc_id", "row").agg(F.count("*").alias("n")))
+    first = rows.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row"))["row"].alias("row")).select("row")
+    gone = rows.join(first, "row", "left_anti").select("row")
+    repeated = rows.filter("n > 1").join(first, "row", "left_semi").select("row")
+    # grouped by another form of the row, so that copies are combined before they meet in one task
+    one = (docs.join(repeated, "row", "left_semi").groupBy(F.hex("row").alias("at"))
+           .agg(F.min(F.struct(*COLUMNS)).alias("one")).select("one.*"))
+    return _without(docs, gone.union(repeated)).union(one)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no test item was found."""
+    """Rows in whose text no test item was found, whatever their ids."""
     apply_settings(spark)
-    return _without(docs, find_test_items(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")))
+    docs = _with_row(docs)
+    return _without(docs, find_test_items(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), carry=("row",)))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -93,19 +93,23 @@ def _search(words: Words, items: Items, threshold: float) -> Iterator[tuple[int,
                     break
 
 
-def find_test_items(docs: DataFrame, items: DataFrame, threshold: float = 0.8, hashes: int = 64, item_bytes: int = ITEM_BYTES) -> DataFrame:
+def find_test_items(docs: DataFrame, items: DataFrame, threshold: float = 0.8, hashes: int = 64, item_bytes: int = ITEM_BYTES,
+                    carry: tuple[str, ...] = ()) -> DataFrame:
     """``doc_id, item_id, n_shingles, n_common, containment`` of every document that has an item's shingles.
 
     ``items`` has ``item_id, text``. Containment is the share of the item's distinct five-word shingles, lower-cased,
     that the whole document has; it must reach ``threshold``. Items of fewer than five words have no shingle and are
-    never found, nor is anything in null, empty or shorter texts. Repeated rows are searched each; other columns are
-    not read. Items go to the tasks in blocks of about ``item_bytes``, one round over the documents for each.
+    never found, nor is anything in null, empty or shorter texts. Repeated rows are searched each; the columns
+    named in ``carry`` come along, others are not read. Items go to the tasks in blocks of about ``item_bytes``, one
+    round over the documents for each.
     """
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    names = [f"carry_{i}" for i in range(len(carry))]
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *[F.col(f"`{c}`").alias(n) for n, c in zip(names, carry, strict=True)])
     asked = items.select(F.col("item_id").cast("long").alias("item_id"), "text").filter(F.col("text").isNotNull())
     total = asked.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     rounds = max(1, math.ceil(total / item_bytes))
-    schema = "doc_id long, item_id long, n_shingles long, n_common long, containment double"
+    schema = "doc_id long, item_id long, n_shingles long, n_common long, containment double" + "".join(
+        f", {n} {docs.schema[c].dataType.simpleString()}" for n, c in zip(names, carry, strict=True))
     out = None
     for k in range(rounds):
         block = asked.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(rounds)) == k).orderBy("item_id", "text").collect()
@@ -119,8 +123,9 @@ def find_test_items(docs: DataFrame, items: DataFrame, threshold: float = 0.8, h
                     rows = [(a + d, ids[i], n, c, c / n) for d, i, n, c in _search(Words([(t or "").lower() for t in own_texts[a:b]]), signed, threshold)]
                     if rows:
                         at, *rest = zip(*rows, strict=True)
-                        yield pd.DataFrame({"doc_id": own_ids[list(at)], "item_id": pd.array(rest[0], dtype="Int64"), "n_shingles": rest[1], "n_common": rest[2], "containment": rest[3]})
+                        yield pd.DataFrame({"doc_id": own_ids[list(at)], "item_id": pd.array(rest[0], dtype="Int64"), "n_shingles": rest[1], "n_common": rest[2], "containment": rest[3]}
+                                           | {n: frame[n].array[list(at)] for n in names})
 
         found = own.mapInPandas(search, schema)
         out = found if out is None else out.union(found)
-    return out
+    return out.withColumnsRenamed(dict(zip(names, carry, strict=True)))

@@ -100,9 +100,9 @@ def _keys(words: Words) -> list[bytes | None]:
     return [both[i].tobytes() if n else None for i, n in enumerate(size)]
 
 
-def signatures(docs: DataFrame, bands: int, rows: int) -> DataFrame:
-    """``doc_id, key, size, bands, marks``: key of the words, distinct shingles, band hashes, a byte of each register."""
-    registers = bands * rows
+def signatures(docs: DataFrame, bands: int, rows: int, carry: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id, key, size, bands, marks``: key of the words, distinct shingles, band hashes, a byte of each register; columns of ``carry``."""
+    registers, names = bands * rows, [f"carry_{i}" for i in range(len(carry))]
 
     def signed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -117,10 +117,12 @@ def signatures(docs: DataFrame, bands: int, rows: int) -> DataFrame:
                     band = mix(band + sig[:, r::rows])
                 marks = (mix(sig) & np.uint64(255)).astype(np.uint8)
                 yield pd.DataFrame({"doc_id": ids[a:b], "key": _keys(words), "size": size, "bands": list(band.view(np.int64)),
-                                    "marks": [m.tobytes() for m in marks]})
+                                    "marks": [m.tobytes() for m in marks]} | {n: frame[n].array[a:b] for n in names})
 
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return own.mapInPandas(signed, "doc_id long, key binary, size int, bands array<long>, marks binary")
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *[F.col(f"`{c}`").alias(n) for n, c in zip(names, carry, strict=True)])
+    schema = "doc_id long, key binary, size int, bands array<long>, marks binary" + "".join(
+        f", {n} {docs.schema[c].dataType.simpleString()}" for n, c in zip(names, carry, strict=True))
+    return own.mapInPandas(signed, schema).withColumnsRenamed(dict(zip(names, carry, strict=True)))
 
 
 def _shingle_sets(docs: DataFrame) -> DataFrame:
@@ -255,11 +257,12 @@ def _similar(members: DataFrame, threshold: float) -> DataFrame:
     return _meetings(members, "family", ["set"]).groupBy("family", "p", "q").applyInPandas(compare, "a binary, b binary")
 
 
-def near_duplicates(docs: DataFrame, threshold: float = 0.8, bands: int = 28, rows: int = 5) -> DataFrame:
-    """``doc_id, class_id, n_shingles`` of every row; rows of one class are connected by similarities of ``threshold`` or more.
+def class_labels(docs: DataFrame, threshold: float = 0.8, bands: int = 28, rows: int = 5, carry: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id, n_shingles, label`` of every row, and its columns named in ``carry``; rows of one class have one label.
 
     A row whose text is null or has no words is alone in its class and has no label. The rest is as for :func:`near_duplicates`.
     """
+    signed = B.checkpointed(signatures(docs, bands, rows, carry))
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     vertices = B.checkpointed(signed.filter(F.col("key").isNotNull()).groupBy("key").agg(
         F.min("doc_id").alias("doc_id"), F.first("size").alias("size"), F.first("bands").alias("bands"), F.first("marks").alias("marks")))
@@ -283,9 +286,20 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, bands: int = 28, ro
         more = B.checkpointed(_similar(inside.join(_sets_of(inside, docs, ids), "key"), threshold))
         if not more.isEmpty():
             labels = components(links.union(more))
-    named = (signed.select("doc_id", "key", F.col("size").alias("n_shingles")).join(labels.withColumnRenamed("v", "key"), "key", "left")
-             .withColumn("label", F.coalesce("label", "key")))
-    named = B.checkpointed(named)
+    carried = [F.col(f"`{c}`") for c in carry]
+    named = (signed.select("doc_id", "key", F.col("size").alias("n_shingles"), *carried).join(labels.withColumnRenamed("v", "key"), "key", "left")
+             .select("doc_id", "n_shingles", F.coalesce("label", "key").alias("label"), *carried))
+    return B.checkpointed(named)
+
+
+def near_duplicates(docs: DataFrame, threshold: float = 0.8, bands: int = 28, rows: int = 5) -> DataFrame:
+    """``doc_id, class_id, n_shingles`` of every row; rows of one class are connected by similarities of ``threshold`` or more.
+
+    Similarity is that of the sets of lower-cased five-word shingles. ``class_id`` is the least id of the class. A text
+    of one to four words is one shingle; null texts and texts without words are alone in their classes, each under its
+    own id. Equal texts are one class even under one id; a class without any id has none. Other columns are not read.
+    """
+    named = class_labels(docs, threshold, bands, rows)
     classes = named.filter(F.col("label").isNotNull()).groupBy("label").agg(F.min("doc_id").alias("class_id"))
     return named.join(classes, "label", "left").select(
         "doc_id", F.when(F.col("label").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), "n_shingles")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import random
+
 import brute
 import numpy as np
 from pyspark.sql import functions as F
@@ -119,5 +121,30 @@ def test_pipeline_stages(spark):
             assert after.keys() == {d for d, t in before.items() if not any(len(s & brute.shingles(t)) >= 0.8 * len(s) for s in items)}
 
 
+def test_pipeline_decides_by_row(spark, tmp_path):
+    """Null ids and ids of several texts: one row of each class stays, and of contaminated rows none, whatever else has their ids."""
+    rng = random.Random(8)
+
+    def prose() -> str:
+        return " ".join(f"w{rng.randrange(10**6)}" for _ in range(60))
+
+    orphan, again, first, clean, item = (prose() for _ in range(5))
+    rows = [(None, orphan), (None, orphan), (None, orphan + " end"), (7, again), (7, again), (7, again.upper()), (3, first), (8, clean), (8, first + " end"),
+            (None, None), (None, None), (9, ""), (9, "")]
+    dirty = [(None, f"{prose()} {item}"), (8, f"{prose()} {item}"), (None, prose()), (8, prose())]
+
+    def table(pairs):
+        return spark.createDataFrame([(d, t, "en", "web", None) for d, t in pairs], "doc_id long, text string, lang string, source string, n_chars long")
+
+    kept = [(r["doc_id"], r["text"]) for r in corpus_pipeline.minhash_near_dedup(spark, table(rows), str(tmp_path)).collect()]
+    few = [r for r in kept if (r[1] or "").split()]
+    assert sorted((str(d), t.lower().removesuffix(" end")) for d, t in few) == sorted([("None", orphan), ("7", again), ("3", first), ("8", clean)])
+    assert set(few) <= set(rows) and sorted(r[0] or 0 for r in kept if r not in few) == [0, 0, 9, 9]
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    left = corpus_pipeline.benchmark_decontamination(spark, table(rows + dirty), str(tmp_path))
+    assert left.columns == corpus_pipeline.COLUMNS
+    assert sorted(((r["doc_id"], r["text"]) for r in left.collect()), key=repr) == sorted(rows + dirty[2:], key=repr)
+
+
 def test_queries_are_complete():
     assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))

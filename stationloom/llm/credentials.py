@@ -25,7 +25,7 @@ STRONG = [
 #: Weak parts: an identifier with its name, a token mixing cases and digits, an address.
 WEAK = [
     ("ident", r"(?i:\b(?:user(?:name)?|login|account|client_?id|access_?key_?id))\x20*[:=]\x20*[\"']?[A-Za-z0-9_.@-]{3,}"),
-    ("opaque", r"(?<![A-Za-z0-9+/_-])(?=[a-zA-Z+/_-]{0,60}[0-9])(?=[a-z0-9+/_-]{0,60}[A-Z])(?=[A-Z0-9+/_-]{0,60}[a-z])[A-Za-z0-9+/_-]{20,}={0,2}"),
+    ("opaque", r"(?<![A-Za-z0-9+/_-])(?=[a-zA-Z+/_-]*+[0-9])(?=[a-z0-9+/_-]*+[A-Z])(?=[A-Z0-9+/_-]*+[a-z])[A-Za-z0-9+/_-]{20,}={0,2}"),
     ("endpoint", r"https?://[A-Za-z0-9.-]+(?::[0-9]+)?[A-Za-z0-9_./?&=%-]*|(?i:\b(?:host|endpoint|server))\x20*[:=]\x20*[A-Za-z0-9.-]{4,}"),
 ]
 KINDS = [k for k, *_ in STRONG] + [k for k, _ in WEAK]

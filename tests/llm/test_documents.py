@@ -167,6 +167,16 @@ def test_weak_parts_need_a_complement(docs):
     assert int(weak[401].split(",")[0].split(":")[1]) == text.index("login")
 
 
+def test_opaque_tokens_are_judged_whole(spark):
+    """A token whose first digit, capital or small letter comes late is a candidate all the same; one that lacks any is not."""
+    tokens = ["q" * 61 + "Z9", "B" * 200 + "z9", "7" * 5000 + "qB", "q" * 61 + "Z", "q" * 61 + "9", "B" * 61 + "9"]
+    rows = [(i, f"user = amy {t} ") for i, t in enumerate(tokens)]
+    found = scan_secrets(spark.createDataFrame(rows, "doc_id long, text string"))
+    weak = {r["doc_id"]: r["w"] for r in found.select("doc_id", write_spans(F.filter("spans", lambda s: s["kind"] > 2)).alias("w")).collect()}
+    assert [weak[i] for i in range(3)] == [f"ident:0:10,opaque:11:{11 + len(t)}" for t in tokens[:3]]
+    assert [weak[i] for i in range(3, 6)] == ["", "", ""]
+
+
 def test_statistics_and_rules(spark, docs):
     labels = spark.createDataFrame([(i, 1, None) for i in range(40)] + [(309, 0, 1), (None, 0, 0), (1, 1, 0)], "doc_id long, quality int, toxic int")
     done = apply_rules(docs, fit_rules(docs, labels))

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import os
 import re
-from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -13,8 +12,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .transducer import MAX_PIECES, SPECIAL, Known, Merges, TokenCounter, byte_alphabet, piece_starts
-from .words import spans
+from .transducer import SPECIAL, Merges, TokenCounter, byte_alphabet, piece_starts
+from .words import mix, spans
 
 #: Characters taken together.
 BATCH_CHARS = 1_000_000
@@ -25,37 +24,36 @@ def _counter(path: str) -> TokenCounter:
     return TokenCounter(Merges(path))
 
 
-def split_pieces(texts: list[str], special: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Pieces of all texts in order, the text of each, and which of them are special tokens.
+class Pieces:
+    """Pieces of all texts in order: code points ``begin`` to ``stop`` of the joined texts, ``doc`` of each, ``special`` tokens.
 
     Special strings inside a text are one piece, as the tokenizer library takes them by default.
     """
-    marked = "".join(texts)
-    points = np.frombuffer(marked.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int32)
-    ends = np.cumsum([len(t) for t in texts], dtype=np.int64)
-    pattern = re.compile("|".join(map(re.escape, special))) if special else None
-    hits = [(end - len(t) + m.start(), end - len(t) + m.end()) for t, end in zip(texts, ends.tolist(), strict=True)
-            for m in (pattern.finditer(t) if pattern else ())]
-    # a separator stands after each text; a special string becomes one separator
-    masked = points.copy()
-    drop = np.zeros(len(points), dtype=bool)
-    for a, b in hits:
-        masked[a] = SPECIAL
-        drop[a + 1:b] = True
-    where = np.flatnonzero(~drop)
-    kept = masked[where]
-    at_end = np.searchsorted(where, ends)
-    with_ends = np.insert(kept, at_end, SPECIAL)
-    origin = np.insert(where, at_end, -1)
-    starts = piece_starts(with_ends)
-    begin = origin[starts]
-    real = begin >= 0
-    begin = begin[real]
-    stop = np.append(begin[1:], len(points))
-    doc = np.searchsorted(ends, begin, "right")
-    stop = np.minimum(stop, ends[doc]) if len(doc) else stop
-    pieces = [marked[a:b] for a, b in zip(begin.tolist(), stop.tolist(), strict=True)]
-    return pieces, doc, masked[begin] == SPECIAL
+
+    def __init__(self, texts: list[str], special: list[str]) -> None:
+        self.marked = "".join(texts)
+        self.points = np.frombuffer(self.marked.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int32)
+        ends = np.cumsum([len(t) for t in texts], dtype=np.int64)
+        pattern = re.compile("|".join(map(re.escape, special))) if special else None
+        hits = [(end - len(t) + m.start(), end - len(t) + m.end()) for t, end in zip(texts, ends.tolist(), strict=True)
+                for m in (pattern.finditer(t) if pattern else ())]
+        # a separator stands after each text; a special string becomes one separator
+        masked, drop = self.points.copy(), np.zeros(len(self.points), dtype=bool)
+        for a, b in hits:
+            masked[a] = SPECIAL
+            drop[a + 1:b] = True
+        where = np.flatnonzero(~drop)
+        at_end = np.searchsorted(where, ends)
+        origin = np.insert(where, at_end, -1)
+        begin = origin[piece_starts(np.insert(masked[where], at_end, SPECIAL))]
+        self.begin = begin[begin >= 0]
+        self.doc = np.searchsorted(ends, self.begin, "right")
+        stop = np.append(self.begin[1:], len(self.points))[:len(self.begin)]
+        self.stop = np.minimum(stop, ends[self.doc]) if len(self.doc) else stop
+        self.special = masked[self.begin] == SPECIAL
+
+    def strings(self) -> list[str]:
+        return [self.marked[a:b] for a, b in zip(self.begin.tolist(), self.stop.tolist(), strict=True)]
 
 
 def count_tokens(docs: DataFrame, vocabulary: str, limit: int = 512) -> DataFrame:
@@ -72,10 +70,10 @@ def count_tokens(docs: DataFrame, vocabulary: str, limit: int = 512) -> DataFram
             texts = [t or "" for t in frame["text"]]
             totals = np.zeros(len(texts), dtype=np.int64)
             for a, b in spans(texts, BATCH_CHARS):
-                pieces, doc, is_special = split_pieces(texts[a:b], special)
-                counts = counter.count_pieces(pieces)
-                counts[is_special] = 1
-                totals[a:b] = np.bincount(doc, weights=counts, minlength=b - a).astype(np.int64)
+                pieces = Pieces(texts[a:b], special)
+                counts = counter.count_pieces(pieces.strings())
+                counts[pieces.special] = 1
+                totals[a:b] = np.bincount(pieces.doc, weights=counts, minlength=b - a).astype(np.int64)
             yield pd.DataFrame({"doc_id": frame["doc_id"].astype("Int64").array, "n_bytes": [len(t.encode("utf-8", "surrogatepass")) for t in texts],
                                 "n_tokens": totals, "over_limit": totals > limit})
 
@@ -83,10 +81,49 @@ def count_tokens(docs: DataFrame, vocabulary: str, limit: int = 512) -> DataFram
     return rows.mapInPandas(counted, "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
 
 
+#: Bytes of a piece that is looked up by its hash; a longer one is encoded where it stands.
+LONG_PIECE = 256
+#: Pieces remembered in each of two generations, about 40 bytes each.
+MAX_ENTRIES = 400_000
+
+
+def ranges(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The numbers ``begin[i]`` to ``begin[i] + size[i]`` of all i, one after the other."""
+    if not len(size):
+        return np.zeros(0, dtype=np.int64)
+    stop = np.cumsum(size)
+    return np.arange(stop[-1]) + np.repeat(begin - stop + size, size)
+
+
+class _Table:
+    """Ids by two 64-bit hashes, as arrays in the order of the first hash."""
+
+    def __init__(self) -> None:
+        self.keys, self.checks = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.uint64)
+        self.begin, self.size, self.pool = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint32)
+
+    def add(self, keys: np.ndarray, checks: np.ndarray, size: np.ndarray, pool: np.ndarray) -> None:
+        begin = np.cumsum(size) - size + len(self.pool)
+        keys, checks = np.concatenate([self.keys, keys]), np.concatenate([self.checks, checks])
+        begin, size = np.concatenate([self.begin, begin]), np.concatenate([self.size, size])
+        order = np.argsort(keys, kind="stable")
+        self.keys, self.checks, self.begin, self.size = keys[order], checks[order], begin[order], size[order]
+        self.pool = np.concatenate([self.pool, pool])
+
+    def find(self, keys: np.ndarray, checks: np.ndarray) -> np.ndarray:
+        """Rows of known keys, -1 for others. Of keys that share the first hash only the first is known."""
+        if not len(self.keys):
+            return np.full(len(keys), -1)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where((self.keys[at] == keys) & (self.checks[at] == checks), at, -1)
+
+
 class Encoder:
     """Ids of texts by the ``tokenizers`` library; a piece that was met before is taken from memory.
 
-    The library's model is asked for each distinct piece on its own, which is exact because merges never cross pieces.
+    The library's model is asked for distinct pieces on their own, which is exact because merges never cross pieces.
+    Pieces are told apart by two 64-bit hashes of their bytes, so only distinct ones become Python strings. Two
+    generations of tables bound the memory: when one is full, pieces that are not met again are forgotten.
     """
 
     def __init__(self, path: str) -> None:
@@ -95,27 +132,67 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.special = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
         self.model, self.letters = self.tokenizer.model, {b: c for c, b in byte_alphabet().items()}
-        self.known = Known(2 * MAX_PIECES)
+        rng = np.random.default_rng(7)
+        self.bytes = rng.integers(1 << 64, size=(2, 256), dtype=np.uint64)
+        self.places = rng.integers(1 << 63, size=(2, LONG_PIECE), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+        self.new, self.old = _Table(), _Table()
+
+    def piece_ids(self, piece: bytes) -> list[int]:
+        """Ids of one piece of text, which is no special token."""
+        return [t.id for t in self.model.tokenize(piece.decode("latin-1").translate(self.letters))]
+
+    def _known(self, keys: np.ndarray, checks: np.ndarray, spell) -> tuple[np.ndarray, np.ndarray]:
+        """Number of ids of each of these distinct pieces, and all ids; ``spell`` gives the bytes of the i-th."""
+        recent, before = self.new.find(keys, checks), self.old.find(keys, checks)
+        before[recent >= 0] = -1
+        size = np.zeros(len(keys), dtype=np.int64)
+        size[recent >= 0] = self.new.size[recent[recent >= 0]]
+        size[before >= 0] = self.old.size[before[before >= 0]]
+        fresh = np.flatnonzero((recent < 0) & (before < 0))
+        made = [self.piece_ids(spell(i)) for i in fresh.tolist()]
+        size[fresh] = [len(x) for x in made]
+        begin = np.cumsum(size) - size
+        pool = np.empty(int(size.sum()), dtype=np.uint32)
+        for table, row in ((self.new, recent), (self.old, before)):
+            has = np.flatnonzero(row >= 0)
+            pool[ranges(begin[has], size[has])] = table.pool[ranges(table.begin[row[has]], size[has])]
+        pool[ranges(begin[fresh], size[fresh])] = [i for own in made for i in own]
+        add = np.flatnonzero(recent < 0)
+        if len(add):
+            self.new.add(keys[add], checks[add], size[add], pool[ranges(begin[add], size[add])])
+        if len(self.new.keys) > MAX_ENTRIES:
+            self.new, self.old = _Table(), self.new
+        return size, pool
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in order, and the number of ids of each text."""
-        self.known.turn()
-        pieces, doc, _ = split_pieces(texts, list(self.special))
-        known = self.known
-        found = list(map(known.__getitem__, pieces))
-        missing = [i for i, x in enumerate(found) if x is None] if None in found else []
-        for p in {pieces[i] for i in missing}:
-            if p in self.special:
-                ids = [self.special[p]]
-            else:
-                spelled = p.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.letters)
-                ids = [t.id for t in self.model.tokenize(spelled)]
-            known[p] = array("I", ids).tobytes()
-        for i in missing:
-            found[i] = known[pieces[i]]
-        sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 4
-        ids = np.frombuffer(b"".join(found), dtype=np.uint32)
-        return ids, np.bincount(doc, weights=sizes, minlength=len(texts)).astype(np.int64)
+        pieces = Pieces(texts, list(self.special))
+        if not len(pieces.begin):
+            return np.zeros(0, dtype=np.uint32), np.zeros(len(texts), dtype=np.int64)
+        raw = pieces.marked.encode("utf-8", "surrogatepass")
+        data = np.frombuffer(raw, dtype=np.uint8)
+        if len(data) == len(pieces.points):
+            begin, stop = pieces.begin, pieces.stop
+        else:
+            place = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))
+            begin, stop = place[pieces.begin], place[pieces.stop]
+        length = stop - begin
+        offset = np.minimum(np.arange(begin[0], len(data)) - np.repeat(begin, np.diff(begin, append=len(data))), LONG_PIECE - 1)
+        keys, checks = (mix(np.add.reduceat(self.bytes[k][data[begin[0]:]] * self.places[k][offset], begin - begin[0]) + length.astype(np.uint64)) for k in (0, 1))
+        plain = np.flatnonzero(~pieces.special & (length <= LONG_PIECE))
+        distinct, first, same = np.unique(keys[plain], return_index=True, return_inverse=True)
+        alike = checks[plain] == checks[plain[first]][same]
+        size, ids = self._known(distinct, checks[plain[first]], lambda i: raw[begin[plain[first[i]]]:stop[plain[first[i]]]])
+        # those that the hashes do not settle follow after: special tokens, long pieces, pieces that share the first hash
+        which = np.zeros(len(begin), dtype=np.int64)
+        which[plain[alike]] = same[alike]
+        odd = np.concatenate([np.flatnonzero(pieces.special | (length > LONG_PIECE)), plain[~alike]])
+        own = [[self.special[pieces.marked[pieces.begin[i]:pieces.stop[i]]]] if pieces.special[i] else self.piece_ids(raw[begin[i]:stop[i]]) for i in odd.tolist()]
+        which[odd] = len(distinct) + np.arange(len(odd))
+        size = np.concatenate([size, np.array([len(x) for x in own], dtype=np.int64)])
+        ids = np.concatenate([ids, np.array([i for x in own for i in x], dtype=np.uint32)])
+        sizes = size[which]
+        return ids[ranges((np.cumsum(size) - size)[which], sizes)], np.bincount(pieces.doc, weights=sizes, minlength=len(texts)).astype(np.int64)
 
 
 @lru_cache(maxsize=2)

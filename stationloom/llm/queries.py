@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .blocks import checkpoint_folder
+from .idfiles import read_ids, write_ids
 from .lines import drop_repeated_lines
 from .tokens import count_tokens
 from .packing import pack_documents
@@ -81,6 +84,12 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_rules(docs, fit_rules(docs, table(spark, sf_dir, "labels")))
 
 
+def op13_token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{checkpoint_folder(spark)}/ids-{uuid.uuid4().hex}"
+    write_ids(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), folder)
+    return read_ids(spark, folder)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_substring_dedup": op7_substring_dedup,
     "op3_line_dedup": op3_line_dedup,
@@ -92,4 +101,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_chat_formatting": op2_chat_formatting,
     "op6_secret_scans": op6_secret_scans,
     "op9_quality_rules": op9_quality_rules,
+    "op13_token_id_files": op13_token_id_files,
 }

@@ -20,6 +20,7 @@ from .decontaminate import find_test_items
 from .classifier import score_documents
 from .chat import expand_conversations, masked_text, read_turns
 from .credentials import count_kind, scan_secrets, write_spans
+from .ranked import rank_documents
 from .rules import apply_rules, fit_rules
 from .substrings import remove_repeated_windows
 
@@ -84,6 +85,10 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_rules(docs, fit_rules(docs, table(spark, sf_dir, "labels")))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op13_token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{checkpoint_folder(spark)}/ids-{uuid.uuid4().hex}"
     write_ids(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), folder)
@@ -101,5 +106,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_chat_formatting": op2_chat_formatting,
     "op6_secret_scans": op6_secret_scans,
     "op9_quality_rules": op9_quality_rules,
+    "op11_ranked_search": op11_ranked_search,
     "op13_token_id_files": op13_token_id_files,
 }

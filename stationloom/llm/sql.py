@@ -51,9 +51,27 @@ SELECT doc_id, c.item_id, n_shingles, n_common, n_common / n_shingles AS contain
 FROM c JOIN n ON c.item_id = n.item_id WHERE n_common >= 0.8 * n_shingles - 1e-9
 """
 
+_TERMS = r"""regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+
+OP11 = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS ws FROM documents WHERE text IS NOT NULL),
+f AS (SELECT r, doc_id, len(ws) AS n, unnest(ws) AS term FROM d),
+g AS (SELECT r, doc_id, n, term, count(*) AS tf FROM f GROUP BY r, doc_id, n, term),
+s AS (SELECT count(*) FILTER (len(ws) > 0) AS docs, sum(len(ws))::BIGINT AS terms FROM d),
+h AS (SELECT term, count(*) AS df FROM g GROUP BY term),
+q AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark),
+w AS (SELECT item_id, q.term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w FROM q JOIN h ON q.term = h.term, s),
+c AS (SELECT item_id, r, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // terms))))::BIGINT AS score
+    FROM w JOIN g ON w.term = g.term, s GROUP BY item_id, r, doc_id),
+k AS (SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rn FROM c WHERE score > 0)
+SELECT item_id, rn::INTEGER AS rank, doc_id, score FROM k WHERE rn <= 10
+"""
+
 ORACLES: dict[str, str] = {
     "op2_chat_formatting": OP2,
     "op3_line_dedup": OP3,
     "op5_benchmark_decontamination": OP5,
     "op7_substring_dedup": OP7,
+    "op11_ranked_search": OP11,
 }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections import Counter
 
@@ -124,3 +125,25 @@ def near_classes(rows, threshold=0.8):
         if doc is not None:
             classes[root(i)] = min(classes.get(root(i), doc), doc)
     return [classes.get(root(i)) for i in range(len(rows))]
+
+
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+_LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def ranked(docs, items, k=10):
+    """item_id, rank, doc_id, score of the best documents of each item."""
+    counts = [(d, Counter(TERM.findall((t or "").translate(_LOW)))) for d, t in docs]
+    n_docs, n_terms = sum(bool(c) for _, c in counts), sum(sum(c.values()) for _, c in counts)
+    held, asked, out = Counter(x for _, c in counts for x in c), {}, []
+    for item, text in items:
+        asked.setdefault(item, set()).update(TERM.findall((text or "").translate(_LOW)))
+    weight = {x: math.floor(1000 * math.log((2 * n_docs + 2) / (2 * held[x] + 1))) for own in asked.values() for x in own}
+    for item, own in asked.items():
+        scores = []
+        for doc, c in counts:
+            if c:
+                m = 10 + 90 * sum(c.values()) * n_docs // n_terms
+                scores.append((-sum(weight[x] * (1_000_000_000 * c[x] // (1000 * c[x] + 8 * m)) for x in own), order(doc), doc))
+        out += [(item, r + 1, doc, -s) for r, (s, _, doc) in enumerate(sorted((x for x in scores if x[0] < 0), key=lambda x: x[:2])[:k])]
+    return out

@@ -23,6 +23,7 @@ from .credentials import count_kind, scan_secrets, write_spans
 from .ranked import rank_documents
 from .rules import apply_rules, fit_rules
 from .substrings import remove_repeated_windows
+from .whitening import whiten
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -89,6 +90,10 @@ def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
 def op13_token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{checkpoint_folder(spark)}/ids-{uuid.uuid4().hex}"
     write_ids(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), folder)
@@ -107,5 +112,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_secret_scans": op6_secret_scans,
     "op9_quality_rules": op9_quality_rules,
     "op11_ranked_search": op11_ranked_search,
+    "op12_embedding_whitening": op12_embedding_whitening,
     "op13_token_id_files": op13_token_id_files,
 }

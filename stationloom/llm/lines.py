@@ -4,7 +4,8 @@ A line's key is the line stripped of ``[\\x20\\x09-\\x0D]`` at both ends with A-
 lower-cased; only keys of ``min_chars`` code points count. The index has
 
 * references: which documents hold a key, by block of documents;
-* counts: for each key and block, the number of documents and the largest id, by shard of keys;
+* counts: for each key and block, the number of documents with an id and the largest id, by shard of keys; rows
+  without an id, one document over all blocks, show only as the largest id and are counted where blocks meet;
 * one cuckoo filter per shard, holding a fingerprint of every key with a count above zero.
 
 A key that a filter does not know needs no look-up among the counts; any other is
@@ -87,7 +88,7 @@ def _count_rows(n_shards: int):
         rows = []
         for k, (a, b) in enumerate(zip(cut, cut[1:], strict=False)):
             if b > a:
-                rows.append((key[0], k, b"".join(keys[a:b]), np.array([len(held[x]) for x in keys[a:b]], dtype=np.int64).tobytes(),
+                rows.append((key[0], k, b"".join(keys[a:b]), np.array([len(held[x] - {_LAST}) for x in keys[a:b]], dtype=np.int64).tobytes(),
                              np.array([max(held[x]) for x in keys[a:b]], dtype=np.int64).tobytes()))
         return pd.DataFrame(rows, columns=["block", "shard", "keys", "docs", "tops"])
     return counts
@@ -135,7 +136,7 @@ def _decide(min_docs: int):
         rows = []
         for block, keys, tops in zip(frame["block"], frame["keys"], frame["tops"], strict=True):
             here = [shard.total[keys[i:i + KEY]] for i in range(0, len(keys), KEY)]
-            drop = np.array([n >= min_docs for n, _ in here])
+            drop = np.array([n + (t == _LAST) >= min_docs for n, t in here])
             top = np.array([t for _, t in here]) == np.frombuffer(tops, dtype=np.int64)
             rows.append((block, key[0], len(here), B.bits_of(np.concatenate([drop, top]))))
         return pd.DataFrame(rows, columns=["block", "shard", "n", "bits"])
@@ -275,4 +276,6 @@ class LineIndex:
                                         "n": np.frombuffer(docs, dtype=np.int64), "top": np.frombuffer(tops, dtype=np.int64)})
 
         flat = self.counts.select("keys", "docs", "tops").mapInPandas(unpack, "key string, n long, top long")
-        return flat.groupBy("key").agg(F.sum("n").alias("n_docs"), F.max("top").alias("largest_doc")).filter(F.col("n_docs") >= min_docs)
+        found = flat.groupBy("key").agg(F.sum("n").alias("n_docs"), F.max("top").alias("largest_doc"))
+        found = found.withColumn("n_docs", F.col("n_docs") + (F.col("largest_doc") == _LAST).cast("long"))
+        return found.filter(F.col("n_docs") >= min_docs)

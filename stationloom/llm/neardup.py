@@ -257,10 +257,17 @@ def _similar(members: DataFrame, threshold: float) -> DataFrame:
     return _meetings(members, "family", ["set"]).groupBy("family", "p", "q").applyInPandas(compare, "a binary, b binary")
 
 
-def class_labels(docs: DataFrame, threshold: float = 0.8, bands: int = 28, rows: int = 5, carry: tuple[str, ...] = ()) -> DataFrame:
+#: Least share of equal registers of two members of a bucket that are compared further; estimates of 0.8 scatter by 0.034.
+LEAST_SHARE = 0.65
+
+
+def class_labels(docs: DataFrame, threshold: float = 0.8, bands: int = 28, rows: int = 5, carry: tuple[str, ...] = (),
+                 least_share: float = LEAST_SHARE) -> DataFrame:
     """``doc_id, n_shingles, label`` of every row, and its columns named in ``carry``; rows of one class have one label.
 
-    A row whose text is null or has no words is alone in its class and has no label. The rest is as for :func:`near_duplicates`.
+    A row whose text is null or has no words is alone in its class and has no label. Members of one bucket are compared
+    further if their signatures agree in ``least_share`` of the registers; 0 compares all of them, which is exact for
+    every pair that shares a bucket. The rest is as for :func:`near_duplicates`.
     """
     signed = B.checkpointed(signatures(docs, bands, rows, carry))
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -275,8 +282,7 @@ def class_labels(docs: DataFrame, threshold: float = 0.8, bands: int = 28, rows:
     labels = components(links)
     members = (shared.select("bucket", "key").join(labels.withColumnRenamed("v", "key"), "key", "left")
                .withColumn("label", F.coalesce("label", "key")).join(vertices.select("key", "size", "marks"), "key"))
-    # estimates of 0.8 scatter by 0.034
-    likely = B.checkpointed(_likely(members, bands * rows, threshold, threshold - 0.15))
+    likely = B.checkpointed(_likely(members, bands * rows, threshold, least_share))
     if not likely.isEmpty():
         families = components(links.union(likely))
         inside = (families.withColumnsRenamed({"v": "key", "label": "family"}).join(labels.withColumnRenamed("v", "key"), "key", "left")
@@ -292,14 +298,15 @@ def class_labels(docs: DataFrame, threshold: float = 0.8, bands: int = 28, rows:
     return B.checkpointed(named)
 
 
-def near_duplicates(docs: DataFrame, threshold: float = 0.8, bands: int = 28, rows: int = 5) -> DataFrame:
+def near_duplicates(docs: DataFrame, threshold: float = 0.8, bands: int = 28, rows: int = 5, least_share: float = LEAST_SHARE) -> DataFrame:
     """``doc_id, class_id, n_shingles`` of every row; rows of one class are connected by similarities of ``threshold`` or more.
 
     Similarity is that of the sets of lower-cased five-word shingles. ``class_id`` is the least id of the class. A text
     of one to four words is one shingle; null texts and texts without words are alone in their classes, each under its
     own id. Equal texts are one class even under one id; a class without any id has none. Other columns are not read.
+    ``least_share`` is that of :func:`class_labels`.
     """
-    named = class_labels(docs, threshold, bands, rows)
+    named = class_labels(docs, threshold, bands, rows, least_share=least_share)
     classes = named.filter(F.col("label").isNotNull()).groupBy("label").agg(F.min("doc_id").alias("class_id"))
     return named.join(classes, "label", "left").select(
         "doc_id", F.when(F.col("label").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), "n_shingles")

@@ -57,6 +57,23 @@ def test_line_dedup(docs):
     assert got(done, "doc_id", "n_lines", "n_dropped", F.sha2("kept", 256)) == sorted(brute.lines(texts()), key=repr)
 
 
+@pytest.mark.parametrize("partitions, block_bytes", [(1, 16_000_000), (4, 16_000_000), (32, 16_000_000), (4, 100)])
+def test_lines_without_an_id_are_one_document(spark, partitions, block_bytes):
+    line = "a line that is long enough to be counted as one"
+    rows = [(None, f"{line}\nown {i}") for i in range(6)] + [(1, line), (2, f"{line} \nx")]
+    more = [(i, f"{line} and another end") for i in range(10, 14)] + [(None, f"{line} and another end")]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        docs = spark.createDataFrame(rows + more, "doc_id long, text string")
+        done = drop_repeated_lines(docs, block_bytes=block_bytes)
+        assert got(done, "doc_id", "n_lines", "n_dropped", F.sha2("kept", 256)) == sorted(brute.lines(rows + more), key=repr)
+        index = LineIndex.empty(spark, 2 * partitions, partitions).insert(docs)
+        assert sorted(r["n_docs"] for r in index.repeated(1).collect()) == [3, 5]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_line_index_is_reversible(spark, docs):
     rows = docs.filter("doc_id IS NOT NULL")
     first, second = rows.filter("doc_id < 104"), rows.filter("doc_id >= 104")

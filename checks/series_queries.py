@@ -38,6 +38,7 @@ gaps AS (
               ELSE y0 + (y1 - y0) * (x - x0) / (x1 - x0) END AS filled
   FROM near)"""
 
+_KEYS = "sourceId, elementId"
 _COLUMNS = "sourceId, elementId, moment"
 
 
@@ -107,7 +108,8 @@ def _(spark, sf):
         "moment", F.col("referenceTime").cast("timestamp_ntz")).drop("referenceTime")
 
 
-def decompose_sql(period: int, multiplicative: bool = False, then: list[str] | None = None) -> str:
+def decompose_sql(period: int, multiplicative: bool = False, then: list[str] | None = None,
+                  tables: tuple[str, ...] = (OBSERVATIONS_SQL, GRID_SQL)) -> str:
     half = period // 2
     x = "filled + 100" if multiplicative else "filled"
     if period % 2:
@@ -120,7 +122,7 @@ def decompose_sql(period: int, multiplicative: bool = False, then: list[str] | N
     centre = "m / AVG(m) OVER (PARTITION BY sourceId, elementId)" if multiplicative else \
         "m - AVG(m) OVER (PARTITION BY sourceId, elementId)"
     resid = "dev / seasonal" if multiplicative else "dev - seasonal"
-    return with_tables(OBSERVATIONS_SQL, GRID_SQL, f"""
+    return with_tables(*tables, f"""
     avgs AS (
       SELECT {key}, moment, num, {x} AS v, rn - 1 AS pos,
              COUNT(*) OVER (PARTITION BY {key}) AS n,
@@ -203,6 +205,64 @@ def _(spark, sf):
     return shown(filled.withColumn("value", round_n(F.col("value"), 6)))
 
 
+def _slope(ha: str, hb: str, da: str, db: str) -> str:
+    return (f"CASE WHEN {da} * {db} <= 0 THEN 0 WHEN {da} IS NULL OR {db} IS NULL THEN d1 "
+            f"ELSE 3 * ({ha} + {hb}) / ((2 * {hb} + {ha}) / {da} + ({hb} + 2 * {ha}) / {db}) END")
+
+
+def spline_sql(key: str, limit: int) -> list[str]:
+    """Gaps from ``devs`` and ``seas``: lines up to ``limit`` rows, else a monotone cubic over the season."""
+    same = " AND ".join(f"{{0}}.{k.strip()} = p.{k.strip()}" for k in key.split(","))
+    return ["""
+    rest AS (
+      SELECT *, epoch(moment) / 86400.0 AS x, COALESCE(seasonal, 0) AS se, num - COALESCE(seasonal, 0) AS d
+      FROM devs JOIN seas USING (KEY, phase))""".replace("KEY", key), f"""
+    known AS (
+      SELECT {key}, pos, num, x, d, LAG(x) OVER w AS xb, LAG(d) OVER w AS db, LEAD(x) OVER w AS xf, LEAD(d) OVER w AS df
+      FROM rest WHERE d IS NOT NULL WINDOW w AS (PARTITION BY {key} ORDER BY pos))""", f"""
+    placed AS (
+      SELECT *, MAX(CASE WHEN d IS NOT NULL THEN pos END) OVER (PARTITION BY {key} ORDER BY pos) AS bp,
+             MIN(CASE WHEN d IS NOT NULL THEN pos END) OVER (PARTITION BY {key} ORDER BY pos
+                 ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS ap
+      FROM rest)""", f"""
+    sides AS (
+      SELECT p.*, b.x AS x1, b.d AS r1, b.num AS n1, a.x AS x2, a.d AS r2, a.num AS n2,
+             b.x - b.xb AS h0, a.x - b.x AS h1, a.xf - a.x AS h2,
+             (b.d - b.db) / (b.x - b.xb) AS d0, (a.d - b.d) / NULLIF(a.x - b.x, 0) AS d1, (a.df - a.d) / (a.xf - a.x) AS d2
+      FROM placed p LEFT JOIN known b ON {same.format('b')} AND b.pos = p.bp
+      LEFT JOIN known a ON {same.format('a')} AND a.pos = p.ap)""", f"""
+    slopes AS (
+      SELECT *, (x - x1) / NULLIF(h1, 0) AS u, {_slope('h0', 'h1', 'd0', 'd1')} AS m1, {_slope('h1', 'h2', 'd1', 'd2')} AS m2
+      FROM sides)""", f"""
+    splined AS (
+      SELECT *, CASE WHEN num IS NOT NULL THEN num WHEN x1 IS NULL THEN r2 + se WHEN x2 IS NULL THEN r1 + se
+             WHEN ap - bp - 1 <= {limit} THEN n1 + (n2 - n1) * u
+             ELSE se + r1 * (1 - 3 * u * u + 2 * u * u * u) + h1 * m1 * (u - 2 * u * u + u * u * u)
+                  + r2 * (3 * u * u - 2 * u * u * u) + h1 * m2 * (u * u * u - u * u) END AS value
+      FROM slopes)"""]
+
+
+@check("seasonal_spline", decompose_sql(365, then=[*spline_sql(_KEYS, 0), f"""
+    SELECT {_KEYS}, moment, {half_up('value', 6)} AS value FROM splined"""]))
+def _(spark, sf):
+    cells, options = gridded(spark, sf)
+    filled = decompose.seasonal_impute(cells, "spline", **options)
+    return shown(filled.withColumn("value", round_n(F.col("value"), 6)))
+
+
+@check("impute_observations_spline", decompose_sql(365, then=[*spline_sql(_KEYS, 3), f"""
+    SELECT sourceId, moment, 'PT' || CAST(HOUR(moment) AS VARCHAR) || 'H' AS timeOffset, elementId,
+           {half_up('value', 3)} AS value,
+           CASE WHEN elementId LIKE '%temperature%' THEN 'degC'
+                WHEN elementId LIKE '%wind_speed%' THEN 'm/s' ELSE 'mm' END AS unit,
+           num IS NULL AND value IS NOT NULL AS is_imputed
+    FROM splined"""]))
+def _(spark, sf):
+    rows = timeseries.impute_observations(observations(spark, sf), method="seasonal_spline")
+    return rows.withColumn(
+        "moment", F.col("referenceTime").cast("timestamp_ntz")).drop("referenceTime")
+
+
 def stationed(df):
     return df.select(
         "sourceId", "elementId", F.col("referenceTime").cast("timestamp_ntz").alias("moment"), "value")
@@ -221,6 +281,17 @@ def _(spark, sf):
     return stationed(timeseries.interpolate_time(station_series(spark, sf)))
 
 
+_STATIONS_AS_GRID = f"{STATION_SERIES_SQL}".replace("gaps AS (", "gaps0 AS (") + """,
+gaps AS (SELECT *, ts AS moment FROM gaps0)"""
+
+
+@check("series_spline", decompose_sql(48, tables=(_STATIONS_AS_GRID,), then=[*spline_sql(_KEYS, 3), f"""
+    SELECT {_COLUMNS}, {half_up('value', 6)} AS value FROM splined"""]))
+def _(spark, sf):
+    filled = timeseries.impute(station_series(spark, sf), method="seasonal_spline", period=48)
+    return stationed(filled.withColumn("value", round_n(F.col("value"), 6)))
+
+
 @check("series_filled", with_tables(STATION_SERIES_SQL, f"""
     SELECT sourceId, elementId, ts AS moment, {r('COALESCE(y0, y1)')} AS value FROM gaps"""))
 def _(spark, sf):

@@ -9,7 +9,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from stationloom.operators.attach import attach
-from stationloom.operators.timeseries import SERIES_KEYS, interpolate_time, with_position
+from stationloom.operators.timeseries import (
+    SERIES_KEYS,
+    fill_both,
+    interpolate_time,
+    monotone_cubic,
+    on_the_line,
+    with_position,
+)
 from stationloom.plans.materialise import materialise
 from stationloom.schema import TIME, VALUE
 
@@ -192,9 +199,24 @@ def _moving_average(rows: DataFrame, keys: list[str], period: int, value: str,
     )
 
 
+def seasonal_figures(rows: DataFrame, keys: Sequence[str], period: int, value: str = VALUE,
+                     block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """``keys, figures``: the additive seasonal figure of each phase, in order, one row per series.
+
+    ``rows`` come from :func:`with_position` and have no null values. Figures are null in a
+    series shorter than two periods.
+    """
+    averaged = _moving_average(rows, list(keys), period, value, block_rows).withColumn(
+        "__phase", F.col("position") % period)
+    table = _phase_figures(averaged, list(keys), period, value, True)
+    return table.groupBy(*keys).agg(
+        F.sort_array(F.collect_list(F.struct("__phase", "seasonal"))).alias("figures")
+    ).select(*keys, F.col("figures.seasonal").alias("figures"))
+
+
 def seasonal_impute(df: DataFrame, method: str = "deseasonalised", period: int = 365,
                     keys: Sequence[str] = SERIES_KEYS, time: str = TIME,
-                    value: str = VALUE) -> DataFrame:
+                    value: str = VALUE, limit: int = 0) -> DataFrame:
     """Fill nulls from the season; observed values stay.
 
     ``deseasonalised`` takes the seasonal figure of each row off the series, interpolates
@@ -202,11 +224,18 @@ def seasonal_impute(df: DataFrame, method: str = "deseasonalised", period: int =
     figures come from decomposing the interpolated series; series shorter than two
     periods have none and are interpolated. ``recomposed`` adds up the decomposition of
     the interpolated series again, which is :func:`interpolate_time`.
+
+    ``spline`` joins what is left by a monotone cubic through the two nearest observed
+    values to each side; at an end of the series it stays at the last one. Gaps of up to
+    ``limit`` rows between observed values lie on a straight line instead. A series
+    without any value keeps its nulls.
     """
     if method == "recomposed":
         return interpolate_time(df, keys, time, value)
+    if method == "spline":
+        return _seasonal_spline(df, period, list(keys), time, value, limit)
     if method != "deseasonalised":
-        raise ValueError("method must be 'deseasonalised' or 'recomposed'")
+        raise ValueError("method must be 'deseasonalised', 'spline' or 'recomposed'")
     whole = interpolate_time(
         df.withColumn("__observed", F.col(value)), keys, time, value
     ).where(F.col(value).isNotNull())
@@ -218,3 +247,33 @@ def seasonal_impute(df: DataFrame, method: str = "deseasonalised", period: int =
     return filled.withColumn(
         value, F.coalesce(F.col("__observed"), F.col(value) + F.col("__season"))
     ).select(*df.columns)
+
+
+def _seasonal_spline(df: DataFrame, period: int, keys: list[str], time: str, value: str,
+                     limit: int) -> DataFrame:
+    if period < 2 or limit < 0:
+        raise ValueError("period must be at least 2 and limit not negative")
+    rows = with_position(df, keys, time, value, second=True)
+    whole = rows.withColumn(value, fill_both(time, value).cast("double"))
+    figures = seasonal_figures(
+        whole.where(F.col(value).isNotNull()).select(*keys, "position", "series_rows", value),
+        keys, period, value)
+    rows = attach(rows, figures, keys, ["figures"])
+
+    def season(row: Column) -> Column:
+        return F.coalesce(F.get("figures", (row % period).cast("int")), F.lit(0.0))
+
+    def rest(side: str, which: str = "") -> Column:
+        return F.col(f"{side}.value{which}") - season(F.col(f"{side}.row{which}"))
+
+    x, before, after = F.col(value), F.col("before"), F.col("after")
+    own = season(F.col("position"))
+    filled = (
+        F.when(x.isNotNull() | (before.isNull() & after.isNull()), x)
+        .when(before.isNull(), rest("after") + own)
+        .when(after.isNull(), rest("before") + own)
+        .when(after["row"] - before["row"] - 1 <= limit, on_the_line(time))
+        .otherwise(own + monotone_cubic(
+            time, rest("before", "2"), rest("before"), rest("after"), rest("after", "2")))
+    )
+    return rows.withColumn(value, filled).select(*df.columns)

@@ -31,7 +31,7 @@ LEVELS = ("hour", "year")
 
 def with_position(df: DataFrame, keys: Sequence[str] = SERIES_KEYS,
                   time: str = TIME, value: str = VALUE,
-                  valid_rows: bool = False) -> DataFrame:
+                  valid_rows: bool = False, second: bool = False) -> DataFrame:
     """Add where each row stands in its series.
 
     ``position`` numbers the rows of a series from 0 by time, ``series_rows``
@@ -39,7 +39,8 @@ def with_position(df: DataFrame, keys: Sequence[str] = SERIES_KEYS,
     nearest valid rows at or before and at or after, null if there is none:
     time in microseconds, value, and with ``valid_rows`` the position (it costs
     sorting the hours for the summary too, so it is off unless asked for).
-    Two rows of a series at one time are an error.
+    With ``second`` they also hold ``(at2, value2, row2)`` of the valid row next
+    beyond, null if there is none. Two rows of a series at one time are an error.
     """
     levels = [f"__{unit}" for unit in LEVELS]
     df = df.withColumns({c: F.date_trunc(u, time) for c, u in zip(levels, LEVELS)})
@@ -56,24 +57,37 @@ def with_position(df: DataFrame, keys: Sequence[str] = SERIES_KEYS,
         "__row": F.row_number().over(forward).cast("bigint") - 1,
         "__tied": F.lag(time).over(forward) == F.col(time),
     })
-    row = F.col("__row") if valid_rows else F.lit(None).cast("bigint")
-    summary = (numbered if valid_rows else df).groupBy(*chunk_keys).agg(
+    row = F.col("__row") if valid_rows or second else F.lit(None).cast("bigint")
+    point = F.when(is_valid, F.struct(
+        at.alias("at"), F.col(value).alias("value"), row.alias("row")))
+    if second:
+        # Valid rows of an hour among themselves: the same shuffle serves.
+        among = Window.partitionBy(*chunk_keys, "__is_valid").orderBy(time)
+        numbered = numbered.withColumns({"__is_valid": is_valid, "__point": point}).withColumns({
+            "__valid_before": _and_next("__point", F.lag("__point").over(among)),
+            "__valid_after": _and_next("__point", F.lead("__point").over(among)),
+        })
+    else:
+        numbered = numbered.withColumns({"__valid_before": point, "__valid_after": point})
+    if valid_rows or second:
+        edges = numbered, F.col("__valid_after"), F.col("__valid_before")
+    else:
+        edges = df, point, point
+    valid_at = F.when(is_valid, at)
+    summary = edges[0].groupBy(*chunk_keys).agg(
         F.count(F.lit(1)).alias("n"),
-        *_valid_edge(F.min, F.min_by, "first", is_valid, at, value, row),
-        *_valid_edge(F.max, F.max_by, "last", is_valid, at, value, row),
+        F.min_by(edges[1], valid_at).alias("first"),
+        F.max_by(edges[2], valid_at).alias("last"),
     )
-    summary = _carry(summary, keys, levels).select(
+    summary = _carry(summary, keys, levels, second).select(
         *[F.col(k).alias(f"__k_{k}") for k in chunk_keys],
         "__offset", "__carry_before", "__carry_after", "__series_rows",
     )
 
-    valid = F.when(is_valid, F.struct(
-        at.alias("at"), F.col(value).alias("value"), row.alias("row")))
-    numbered = numbered.withColumn("__valid", valid)
     windowed = numbered.withColumns({
-        "__before": F.last("__valid", ignorenulls=True).over(
+        "__before": F.last("__valid_before", ignorenulls=True).over(
             forward.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
-        "__after": F.last("__valid", ignorenulls=True).over(
+        "__after": F.last("__valid_after", ignorenulls=True).over(
             backward.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
     })
     joined = windowed.join(
@@ -87,32 +101,50 @@ def with_position(df: DataFrame, keys: Sequence[str] = SERIES_KEYS,
             F.col("__tied"), F.raise_error(F.lit("two rows of one series at one time"))
         ).otherwise(result)
 
-    before = F.coalesce(_shifted("__before", offset), "__carry_before")
+    before = _completed(_shifted("__before", offset, second), "__carry_before", second)
+    after = _completed(_shifted("__after", offset, second), "__carry_after", second)
     return joined.select(
         *[c for c in df.columns if c not in levels],
         untied(F.col("__row") + offset).alias("position"),
         F.col("__series_rows").alias("series_rows"),
         untied(before).alias("before"),
-        F.coalesce(_shifted("__after", offset), "__carry_after").alias("after"),
+        after.alias("after"),
     )
 
 
-def _valid_edge(pick, pick_by, name: str, is_valid: Column, at: Column, value: str,
-                row: Column) -> list[Column]:
-    when = F.when(is_valid, at)
-    edge = F.struct(at.alias("at"), F.col(value).alias("value"), row.alias("row"))
-    return [pick_by(edge, when).alias(name)]
-
-
-def _shifted(valid_row: str, offset: Column) -> Column:
-    c = F.col(valid_row)
-    return F.when(c.isNotNull(), F.struct(
-        c["at"].alias("at"), c["value"].alias("value"),
-        (c["row"] + offset).alias("row"),
+def _and_next(point: str, beyond: Column) -> Column:
+    """A point together with the one beyond it."""
+    p = F.col(point)
+    return F.when(p.isNotNull(), F.struct(
+        p["at"].alias("at"), p["value"].alias("value"), p["row"].alias("row"),
+        beyond["at"].alias("at2"), beyond["value"].alias("value2"), beyond["row"].alias("row2"),
     ))
 
 
-def _carry(summary: DataFrame, keys: Sequence[str], levels: Sequence[str]) -> DataFrame:
+def _shifted(valid_row: str, offset: Column, second: bool = False) -> Column:
+    c = F.col(valid_row)
+    fields = [c["at"].alias("at"), c["value"].alias("value"),
+              (c["row"] + offset).alias("row")]
+    if second:
+        fields += [c["at2"].alias("at2"), c["value2"].alias("value2"),
+                   (c["row2"] + offset).alias("row2")]
+    return F.when(c.isNotNull(), F.struct(*fields))
+
+
+def _completed(nearest: Column, beyond: str, second: bool) -> Column:
+    """``nearest``, or what lies beyond its chunk if there is none; ``second`` fills up its second point."""
+    other = F.col(beyond)
+    if second:
+        nearest = F.when(nearest["at2"].isNotNull(), nearest).when(
+            nearest.isNotNull(), F.struct(
+                nearest["at"].alias("at"), nearest["value"].alias("value"),
+                nearest["row"].alias("row"), other["at"].alias("at2"),
+                other["value"].alias("value2"), other["row"].alias("row2")))
+    return F.coalesce(nearest, other)
+
+
+def _carry(summary: DataFrame, keys: Sequence[str], levels: Sequence[str],
+           second: bool) -> DataFrame:
     """What each chunk of the finest level inherits from the rest of its series.
 
     Windows over the chunks of one coarser chunk are bounded by the calendar; the
@@ -125,13 +157,23 @@ def _carry(summary: DataFrame, keys: Sequence[str], levels: Sequence[str]) -> Da
     summary = summary.withColumn(
         "__offset", F.coalesce(F.sum("n").over(earlier), F.lit(0))
     ).withColumns({
-        "__first": _shifted("first", F.col("__offset")),
-        "__last": _shifted("last", F.col("__offset")),
-    }).withColumns({
+        "__first": _shifted("first", F.col("__offset"), second),
+        "__last": _shifted("last", F.col("__offset"), second),
+    })
+    carries = {
         "__carry_before": F.last("__last", ignorenulls=True).over(earlier),
         "__carry_after": F.last("__first", ignorenulls=True).over(later),
-        "__series_rows": F.sum("n").over(around),
-    })
+    }
+    if second:
+        # The second point of a chunk with one valid row lies in another chunk.
+        summary = summary.withColumns({f"{c}_1": v for c, v in carries.items()}).withColumns({
+            "__last": F.when(F.col("__last").isNotNull(), _completed(
+                F.col("__last"), "__carry_before_1", True)),
+            "__first": F.when(F.col("__first").isNotNull(), _completed(
+                F.col("__first"), "__carry_after_1", True)),
+        })
+    summary = summary.withColumns(
+        carries | {"__series_rows": F.sum("n").over(around)})
     if not coarser:
         return summary
     above = summary.groupBy(*keys, *coarser).agg(
@@ -139,7 +181,7 @@ def _carry(summary: DataFrame, keys: Sequence[str], levels: Sequence[str]) -> Da
         F.min_by("__first", F.col("__first.at")).alias("first"),
         F.max_by("__last", F.col("__last.at")).alias("last"),
     )
-    above = _carry(above, keys, coarser)
+    above = _carry(above, keys, coarser, second)
     above = above.select(
         *[F.col(k).alias(f"__u_{k}") for k in (*keys, *coarser)],
         *[F.col(c).alias(f"__up{c}") for c in
@@ -151,7 +193,7 @@ def _carry(summary: DataFrame, keys: Sequence[str], levels: Sequence[str]) -> Da
     base = F.col("__up__offset")
     return joined.select(
         *keys, *levels, (F.col("__offset") + base).alias("__offset"),
-        *[F.coalesce(_shifted(c, base), F.col(f"__up{c}")).alias(c)
+        *[_completed(_shifted(c, base, second), f"__up{c}", second).alias(c)
           for c in ("__carry_before", "__carry_after")],
         F.col("__up__series_rows").alias("__series_rows"),
     )
@@ -160,13 +202,44 @@ def _carry(summary: DataFrame, keys: Sequence[str], levels: Sequence[str]) -> Da
 _ADDED = ("position", "series_rows", "before", "after")
 
 
-def _on_the_line(time: str) -> Column:
+def on_the_line(time: str) -> Column:
     """Value at ``time`` on the straight line between the valid neighbours."""
     x0, y0 = F.col("before.at"), F.col("before.value")
     x1, y1 = F.col("after.at"), F.col("after.value")
     return y0 + (y1 - y0) * (F.unix_micros(time) - x0) / F.nullif(x1 - x0, F.lit(0))
 
 
+def monotone_cubic(time: str, y0: Column, y1: Column, y2: Column, y3: Column) -> Column:
+    """Value at ``time`` on a cubic between two valid points that never leaves their range.
+
+    ``y1`` and ``y2`` belong to ``before.at`` and ``after.at``, ``y0`` and ``y3`` to the
+    points beyond (``before.at2``, ``after.at2``). Slopes at the two points are weighted
+    harmonic means of the slopes to both sides, 0 at a turning point, and that of the
+    straight line where there is no point beyond.
+    """
+    def length(a: str, b: str) -> Column:
+        # in days, so that numbers stay near 1
+        return F.nullif((F.col(b) - F.col(a)) / F.lit(86_400_000_000.0), F.lit(0.0))
+
+    h0, h1 = length("before.at2", "before.at"), length("before.at", "after.at")
+    h2 = length("after.at", "after.at2")
+    d0, d1, d2 = (y1 - y0) / h0, (y2 - y1) / h1, (y3 - y2) / h2
+
+    def slope(ha: Column, hb: Column, da: Column, db: Column) -> Column:
+        wa, wb = 2 * hb + ha, hb + 2 * ha
+        mean = (wa + wb) / F.nullif(
+            wa / F.nullif(da, F.lit(0.0)) + wb / F.nullif(db, F.lit(0.0)), F.lit(0.0))
+        return F.when(da * db <= 0, 0.0).otherwise(mean)
+
+    m1 = F.coalesce(slope(h0, h1, d0, d1), d1)
+    m2 = F.coalesce(slope(h1, h2, d1, d2), d1)
+    t = (F.unix_micros(time) - F.col("before.at")) / F.lit(86_400_000_000.0) / h1
+    return (
+        y1 + (y2 - y1) * t * t * (3 - 2 * t)
+        + h1 * t * (1 - t) * (m1 * (1 - t) - m2 * t)
+    )
+
+
 def interpolate_time_limited(df: DataFrame, limit: int = 3,
                              keys: Sequence[str] = SERIES_KEYS, time: str = TIME,
                              value: str = VALUE) -> DataFrame:
@@ -183,17 +256,17 @@ def interpolate_time_limited(df: DataFrame, limit: int = 3,
         F.when(F.col(value).isNotNull(), F.col(value))
         .when(F.col("before").isNull() | (into_gap > limit), F.lit(None))
         .when(F.col("after").isNull(), F.col("before.value"))
-        .otherwise(_on_the_line(time))
+        .otherwise(on_the_line(time))
     )
     return rows.withColumn(value, filled).drop(*_ADDED)
 
 
-def _fill_both(time: str, value: str) -> Column:
+def fill_both(time: str, value: str) -> Column:
     return (
         F.when(F.col(value).isNotNull(), F.col(value))
         .when(F.col("before").isNull(), F.col("after.value"))
         .when(F.col("after").isNull(), F.col("before.value"))
-        .otherwise(_on_the_line(time))
+        .otherwise(on_the_line(time))
     )
 
 
@@ -201,7 +274,7 @@ def interpolate_time(df: DataFrame, keys: Sequence[str] = SERIES_KEYS,
                      time: str = TIME, value: str = VALUE) -> DataFrame:
     """Time-weighted interpolation of every gap; the ends take the nearest value."""
     rows = with_position(df, keys, time, value)
-    return rows.withColumn(value, _fill_both(time, value)).drop(*_ADDED)
+    return rows.withColumn(value, fill_both(time, value)).drop(*_ADDED)
 
 
 def fill_forward_backward(df: DataFrame, keys: Sequence[str] = SERIES_KEYS,
@@ -214,14 +287,25 @@ def fill_forward_backward(df: DataFrame, keys: Sequence[str] = SERIES_KEYS,
 
 
 def impute(df: DataFrame, keys: Sequence[str] = SERIES_KEYS, time: str = TIME,
-           value: str = VALUE) -> DataFrame:
-    """Short gaps by limited interpolation, all others by seasonal recomposition.
-
-    A decomposition's parts add up to the interpolated series they came from, and limited
-    interpolation puts its values on the same line, so both steps together are
-    :func:`interpolate_time`, whatever their limit and model.
+           value: str = VALUE, method: str = "line", limit: int = 3,
+           period: int = 365) -> DataFrame:
+    """Fill every gap of every series; observed values stay.
+
+    ``line`` fills short gaps by limited interpolation and all others by seasonal
+    recomposition. A decomposition's parts add up to the interpolated series they came
+    from, and limited interpolation puts its values on the same line, so both steps
+    together are :func:`interpolate_time`, whatever ``limit`` and ``period``.
+    ``seasonal_spline`` puts gaps of up to ``limit`` rows on the line and longer ones, and
+    those at the ends of a series, on a monotone cubic above the season; see
+    :func:`stationloom.operators.decompose.seasonal_impute`.
     """
-    return interpolate_time(df, keys, time, value)
+    if method == "line":
+        return interpolate_time(df, keys, time, value)
+    if method != "seasonal_spline":
+        raise ValueError("method must be 'line' or 'seasonal_spline'")
+    from stationloom.operators.decompose import seasonal_impute
+
+    return seasonal_impute(df, "spline", period, keys, time, value, limit)
 
 
 def observation_grid(df: DataFrame) -> DataFrame:
@@ -256,16 +340,20 @@ def observation_grid(df: DataFrame) -> DataFrame:
     )
 
 
-def impute_observations(df: DataFrame, keep_observed_offsets: bool = False) -> DataFrame:
+def impute_observations(df: DataFrame, keep_observed_offsets: bool = False,
+                        method: str = "line", limit: int = 3,
+                        period: int = 365) -> DataFrame:
     """Complete grid of observations with every gap filled, 3 decimals.
 
+    ``method``, ``limit`` and ``period`` are those of :func:`impute`.
+
     Offsets come from the instant's time of day, so a filled element appears at
     every time of day its station has; ``keep_observed_offsets`` keeps the
     offset text of rows that existed. ``is_imputed`` marks filled values.
     """
     grid = observation_grid(df)
     grid = grid.withColumn("is_imputed", F.col(VALUE).isNull())
-    filled = impute(grid, (SOURCE, ELEMENT), "instant", VALUE)
+    filled = impute(grid, (SOURCE, ELEMENT), "instant", VALUE, method, limit, period)
     offset = format_offset(F.col("instant"))
     if keep_observed_offsets:
         offset = F.coalesce("observed_offset", offset)

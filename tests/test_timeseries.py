@@ -193,3 +193,110 @@ def test_short_series_has_no_decomposition(spark):
     got = decompose.seasonal_decompose(series(spark, [1.0] * 5), period=7)
     assert got.where("trend IS NOT NULL").isEmpty() and got.count() == 5
     assert got.select(F.count("value")).first()[0] == 5
+
+
+def monotone(x, points):
+    """Plain monotone cubic through ``(at, value)`` points, the outer two optional."""
+    (x1, y1), (x2, y2) = points[1], points[2]
+    h, d = x2 - x1, (y2 - y1) / (x2 - x1)
+
+    def slope(ha, hb, da, db):
+        return 0 if da * db <= 0 else 3 * (ha + hb) / ((2 * hb + ha) / da + (hb + 2 * ha) / db)
+
+    m1 = m2 = d
+    if points[0]:
+        h0 = x1 - points[0][0]
+        m1 = slope(h0, h, (y1 - points[0][1]) / h0, d)
+    if points[3]:
+        h2 = points[3][0] - x2
+        m2 = slope(h, h2, d, (points[3][1] - y2) / h2)
+    t = (x - x1) / h
+    return ((2 * t**3 - 3 * t**2 + 1) * y1 + (t**3 - 2 * t**2 + t) * h * m1
+            + (3 * t**2 - 2 * t**3) * y2 + (t**3 - t**2) * h * m2)
+
+
+def splined(numbers, days, period, limit):
+    """Plain version of the seasonal spline; the season from a plain decomposition."""
+    valid = [i for i, v in enumerate(numbers) if v is not None]
+    if not valid:
+        return numbers
+    x = np.array(days, dtype=float)
+    whole = np.interp(x, x[valid], [numbers[i] for i in valid])
+    n, half, season = len(numbers), period // 2, np.zeros(period)
+    if n >= 2 * period:
+        weights = np.ones(period) if period % 2 else np.array([0.5] + [1] * (period - 1) + [0.5])
+        trend = np.full(n, np.nan)
+        trend[half:n - half] = np.convolve(whole, weights / period, "valid")
+        at = np.arange(n)
+        front = at[half:min(half + period, n - 1 - half)]
+        back = at[max(half, n - 1 - half - period):n - 1 - half]
+        trend[:half] = np.polyval(np.polyfit(front, trend[front], 1), at[:half])
+        trend[n - half:] = np.polyval(np.polyfit(back, trend[back], 1), at[n - half:])
+        figures = np.array([np.mean((whole - trend)[k::period]) for k in range(period)])
+        season = figures - figures.mean()
+    rest = [None if v is None else v - season[i % period] for i, v in enumerate(numbers)]
+    out = []
+    for i, v in enumerate(numbers):
+        lower, upper = [k for k in valid if k < i], [k for k in valid if k > i]
+        if v is not None:
+            out.append(v)
+        elif not lower or not upper:
+            out.append(rest[(upper or lower[::-1])[0]] + season[i % period])
+        elif upper[0] - lower[-1] - 1 <= limit:
+            out.append(float(whole[i]))
+        else:
+            near = [lower[-2] if lower[1:] else None, lower[-1], upper[0], upper[1] if upper[1:] else None]
+            out.append(monotone(x[i], [k is not None and (x[k], rest[k]) for k in near]) + season[i % period])
+    return out
+
+
+@pytest.mark.parametrize("period, limit", [(7, 0), (12, 2), (200, 3)])
+def test_seasonal_spline(spark, period, limit):
+    """Days over two years, so that second points lie in other hours and other years."""
+    random = np.random.default_rng(period)
+    days = sorted(int(d) for d in random.choice(700, 90, replace=False))
+    numbers = [float(v) if keep else None for v, keep in zip(random.normal(size=90), random.random(90) < 0.35)]
+    numbers[20:34] = [None] * 14
+    short = [None, 2.0, None, None, 5.0, None]
+    cases = {"a": (numbers, days), "b": (short, days[:6]), "c": ([None] * 5, days[:5]), "d": ([None, 4.0, None], days[:3])}
+    df = None
+    for name, (values, at) in cases.items():
+        own = series(spark, values, at, source=name)
+        df = own if df is None else df.union(own)
+    got = {}
+    for r in timeseries.impute(df, method="seasonal_spline", period=period, limit=limit).orderBy("referenceTime").collect():
+        got.setdefault(r["sourceId"], []).append(r["value"])
+    for name, (values, at) in cases.items():
+        assert got[name] == pytest.approx(splined(values, at, period, limit), abs=1e-9)
+
+
+def test_spline_stays_between_its_points(spark):
+    numbers = [0.0, 1.0, None, None, None, 9.0, 9.0, None, None, 9.0, 2.0, None, None, 1.0]
+    got = filled(decompose.seasonal_impute(series(spark, numbers), "spline", 30))
+    assert got[2:5] == sorted(got[2:5]) and 1 < got[2] and got[4] < 9
+    assert got[7:9] == [9.0, 9.0] and all(1 < v < 2 for v in got[11:13])
+    with pytest.raises(ValueError):
+        decompose.seasonal_impute(series(spark, numbers), "spline", 1)
+    with pytest.raises(ValueError):
+        timeseries.impute(series(spark, numbers), method="other")
+
+
+def test_second_points_within_hours(spark):
+    """Many rows an hour over some hours: both points to each side against a plain search."""
+    random = np.random.default_rng(5)
+    minutes = sorted(int(m) for m in random.choice(900, 120, replace=False))
+    values = [float(m) if random.random() < 0.2 else None for m in minutes]
+    df = spark.createDataFrame(
+        [("s", "e", datetime(2020, 12, 31, 20) + timedelta(minutes=m), v) for m, v in zip(minutes, values)],
+        "sourceId string, elementId string, referenceTime timestamp, value double")
+    valid = [i for i, v in enumerate(values) if v is not None]
+    for r in timeseries.with_position(df, second=True).collect():
+        i = r["position"]
+        below, above = [k for k in valid if k <= i][::-1], [k for k in valid if k >= i]
+        for side, own in (("before", below), ("after", above)):
+            if not own:
+                assert r[side] is None
+                continue
+            assert (r[side]["row"], r[side]["value"]) == (own[0], values[own[0]])
+            second = own[1] if own[1:] else None
+            assert (r[side]["row2"], r[side]["value2"]) == (second, None if second is None else values[second])

@@ -9,4 +9,5 @@ from checks import (  # noqa: F401
     series_queries,
     source_queries,
     stats_queries,
+    stored_queries,
 )

@@ -16,9 +16,16 @@ from stationloom.operators.select import (
     pick_offset,
     yearly_raw,
 )
+from stationloom.operators.arrays import (
+    collect_groups,
+    inside,
+    outside,
+    quantile_of,
+    statistic_of,
+)
 from stationloom.operators.attach import attach, null_safe_equal
-from stationloom.operators.stats import check_statistic, measure
-from stationloom.schema import ELEMENT, OFFSET, SERIES, SOURCE, TIME, VALUE
+from stationloom.operators.stats import check_statistic
+from stationloom.schema import SERIES, TIME, VALUE
 
 INNER_WHISKER = 1.5
 OUTER_WHISKER = 3.0
@@ -118,15 +125,18 @@ def null_outliers(df: DataFrame, keys: Sequence[str] = SERIES, *,
     ).drop("__out")
 
 
-def _flag_by_month(df: DataFrame, element_id, source_id, time_offset, whisker, carried: Sequence[str] = ()) -> DataFrame:
+def _month_groups(df: DataFrame, element_id, source_id, time_offset) -> DataFrame:
+    """Values of each series and month, ``total`` rows; rows without a time in a null month."""
     # A row without a time belongs to no month but its offset still counts.
-    rows = element_values(df, element_id, source_id, time_offset, carried).withColumn(
+    rows = element_values(df, element_id, source_id, time_offset).withColumn(
         "month_start", F.trunc(TIME, "MM")
     )
-    return flag_outliers(
-        rows, [*SERIES, "month_start"], instance=whisker, extreme=True,
-        time_offset=time_offset
-    ).where(F.col("month_start").isNotNull())
+    return collect_groups(rows, [*SERIES, "month_start"], VALUE)
+
+
+def _fences_of(values: str, whisker: float) -> tuple[Column, Column]:
+    q1, q3 = quantile_of(values, 0.25), quantile_of(values, 0.75)
+    return q1 - whisker * (q3 - q1), q3 + whisker * (q3 - q1)
 
 
 def outliers_per_month(df: DataFrame, element_id: str | None = None,
@@ -139,11 +149,14 @@ def outliers_per_month(df: DataFrame, element_id: str | None = None,
     ``total_count`` counts all rows of the month, null values included.
     Months without outliers appear only with ``include_empty_months``.
     """
-    flagged = _flag_by_month(df, element_id, source_id, time_offset, whisker)
-    counted = flagged.groupBy(*SERIES, "month_start").agg(
-        F.count_if("is_outlier").alias("outliers_removed"),
-        F.count(F.lit(1)).alias("total_count"),
+    w = resolve_whisker(instance=whisker, extreme=True)
+    groups = _month_groups(df, element_id, source_id, time_offset)
+    counted = groups.select(
+        *SERIES, "month_start",
+        F.size(outside("values", *_fences_of("values", w))).cast("bigint").alias("outliers_removed"),
+        F.col("total").alias("total_count"),
     )
+    counted = pick_offset(counted, time_offset).where(F.col("month_start").isNotNull())
     if not include_empty_months:
         counted = counted.where(F.col("outliers_removed") > 0)
     return counted.select(
@@ -165,36 +178,32 @@ def stats_with_without_outliers(df: DataFrame, statistic: str,
     without a numeric value are left out.
     """
     check_statistic(statistic)
-    return _with_without(
-        df, [statistic], element_id, source_id, time_offset, whisker
+    w = resolve_whisker(instance=whisker, extreme=True)
+    groups = _month_groups(df, element_id, source_id, time_offset)
+    measured = _with_without(groups, [statistic], w).drop("values", "clean", "total")
+    return pick_offset(measured, time_offset).where(
+        (F.col("n") > 0) & F.col("month_start").isNotNull()
+    ).select(
+        *SERIES, year_month(F.col("month_start")).alias("year_month"),
+        *_with_without_names([statistic]), "outliers_removed",
     )
 
 
-def _with_without(df: DataFrame, statistics: Sequence[str], element_id, source_id,
-                  time_offset, whisker, carried: Sequence[str] = (),
-                  extra: Sequence[Column] = ()) -> DataFrame:
-    flagged = _flag_by_month(
-        df, element_id, source_id, time_offset, whisker, carried
-    ).withColumn("clean", F.when(~F.col("is_outlier"), F.col(VALUE)))
-    quantiles, measures, names = [], [], []
-    for statistic in statistics:
-        for column, suffix in ((VALUE, "with"), ("clean", "without")):
-            names.append(f"{statistic}_{suffix}_outliers")
-            q, m = measure(statistic, column, names[-1], sample=False)
-            quantiles += q
-            measures += m
-    groups = aggregate_groups(
-        flagged, [*SERIES, "month_start"], quantiles,
-        [*measures, F.count_if("is_outlier").alias("outliers_removed"),
-         F.count(VALUE).alias("n"), *extra]
-    )
-    return groups.where(F.col("n") > 0).select(
-        SOURCE, ELEMENT, OFFSET,
-        year_month(F.col("month_start")).alias("year_month"),
-        *[round_n(F.col(n), 3).alias(n) for n in names],
-        "outliers_removed",
-        *[c for c in groups.columns if c in (*carried, "extreme_count")],
-    )
+def _with_without_names(statistics: Sequence[str]) -> list[str]:
+    return [f"{s}_{suffix}_outliers" for s in statistics for suffix in ("with", "without")]
+
+
+def _with_without(groups: DataFrame, statistics: Sequence[str], whisker: float) -> DataFrame:
+    """Add each statistic of all and of ``clean`` values, ``outliers_removed`` and ``n``."""
+    cleaned = groups.withColumn("clean", inside("values", *_fences_of("values", whisker)))
+    n, kept = F.size("values"), F.size("clean")
+    measures = {
+        f"{s}_{suffix}_outliers": round_n(statistic_of(s, column), 3)
+        for s in statistics
+        for column, suffix in (("values", "with"), ("clean", "without"))
+    }
+    return cleaned.withColumns(
+        measures | {"n": n, "outliers_removed": (n - kept).cast("bigint")})
 
 
 def mean_outliers_by_month(per_month: DataFrame) -> DataFrame:
@@ -235,30 +244,21 @@ def year_box_summary(df: DataFrame, year: int, element_id: str | None = None,
     months of: monthly mean with and without outliers, cleaned monthly median.
     """
     # Offsets are resolved on the result, which has one row per series.
-    raw = yearly_raw(
-        df, element_id, year, source_id, time_offset or ALL_OFFSETS
-    ).select(*SERIES, TIME, VALUE)
-    quartiles = _group_quartiles(
-        raw.withColumn("__v", F.col(VALUE)), SERIES
-    )
-    q1, q3 = F.col("q1"), F.col("q3")
-    reach = OUTER_WHISKER * (q3 - q1)
-    rows = attach(raw, quartiles, SERIES, ["q1", "q3"])
-    rows = rows.withColumn(
-        "is_extreme", (F.col(VALUE) < q1 - reach) | (F.col(VALUE) > q3 + reach)
-    )
-    by_month = _with_without(
-        rows, ["mean", "median"], None, None, ALL_OFFSETS, None,
-        carried=["q1", "q3", "is_extreme"],
-        extra=[F.first("q1").alias("q1"), F.first("q3").alias("q3"),
-               F.count_if("is_extreme").alias("extreme_count")],
-    )
-    boxes = by_month.groupBy(*SERIES).agg(
-        F.first("q1").alias("Q1"), F.first("q3").alias("Q3"),
-        (F.first("q3") - F.first("q1")).alias("IQR"),
-        F.sum("extreme_count").alias("extreme_count"),
+    raw = yearly_raw(df, element_id, year, source_id, time_offset or ALL_OFFSETS)
+    months = _with_without(
+        _month_groups(raw, None, None, ALL_OFFSETS), ["mean", "median"], OUTER_WHISKER)
+    # Twelve months of values at most come together again.
+    years = months.where(F.col("n") > 0).groupBy(*SERIES).agg(
+        F.sort_array(F.flatten(F.collect_list("values"))).alias("values"),
         *[F.avg(c).alias(c) for c in (
             "mean_with_outliers", "mean_without_outliers", "median_without_outliers")],
+    ).withColumns({"Q1": quantile_of("values", 0.25), "Q3": quantile_of("values", 0.75)})
+    reach = OUTER_WHISKER * (F.col("Q3") - F.col("Q1"))
+    boxes = years.select(
+        *SERIES, "Q1", "Q3", (F.col("Q3") - F.col("Q1")).alias("IQR"),
+        F.size(outside("values", F.col("Q1") - reach, F.col("Q3") + reach)).cast("bigint")
+        .alias("extreme_count"),
+        "mean_with_outliers", "mean_without_outliers", "median_without_outliers",
     )
     if time_offset is not None:
         return boxes

@@ -7,6 +7,10 @@ order of all values and leaves those inside unchanged, so ``percentile`` over cl
 values is the exact answer while its state shrinks to the values inside the brackets: a
 share of ``4 / accuracy`` of the group. All groups go the same way, whatever their size.
 A check fails the query should a bracket ever miss its rank.
+
+What decides is what the key is, never how many rows there are: a group of one series and
+one day, month or year is bounded by the calendar, so callers that group that way say so
+and get plain ``percentile`` in the one aggregate that reads the rows.
 """
 
 from __future__ import annotations
@@ -34,14 +38,18 @@ class Quantile:
 
 def aggregate_groups(df: DataFrame, keys: Sequence[str],
                      quantiles: Sequence[Quantile],
-                     aggregates: Sequence[Column] = (), *,
+                     aggregates: Sequence[Column] = (), *, calendar: bool = False,
                      accuracy: int = ACCURACY) -> DataFrame:
     """One row per ``keys`` with exact ``quantiles`` and plain ``aggregates``.
 
-    Quantiles interpolate linearly and ignore nulls.
+    Quantiles interpolate linearly and ignore nulls. ``calendar`` says that the keys hold
+    a series and a period of the calendar, which bounds every group.
     """
     if not quantiles:
         return df.groupBy(*keys).agg(*aggregates)
+    if calendar:
+        exact = [F.percentile(q.value, q.p).alias(q.name) for q in quantiles]
+        return df.groupBy(*keys).agg(*aggregates, *exact)
     by_value: dict[str, list[Quantile]] = {}
     for q in sorted(quantiles, key=lambda q: q.p):
         by_value.setdefault(q.value, []).append(q)

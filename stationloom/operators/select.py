@@ -79,6 +79,22 @@ def filter_period(df: DataFrame, start: str | None = None,
     return df
 
 
+def stored_years(df: DataFrame, start: str | pd.Timestamp | None,
+                 end: str | pd.Timestamp | None) -> DataFrame:
+    """Rows of a stored table in the years from ``start`` to ``end``.
+
+    The bounds are on the column the table is partitioned by, so whole directories are
+    passed over. A frame without a ``year`` stays as it is.
+    """
+    if "year" not in df.columns:
+        return df
+    if start:
+        df = df.where(F.col("year") >= pd.Timestamp(start).year)
+    if end:
+        df = df.where(F.col("year") <= pd.Timestamp(end).year)
+    return df
+
+
 def filter_day_of_year(df: DataFrame, month: int, day: int) -> DataFrame:
     """Rows of one calendar day over all years."""
     return df.where((F.month(TIME) == month) & (F.dayofmonth(TIME) == day))
@@ -124,9 +140,7 @@ def scan_selection(df: DataFrame, sources: Sequence[str], elements: Sequence[str
     df = df.where(
         F.col(SOURCE).isin(list(sources)) & F.col(ELEMENT).isin(list(elements))
     )
-    if "year" in df.columns:
-        df = df.where(F.col("year").between(first.year, last.year))
-    return filter_period(df, start, end)
+    return filter_period(stored_years(df, first, last), start, end)
 
 
 def trim_normalise(df: DataFrame, columns: Sequence[str] = (ELEMENT,)) -> DataFrame:
@@ -180,19 +194,23 @@ def _offset_rank() -> Column:
     return F.when(hours.isNotNull(), F.struct(hours, F.col(OFFSET)))
 
 
-def min_time_offset(df: DataFrame, element_id: str | None = None,
-                    source_id: str | None = None, strict: bool = False) -> DataFrame:
+def min_time_offset(df: DataFrame | None, element_id: str | None = None,
+                    source_id: str | None = None, strict: bool = False,
+                    catalogue: DataFrame | None = None) -> DataFrame:
     """Smallest ``PT<n>H`` per station and element, by number of hours.
 
     Equal hours written differently resolve to the smaller text. ``rows`` counts
-    the rows of the station and element.
+    the rows of the station and element. With a series ``catalogue`` no observations
+    are read.
     """
     # Counting offsets first leaves a handful of rows per station and element.
-    counted = (
-        filter_series(df, element_id, None, source_id)
-        .groupBy(SOURCE, ELEMENT, OFFSET)
-        .agg(F.count(F.lit(1)).alias("rows"))
-    )
+    keys = [SOURCE, ELEMENT, OFFSET]
+    if catalogue is None:
+        counted = filter_series(df, element_id, None, source_id).groupBy(*keys).agg(
+            F.count(F.lit(1)).alias("rows"))
+    else:
+        counted = filter_series(catalogue, element_id, None, source_id).groupBy(*keys).agg(
+            F.sum("rows").alias("rows"))
     found = (
         counted.groupBy(SOURCE, ELEMENT)
         .agg(F.min(_offset_rank()).alias("best"), F.sum("rows").alias("rows"))
@@ -202,14 +220,15 @@ def min_time_offset(df: DataFrame, element_id: str | None = None,
     return require_rows(found, strict, f"no PT<n>H offset for element {element_id!r}")
 
 
-def keep_min_offset(df: DataFrame,
-                    within: DataFrame | None = None) -> DataFrame:
+def keep_min_offset(df: DataFrame, within: DataFrame | None = None,
+                    catalogue: DataFrame | None = None) -> DataFrame:
     """Rows at the smallest offset of their station and element.
 
-    ``within`` is the frame whose offsets count, when that is not ``df``.
+    ``within`` is the frame whose offsets count, when that is not ``df``; a series
+    ``catalogue`` stands for it.
     """
     keys = [SOURCE, ELEMENT]
-    best = min_time_offset(df if within is None else within)
+    best = min_time_offset(df if within is None else within, catalogue=catalogue)
     best = best.withColumnRenamed(OFFSET, "min_offset")
     return (
         attach(df, best, keys, ["min_offset"], how="inner")
@@ -239,10 +258,15 @@ def pick_offset(groups: DataFrame, time_offset: str | None) -> DataFrame:
 
 def yearly_raw(df: DataFrame, element_id: str | None, year: int | None,
                source_id: str | None = None, time_offset: str | None = None,
-               strict: bool = False) -> DataFrame:
-    """Numeric rows of one year; ``time_offset=None`` takes the smallest offset."""
+               strict: bool = False, catalogue: DataFrame | None = None) -> DataFrame:
+    """Numeric rows of one year; ``time_offset=None`` takes the smallest offset.
+
+    With the series ``catalogue`` of a stored table only that year is read.
+    """
     if year is None:
         raise ValueError("year is required for raw rows")
+    if catalogue is not None:
+        df = stored_years(df, f"{year}-01-01", f"{year}-12-31")
     chosen = filter_series(
         df, element_id,
         None if time_offset == ALL_OFFSETS else time_offset,
@@ -251,7 +275,7 @@ def yearly_raw(df: DataFrame, element_id: str | None, year: int | None,
     in_year = filter_year(chosen, year)
     if time_offset is None:
         # The offset is a property of the whole series, the rows of the year.
-        in_year = keep_min_offset(in_year, within=chosen)
+        in_year = keep_min_offset(in_year, chosen, catalogue)
     return require_rows(
         drop_invalid_values(in_year), strict,
         f"no data for element {element_id!r} in {year}",

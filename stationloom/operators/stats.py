@@ -21,6 +21,7 @@ from stationloom.operators.select import (
     filter_year,
     keep_min_offset,
     pick_offset,
+    stored_years,
 )
 from stationloom.schema import (
     ELEMENT,
@@ -60,13 +61,18 @@ def count_by_source(df: DataFrame) -> DataFrame:
 
 def month_stats(df: DataFrame, month: str, element_id: str | None = None,
                 source_id: str | None = None, time_offset: str | None = None,
-                strict: bool = False) -> DataFrame:
-    """Mean, median and population std of one ``YYYY-MM``."""
+                strict: bool = False, catalogue: DataFrame | None = None) -> DataFrame:
+    """Mean, median and population std of one ``YYYY-MM``.
+
+    With the series ``catalogue`` of a stored table only the year of the month is read.
+    """
+    if catalogue is not None:
+        df = stored_years(df, f"{month}-01", f"{month}-01")
     chosen = element_values(df, element_id, source_id, time_offset)
     rows = filter_month(chosen, month)
     if time_offset is None:
         # The offset is a property of the whole series, the rows of the month.
-        rows = keep_min_offset(rows, within=chosen)
+        rows = keep_min_offset(rows, chosen, catalogue)
     out = _month_measures(rows).where(F.col("n") > 0).drop("n")
     return require_rows(out, strict, f"no data points in {month}")
 
@@ -75,7 +81,7 @@ def _month_measures(rows: DataFrame) -> DataFrame:
     return aggregate_groups(
         rows, SERIES, [Quantile("median", VALUE, 0.5)],
         [F.avg(VALUE).alias("mean"), F.stddev_pop(VALUE).alias("std"),
-         F.count(VALUE).alias("n")]
+         F.count(VALUE).alias("n")], calendar=True
     ).select(*SERIES, "mean", "median", "std", "n")
 
 
@@ -86,7 +92,7 @@ def _by_month(df: DataFrame, element_id, source_id, time_offset) -> DataFrame:
     groups = aggregate_groups(
         rows, [*SERIES, "month_start"], [Quantile("median", VALUE, 0.5)],
         [F.avg(VALUE).alias("mean"), F.stddev_samp(VALUE).alias("std"),
-         F.count(VALUE).alias("n")]
+         F.count(VALUE).alias("n")], calendar=True
     )
     return pick_offset(groups, time_offset).where(
         (F.col("n") > 0) & F.col("month_start").isNotNull()
@@ -117,18 +123,24 @@ def monthly_range_series(df: DataFrame, element_id: str = RANGE_TEMPERATURE,
 
 def yearly(df: DataFrame, aggregate: str = "mean", element_id: str | None = None,
            source_id: str | None = None, year: int | None = None,
-           time_offset: str | None = None, strict: bool = False) -> DataFrame:
-    """Mean, sum, median or sample std of every year, or of one year."""
+           time_offset: str | None = None, strict: bool = False,
+           catalogue: DataFrame | None = None) -> DataFrame:
+    """Mean, sum, median or sample std of every year, or of one year.
+
+    With the series ``catalogue`` of a stored table only the year asked for is read.
+    """
     check_statistic(aggregate, ("mean", "sum", "median", "std"))
+    if catalogue is not None and year is not None:
+        df = stored_years(df, f"{year}-01-01", f"{year}-12-31")
     chosen = element_values(df, element_id, source_id, time_offset)
     rows = chosen if year is None else filter_year(chosen, year)
     if year is not None and time_offset is None:
-        rows, time_offset = keep_min_offset(rows, within=chosen), ALL_OFFSETS
+        rows, time_offset = keep_min_offset(rows, chosen, catalogue), ALL_OFFSETS
     rows = rows.withColumn("year", F.year(TIME))
     quantiles, measures = measure(aggregate, VALUE, "result", sample=True)
     groups = aggregate_groups(
         rows, [*SERIES, "year"], quantiles,
-        [*measures, F.count(VALUE).alias("n")]
+        [*measures, F.count(VALUE).alias("n")], calendar=True
     )
     out = pick_offset(groups, time_offset).where(
         (F.col("n") > 0) & F.col("year").isNotNull()

@@ -1,4 +1,5 @@
 import json
+from datetime import datetime
 
 import pytest
 from py4j.protocol import Py4JJavaError
@@ -6,6 +7,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from conftest import rows
+from stationloom.operators import change, select, stats
 from stationloom.plans.ingest import ingest_documents
 from stationloom.schema import (
     MAX_TEMPERATURE,
@@ -13,7 +15,7 @@ from stationloom.schema import (
     OBSERVATION_COLUMNS,
     MissingColumnError,
 )
-from stationloom.sources import readers, sinks
+from stationloom.sources import catalogue, readers, sinks
 
 DOCUMENT = {"data": [
     {"sourceId": "SN18700:0", "referenceTime": "2021-01-01T00:00:00.000Z", "observations": [
@@ -144,3 +146,68 @@ def test_json_round_trip(spark, obs, tmp_path):
     assert rows(back, "sourceId", "timeOffset", "elementId", "value") == sorted(
         ((d[0], d[2], d[3], d[4]) for d in data), key=repr)
     assert documents.count() == 3
+
+
+@pytest.fixture()
+def history(obs):
+    return obs([
+        ("S", f"{year}-0{month}-0{day}", offset, "e", str(year + month + day), "mm")
+        for year in (2019, 2020, 2021) for month in (1, 2) for day in (1, 5)
+        for offset in ("PT6H", "PT18H")
+    ] + [("S", "2018-03-01", "PT0H", "e", "7", "mm"), ("T", "2021-01-01", "PT6H", "e", "8", "mm")])
+
+
+def test_catalogue_follows_the_table(spark, history, tmp_path):
+    path = str(tmp_path / "table")
+    late = F.col("referenceTime") >= F.lit("2020-02-01").cast("timestamp")
+    sinks.write_observation_table(history.where(~late), path)
+    sinks.write_observation_table(history.where(late), path, "append")
+    got = catalogue.read_catalogue(spark, path)
+    assert rows(got) == rows(catalogue.series_catalogue(history)) and catalogue.stale_years(spark, path) == []
+    assert spark.read.parquet(path).count() == history.count()
+    # a year replaced by fewer rows, other years untouched
+    sinks.write_observation_table(select.filter_month(history, "2020-01"), path)
+    fewer = history.where((F.year("referenceTime") != 2020) | (F.month("referenceTime") == 1))
+    assert rows(catalogue.read_catalogue(spark, path)) == rows(catalogue.series_catalogue(fewer))
+    # files that came by another way
+    fewer.where(F.year("referenceTime") == 2019).withColumn("year", F.lit(2019)).write.mode("append").partitionBy("year").parquet(path)
+    assert catalogue.stale_years(spark, path) == [2019]
+    catalogue.rebuild_catalogue(spark, path, catalogue.stale_years(spark, path))
+    assert catalogue.stale_years(spark, path) == []
+    some = rows(catalogue.read_catalogue(spark, path))
+    catalogue.rebuild_catalogue(spark, path)
+    assert rows(catalogue.read_catalogue(spark, path)) == some
+
+
+def test_catalogue_of_rows_without_time_and_of_nothing(spark, obs, tmp_path):
+    path = str(tmp_path / "table")
+    sinks.write_observation_table(obs([("S", "bad", "PT6H", "e", "1", "mm"), ("S", "2020-01-01", "PT6H", "e", "1", "mm")]), path)
+    assert rows(catalogue.read_catalogue(spark, path), "year", "rows", "first") == sorted(
+        [(None, 1, None), (2020, 1, datetime(2020, 1, 1))], key=repr)
+    assert catalogue.stale_years(spark, path) == []
+    catalogue.rebuild_catalogue(spark, path, [None])
+    assert catalogue.read_catalogue(spark, path).count() == 2
+
+
+@pytest.mark.parametrize("name", ["month", "year", "period", "raw"])
+def test_offsets_from_the_catalogue(spark, history, tmp_path, name):
+    """Same results, and observations are scanned once, in the years asked for."""
+    path = str(tmp_path / "table")
+    sinks.write_observation_table(history, path)
+    table = spark.read.parquet(path)
+    run = {
+        "month": lambda df, **o: stats.month_stats(df, "2021-01", **o),
+        "year": lambda df, **o: stats.yearly(df, "mean", year=2021, **o),
+        "period": lambda df, **o: change.period_stat(df, "mean", "D", start="2021-01-02", end="2021-02-01", **o),
+        "raw": lambda df, **o: select.yearly_raw(df, "e", 2021, **o).drop("year"),
+    }[name]
+    found = run(table, catalogue=catalogue.read_catalogue(spark, path))
+    assert rows(found) == rows(run(history))
+    # the smallest offset is that of 2018, which S does not have in 2021
+    assert {r["sourceId"] for r in found.select("sourceId").collect()} <= {"T"}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    physical = found._jdf.queryExecution().sparkPlan().toString()
+    scans = [line for line in physical.split("\n") if "FileScan parquet" in line or "Scan parquet" in line]
+    own = [line for line in scans if "value:" in line[line.index("ReadSchema"):]]
+    assert len(scans) == 2
+    assert len(own) == 1 and "year" in own[0][own[0].index("PartitionFilters"):own[0].index("PushedFilters")], plan

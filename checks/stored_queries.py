@@ -6,10 +6,13 @@ from pyspark.sql import functions as F
 
 from checks.basic_queries import net_sql, plain
 from checks.registry import check, r, with_tables
+from checks.outlier_queries import _SUMMARY_SQL
 from checks.stats_queries import _MONTH_END, KEYS
 from checks.tables import NETWORK_SQL, network
-from stationloom.operators import change, select, stats
+from stationloom.operators import change, outliers, select, sketches, stats
+from stationloom.operators.quantiles import Quantile
 from stationloom.plans.shared import shared_folder
+from stationloom.schema import SERIES
 from stationloom.sources import catalogue, sinks
 
 
@@ -61,3 +64,39 @@ def _(spark, sf):
 def _(spark, sf):
     table, series = stored(spark, sf)
     return plain(select.yearly_raw(table.drop("year"), None, 1997, catalogue=series))
+
+
+def sketched(spark, sf):
+    """The network with quantile sketches, written and appended to."""
+    path = shared_folder(spark, "observations")
+    table = network(spark, sf)
+    early = F.col("referenceTime") < F.lit("1996-03-15").cast("timestamp")
+    sinks.write_observation_table(table.where(early), path, sketches=True)
+    sinks.write_observation_table(table.where(~early), path, "append", sketches=True)
+    return spark.read.parquet(path), sketches.read_sketches(spark, path)
+
+
+@check("iqr_summary_sketched", with_tables(NETWORK_SQL, _SUMMARY_SQL))
+def _(spark, sf):
+    table, made = sketched(spark, sf)
+    return outliers.iqr_summary(table, SERIES, sketches=made)
+
+
+@check("element_quantiles_sketched", with_tables(NETWORK_SQL, f"""
+    SELECT elementId, {r('quantile_cont(num, 0.1)')} AS q10, {r('quantile_cont(num, 0.5)')} AS q50,
+           {r('quantile_cont(num, 0.99)')} AS q99, COUNT(num) AS n
+    FROM net GROUP BY ALL"""))
+def _(spark, sf):
+    """Groups over all stations; little state, so that brackets are made narrower."""
+    table, made = sketched(spark, sf)
+    wanted = [Quantile("q10", "value", 0.1), Quantile("q50", "value", 0.5), Quantile("q99", "value", 0.99)]
+    return sketches.sketched_quantiles(
+        table, made, ["elementId"], wanted, [F.count("value").alias("n")], state=50)
+
+
+@check("yearly_median_sketched", with_tables(NETWORK_SQL, f"""
+    SELECT elementId, CAST(YEAR(ts) AS INTEGER) AS "year", {r('MEDIAN(num)')} AS value FROM net GROUP BY ALL"""))
+def _(spark, sf):
+    table, made = sketched(spark, sf)
+    return sketches.sketched_quantiles(
+        table, made, ["elementId", "year"], [Quantile("value", "value", 0.5)])

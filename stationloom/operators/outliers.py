@@ -49,10 +49,15 @@ def resolve_whisker(whisker: float | None = None, *, extreme: bool = False,
     return float(chosen)
 
 
-def iqr_summary(df: DataFrame, keys: Sequence[str] = (), value: str = VALUE) -> DataFrame:
-    """Quartiles, IQR, inner (1.5) and outer (3.0) fences per ``keys``."""
+def iqr_summary(df: DataFrame, keys: Sequence[str] = (), value: str = VALUE,
+                sketches: DataFrame | None = None) -> DataFrame:
+    """Quartiles, IQR, inner (1.5) and outer (3.0) fences per ``keys``.
+
+    ``sketches`` are stored ones of the same rows, see
+    :mod:`stationloom.operators.sketches`; then jobs run while the query is built.
+    """
     rows = df.select(*keys, number_column(df, value).alias("__v"))
-    q = _group_quartiles(rows, keys)
+    q = _group_quartiles(rows, keys, sketches)
     q1, q3 = F.col("q1"), F.col("q3")
     iqr = q3 - q1
     return q.select(
@@ -64,7 +69,12 @@ def iqr_summary(df: DataFrame, keys: Sequence[str] = (), value: str = VALUE) ->
     )
 
 
-def _group_quartiles(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _group_quartiles(rows: DataFrame, keys: Sequence[str],
+                     sketches: DataFrame | None = None) -> DataFrame:
+    if sketches is not None:
+        from stationloom.operators.sketches import sketched_quantiles
+
+        return sketched_quantiles(rows, sketches, keys, _QUARTILES)
     if keys:
         return aggregate_groups(rows, keys, _QUARTILES)
     one = aggregate_groups(
@@ -73,11 +83,12 @@ def _group_quartiles(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     return one.drop("__all")
 
 
-def fences(df: DataFrame, keys: Sequence[str], whisker: float, value: str = VALUE) -> DataFrame:
-    """``lower_fence`` and ``upper_fence`` per ``keys``."""
+def fences(df: DataFrame, keys: Sequence[str], whisker: float, value: str = VALUE,
+           sketches: DataFrame | None = None) -> DataFrame:
+    """``lower_fence`` and ``upper_fence`` per ``keys``; ``sketches`` as for :func:`iqr_summary`."""
     rows = df.select(*keys, number_column(df, value).alias("__v"))
     q1, q3 = F.col("q1"), F.col("q3")
-    return _group_quartiles(rows, keys).select(
+    return _group_quartiles(rows, keys, sketches).select(
         *keys,
         (q1 - whisker * (q3 - q1)).alias("lower_fence"),
         (q3 + whisker * (q3 - q1)).alias("upper_fence"),
@@ -87,14 +98,15 @@ def fences(df: DataFrame, keys: Sequence[str], whisker: float, value: str = VALU
 def flag_outliers(df: DataFrame, keys: Sequence[str] = SERIES, *,
                   whisker: float | None = None, extreme: bool = False,
                   instance: float | None = None, value: str = VALUE,
-                  flag: str = "is_outlier", time_offset: str | None = ALL_OFFSETS) -> DataFrame:
+                  flag: str = "is_outlier", time_offset: str | None = ALL_OFFSETS,
+                  sketches: DataFrame | None = None) -> DataFrame:
     """Add a boolean: strictly outside the fences of its group; null is false.
 
     ``time_offset`` works as in :mod:`stationloom.operators.stats` and needs the
-    series columns among ``keys``.
+    series columns among ``keys``. ``sketches`` are those of :func:`iqr_summary`.
     """
     w = resolve_whisker(whisker, extreme=extreme, instance=instance)
-    limits = pick_offset(fences(df, keys, w, value), time_offset)
+    limits = pick_offset(fences(df, keys, w, value, sketches), time_offset)
     joined = attach(
         df, limits, list(keys), ["lower_fence", "upper_fence"],
         how="left" if time_offset == ALL_OFFSETS else "inner",

@@ -78,6 +78,16 @@ def _with_brackets(df: DataFrame, keys: Sequence[str],
         sketches += [F.percentile_approx(value, points, accuracy).alias(f"__edges_{i}"),
                      F.count(value).alias(f"__size_{i}")]
     brackets = df.groupBy(*keys).agg(*sketches).select(*keys, *edges)
+    return exact_within(df, brackets, keys, by_value, aggregates)
+
+
+def exact_within(df: DataFrame, brackets: DataFrame, keys: Sequence[str],
+                 by_value: dict[str, list[Quantile]], aggregates: Sequence[Column]) -> DataFrame:
+    """Exact quantiles from one pass, with state for the values inside ``brackets`` only.
+
+    ``brackets`` has ``__low_i_j`` and ``__high_i_j`` for quantile j of column i, in
+    ascending order; null means no bracket.
+    """
     added = [c for c in brackets.columns if c not in keys]
     rows = attach(df, brackets, keys, added)
 

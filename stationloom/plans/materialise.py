@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
+from stationloom.plans.shared import shared_folder
+
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Keep the rows of ``df`` on the executors from its first use on.
+    """The rows of ``df``, written to the shared folder and read back.
 
-    No job runs here. Rows of a lost executor are computed again from their source.
-    ``unpersist()`` on the result, or ``spark.catalog.clearCache()``, releases them.
+    The job runs here, once. Later steps start from the files, whichever executors are
+    lost, and nothing stays in the session's cache; the files go with the shared folder.
     """
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    path = shared_folder(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

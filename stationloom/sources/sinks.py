@@ -13,6 +13,7 @@ from stationloom.functions import iso_format
 from stationloom.operators.missing import missing_summary
 from stationloom.operators.reshape import add_daily_range
 from stationloom.operators.select import station_lookup
+from stationloom.operators.sketches import write_sketches
 from stationloom.sources.catalogue import write_catalogue
 from stationloom.schema import (
     ELEMENT,
@@ -35,19 +36,23 @@ def _time_as_text(df: DataFrame) -> DataFrame:
     return df.withColumn(TIME, iso_format(F.col(TIME)))
 
 
-def write_observation_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+def write_observation_table(df: DataFrame, path: str, mode: str = "overwrite",
+                            sketches: bool = False) -> None:
     """Columnar table partitioned by year, ordered by station and time inside each file.
 
     Rebalancing splits a large year over several files and merges small ones. Stations are
     found by the ranges that columnar files keep, so their number makes no directories.
     The table's series catalogue is written or merged after it, from a second look at the
-    key columns of ``df``.
+    key columns of ``df``; with ``sketches`` so are quantile sketches, from a third at
+    its values.
     """
     table = df.select(*OBSERVATION_COLUMNS).withColumn("year", F.year(TIME))
     table.hint("rebalance", "year", SOURCE).sortWithinPartitions(
         "year", SOURCE, TIME
     ).write.mode(mode).partitionBy("year").parquet(path)
     write_catalogue(df, path, mode)
+    if sketches:
+        write_sketches(df, path, mode)
 
 
 def station_rows(df: DataFrame, stations: dict[str, str] | None = None) -> DataFrame:

@@ -14,13 +14,15 @@ CITIES = ("Oslo", "Tromsø")
 PAIR = (OSLO, TROMSO, *CITIES)
 
 COMPARE_SQL = f"""
+lefts AS (SELECT * FROM obs WHERE sourceId = '{OSLO}'),
+rights AS (SELECT * FROM obs WHERE sourceId = '{TROMSO}'),
 cmp AS (
-  SELECT COALESCE(a.d, b.d) AS d, COALESCE(a.timeOffset, b.timeOffset) AS timeOffset,
-         COALESCE(a.elementId, b.elementId) AS elementId,
-         a.num AS left_value, b.num AS right_value
-  FROM (SELECT * FROM obs WHERE sourceId = '{OSLO}') a
-  FULL JOIN (SELECT * FROM obs WHERE sourceId = '{TROMSO}') b
-    ON a.d = b.d AND a.timeOffset = b.timeOffset AND a.elementId = b.elementId),
+  SELECT a.d, a.timeOffset, a.elementId, a.num AS left_value, b.num AS right_value
+  FROM lefts a LEFT JOIN rights b ON a.d = b.d AND a.timeOffset = b.timeOffset AND a.elementId = b.elementId
+  UNION ALL
+  SELECT b.d, b.timeOffset, b.elementId, NULL, b.num FROM rights b
+  WHERE NOT EXISTS (
+    SELECT 1 FROM lefts a WHERE a.d = b.d AND a.timeOffset = b.timeOffset AND a.elementId = b.elementId)),
 mis AS (
   SELECT *, 'Oslo' AS city FROM cmp WHERE left_value IS NULL AND right_value IS NOT NULL
   UNION ALL

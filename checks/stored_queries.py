@@ -8,12 +8,12 @@ from checks.basic_queries import net_sql, plain
 from checks.registry import check, r, with_tables
 from checks.outlier_queries import _SUMMARY_SQL
 from checks.stats_queries import _MONTH_END, KEYS
-from checks.tables import NETWORK_SQL, network
+from checks.tables import NETWORK_SQL, OBSERVATIONS_SQL, network, observations
 from stationloom.operators import change, outliers, select, sketches, stats
 from stationloom.operators.quantiles import Quantile
 from stationloom.plans.shared import shared_folder
 from stationloom.schema import SERIES
-from stationloom.sources import catalogue, sinks
+from stationloom.sources import catalogue, ranges, readers, sinks
 
 
 def stored(spark, sf):
@@ -100,3 +100,21 @@ def _(spark, sf):
     table, made = sketched(spark, sf)
     return sketches.sketched_quantiles(
         table, made, ["elementId", "year"], [Quantile("value", "value", 0.5)])
+
+
+@check("large_document_rows", with_tables(OBSERVATIONS_SQL, """
+    SELECT sourceId, strftime(ts, '%Y-%m-%dT%H:%M:%S.000Z') AS referenceTime, timeOffset, elementId, num, unit FROM obs"""))
+def _(spark, sf):
+    """One document of each year, of many lines, read by byte ranges."""
+    path = shared_folder(spark, "documents")
+    entry = F.col("data")[0]
+    entries = sinks.document_entries(observations(spark, sf)).select(
+        F.substring(entry["referenceTime"], 1, 4).alias("year"), F.concat(F.to_json(entry), F.lit(",")).alias("line"))
+    years = entries.select("year").distinct()
+    # the last entry has no observations and so no rows
+    parts = (entries.withColumn("place", F.lit(1))
+             .unionByName(years.select("year", F.lit('{"data": [').alias("line"), F.lit(0).alias("place")))
+             .unionByName(years.select("year", F.lit('{"sourceId": "", "observations": []}]}').alias("line"), F.lit(2).alias("place"))))
+    parts.repartition("year").sortWithinPartitions("year", "place").select("year", "line").write.partitionBy("year").text(path)
+    rows = readers.flatten_observations(ranges.read_large_documents(spark, path))
+    return rows.select("sourceId", "referenceTime", "timeOffset", "elementId", F.col("value").try_cast("double").alias("num"), "unit")

@@ -365,3 +365,24 @@ def _(spark, sf):
     FROM ann GROUP BY ALL"""))
 def _(spark, sf):
     return extremes.trend_endpoints(network(spark, sf), "max")
+
+
+@check("robust_trend", with_tables(NETWORK_SQL, f"""
+    ann AS (SELECT {KEYS}, YEAR(ts) AS y, MAX(num) AS v
+            FROM net_mo WHERE num IS NOT NULL GROUP BY ALL)""", f"""
+    steps AS (SELECT {KEYS}, SUM(SIGN(b.v - a.v)) AS s, MEDIAN((b.v - a.v) / (b.y - a.y)) AS slope
+              FROM ann a JOIN ann b USING ({KEYS}) WHERE b.y > a.y GROUP BY ALL)""", f"""
+    tied AS (SELECT {KEYS}, SUM(t) AS n, SUM(t * (t - 1) * (2 * t + 5)) AS ties
+             FROM (SELECT {KEYS}, v, COUNT(*) AS t FROM ann GROUP BY ALL) GROUP BY ALL)""", f"""
+    line AS (SELECT {KEYS}, MEDIAN(v - slope * y) AS intercept FROM ann JOIN steps USING ({KEYS}) GROUP BY ALL)""", f"""
+    zs AS (SELECT {KEYS}, n, COALESCE(s, 0) AS s, slope, intercept, CASE WHEN n * (n - 1) * (2 * n + 5) > ties
+             THEN (COALESCE(s, 0) - SIGN(COALESCE(s, 0))) / SQRT((n * (n - 1) * (2 * n + 5) - ties) / 18) ELSE 0 END AS z
+           FROM tied LEFT JOIN steps USING ({KEYS}) LEFT JOIN line USING ({KEYS}))""", f"""
+    ts5 AS (SELECT *, ABS(z) / SQRT(2.0) AS x, 1 / (1 + 0.3275911 * ABS(z) / SQRT(2.0)) AS t FROM zs)""", f"""
+    SELECT {KEYS}, CAST(n AS INTEGER) AS years, CAST(s AS BIGINT) AS s, {r('z')} AS z,
+           {r("CASE WHEN z = 0 THEN 1 ELSE ((((1.061405429 * t - 1.453152027) * t + 1.421413741) * t - 0.284496736) * t"
+              " + 0.254829592) * t * EXP(-x * x) END")} AS p_value,
+           {r('slope')} AS slope, {r('intercept')} AS intercept
+    FROM ts5"""))
+def _(spark, sf):
+    return extremes.robust_trend(network(spark, sf), "max")

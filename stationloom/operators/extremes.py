@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stationloom.operators.arrays import quantile_of
 from stationloom.operators.select import (
     ALL_OFFSETS,
     drop_invalid_values,
@@ -104,3 +105,54 @@ def trend_endpoints(df: DataFrame, kind: str = "max",
         F.max("period").alias("last_period"),
         F.max_by(VALUE, "period").alias("last_value"),
     )
+
+
+# Polynomial for the complementary error function, absolute error below 1.5e-7
+# (Abramowitz and Stegun, 7.1.26): the scale, then the coefficients of t to t**5.
+_ERFC = (0.3275911, 0.254829592, -0.284496736, 1.421413741, -1.453152027, 1.061405429)
+
+
+def _erfc(x: Column) -> Column:
+    """Complementary error function of numbers from zero on."""
+    scale, *coefficients = _ERFC
+    t = 1 / (1 + F.lit(scale) * x)
+    total = F.lit(0.0)
+    for c in reversed(coefficients):
+        total = (total + c) * t
+    return total * F.exp(-x * x)
+
+
+def robust_trend(df: DataFrame, kind: str = "max",
+                 element_id: str | None = None, source_id: str | None = None,
+                 time_offset: str | None = None) -> DataFrame:
+    """Mann-Kendall test and Theil-Sen line of the yearly extremes of each series.
+
+    ``years`` counts those with a value; ``s`` adds up the signs of the changes between all
+    pairs of years, ``z`` is its normal score, corrected for ties and continuity, and
+    ``p_value`` the two-sided probability (to 1e-6). ``slope`` is the median change a year of
+    all pairs, ``intercept`` the median of value minus slope times year. With fewer than two
+    years slope and intercept are null, ``s`` and ``z`` 0 and ``p_value`` 1. A series has one
+    point a year, so its pairs are one small array.
+    """
+    points = annual_extreme(df, kind, element_id, source_id, time_offset).where(F.col(VALUE).isNotNull())
+    packed = points.groupBy(*SERIES).agg(F.sort_array(F.collect_list(
+        F.struct(F.year("period").alias("year"), F.col(VALUE).cast("double").alias("v")))).alias("points"))
+    pairs = F.flatten(F.transform("points", lambda p: F.transform(
+        F.filter("points", lambda q: q["year"] > p["year"]),
+        lambda q: F.struct(F.signum(q["v"] - p["v"]).alias("sign"),
+                           ((q["v"] - p["v"]) / (q["year"] - p["year"])).alias("slope")))))
+    n = F.size("points").cast("double")
+    equal = F.transform("points", lambda p: F.size(F.filter("points", lambda q: q["v"] == p["v"])))
+    # each of t equal values brings (t - 1) * (2t + 5), together t * (t - 1) * (2t + 5)
+    ties = F.aggregate(equal, F.lit(0.0), lambda a, t: a + (t - 1) * (2 * t + 5))
+    found = packed.withColumn("pairs", pairs).select(
+        *SERIES, "points", F.size("points").alias("years"),
+        F.aggregate("pairs", F.lit(0.0), lambda a, x: a + x["sign"]).cast("bigint").alias("s"),
+        F.sqrt((n * (n - 1) * (2 * n + 5) - ties) / 18).alias("spread"),
+        F.sort_array(F.col("pairs.slope")).alias("slopes"))
+    score = F.when(F.col("spread") > 0, (F.col("s") - F.signum(F.col("s").cast("double"))) / F.col("spread")).otherwise(0.0)
+    scored = found.withColumns({"z": score, "slope": quantile_of("slopes", 0.5)})
+    rests = F.sort_array(F.transform("points", lambda p: p["v"] - F.col("slope") * p["year"]))
+    return scored.withColumn("rests", F.when(F.col("slope").isNotNull(), rests)).select(
+        *SERIES, "years", "s", "z", F.when(F.col("z") == 0, 1.0).otherwise(_erfc(F.abs("z") / F.sqrt(F.lit(2.0)))).alias("p_value"),
+        "slope", quantile_of("rests", 0.5).alias("intercept"))

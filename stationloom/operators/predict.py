@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from stationloom.operators.correlation import pearson
 from stationloom.operators.reshape import feature_pivot
@@ -77,6 +78,44 @@ def train_test_split(df: DataFrame, key: Column, train_percent: int = 80) -> Dat
     return df.withColumn("is_train", bucket < train_percent)
 
 
+# Leading bits of a 60-bit hash that the first histogram of an exact split tells apart.
+_SPLIT_BITS = 16
+
+
+def exact_train_test_split(df: DataFrame, key: Column, train_percent: int = 80) -> DataFrame:
+    """Add ``is_train``; of each station's n rows exactly ``n * train_percent // 100`` are for training.
+
+    Training takes the rows of the least hashes of ``key``, so the split is repeatable. Rows of one
+    key stay on one side; where keys repeat, training takes as many as fit. A null key is an
+    empty text; rows without a station are a group. The border of a station is found in two
+    histograms: counts by the leading bits of the hash say where it lies, and the distinct hashes
+    there say what it is. ``df`` is read three times.
+    """
+    if not 0 <= train_percent <= 100:
+        raise ValueError("train_percent must be between 0 and 100")
+    head = F.conv(F.substring(F.md5(F.coalesce(key.cast("string"), F.lit(""))), 1, 15), 16, 10)
+    hashed = df.withColumn("__hash", head.cast("bigint"))
+    part = F.shiftright("__hash", 60 - _SPLIT_BITS)
+    coarse = hashed.groupBy(SOURCE, part.alias("__part")).agg(F.count(F.lit(1)).alias("__n"))
+    whole = Window.partitionBy(SOURCE)
+    upto = whole.orderBy("__part").rowsBetween(Window.unboundedPreceding, 0)
+    running = coarse.select(
+        SOURCE, "__part", F.sum("__n").over(upto).alias("__upto"), "__n",
+        F.floor(F.sum("__n").over(whole) * train_percent / 100).alias("__target"))
+    # the first part that holds more than is wanted; none where all rows are for training
+    borders = running.where(F.col("__upto") > F.col("__target")).groupBy(SOURCE).agg(
+        F.min("__part").alias("__part"), F.min_by(F.col("__target") - F.col("__upto") + F.col("__n"), "__part").alias("__left"))
+    near = attach(hashed.select(SOURCE, "__hash"), borders.withColumnRenamed("__part", "__at"), [SOURCE], ["__at", "__left"], how="inner")
+    fine = near.where(part == F.col("__at")).groupBy(SOURCE, "__hash").agg(
+        F.count(F.lit(1)).alias("__n"), F.first("__left").alias("__left"), F.first("__at").alias("__at"))
+    order = whole.orderBy("__hash").rowsBetween(Window.unboundedPreceding, 0)
+    taken = fine.withColumn("__fits", F.sum("__n").over(order) <= F.col("__left"))
+    last = taken.groupBy(SOURCE).agg(F.coalesce(
+        F.max(F.when(F.col("__fits"), F.col("__hash"))), F.shiftleft(F.first("__at"), 60 - _SPLIT_BITS) - 1).alias("__last"))
+    split = attach(hashed, last, [SOURCE], ["__last"])
+    return split.withColumn("is_train", F.coalesce(F.col("__hash") <= F.col("__last"), F.lit(True))).drop("__hash", "__last")
+
+
 def split_key(time: str = TIME) -> Column:
     """Station and day as text, the key used for splitting."""
     return F.concat_ws("|", F.col(SOURCE), F.date_format(time, "yyyy-MM-dd"))

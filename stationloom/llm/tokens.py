@@ -5,7 +5,6 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -13,15 +12,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .transducer import SPECIAL, Merges, TokenCounter, byte_alphabet, piece_starts
-from .words import mix, spans
+from .words import kept, mix, spans
 
 #: Characters taken together.
 BATCH_CHARS = 1_000_000
 
 
-@lru_cache(maxsize=2)
 def _counter(path: str) -> TokenCounter:
-    return TokenCounter(Merges(path))
+    counters = kept("counters")
+    if path not in counters:
+        counters[path] = TokenCounter(Merges(path))
+    return counters[path]
 
 
 class Pieces:
@@ -195,6 +196,8 @@ class Encoder:
         return ids[ranges((np.cumsum(size) - size)[which], sizes)], np.bincount(pieces.doc, weights=sizes, minlength=len(texts)).astype(np.int64)
 
 
-@lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
-    return Encoder(path)
+    encoders = kept("encoders")
+    if path not in encoders:
+        encoders[path] = Encoder(path)
+    return encoders[path]

@@ -7,6 +7,8 @@ callers that need certainty take two of them with different seeds.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -35,12 +37,29 @@ def _seeded(seed: int) -> tuple[np.ndarray, int, int]:
     return rng.integers(1 << 64, size=256, dtype=np.uint64), base % (1 << 64), pow(base, -1, 1 << 64)
 
 
-_POWERS: dict[int, np.ndarray] = {}
+_KEPT: dict[str, dict] = {}
+
+
+def kept(kind: str) -> dict:
+    """What this worker keeps from batch to batch for one kind of work.
+
+    Python workers outlive the stages they were started for, so what another kind of work left behind is let go first.
+    """
+    if kind not in _KEPT:
+        if _KEPT:
+            _KEPT.clear()
+            gc.collect()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc alone has it
+            if trim is not None:
+                trim(0)
+        _KEPT[kind] = {}
+    return _KEPT[kind]
 
 
 def _powers(base: int, n: int) -> np.ndarray:
     """``base ** k`` modulo 2**64 for k below n; kept up to the size of a batch."""
-    have = _POWERS.get(base)
+    powers = kept("powers")
+    have = powers.get(base)
     if have is None or len(have) < n:
         size = max(n, 1 << 16)
         out = np.empty(size, dtype=np.uint64)
@@ -52,7 +71,7 @@ def _powers(base: int, n: int) -> np.ndarray:
             done += step
         have = out
         if size <= 2 * BATCH_BYTES:
-            _POWERS[base] = out
+            powers[base] = out
     return have[:n]
 
 

@@ -107,3 +107,15 @@ def test_plan(seed):
     assert used == counts and all(x <= capacity for x in filled.values()) and all(x <= 2 for x in large.values())
     with pytest.raises(ValueError):
         plan_packing({capacity + 1: 1}, capacity)
+
+
+def test_a_worker_keeps_one_kind_of_work():
+    from stationloom.llm import words
+    text = ["some words " * 50]
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    first = encoder(path).encode(text)[0].tolist()
+    hashes = words.Words(text).hashes().tolist()
+    assert list(words._KEPT) == ["powers"]
+    assert encoder(path).encode(text)[0].tolist() == first and encoder(path) is encoder(path)
+    assert list(words._KEPT) == ["encoders"]
+    assert words.Words(text).hashes().tolist() == hashes

@@ -15,6 +15,7 @@ from stationloom.operators.reshape import add_daily_range
 from stationloom.operators.select import station_lookup
 from stationloom.operators.sketches import write_sketches
 from stationloom.sources.catalogue import write_catalogue
+from stationloom.sources.versions import replace_table
 from stationloom.schema import (
     ELEMENT,
     OBSERVATION_COLUMNS,
@@ -79,12 +80,22 @@ def write_with_range(df: DataFrame, path: str, mode: str = "overwrite",
                      order_by: str | None = None) -> None:
     """:func:`rows_with_range`, sorted, as delimited text.
 
-    ``path`` must differ from where ``df`` comes from.
+    ``path`` must differ from where ``df`` comes from; see :func:`replace_with_range`.
     """
     rows = rows_with_range(df, order_by).orderBy(*_FILE_ORDER)
     rows.write.mode(mode).option("header", True).csv(path)
 
 
+def replace_with_range(df: DataFrame, path: str, order_by: str | None = None) -> str:
+    """:func:`write_with_range` as the new version of ``path``, which ``df`` may come from.
+
+    Readers find it by :func:`stationloom.sources.versions.current_folder` and see the old
+    version or the new one. Returns the new version's folder.
+    """
+    return replace_table(df.sparkSession, path,
+                         lambda folder: write_with_range(df, folder, "errorifexists", order_by))
+
+
 def imputed_rows(df: DataFrame) -> DataFrame:
     """Fixed column order, times as text, numbers with three decimals as text."""
     return _time_as_text(df).select(

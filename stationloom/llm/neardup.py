@@ -11,8 +11,8 @@ Equal texts become one vertex. Bands of registers give buckets; links from the f
 member of a bucket to all others are verified on the exact sets of shingles. Members
 of a bucket that are connected by then need no more comparison. Where a bucket still
 holds several classes, its members are compared by signature in blocks, which gives
-families, and the members of a family by their exact sets. Both give no more links than
-join classes, so a group of near copies costs links in proportion to its size and no
+families, and the members of a family by their exact sets. Both give links between classes only, no more
+than join them, so a group of near copies costs links in proportion to its size and no
 link between different texts is left out.
 """
 
@@ -211,24 +211,24 @@ def _sides(key: tuple, frame: pd.DataFrame) -> tuple[pd.DataFrame, pd.DataFrame]
 
 
 def _likely(members: DataFrame, registers: int, threshold: float, least_share: float) -> DataFrame:
-    """Links between labels of one bucket whose signatures leave similarity possible: a spanning forest, not all pairs."""
+    """``a, b``: labels met in one bucket whose signatures leave similarity possible: a spanning forest, not all pairs."""
     def compare(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         left, right = _sides(key, frame)
         out, forest = [], _Forest()
         if len(left) and len(right):
             marks = np.frombuffer(b"".join(right["marks"]), dtype=np.uint8).reshape(len(right), registers)
-            keys, labels, sizes = right["key"].to_numpy(), right["label"].to_numpy(), right["size"].to_numpy()
-            for own, label, size, mark in zip(left["key"], left["label"], left["size"], left["marks"], strict=True):
+            labels, sizes = right["label"].to_numpy(), right["size"].to_numpy()
+            for label, size, mark in zip(left["label"], left["size"], left["marks"], strict=True):
                 same = (marks == np.frombuffer(mark, dtype=np.uint8)).sum(axis=1)
                 close = np.flatnonzero((same >= least_share * registers) & (labels != label) & (np.minimum(sizes, size) >= threshold * np.maximum(sizes, size) - 1e-9))
-                out += [(own, keys[i]) for i in close if forest.join(label, labels[i])]
+                out += [(label, labels[i]) for i in close if forest.join(label, labels[i])]
         return pd.DataFrame(out, columns=["a", "b"])
 
     return _meetings(members, "bucket", ["size", "marks"]).groupBy("bucket", "p", "q").applyInPandas(compare, "a binary, b binary")
 
 
 def _similar(members: DataFrame, threshold: float) -> DataFrame:
-    """Links between labels of one family by exact similarity of all its members: again a spanning forest."""
+    """``a, b``: labels of one family joined by exact similarity of any of their members: again a spanning forest."""
     def compare(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         left, right = _sides(key, frame)
         out, forest = [], _Forest()
@@ -250,8 +250,8 @@ def _similar(members: DataFrame, threshold: float) -> DataFrame:
                     tables.append(table)
                 common += tables[0] @ tables[1].T
             near = common >= threshold * (sizes[0][:, None] + sizes[1][None, :] - common) - 1e-6
-            keys, labels = [side["key"].tolist() for side in (left, right)], [side["label"].tolist() for side in (left, right)]
-            out = [(keys[0][i], keys[1][j]) for i, j in zip(*np.nonzero(near), strict=True) if forest.join(labels[0][i], labels[1][j])]
+            labels = [side["label"].tolist() for side in (left, right)]
+            out = [(labels[0][i], labels[1][j]) for i, j in zip(*np.nonzero(near), strict=True) if forest.join(labels[0][i], labels[1][j])]
         return pd.DataFrame(out, columns=["a", "b"])
 
     return _meetings(members, "family", ["set"]).groupBy("family", "p", "q").applyInPandas(compare, "a binary, b binary")
@@ -284,14 +284,16 @@ def class_labels(docs: DataFrame, threshold: float = 0.8, bands: int = 28, rows:
                .withColumn("label", F.coalesce("label", "key")).join(vertices.select("key", "size", "marks"), "key"))
     likely = B.checkpointed(_likely(members, bands * rows, threshold, least_share))
     if not likely.isEmpty():
-        families = components(links.union(likely))
-        inside = (families.withColumnsRenamed({"v": "key", "label": "family"}).join(labels.withColumnRenamed("v", "key"), "key", "left")
-                  .withColumn("label", F.coalesce("label", "key")))
-        mixed = inside.groupBy("family").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter(F.col("low") != F.col("high"))
-        inside = B.checkpointed(inside.join(mixed.select("family"), "family", "left_semi"))
+        families = components(likely).select(F.col("v").alias("class"), F.col("label").alias("family"))
+        classed = labels.join(families, F.col("label") == F.col("class")).select(F.col("v").alias("key"), "label", "family")
+        alone = families.join(labels, F.col("class") == F.col("v"), "left_anti")
+        inside = B.checkpointed(classed.union(alone.select(F.col("class").alias("key"), F.col("class").alias("label"), "family")))
         more = B.checkpointed(_similar(inside.join(_sets_of(inside, docs, ids), "key"), threshold))
         if not more.isEmpty():
-            labels = components(links.union(more))
+            joined = components(more).select(F.col("v").alias("class"), F.col("label").alias("least"))
+            alone = joined.join(labels, F.col("class") == F.col("v"), "left_anti").select(F.col("class").alias("v"), F.col("least").alias("label"))
+            labels = (labels.join(joined, F.col("label") == F.col("class"), "left")
+                      .select("v", F.coalesce("least", "label").alias("label")).union(alone))
     carried = [F.col(f"`{c}`") for c in carry]
     named = (signed.select("doc_id", "key", F.col("size").alias("n_shingles"), *carried).join(labels.withColumnRenamed("v", "key"), "key", "left")
              .select("doc_id", "n_shingles", F.coalesce("label", "key").alias("label"), *carried))

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks.registry import check, r, with_tables
-from checks.tables import OBSERVATIONS_SQL, OSLO, TROMSO, observations
-from stationloom.operators import missing, select, timeseries
+from checks.registry import ORACLES, check, r, with_tables
+from checks.tables import NETWORK_SQL, OBSERVATIONS_SQL, OSLO, TROMSO, network, observations, read
+from stationloom.operators import missing, runs, select, timeseries
 from stationloom.plans.comparison import impute_and_compare
+from stationloom.plans.shared import shared_folder
 from stationloom.schema import OBSERVATION_COLUMNS, OBSERVED_ELEMENTS, PRECIPITATION
+from stationloom.sources import sinks
 
 CITIES = ("Oslo", "Tromsø")
 PAIR = (OSLO, TROMSO, *CITIES)
@@ -207,6 +209,36 @@ def _(spark, sf):
     return missing.missing_runs(compared(spark, sf), "left_value", "recorded")
 
 
+@check("missing_runs_appended", ORACLES["missing_runs"])
+def _(spark, sf):
+    path = shared_folder(spark, "runs")
+    table, early = compared(spark, sf), F.col("date") < "1996-03-15"
+    for part in (table.where(early), table.where(~early)):
+        sinks.append_run_summary(
+            runs.run_summary(part, "right_value", elements=OBSERVED_ELEMENTS), path)
+    return runs.runs_of_summaries(spark.read.parquet(path))
+
+
+@check("missing_counts_pairs", with_tables(NETWORK_SQL, """
+    pairs AS (
+      SELECT 'SN' || CAST(s_suppkey AS VARCHAR) AS l, 'SN' || CAST(s_suppkey + k AS VARCHAR) AS r
+      FROM supplier, (VALUES (1), (2)) steps(k)),
+    sides AS (SELECT l, r, 'left' AS side, l AS lacks, r AS has FROM pairs UNION ALL SELECT l, r, 'right', r, l FROM pairs),
+    cells AS (
+      SELECT sourceId AS s, elementId AS e, timeOffset AS o, CAST(ts AS DATE) AS d, COUNT(*) AS n, COUNT(num) AS v
+      FROM net GROUP BY ALL)""", """
+    SELECT l AS left_station, r AS right_station, side, h.e AS elementId,
+           CAST(SUM(h.v * CASE WHEN k.n IS NULL THEN 1 ELSE k.n - k.v END) AS BIGINT) AS num_missing
+    FROM sides JOIN cells h ON h.s = has LEFT JOIN cells k ON k.s = lacks AND k.e = h.e AND k.o = h.o AND k.d = h.d
+    GROUP BY ALL HAVING num_missing > 0"""))
+def _(spark, sf):
+    steps = read(spark, sf, "supplier").select("s_suppkey", F.explode(F.array(F.lit(1), F.lit(2))).alias("k"))
+    pairs = steps.select(
+        F.concat(F.lit("SN"), F.col("s_suppkey").cast("string")).alias("left_station"),
+        F.concat(F.lit("SN"), (F.col("s_suppkey") + F.col("k")).cast("string")).alias("right_station"))
+    return missing.missing_counts_for_pairs(network(spark, sf), pairs)
+
+
 @check("nullity_correlation", with_tables(OBSERVATIONS_SQL, COMPARE_SQL, f"""
     wide AS (
       SELECT d, timeOffset, {', '.join(

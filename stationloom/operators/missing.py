@@ -130,6 +130,82 @@ def missing_counts(df: DataFrame, left: str, right: str, left_city: str,
     )
 
 
+def missing_counts_for_pairs(df: DataFrame, pairs: DataFrame) -> DataFrame:
+    """:func:`missing_counts` of every pair of stations listed in ``pairs`` at once.
+
+    ``pairs`` has ``left_station, right_station``; repeated pairs count once, a null
+    station has no observations. ``side`` says which of the two lacks the values.
+
+    Days are bits of words, 64 to a word. A cell may hold several rows, so its numbers of
+    rows with and without a value are written in binary, one word for each binary digit
+    in use; products of the numbers are then counts of common bits. Only words, not
+    observations, are copied to the pairs and shuffled by them.
+    """
+    left, right = "left_station", "right_station"
+    pairs = pairs.select(left, right).distinct()
+    sides = F.array(F.struct(F.col(left).alias(SOURCE), F.lit(True).alias("is_left")),
+                    F.struct(F.col(right).alias(SOURCE), F.lit(False).alias("is_left")))
+    members = pairs.select(left, right, F.inline(sides))
+    known = df.join(members.select(SOURCE).distinct(), SOURCE, "left_semi")
+    words = _day_words(_cells(known, None, F.col(SOURCE)))
+    met = words.join(members, SOURCE).groupBy(left, right, ELEMENT, OFFSET, "block", "odd").agg(
+        F.collect_list(F.struct("is_left", "kind", "digit", "word")).alias("words"))
+    totals = met.groupBy(left, right, ELEMENT).agg(
+        F.sum(_common("words", False)).alias("n_left"), F.sum(_common("words", True)).alias("n_right"))
+    lacking = F.array(
+        F.struct(F.lit("left").alias("side"), F.col("n_left").alias("num_missing")),
+        F.struct(F.lit("right").alias("side"), F.col("n_right").alias("num_missing")))
+    return totals.select(left, right, ELEMENT, F.inline(lacking)).where(
+        F.col("num_missing") > 0).select(left, right, "side", ELEMENT, "num_missing")
+
+
+def _shifted(number: Column, by: Column) -> Column:
+    return F.call_function("shiftleft", number.cast("long"), by.cast("int"))
+
+
+def _day_words(cells: DataFrame) -> DataFrame:
+    """``sourceId, elementId, timeOffset, block, odd, kind, digit, word`` of cells.
+
+    ``block`` numbers 64 days; a text that is no date is a block of its own, ``odd``.
+    Kinds are ``present`` (any row), ``valued`` and ``empty`` rows with their ``digit``.
+    """
+    counts = cells.groupBy(SOURCE, *CELL).agg(
+        F.count(VALUE).alias("valued"), F.count_if(F.col(VALUE).isNull()).alias("empty"))
+    day = F.try_to_date("date", "yyyy-MM-dd")
+    number = F.when(F.date_format(day, "yyyy-MM-dd") == F.col("date"), F.unix_date(day))
+
+    def digits(kind: str) -> Column:
+        written = F.reverse(F.bin(F.col(kind)))
+        return F.transform(
+            F.filter(F.sequence(F.lit(1), F.length(written)), lambda i: F.substr(written, i, F.lit(1)) == "1"),
+            lambda i: F.struct(F.lit(kind).alias("kind"), (i - 1).alias("digit")))
+
+    present = F.array(F.struct(F.lit("present").alias("kind"), F.lit(0).alias("digit")))
+    numbered = counts.select(
+        SOURCE, ELEMENT, OFFSET, F.floor(number / 64).alias("block"),
+        F.when(number.isNull(), F.col("date")).alias("odd"),
+        _shifted(F.lit(1), F.coalesce(F.pmod(number, F.lit(64)), F.lit(0))).alias("bit"),
+        F.inline(F.concat(present, digits("valued"), digits("empty"))))
+    return numbered.groupBy(SOURCE, ELEMENT, OFFSET, "block", "odd", "kind", "digit").agg(
+        F.bit_or("bit").alias("word"))
+
+
+def _common(words: str, have_left: bool) -> Column:
+    """Valued rows of one side times empty rows of the other, or times one on days it has no row."""
+    def of(is_left: bool, kind: str) -> Column:
+        return F.filter(words, lambda x: (x["is_left"] == is_left) & (x["kind"] == kind))
+
+    none = F.lit(0).cast("long")
+    present = F.coalesce(F.get(of(not have_left, "present"), F.lit(0))["word"], none)
+
+    def product(x: Column) -> Column:
+        absent = _shifted(F.bit_count(x["word"].bitwiseAND(F.bitwise_not(present))), x["digit"])
+        return F.aggregate(of(not have_left, "empty"), absent, lambda total, y: total + _shifted(
+            F.bit_count(x["word"].bitwiseAND(y["word"])), x["digit"] + y["digit"]))
+
+    return F.aggregate(of(have_left, "valued"), none, lambda total, x: total + product(x))
+
+
 def missing_summary(missing: DataFrame) -> DataFrame:
     """Rows per city and element, ordered by city, then most missing first."""
     return (
@@ -238,14 +314,9 @@ def missing_summary_pivot(summary: DataFrame, cities: Sequence[str]) -> DataFram
     )
 
 
-def missing_runs(missing: DataFrame, value: str, cells: str = "pivot",
-                 elements: Sequence[str] | None = None) -> DataFrame:
-    """Maximal runs of missing dates per element, dates a day apart merged.
-
-    ``cells='pivot'`` also takes a cell that the table does not hold at all as
-    missing, for every date and offset it does hold. ``cells='recorded'`` takes
-    only rows it holds. Repeated cells are missing if all their values are.
-    """
+def missing_dates(missing: DataFrame, value: str, cells: str = "pivot",
+                  elements: Sequence[str] | None = None) -> DataFrame:
+    """``elementId, date`` of the missing dates, as :func:`missing_runs` takes them."""
     if cells not in ("pivot", "recorded"):
         raise ValueError("cells must be 'pivot' or 'recorded'")
     if cells == "recorded":
@@ -260,9 +331,20 @@ def missing_runs(missing: DataFrame, value: str, cells: str = "pivot",
                 F.array(*[F.lit(e) for e in elements]), valued
             ).alias("absent")
         ).select(F.explode("absent").alias(ELEMENT), "date")
-    dates = dates.select(ELEMENT, F.to_date("date").alias("date")).where(
+    return dates.select(ELEMENT, F.to_date("date").alias("date")).where(
         F.col("date").isNotNull()
     ).distinct()
+
+
+def missing_runs(missing: DataFrame, value: str, cells: str = "pivot",
+                 elements: Sequence[str] | None = None) -> DataFrame:
+    """Maximal runs of missing dates per element, dates a day apart merged.
+
+    ``cells='pivot'`` also takes a cell that the table does not hold at all as
+    missing, for every date and offset it does hold. ``cells='recorded'`` takes
+    only rows it holds. Repeated cells are missing if all their values are.
+    """
+    dates = missing_dates(missing, value, cells, elements)
     # Distinct dates per element: bounded by the calendar.
     w = Window.partitionBy(ELEMENT).orderBy("date")
     previous = F.lag("date").over(w)

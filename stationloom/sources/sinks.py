@@ -119,6 +119,14 @@ def write_missing_report(missing: DataFrame, path: str, mode: str = "overwrite")
     )
 
 
+def append_run_summary(summary: DataFrame, path: str) -> None:
+    """Add the summary of a part of the history (``runs.run_summary``) to those at ``path``.
+
+    Parts may overlap and may be added again; readers merge them.
+    """
+    summary.write.mode("append").partitionBy("year").parquet(path)
+
+
 def document_entries(df: DataFrame) -> DataFrame:
     """One ``data`` array of one entry per station, time and offset.
 

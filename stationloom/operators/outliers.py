@@ -29,6 +29,8 @@ from stationloom.schema import SERIES, TIME, VALUE
 
 INNER_WHISKER = 1.5
 OUTER_WHISKER = 3.0
+# Error of a fence in doubles, at most, as a share of the quartiles it is made of.
+FENCE_NOISE = 1e-14
 
 _QUARTILES = [Quantile("q1", "__v", 0.25), Quantile("q3", "__v", 0.75)]
 
@@ -83,15 +85,20 @@ def _group_quartiles(rows: DataFrame, keys: Sequence[str],
     return one.drop("__all")
 
 
+def _limits(q1: Column, q3: Column, whisker: float) -> tuple[Column, Column]:
+    """Both fences, moved out by the error of doubles: a value on a fence is not outside."""
+    reach = whisker * (q3 - q1)
+    noise = FENCE_NOISE * (1 + whisker) * F.greatest(F.abs(q1), F.abs(q3))
+    return q1 - reach - noise, q3 + reach + noise
+
+
 def fences(df: DataFrame, keys: Sequence[str], whisker: float, value: str = VALUE,
            sketches: DataFrame | None = None) -> DataFrame:
     """``lower_fence`` and ``upper_fence`` per ``keys``; ``sketches`` as for :func:`iqr_summary`."""
     rows = df.select(*keys, number_column(df, value).alias("__v"))
-    q1, q3 = F.col("q1"), F.col("q3")
+    lower, upper = _limits(F.col("q1"), F.col("q3"), whisker)
     return _group_quartiles(rows, keys, sketches).select(
-        *keys,
-        (q1 - whisker * (q3 - q1)).alias("lower_fence"),
-        (q3 + whisker * (q3 - q1)).alias("upper_fence"),
+        *keys, lower.alias("lower_fence"), upper.alias("upper_fence"),
     )
 
 
@@ -147,8 +154,7 @@ def _month_groups(df: DataFrame, element_id, source_id, time_offset) -> DataFram
 
 
 def _fences_of(values: str, whisker: float) -> tuple[Column, Column]:
-    q1, q3 = quantile_of(values, 0.25), quantile_of(values, 0.75)
-    return q1 - whisker * (q3 - q1), q3 + whisker * (q3 - q1)
+    return _limits(quantile_of(values, 0.25), quantile_of(values, 0.75), whisker)
 
 
 def outliers_per_month(df: DataFrame, element_id: str | None = None,
@@ -265,11 +271,10 @@ def year_box_summary(df: DataFrame, year: int, element_id: str | None = None,
         *[F.avg(c).alias(c) for c in (
             "mean_with_outliers", "mean_without_outliers", "median_without_outliers")],
     ).withColumns({"Q1": quantile_of("values", 0.25), "Q3": quantile_of("values", 0.75)})
-    reach = OUTER_WHISKER * (F.col("Q3") - F.col("Q1"))
+    limits = _limits(F.col("Q1"), F.col("Q3"), OUTER_WHISKER)
     boxes = years.select(
         *SERIES, "Q1", "Q3", (F.col("Q3") - F.col("Q1")).alias("IQR"),
-        F.size(outside("values", F.col("Q1") - reach, F.col("Q3") + reach)).cast("bigint")
-        .alias("extreme_count"),
+        F.size(outside("values", *limits)).cast("bigint").alias("extreme_count"),
         "mean_with_outliers", "mean_without_outliers", "median_without_outliers",
     )
     if time_offset is not None:

@@ -103,3 +103,12 @@ def test_null_key_and_identical_rows(spark):
     table = aggregate_groups(df, ["k"], [Quantile("m", "v", 0.5)], accuracy=20)
     joined = attach(df, table, ["k"], ["m"])
     assert joined.where("m = v").count() == 203
+
+
+def test_value_on_a_fence_is_not_outside(obs):
+    # quartiles 0.6 and 0.7, so the outer fence is 1, in doubles 0.9999999999999999
+    fence = [0.6, 0.6, 0.7, 0.7, 1.0]
+    assert outliers.count_outliers(values(obs, fence), extreme=True).first()["outliers"] == 0
+    assert outliers.count_outliers(values(obs, [*fence[:4], 1.01]), extreme=True).first()["outliers"] == 1
+    monthly = outliers.outliers_per_month(values(obs, fence), include_empty_months=True)
+    assert rows(monthly, "outliers_removed") == [(0,)]

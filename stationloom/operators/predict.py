@@ -228,7 +228,10 @@ def fit_rain_gaussian_nb(scaled: DataFrame,
 
 def predict_rain_gaussian_nb(model: DataFrame, scaled: DataFrame,
                              columns: tuple[str, ...] = ("TMAX_z", "TMIN_z")) -> DataFrame:
-    """Add the 0/1 ``prediction`` of :func:`fit_rain_gaussian_nb`."""
+    """Add the 0/1 ``prediction`` of :func:`fit_rain_gaussian_nb`.
+
+    Where no column varied in training, the classes differ by their priors alone.
+    """
     parts = [c for c in model.columns if c not in (SOURCE, "n")]
     joined = attach(scaled, model, [SOURCE], parts)
 
@@ -236,8 +239,10 @@ def predict_rain_gaussian_nb(model: DataFrame, scaled: DataFrame,
         total = F.ln(f"prior_{k}")
         for col in columns:
             mean, var = F.col(f"mean_{k}_{col}"), F.col(f"var_{k}_{col}")
-            total = total - 0.5 * F.ln(2 * F.pi() * var)
-            total = total - (F.col(col) - mean) * (F.col(col) - mean) / (2 * var)
+            spread = F.nullif(var, F.lit(0.0))
+            squares = (F.col(col) - mean) * (F.col(col) - mean)
+            total = total - F.when(var == 0, 0.0).otherwise(
+                0.5 * F.ln(2 * F.pi() * spread) + squares / (2 * spread))
         return total
 
     one, zero = log_likelihood(1), log_likelihood(0)

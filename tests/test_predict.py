@@ -137,3 +137,18 @@ def test_element_correlation(obs):
     got = predict.element_correlation(df, "x", "y").first()
     assert got["n"] == 3 and got["correlation"] == pytest.approx(1)
     assert (got["slope"], got["intercept"]) == (pytest.approx(2), pytest.approx(1))
+
+
+def constant_features(spark):
+    """One station whose features never change; it rains in a third of the rows."""
+    return spark.createDataFrame(
+        [("S", f"2021-01-{i + 1:02}", 30.0, -24.0, 3.0 * (i % 3 == 0), int(i % 3 == 0), i < 24) for i in range(30)],
+        "sourceId string, date string, TMAX double, TMIN double, PRCP double, label int, is_train boolean")
+
+
+def test_naive_bayes_of_constant_features_goes_by_the_priors(spark):
+    scaled = predict.standard_scale(constant_features(spark))
+    got = predict.predict_rain_gaussian_nb(predict.fit_rain_gaussian_nb(scaled), scaled)
+    assert rows(got.select("prediction").distinct()) == [(0,)]
+    matrix = predict.confusion_matrix(got)
+    assert rows(matrix, "label", "prediction", "n") == [(0, 0, 20), (0, 1, 0), (1, 0, 10), (1, 1, 0)]

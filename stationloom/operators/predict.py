@@ -255,8 +255,16 @@ def predict_rain_gaussian_nb(model: DataFrame, scaled: DataFrame,
     return joined.withColumn("prediction", prediction).drop(*parts)
 
 
+# Share of the product of two variances below which their determinant is rounding error.
+COLLINEAR = 1e-12
+
+
 def fit_precipitation_linear(split: DataFrame, target: str = "PRCP") -> DataFrame:
-    """Least squares ``target ~ TMAX + TMIN`` per station from one aggregate."""
+    """Least squares ``target ~ TMAX + TMIN`` per station from one aggregate.
+
+    Where columns are constant or collinear in training, of all solutions the one of the
+    least coefficients: a constant column has the coefficient 0.
+    """
     train = split.where("is_train")
     moments = train.groupBy(SOURCE).agg(
         F.count(F.lit(1)).alias("n"),
@@ -266,11 +274,17 @@ def fit_precipitation_linear(split: DataFrame, target: str = "PRCP") -> DataFram
         F.covar_pop("TMAX", target).alias("sxy"),
         F.covar_pop("TMIN", target).alias("sny"),
     )
-    det = F.nullif(
-        F.col("sxx") * F.col("snn") - F.col("sxn") * F.col("sxn"), F.lit(0.0)
-    )
-    b_max = (F.col("sxy") * F.col("snn") - F.col("sny") * F.col("sxn")) / det
-    b_min = (F.col("sny") * F.col("sxx") - F.col("sxy") * F.col("sxn")) / det
+    whole = F.col("sxx") * F.col("snn")
+    det = whole - F.col("sxn") * F.col("sxn")
+    # Of one direction only, or of none: the pseudoinverse is that of the trace.
+    trace = F.nullif(F.col("sxx") + F.col("snn"), F.lit(0.0))
+
+    def solved(full: Column, single: Column) -> Column:
+        return F.when(det > COLLINEAR * whole, full / F.nullif(det, F.lit(0.0))).otherwise(
+            F.coalesce(single / trace, F.lit(0.0)))
+
+    b_max = solved(F.col("sxy") * F.col("snn") - F.col("sny") * F.col("sxn"), F.col("sxy"))
+    b_min = solved(F.col("sny") * F.col("sxx") - F.col("sxy") * F.col("sxn"), F.col("sny"))
     return moments.withColumns({"coef_tmax": b_max, "coef_tmin": b_min}).withColumn(
         "intercept",
         F.col("my") - F.col("coef_tmax") * F.col("mx") - F.col("coef_tmin") * F.col("mn"),

@@ -152,3 +152,18 @@ def test_naive_bayes_of_constant_features_goes_by_the_priors(spark):
     assert rows(got.select("prediction").distinct()) == [(0,)]
     matrix = predict.confusion_matrix(got)
     assert rows(matrix, "label", "prediction", "n") == [(0, 0, 20), (0, 1, 0), (1, 0, 10), (1, 1, 0)]
+
+
+def test_linear_of_constant_and_collinear_features(spark):
+    constant = constant_features(spark)
+    model = predict.fit_precipitation_linear(constant)
+    assert rows(model, "n", "coef_tmax", "coef_tmin", "intercept") == [(24, 0.0, 0.0, 1.0)]
+    scored = predict.predict_precipitation(model, constant)
+    assert rows(scored.select("predicted", "will_rain").distinct()) == [(1.0, True)]
+    line = constant.withColumn("TMAX", F.dayofmonth("date") * 0.1).withColumn(
+        "TMIN", F.col("TMAX") * 2 - 3).withColumn("PRCP", 7 + F.col("TMAX") * 10)
+    got = predict.fit_precipitation_linear(line).first()
+    pdf = line.where("is_train").toPandas()
+    centred = pdf[["TMAX", "TMIN"]].values - pdf[["TMAX", "TMIN"]].values.mean(axis=0)
+    expected = np.linalg.lstsq(centred, pdf.PRCP.values - pdf.PRCP.mean(), rcond=1e-8)[0]
+    np.testing.assert_allclose([got["coef_tmax"], got["coef_tmin"]], expected, rtol=1e-8)

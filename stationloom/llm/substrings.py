@@ -10,8 +10,6 @@ share of windows reported without need stays the same at every size.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -28,13 +26,23 @@ def _ids(frame: pd.DataFrame) -> np.ndarray:
     return np.array([_LAST if pd.isna(x) else int(x) for x in frame["doc_id"]], dtype=np.int64)
 
 
-def _windows(frame: pd.DataFrame, width: int, seeds: tuple[int, ...]) -> Iterator[tuple]:
-    """Of batches of rows: words, row offset, first words of windows, a hash of each for each seed."""
-    texts = frame["text"].tolist()
+def _windows(frame: pd.DataFrame, width: int, seeds: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """All windows of a block: first word in the block's words, document id, and a hash for each seed."""
+    ids, texts = _ids(frame), frame["text"].tolist()
+    at, docs, hashes, base = [], [], [[] for _ in seeds], 0
     for a, b in spans(texts):
         words = Words(texts[a:b])
-        found = [words.windows(width, words.hashes(s), s) for s in seeds]
-        yield words, a, found[0][0], [h for _, h in found]
+        for own, seed in zip(hashes, seeds, strict=True):
+            here, found = words.windows(width, words.hashes(seed), seed)
+            own.append(found)
+        at.append(base + here)
+        docs.append(ids[a + words.doc[here]])
+        base += len(words.start)
+
+    def joined(parts: list, kind: type) -> np.ndarray:
+        return np.concatenate(parts) if parts else np.zeros(0, dtype=kind)
+
+    return joined(at, np.int64), joined(docs, np.int64), [joined(h, np.uint64) for h in hashes]
 
 
 def _cells(hashes: np.ndarray, row: int, bits: int) -> np.ndarray:
@@ -42,44 +50,42 @@ def _cells(hashes: np.ndarray, row: int, bits: int) -> np.ndarray:
     return mix(hashes + np.uint64(0x9E3779B97F4A7C15 * (row + 1) % (1 << 64))) >> np.uint64(64 - bits)
 
 
-def _block_cells(frame: pd.DataFrame, width: int, row: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ascending distinct cells of a block, and whether two of its documents count into one."""
-    ids = _ids(frame)
-    cells, docs = [], []
-    for words, a, at, (h,) in _windows(frame, width, (0,)):
-        cells.append(_cells(h, row, bits))
-        docs.append(ids[a + words.doc[at]])
-    cells, docs = (np.concatenate(x) if x else np.zeros(0, dtype=np.uint64) for x in (cells, docs))
-    order = np.argsort(cells, kind="stable")
-    cells, docs = cells[order], docs[order]
-    new = np.ones(len(cells), dtype=bool)
-    new[1:] = cells[1:] != cells[:-1]
-    first = np.flatnonzero(new)
-    if not len(first):
-        return cells, np.zeros(0, dtype=bool)
-    twice = np.minimum.reduceat(docs, first) != np.maximum.reduceat(docs, first)
-    return cells[first], twice
+def _runs(ordered: np.ndarray) -> np.ndarray:
+    """Where runs of equal entries begin."""
+    new = np.ones(len(ordered), dtype=bool)
+    new[1:] = ordered[1:] != ordered[:-1]
+    return np.flatnonzero(new)
+
+
+def _counted(cells: np.ndarray, bits: int, docs: np.ndarray, n_docs: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ascending distinct cells, and whether two of the documents, numbered from 0, count into one."""
+    low = np.uint64(max(1, n_docs - 1).bit_length())
+    if bits + int(low) > 64:
+        order = np.lexsort((docs, cells))
+        cells, docs = cells[order], docs[order]
+    else:  # sorting plain numbers is much faster than finding their order
+        both = np.sort((cells << low) | docs.astype(np.uint64))
+        cells, docs = both >> low, both & ((np.uint64(1) << low) - np.uint64(1))
+    first = _runs(cells)
+    last = np.append(first, len(cells))[1:] - 1
+    return cells[first], docs[first] != docs[last]
 
 
 def _candidates(frame: pd.DataFrame, bits_rows: pd.DataFrame, width: int, depth: int, bits: int):
     """Candidate windows of a block: row, first word in the block's words, two hashes, the id; ascending by hash."""
     back = bits_rows[~bits_rows["exact"]].sort_values("shard")
-    hot = []
+    at, doc, (h, g) = _windows(frame, width, (0, 1))
+    left = np.arange(len(h))
     for row in range(depth):
-        cells, _ = _block_cells(frame, width, row, bits)
+        # a window left out by one row of the sketch need not be looked for in the next, but counts among its cells
+        cells = np.sort(_cells(h, row, bits))
+        cells = cells[_runs(cells)]
         hits = [B.flags_of(p[row], n[row]) for p, n in zip(back["bits"], back["n"], strict=True)]
-        hot.append(cells[np.concatenate(hits)] if hits else cells[:0])
-    ids, out, base = _ids(frame), [], 0
-    for words, a, at, (h, g) in _windows(frame, width, (0, 1)):
-        keep = np.ones(len(at), dtype=bool)
-        for row in range(depth):
-            c = _cells(h, row, bits)
-            where = np.searchsorted(hot[row], c)
-            keep &= (where < len(hot[row])) & (hot[row][np.minimum(where, len(hot[row]) - 1)] == c) if len(hot[row]) else False
-        at, h, g = at[keep], h[keep], g[keep]
-        out.append((h, g, ids[a + words.doc[at]], base + at))
-        base += len(words.start)
-    h, g, doc, at = (np.concatenate(x) for x in zip(*out, strict=True)) if out else (np.zeros(0, np.uint64),) * 4
+        hot = cells[np.concatenate(hits)] if hits else cells[:0]
+        c = _cells(h[left], row, bits)
+        where = np.searchsorted(hot, c)
+        left = left[hot[np.minimum(where, len(hot) - 1)] == c] if len(hot) else left[:0]
+    h, g, doc, at = h[left], g[left], doc[left], at[left]
     order = np.lexsort((doc, g, h))
     h, g, doc, at = h[order], g[order], doc[order], at[order]
     new = np.ones(len(h), dtype=bool)
@@ -90,8 +96,10 @@ def _candidates(frame: pd.DataFrame, bits_rows: pd.DataFrame, width: int, depth:
 def _sketch(n_shards: int, width: int, depth: int, bits: int):
     def part(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         parts = [[] for _ in range(n_shards)]
+        _, docs, (h,) = _windows(frame, width, (0,))
+        names, docs = np.unique(docs, return_inverse=True)
         for row in range(depth):
-            cells, twice = _block_cells(frame, width, row, bits)
+            cells, twice = _counted(_cells(h, row, bits), bits, docs, len(names))
             cut = B.cuts(cells, n_shards, bits)
             packed = cells * np.uint64(2) + twice
             for own, a, b in zip(parts, cut, cut[1:], strict=False):

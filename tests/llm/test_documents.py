@@ -5,6 +5,8 @@ from __future__ import annotations
 import random
 
 import brute
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -211,3 +213,29 @@ def test_empty_tables(spark, docs):
     for run in (drop_repeated_lines, remove_repeated_windows, near_duplicates, scan_secrets, lambda d: apply_rules(d, [])):
         assert run(none).count() == 0
     assert find_test_items(none, items).count() == 0 and find_test_items(docs, items).count() == 0
+
+
+def test_windows_are_hashed_once_a_pass(monkeypatch):
+    from stationloom.llm import substrings
+
+    frame = pd.DataFrame({"doc_id": [1, 2, 2], "text": [" ".join(f"w{i}" for i in range(60))] * 2 + ["x"]})
+    seeds = []
+    hashes = substrings.Words.hashes
+    monkeypatch.setattr(substrings.Words, "hashes", lambda words, seed=0: seeds.append(seed) or hashes(words, seed))
+    sent = substrings._sketch(1, 50, 2, 12)((0,), frame)
+    assert seeds == [0]
+    back = substrings._merge(1, 2, 12)((0,), sent)
+    h, g, doc, at, new = substrings._candidates(frame, back, 50, 2, 12)
+    assert seeds == [0, 0, 1]
+    assert new.sum() == 11 and sorted(doc.tolist()) == [1] * 11 + [2] * 11
+    assert sorted(at.tolist()) == list(range(11)) + list(range(60, 71))
+
+
+def test_cells_of_two_documents_by_either_way_of_sorting():
+    from stationloom.llm import substrings
+
+    cells, docs = np.array([7, 1, 7, 1, 3, 7], dtype=np.uint64), np.array([0, 1, 2, 1, 0, 0])
+    for bits in (3, 63):
+        got, twice = substrings._counted(cells, bits, docs, 3)
+        assert got.tolist() == [1, 3, 7] and twice.tolist() == [False, False, True]
+        assert [len(x) for x in substrings._counted(cells[:0], bits, docs[:0], 0)] == [0, 0]

@@ -193,11 +193,15 @@ class _Forest:
         return a != b
 
 
-def _meetings(members: DataFrame, group: str, extra: list[str]) -> DataFrame:
-    """Members of the groups that hold several labels, in parts; each part meets itself and every other part once."""
+def _meetings(members: DataFrame, group: str, more: DataFrame) -> DataFrame:
+    """Members of the groups that hold several labels, in parts; each part meets itself and every other part once.
+
+    ``more`` has the other columns of each ``key``; only those members get them.
+    """
+    extra = [c for c in more.columns if c != "key"]
     parts = members.groupBy(group).agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("n"))
     parts = parts.filter(F.col("low") != F.col("high")).select(group, F.ceil(F.col("n") / PAIR_BLOCK).cast("int").alias("parts"))
-    own = members.join(parts, group).withColumn("part", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int"))
+    own = members.join(parts, group).join(more, "key").withColumn("part", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int"))
     met = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     met = met.select(group, F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"), "part", "key", "label", *extra)
     # few bytes, much work: keep all partitions
@@ -210,7 +214,7 @@ def _sides(key: tuple, frame: pd.DataFrame) -> tuple[pd.DataFrame, pd.DataFrame]
     return left, left if p == q else frame[frame["part"] == q]
 
 
-def _likely(members: DataFrame, registers: int, threshold: float, least_share: float) -> DataFrame:
+def _likely(members: DataFrame, marked: DataFrame, registers: int, threshold: float, least_share: float) -> DataFrame:
     """``a, b``: labels met in one bucket whose signatures leave similarity possible: a spanning forest, not all pairs."""
     def compare(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         left, right = _sides(key, frame)
@@ -224,10 +228,10 @@ def _likely(members: DataFrame, registers: int, threshold: float, least_share: f
                 out += [(label, labels[i]) for i in close if forest.join(label, labels[i])]
         return pd.DataFrame(out, columns=["a", "b"])
 
-    return _meetings(members, "bucket", ["size", "marks"]).groupBy("bucket", "p", "q").applyInPandas(compare, "a binary, b binary")
+    return _meetings(members, "bucket", marked).groupBy("bucket", "p", "q").applyInPandas(compare, "a binary, b binary")
 
 
-def _similar(members: DataFrame, threshold: float) -> DataFrame:
+def _similar(members: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """``a, b``: labels of one family joined by exact similarity of any of their members: again a spanning forest."""
     def compare(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         left, right = _sides(key, frame)
@@ -254,7 +258,7 @@ def _similar(members: DataFrame, threshold: float) -> DataFrame:
             out = [(labels[0][i], labels[1][j]) for i, j in zip(*np.nonzero(near), strict=True) if forest.join(labels[0][i], labels[1][j])]
         return pd.DataFrame(out, columns=["a", "b"])
 
-    return _meetings(members, "family", ["set"]).groupBy("family", "p", "q").applyInPandas(compare, "a binary, b binary")
+    return _meetings(members, "family", sets).groupBy("family", "p", "q").applyInPandas(compare, "a binary, b binary")
 
 
 #: Least share of equal registers of two members of a bucket that are compared further; estimates of 0.8 scatter by 0.034.
@@ -281,14 +285,15 @@ def class_labels(docs: DataFrame, threshold: float = 0.8, bands: int = 28, rows:
     links = B.checkpointed(_verify(B.checkpointed(stars), docs, ids, threshold))
     labels = components(links)
     members = (shared.select("bucket", "key").join(labels.withColumnRenamed("v", "key"), "key", "left")
-               .withColumn("label", F.coalesce("label", "key")).join(vertices.select("key", "size", "marks"), "key"))
-    likely = B.checkpointed(_likely(members, bands * rows, threshold, least_share))
+               .withColumn("label", F.coalesce("label", "key")))
+    marked = vertices.select("key", "size", "marks")
+    likely = B.checkpointed(_likely(members, marked, bands * rows, threshold, least_share))
     if not likely.isEmpty():
         families = components(likely).select(F.col("v").alias("class"), F.col("label").alias("family"))
         classed = labels.join(families, F.col("label") == F.col("class")).select(F.col("v").alias("key"), "label", "family")
         alone = families.join(labels, F.col("class") == F.col("v"), "left_anti")
         inside = B.checkpointed(classed.union(alone.select(F.col("class").alias("key"), F.col("class").alias("label"), "family")))
-        more = B.checkpointed(_similar(inside.join(_sets_of(inside, docs, ids), "key"), threshold))
+        more = B.checkpointed(_similar(inside, _sets_of(inside, docs, ids), threshold))
         if not more.isEmpty():
             joined = components(more).select(F.col("v").alias("class"), F.col("label").alias("least"))
             alone = joined.join(labels, F.col("class") == F.col("v"), "left_anti").select(F.col("class").alias("v"), F.col("least").alias("label"))

@@ -239,3 +239,12 @@ def test_cells_of_two_documents_by_either_way_of_sorting():
         got, twice = substrings._counted(cells, bits, docs, 3)
         assert got.tolist() == [1, 3, 7] and twice.tolist() == [False, False, True]
         assert [len(x) for x in substrings._counted(cells[:0], bits, docs[:0], 0)] == [0, 0]
+
+
+def test_only_members_that_meet_get_their_other_columns(spark):
+    from stationloom.llm.neardup import _meetings
+
+    members = spark.createDataFrame([(1, b"a", b"x"), (1, b"b", b"x"), (2, b"a", b"x"), (2, b"c", b"y")], "bucket long, key binary, label binary")
+    more = spark.createDataFrame([(b"a", 3), (b"b", 4), (b"c", 5)], "key binary, size int")
+    met = _meetings(members, "bucket", more)
+    assert sorted((r["bucket"], bytes(r["key"]), r["size"]) for r in met.collect()) == [(2, b"a", 3), (2, b"c", 5)]

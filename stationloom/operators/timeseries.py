@@ -22,7 +22,7 @@ from stationloom.functions import (
     unit_of,
 )
 from stationloom.operators.reshape import only_row
-from stationloom.operators.attach import attach, null_safe_equal
+from stationloom.operators.attach import attach
 from stationloom.schema import ELEMENT, OFFSET, SOURCE, TIME, UNIT, VALUE
 
 SERIES_KEYS = (SOURCE, ELEMENT)
@@ -31,69 +31,62 @@ LEVELS = ("hour", "year")
 
 def with_position(df: DataFrame, keys: Sequence[str] = SERIES_KEYS,
                   time: str = TIME, value: str = VALUE,
-                  valid_rows: bool = False, second: bool = False) -> DataFrame:
+                  second: bool = False) -> DataFrame:
     """Add where each row stands in its series.
 
     ``position`` numbers the rows of a series from 0 by time, ``series_rows``
     is their number. ``before`` and ``after`` are ``(at, value, row)`` of the
     nearest valid rows at or before and at or after, null if there is none:
-    time in microseconds, value, and with ``valid_rows`` the position (it costs
-    sorting the hours for the summary too, so it is off unless asked for).
+    time in microseconds, value and position.
     With ``second`` they also hold ``(at2, value2, row2)`` of the valid row next
     beyond, null if there is none. Two rows of a series at one time are an error.
     """
-    levels = [f"__{unit}" for unit in LEVELS]
-    df = df.withColumns({c: F.date_trunc(u, time) for c, u in zip(levels, LEVELS)})
-    chunk_keys = [*keys, *levels]
-    part = Window.partitionBy(*chunk_keys)
-    forward = part.orderBy(time)
-    # A frame up to the end of the partition would be recomputed for every row;
-    # the same frame over descending time grows row by row.
-    backward = part.orderBy(F.desc(time))
+    keys = list(keys)
+    others = [c for c in df.columns if c not in keys]
+    fields = [f"k{i}" for i in range(len(keys))]
+    # Keys travel inside the chunk only, so that a row is as short as can be where it is sorted.
+    chunked = df.select(*_group(
+        [*[F.col(k).alias(f) for k, f in zip(keys, fields)],
+         *[F.date_trunc(u, time).alias(u) for u in reversed(LEVELS)]], "chunk"), *others)
+    forward = Window.partitionBy("__chunk_mix", "__chunk").orderBy(time)
     is_valid = F.col(value).isNotNull()
     at = F.unix_micros(time)
 
-    numbered = df.withColumns({
+    numbered = chunked.withColumns({
         "__row": F.row_number().over(forward).cast("bigint") - 1,
         "__tied": F.lag(time).over(forward) == F.col(time),
     })
-    row = F.col("__row") if valid_rows or second else F.lit(None).cast("bigint")
     point = F.when(is_valid, F.struct(
-        at.alias("at"), F.col(value).alias("value"), row.alias("row")))
+        at.alias("at"), F.col(value).alias("value"), F.col("__row").alias("row")))
+
+    # All neighbours come from the one order, so a task sorts its rows once.
+    sides = {}
+    for side, f in (("before", "lag"), ("after", "lead")):
+        sides[f"__{side}"] = F.coalesce("__point", _next_valid(f, "__point", 1, "chunk", time))
+        if second:
+            sides[f"__{side}_next"] = F.when(
+                F.col("__point").isNotNull(), _next_valid(f, "__point", 1, "chunk", time)
+            ).otherwise(_next_valid(f, "__point", 2, "chunk", time))
+    windowed = numbered.withColumn("__point", point).withColumns(sides)
     if second:
-        # Valid rows of an hour among themselves: the same shuffle serves.
-        among = Window.partitionBy(*chunk_keys, "__is_valid").orderBy(time)
-        numbered = numbered.withColumns({"__is_valid": is_valid, "__point": point}).withColumns({
-            "__valid_before": _and_next("__point", F.lag("__point").over(among)),
-            "__valid_after": _and_next("__point", F.lead("__point").over(among)),
-        })
-    else:
-        numbered = numbered.withColumns({"__valid_before": point, "__valid_after": point})
-    if valid_rows or second:
-        edges = numbered, F.col("__valid_after"), F.col("__valid_before")
-    else:
-        edges = df, point, point
+        windowed = windowed.withColumns({
+            f"__{side}": _and_next(f"__{side}", f"__{side}_next") for side in ("before", "after")})
+    # After the shuffle of the rows, which the summary shares: an hour holds few rows, so
+    # combining them before a shuffle of its own would save little.
+    edges = (windowed, F.col("__after"), F.col("__before")) if second else (numbered, point, point)
     valid_at = F.when(is_valid, at)
-    summary = edges[0].groupBy(*chunk_keys).agg(
+    summary = edges[0].groupBy("__chunk_mix", "__chunk").agg(
         F.count(F.lit(1)).alias("n"),
         F.min_by(edges[1], valid_at).alias("first"),
         F.max_by(edges[2], valid_at).alias("last"),
     )
-    summary = _carry(summary, keys, levels, second).select(
-        *[F.col(k).alias(f"__k_{k}") for k in chunk_keys],
+    summary = _carry(summary, [*fields, *reversed(LEVELS)], len(keys), second).select(
+        F.col("__chunk_mix").alias("__their_mix"), F.col("__chunk").alias("__their_chunk"),
         "__offset", "__carry_before", "__carry_after", "__series_rows",
     )
-
-    windowed = numbered.withColumns({
-        "__before": F.last("__valid_before", ignorenulls=True).over(
-            forward.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
-        "__after": F.last("__valid_after", ignorenulls=True).over(
-            backward.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
-    })
-    joined = windowed.join(
-        summary,
-        null_safe_equal(windowed, summary, [(k, f"__k_{k}") for k in chunk_keys]),
-    )
+    # Both sides are dealt and sorted by the chunk already, or are one row per chunk.
+    joined = windowed.join(summary, (windowed["__chunk_mix"] == summary["__their_mix"])
+                           & (windowed["__chunk"] == summary["__their_chunk"]))
     offset = F.col("__offset")
 
     def untied(result: Column) -> Column:
@@ -103,8 +96,9 @@ def with_position(df: DataFrame, keys: Sequence[str] = SERIES_KEYS,
 
     before = _completed(_shifted("__before", offset, second), "__carry_before", second)
     after = _completed(_shifted("__after", offset, second), "__carry_after", second)
+    key_of = dict(zip(keys, fields))
     return joined.select(
-        *[c for c in df.columns if c not in levels],
+        *[F.col("__chunk")[key_of[c]].alias(c) if c in key_of else c for c in df.columns],
         untied(F.col("__row") + offset).alias("position"),
         F.col("__series_rows").alias("series_rows"),
         untied(before).alias("before"),
@@ -112,12 +106,28 @@ def with_position(df: DataFrame, keys: Sequence[str] = SERIES_KEYS,
     )
 
 
-def _and_next(point: str, beyond: Column) -> Column:
+def _group(fields: Sequence[Column], name: str) -> list[Column]:
+    """``__name``, a struct of what makes a group, and its hash, which keeps sorting and comparing cheap.
+
+    The struct itself is never null, so it is equal where all its fields are or are both
+    null, and windows, aggregates and joins by it share one shuffle.
+    """
+    group = F.struct(*fields)
+    return [F.xxhash64(group).alias(f"__{name}_mix"), group.alias(f"__{name}")]
+
+
+def _next_valid(f: str, point: str, steps: int, name: str, order: str) -> Column:
+    """The ``steps``-th row before (``lag``) or after (``lead``) with a point."""
+    return F.expr(f"{f}({point}, {steps}) IGNORE NULLS OVER "
+                  f"(PARTITION BY __{name}_mix, __{name} ORDER BY `{order}`)")
+
+
+def _and_next(point: str, beyond: str) -> Column:
     """A point together with the one beyond it."""
-    p = F.col(point)
+    p, q = F.col(point), F.col(beyond)
     return F.when(p.isNotNull(), F.struct(
         p["at"].alias("at"), p["value"].alias("value"), p["row"].alias("row"),
-        beyond["at"].alias("at2"), beyond["value"].alias("value2"), beyond["row"].alias("row2"),
+        q["at"].alias("at2"), q["value"].alias("value2"), q["row"].alias("row2"),
     ))
 
 
@@ -143,17 +153,20 @@ def _completed(nearest: Column, beyond: str, second: bool) -> Column:
     return F.coalesce(nearest, other)
 
 
-def _carry(summary: DataFrame, keys: Sequence[str], levels: Sequence[str],
-           second: bool) -> DataFrame:
+def _carry(summary: DataFrame, fields: Sequence[str], n_keys: int, second: bool) -> DataFrame:
     """What each chunk of the finest level inherits from the rest of its series.
 
+    ``fields`` are those of the chunk: ``n_keys`` keys, then the levels from the coarsest.
     Windows over the chunks of one coarser chunk are bounded by the calendar; the
     coarser chunks are summed up and treated the same way.
     """
-    finest, *coarser = levels
-    around = Window.partitionBy(*keys, *coarser)
-    earlier = around.orderBy(finest).rowsBetween(Window.unboundedPreceding, -1)
-    later = around.orderBy(F.desc(finest)).rowsBetween(Window.unboundedPreceding, -1)
+    *outer, finest = fields
+    chunk = F.col("__chunk")
+    summary = summary.select(
+        *_group([chunk[f].alias(f) for f in outer], "up"), chunk[finest].alias("__at"),
+        "n", "first", "last")
+    along = Window.partitionBy("__up_mix", "__up").orderBy("__at")
+    earlier = along.rowsBetween(Window.unboundedPreceding, -1)
     summary = summary.withColumn(
         "__offset", F.coalesce(F.sum("n").over(earlier), F.lit(0))
     ).withColumns({
@@ -161,8 +174,8 @@ def _carry(summary: DataFrame, keys: Sequence[str], levels: Sequence[str],
         "__last": _shifted("last", F.col("__offset"), second),
     })
     carries = {
-        "__carry_before": F.last("__last", ignorenulls=True).over(earlier),
-        "__carry_after": F.last("__first", ignorenulls=True).over(later),
+        "__carry_before": _next_valid("lag", "__last", 1, "up", "__at"),
+        "__carry_after": _next_valid("lead", "__first", 1, "up", "__at"),
     }
     if second:
         # The second point of a chunk with one valid row lies in another chunk.
@@ -172,27 +185,26 @@ def _carry(summary: DataFrame, keys: Sequence[str], levels: Sequence[str],
             "__first": F.when(F.col("__first").isNotNull(), _completed(
                 F.col("__first"), "__carry_after_1", True)),
         })
-    summary = summary.withColumns(
-        carries | {"__series_rows": F.sum("n").over(around)})
-    if not coarser:
-        return summary
-    above = summary.groupBy(*keys, *coarser).agg(
+    whole = along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    summary = summary.withColumns(carries | {"__series_rows": F.sum("n").over(whole)})
+    up = F.col("__up")
+    own = _group([*[up[f].alias(f) for f in outer], F.col("__at").alias(finest)], "chunk")
+    carried = ["__offset", "__carry_before", "__carry_after", "__series_rows"]
+    if len(outer) == n_keys:
+        return summary.select(*own, *carried)
+    above = summary.groupBy("__up_mix", "__up").agg(
         F.sum("n").alias("n"),
         F.min_by("__first", F.col("__first.at")).alias("first"),
         F.max_by("__last", F.col("__last.at")).alias("last"),
-    )
-    above = _carry(above, keys, coarser, second)
-    above = above.select(
-        *[F.col(k).alias(f"__u_{k}") for k in (*keys, *coarser)],
-        *[F.col(c).alias(f"__up{c}") for c in
-          ("__offset", "__carry_before", "__carry_after", "__series_rows")],
-    )
-    joined = summary.join(
-        above, null_safe_equal(summary, above, [(k, f"__u_{k}") for k in (*keys, *coarser)])
-    )
+    ).select(F.col("__up_mix").alias("__chunk_mix"), F.col("__up").alias("__chunk"), "n", "first", "last")
+    above = _carry(above, outer, n_keys, second).select(
+        F.col("__chunk_mix").alias("__over_mix"), F.col("__chunk").alias("__over"),
+        *[F.col(c).alias(f"__up{c}") for c in carried])
+    joined = summary.join(above, (summary["__up_mix"] == above["__over_mix"])
+                          & (summary["__up"] == above["__over"]))
     base = F.col("__up__offset")
     return joined.select(
-        *keys, *levels, (F.col("__offset") + base).alias("__offset"),
+        *own, (F.col("__offset") + base).alias("__offset"),
         *[_completed(_shifted(c, base, second), f"__up{c}", second).alias(c)
           for c in ("__carry_before", "__carry_after")],
         F.col("__up__series_rows").alias("__series_rows"),
@@ -250,7 +262,7 @@ def interpolate_time_limited(df: DataFrame, limit: int = 3,
     """
     if limit < 1:
         raise ValueError("limit must be at least 1")
-    rows = with_position(df, keys, time, value, valid_rows=True)
+    rows = with_position(df, keys, time, value)
     into_gap = F.col("position") - F.col("before.row")
     filled = (
         F.when(F.col(value).isNotNull(), F.col(value))

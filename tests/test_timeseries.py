@@ -300,3 +300,27 @@ def test_second_points_within_hours(spark):
             assert (r[side]["row"], r[side]["value"]) == (own[0], values[own[0]])
             second = own[1] if own[1:] else None
             assert (r[side]["row2"], r[side]["value2"]) == (second, None if second is None else values[second])
+
+
+@pytest.mark.parametrize("second", [False, True])
+def test_neighbours_come_from_one_order(spark, capsys, second):
+    """Rows of a task are sorted once, whatever is asked about them, and are not dealt again for the join."""
+    df = spark.createDataFrame([], "sourceId string, elementId string, referenceTime timestamp, value double")
+    timeseries.with_position(df, second=second).explain()
+    plan = capsys.readouterr().out
+    # rows (also for the summary), hours and years within each of the two uses, hours for the join
+    assert plan.count("Sort [") <= 9
+    assert plan.count("Exchange hashpartitioning") <= 9
+
+
+@pytest.mark.parametrize("second", [False, True])
+def test_series_and_times_without_name(spark, second):
+    data = [(s, e, t, v) for s in (None, "a") for e in (None, "b") for t, v in
+            (("2020-01-01 00:00", 1.0), ("2020-01-01 00:30", None), ("2021-05-01 00:00", 3.0), ("2021-05-01 07:00", None))]
+    df = spark.createDataFrame(data, "sourceId string, elementId string, at string, value double")
+    df = df.withColumn("referenceTime", F.to_timestamp("at")).drop("at")
+    got = timeseries.with_position(df, second=second).collect()
+    assert len(got) == 16
+    for r in got:
+        assert r["series_rows"] == 4
+        assert (r["before"]["row"], r["after"] and r["after"]["row"]) == [(0, 0), (0, 2), (2, 2), (2, None)][r["position"]]

@@ -253,12 +253,17 @@ def _seasonal_spline(df: DataFrame, period: int, keys: list[str], time: str, val
                      limit: int) -> DataFrame:
     if period < 2 or limit < 0:
         raise ValueError("period must be at least 2 and limit not negative")
-    rows = with_position(df, keys, time, value, second=True)
-    whole = rows.withColumn(value, fill_both(time, value).cast("double"))
+    placed = with_position(df, keys, time, value, second=True)
+    gap = F.col(value).isNull()
+    # Read by the figures, for the observed rows and for the gaps; only gaps need neighbours.
+    rows = materialise(placed.withColumns(
+        {"__whole": fill_both(time, value).cast("double")}
+        | {side: F.when(gap, F.col(side)) for side in ("before", "after")}))
     figures = seasonal_figures(
-        whole.where(F.col(value).isNotNull()).select(*keys, "position", "series_rows", value),
+        rows.where(F.col("__whole").isNotNull()).select(
+            *keys, "position", "series_rows", F.col("__whole").alias(value)),
         keys, period, value)
-    rows = attach(rows, figures, keys, ["figures"])
+    gaps = attach(rows.where(gap), figures, keys, ["figures"])
 
     def season(row: Column) -> Column:
         return F.coalesce(F.get("figures", (row % period).cast("int")), F.lit(0.0))
@@ -266,14 +271,15 @@ def _seasonal_spline(df: DataFrame, period: int, keys: list[str], time: str, val
     def rest(side: str, which: str = "") -> Column:
         return F.col(f"{side}.value{which}") - season(F.col(f"{side}.row{which}"))
 
-    x, before, after = F.col(value), F.col("before"), F.col("after")
+    before, after = F.col("before"), F.col("after")
     own = season(F.col("position"))
     filled = (
-        F.when(x.isNotNull() | (before.isNull() & after.isNull()), x)
+        F.when(before.isNull() & after.isNull(), F.lit(None))
         .when(before.isNull(), rest("after") + own)
         .when(after.isNull(), rest("before") + own)
         .when(after["row"] - before["row"] - 1 <= limit, on_the_line(time))
         .otherwise(own + monotone_cubic(
             time, rest("before", "2"), rest("before"), rest("after"), rest("after", "2")))
     )
-    return rows.withColumn(value, filled).select(*df.columns)
+    observed = rows.where(~gap).withColumn(value, F.col(value).cast("double")).select(*df.columns)
+    return observed.unionByName(gaps.withColumn(value, filled).select(*df.columns))

@@ -313,6 +313,12 @@ def test_neighbours_come_from_one_order(spark, capsys, second):
     assert plan.count("Exchange hashpartitioning") <= 9
 
 
+def test_spline_places_rows_once(spark, capsys):
+    """Neighbours are found once and kept; what reads them has the windows of the seasonal figures only."""
+    timeseries.impute(series(spark, GAPS), method="seasonal_spline", period=4).explain()
+    assert 0 < capsys.readouterr().out.count("Window [") <= 4
+
+
 @pytest.mark.parametrize("second", [False, True])
 def test_series_and_times_without_name(spark, second):
     data = [(s, e, t, v) for s in (None, "a") for e in (None, "b") for t, v in

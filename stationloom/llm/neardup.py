@@ -18,6 +18,7 @@ link between different texts is left out.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,6 +31,8 @@ from .words import Words, mix, spans
 
 SHINGLE = 5
 _STEP = np.uint64(0x9E3779B97F4A7C15)
+#: Ends of links that one task of a search for components takes, at least.
+TASK_ENDS = 250_000
 #: Members of a bucket compared in one task.
 PAIR_BLOCK = 512
 
@@ -163,12 +166,17 @@ def components(edges: DataFrame) -> DataFrame:
     """
     both = B.checkpointed(edges.select(F.col("a").alias("v"), F.col("b").alias("u"))
                           .union(edges.select(F.col("b").alias("v"), F.col("a").alias("u"))).distinct())
-    labels = B.checkpointed(both.groupBy("v").agg(F.min("u").alias("least")).select("v", F.least("v", "least").alias("label")))
+    # Every round has a few shuffles: with as many tasks as the session's partitions, a few links would cost many small files.
+    tasks = max(1, math.ceil(both.count() / TASK_ENDS))
+    both = both.coalesce(tasks)
+    labels = B.checkpointed(both.groupBy("v").agg(F.min("u").alias("least")).select("v", F.least("v", "least").alias("label")).coalesce(tasks))
     while True:
-        near = (both.join(labels.select(F.col("v").alias("u"), "label"), "u").groupBy("v").agg(F.min("label").alias("near")))
-        nearer = labels.join(near, "v").select("v", F.col("label").alias("old"), F.least("label", "near").alias("label"))
+        near = (both.join(labels.select(F.col("v").alias("u"), "label"), "u").coalesce(tasks).groupBy("v").agg(F.min("label").alias("near")))
+        nearer = (labels.join(near.coalesce(tasks), "v").coalesce(tasks)
+                  .select("v", F.col("label").alias("old"), F.least("label", "near").alias("label")))
         further = labels.select(F.col("v").alias("label"), F.col("label").alias("far"))
-        labels = B.checkpointed(nearer.join(further, "label", "left").select("v", "old", F.coalesce(F.least("label", "far"), F.col("label")).alias("label")))
+        labels = B.checkpointed(nearer.join(further, "label", "left").coalesce(tasks)
+                                .select("v", "old", F.coalesce(F.least("label", "far"), F.col("label")).alias("label")))
         if labels.filter(F.col("old") != F.col("label")).isEmpty():
             return labels.select("v", "label")
         labels = labels.select("v", "label")

@@ -248,3 +248,19 @@ def test_only_members_that_meet_get_their_other_columns(spark):
     more = spark.createDataFrame([(b"a", 3), (b"b", 4), (b"c", 5)], "key binary, size int")
     met = _meetings(members, "bucket", more)
     assert sorted((r["bucket"], bytes(r["key"]), r["size"]) for r in met.collect()) == [(2, b"a", 3), (2, b"c", 5)]
+
+
+def test_few_links_take_few_tasks(spark):
+    from stationloom.llm.neardup import components
+
+    pairs = [(bytes([0, k]), bytes([0, k + 1])) for k in range(40) if k % 8] + [(b"x", b"y")]
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(name, "false")
+    try:
+        found = components(spark.createDataFrame(pairs, "a binary, b binary"))
+        assert found.rdd.getNumPartitions() == 1
+        labels = {bytes(r["v"]): bytes(r["label"]) for r in found.collect()}
+    finally:
+        spark.conf.set(name, "true")
+    expected = {bytes([0, k]): bytes([0, max(1, (k - 1) // 8 * 8 + 1)]) for k in range(1, 41)}
+    assert labels == expected | {b"x": b"x", b"y": b"x"}

@@ -6,7 +6,7 @@ and, when it comes from :func:`missing_values`, the ``city`` lacking the value.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -148,10 +148,13 @@ def missing_counts_for_pairs(df: DataFrame, pairs: DataFrame) -> DataFrame:
     members = pairs.select(left, right, F.inline(sides))
     known = df.join(members.select(SOURCE).distinct(), SOURCE, "left_semi")
     words = _day_words(_cells(known, None, F.col(SOURCE)))
+    # One row per station and block goes to the pairs, so at most two meet in a group.
     met = words.join(members, SOURCE).groupBy(left, right, ELEMENT, OFFSET, "block", "odd").agg(
-        F.collect_list(F.struct("is_left", "kind", "digit", "word")).alias("words"))
+        F.collect_list(F.struct("is_left", "words")).alias("sides")
+    ).withColumns({"left_words": _words_of(True), "right_words": _words_of(False)})
     totals = met.groupBy(left, right, ELEMENT).agg(
-        F.sum(_common("words", False)).alias("n_left"), F.sum(_common("words", True)).alias("n_right"))
+        F.sum(_common("right_words", "left_words")).alias("n_left"),
+        F.sum(_common("left_words", "right_words")).alias("n_right"))
     lacking = F.array(
         F.struct(F.lit("left").alias("side"), F.col("n_left").alias("num_missing")),
         F.struct(F.lit("right").alias("side"), F.col("n_right").alias("num_missing")))
@@ -159,51 +162,66 @@ def missing_counts_for_pairs(df: DataFrame, pairs: DataFrame) -> DataFrame:
         F.col("num_missing") > 0).select(left, right, "side", ELEMENT, "num_missing")
 
 
+def _words_of(is_left: bool) -> Column:
+    own = F.filter("sides", lambda x: x["is_left"] == is_left)
+    return F.flatten(F.transform(own, lambda x: x["words"]))
+
+
 def _shifted(number: Column, by: Column) -> Column:
     return F.call_function("shiftleft", number.cast("long"), by.cast("int"))
 
 
 def _day_words(cells: DataFrame) -> DataFrame:
-    """``sourceId, elementId, timeOffset, block, odd, kind, digit, word`` of cells.
+    """``sourceId, elementId, timeOffset, block, odd, words`` of cells; ``words`` is an array of ``kind, digit, word``.
 
     ``block`` numbers 64 days; a text that is no date is a block of its own, ``odd``.
     Kinds are ``present`` (any row), ``valued`` and ``empty`` rows with their ``digit``.
     """
-    counts = cells.groupBy(SOURCE, *CELL).agg(
-        F.count(VALUE).alias("valued"), F.count_if(F.col(VALUE).isNull()).alias("empty"))
     day = F.try_to_date("date", "yyyy-MM-dd")
     number = F.when(F.date_format(day, "yyyy-MM-dd") == F.col("date"), F.unix_date(day))
+    numbered = cells.select(
+        SOURCE, ELEMENT, OFFSET, VALUE, number.alias("number"),
+        F.when(number.isNull(), F.col("date")).alias("odd"))
+    counts = numbered.groupBy(SOURCE, ELEMENT, OFFSET, "number", "odd").agg(
+        F.count(VALUE).alias("valued"), F.count_if(F.col(VALUE).isNull()).alias("empty"))
+    # The days of a block, 64 at most, become words where they lie.
+    blocks = counts.groupBy(SOURCE, ELEMENT, OFFSET, F.floor(F.col("number") / 64).alias("block"), "odd").agg(
+        F.collect_list(F.struct(
+            F.coalesce(F.pmod("number", F.lit(64)), F.lit(0)).alias("bit"), "valued", "empty")).alias("days"))
+
+    def word(holds: Callable[[Column], Column]) -> Column:
+        return F.aggregate("days", F.lit(0).cast("long"), lambda total, x: total.bitwiseOR(
+            _shifted(holds(x), x["bit"])))
 
     def digits(kind: str) -> Column:
-        written = F.reverse(F.bin(F.col(kind)))
-        return F.transform(
-            F.filter(F.sequence(F.lit(1), F.length(written)), lambda i: F.substr(written, i, F.lit(1)) == "1"),
-            lambda i: F.struct(F.lit(kind).alias("kind"), (i - 1).alias("digit")))
-
-    present = F.array(F.struct(F.lit("present").alias("kind"), F.lit(0).alias("digit")))
-    numbered = counts.select(
-        SOURCE, ELEMENT, OFFSET, F.floor(number / 64).alias("block"),
-        F.when(number.isNull(), F.col("date")).alias("odd"),
-        _shifted(F.lit(1), F.coalesce(F.pmod(number, F.lit(64)), F.lit(0))).alias("bit"),
-        F.inline(F.concat(present, digits("valued"), digits("empty"))))
-    return numbered.groupBy(SOURCE, ELEMENT, OFFSET, "block", "odd", "kind", "digit").agg(
-        F.bit_or("bit").alias("word"))
-
-
-def _common(words: str, have_left: bool) -> Column:
+        most = F.length(F.bin(F.array_max(F.transform("days", lambda x: x[kind]))))
+        return F.filter(F.transform(
+            F.sequence(F.lit(0), most - 1),
+            lambda d: F.struct(F.lit(kind).alias("kind"), d.alias("digit"), word(
+                lambda x: F.call_function("shiftright", x[kind], d).bitwiseAND(F.lit(1))).alias("word"))),
+            lambda w: w["word"] != 0)
+
+    present = F.array(F.struct(
+        F.lit("present").alias("kind"), F.lit(0).alias("digit"), word(lambda x: F.lit(1)).alias("word")))
+    return blocks.select(
+        SOURCE, ELEMENT, OFFSET, "block", "odd",
+        F.concat(present, digits("valued"), digits("empty")).alias("words"))
+
+
+def _common(having: str, lacking: str) -> Column:
     """Valued rows of one side times empty rows of the other, or times one on days it has no row."""
-    def of(is_left: bool, kind: str) -> Column:
-        return F.filter(words, lambda x: (x["is_left"] == is_left) & (x["kind"] == kind))
+    def of(words: str, kind: str) -> Column:
+        return F.filter(words, lambda x: x["kind"] == kind)
 
     none = F.lit(0).cast("long")
-    present = F.coalesce(F.get(of(not have_left, "present"), F.lit(0))["word"], none)
+    present = F.coalesce(F.get(of(lacking, "present"), F.lit(0))["word"], none)
 
     def product(x: Column) -> Column:
         absent = _shifted(F.bit_count(x["word"].bitwiseAND(F.bitwise_not(present))), x["digit"])
-        return F.aggregate(of(not have_left, "empty"), absent, lambda total, y: total + _shifted(
+        return F.aggregate(of(lacking, "empty"), absent, lambda total, y: total + _shifted(
             F.bit_count(x["word"].bitwiseAND(y["word"])), x["digit"] + y["digit"]))
 
-    return F.aggregate(of(have_left, "valued"), none, lambda total, x: total + product(x))
+    return F.aggregate(of(having, "valued"), none, lambda total, x: total + product(x))
 
 
 def missing_summary(missing: DataFrame) -> DataFrame:

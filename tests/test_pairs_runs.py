@@ -54,3 +54,15 @@ def test_appended_runs_equal_recomputed(spark, tmp_path, cells):
     merged = runs.merge_run_summaries(stored)
     assert rows(runs.runs_of_summaries(merged)) == whole
     assert rows(runs.runs_of_summaries(stored.limit(0))) == []
+
+
+def test_a_block_of_days_is_one_row(spark):
+    """Repeated rows, values and nulls of a station's 64 days go to its pairs together."""
+    data = [("A", f"2021-01-{1 + k % 20:02}", "PT0H", "e", "1" if k % 3 else None, "") for k in range(100)]
+    df = spark.createDataFrame(data, "sourceId string, referenceTime string, timeOffset string, "
+                                     "elementId string, value string, unit string")
+    words = missing._day_words(missing._cells(df, None, df["sourceId"]))
+    assert words.count() == words.select("sourceId", "elementId", "timeOffset", "block", "odd").distinct().count() == 1
+    total = sum(bin(w["word"] & (2 ** 64 - 1)).count("1") << w["digit"]
+                for r in words.collect() for w in r["words"] if w["kind"] != "present")
+    assert total == 100

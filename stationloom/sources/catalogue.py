@@ -37,11 +37,14 @@ def merge_catalogues(parts: DataFrame, keys: Sequence[str] = (YEAR, *SERIES)) ->
         F.sum("rows").alias("rows"), F.min("first").alias("first"), F.max("last").alias("last"))
 
 
-def write_catalogue(df: DataFrame, path: str, mode: str) -> None:
-    """Write the catalogue of ``df`` beside the table at ``path`` it was written to in ``mode``."""
+def write_catalogue(df: DataFrame, path: str, mode: str, figures: DataFrame | None = None) -> None:
+    """Write the catalogue of ``df`` beside the table at ``path`` it was written to in ``mode``.
+
+    ``figures`` are those of ``df`` by year (``sketches.year_figures``), which hold the catalogue.
+    """
+    made = series_catalogue(df) if figures is None else figures.select(YEAR, *SERIES, "rows", "first", "last")
     # A year's catalogue is small: a file for each.
-    series_catalogue(df).repartition(YEAR).write.mode(mode).partitionBy(YEAR).parquet(
-        f"{path}/{FOLDER}")
+    made.repartition(YEAR).write.mode(mode).partitionBy(YEAR).parquet(f"{path}/{FOLDER}")
 
 
 def read_catalogue(spark: SparkSession, path: str) -> DataFrame:

@@ -13,7 +13,8 @@ from stationloom.functions import iso_format
 from stationloom.operators.missing import missing_summary
 from stationloom.operators.reshape import add_daily_range
 from stationloom.operators.select import station_lookup
-from stationloom.operators.sketches import write_sketches
+from stationloom.operators.sketches import write_sketches, year_figures
+from stationloom.plans.materialise import materialise
 from stationloom.sources.catalogue import write_catalogue
 from stationloom.sources.versions import replace_table
 from stationloom.schema import (
@@ -44,16 +45,20 @@ def write_observation_table(df: DataFrame, path: str, mode: str = "overwrite",
     Rebalancing splits a large year over several files and merges small ones. Stations are
     found by the ranges that columnar files keep, so their number makes no directories.
     The table's series catalogue is written or merged after it, from a second look at the
-    key columns of ``df``; with ``sketches`` so are quantile sketches, from a third at
-    its values.
+    key columns of ``df``. With ``sketches`` that look covers the values, too: its figures go
+    to the shared folder, the catalogue is made of them, and they tell which series a third
+    look makes quantile sketches of.
     """
     table = df.select(*OBSERVATION_COLUMNS).withColumn("year", F.year(TIME))
     table.hint("rebalance", "year", SOURCE).sortWithinPartitions(
         "year", SOURCE, TIME
     ).write.mode(mode).partitionBy("year").parquet(path)
-    write_catalogue(df, path, mode)
-    if sketches:
-        write_sketches(df, path, mode)
+    if not sketches:
+        write_catalogue(df, path, mode)
+        return
+    figures = materialise(year_figures(df))
+    write_catalogue(df, path, mode, figures)
+    write_sketches(df, path, mode, figures)
 
 
 def station_rows(df: DataFrame, stations: dict[str, str] | None = None) -> DataFrame:

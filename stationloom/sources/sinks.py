@@ -5,6 +5,8 @@ Each writer has a function that builds its rows, so they can be checked without
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,21 +46,27 @@ def write_observation_table(df: DataFrame, path: str, mode: str = "overwrite",
 
     Rebalancing splits a large year over several files and merges small ones. Stations are
     found by the ranges that columnar files keep, so their number makes no directories.
-    The table's series catalogue is written or merged after it, from a second look at the
-    key columns of ``df``. With ``sketches`` that look covers the values, too: its figures go
-    to the shared folder, the catalogue is made of them, and they tell which series a third
-    look makes quantile sketches of.
+    The table's series catalogue is written or merged after it, from the files just written,
+    whose names tell them from others: ``df`` is read once, and the catalogue is of the rows
+    stored. With ``sketches`` that look covers the values, too: its figures go to the shared
+    folder, the catalogue is made of them, and they tell which series a second look makes
+    quantile sketches of.
     """
+    spark, name = df.sparkSession, f"part-{uuid.uuid4().hex}"
     table = df.select(*OBSERVATION_COLUMNS).withColumn("year", F.year(TIME))
     table.hint("rebalance", "year", SOURCE).sortWithinPartitions(
         "year", SOURCE, TIME
-    ).write.mode(mode).partitionBy("year").parquet(path)
+    ).write.mode(mode).option("mapreduce.output.basename", name).partitionBy("year").parquet(path)
+    stored = spark.read.schema(table.schema).option("pathGlobFilter", f"{name}-*").parquet(path)
+    if stored.isEmpty():
+        # No rows, nothing written in this mode, or a committer with names of its own.
+        stored = df
     if not sketches:
-        write_catalogue(df, path, mode)
+        write_catalogue(stored, path, mode)
         return
-    figures = materialise(year_figures(df))
-    write_catalogue(df, path, mode, figures)
-    write_sketches(df, path, mode, figures)
+    figures = materialise(year_figures(stored))
+    write_catalogue(stored, path, mode, figures)
+    write_sketches(stored, path, mode, figures)
 
 
 def station_rows(df: DataFrame, stations: dict[str, str] | None = None) -> DataFrame:

@@ -211,3 +211,23 @@ def test_offsets_from_the_catalogue(spark, history, tmp_path, name):
     own = [line for line in scans if "value:" in line[line.index("ReadSchema"):]]
     assert len(scans) == 2
     assert len(own) == 1 and "year" in own[0][own[0].index("PartitionFilters"):own[0].index("PushedFilters")], plan
+
+
+@pytest.mark.parametrize("with_sketches", [False, True])
+def test_rows_are_looked_at_once(spark, tmp_path, with_sketches):
+    """The catalogue was made from a second look at the rows, the sketches from a third."""
+    path, looks = str(tmp_path / "table"), spark.sparkContext.accumulator(0)
+
+    def looked(row):
+        looks.add(1)
+        return row
+
+    for mode, n in (("overwrite", 3000), ("append", 200)):
+        data = [("S", datetime(2001, 1, 1 + i % 28), "PT0H", "e", float(i), "mm") for i in range(n)]
+        df = spark.createDataFrame(
+            spark.sparkContext.parallelize(data, 2).map(looked),
+            "sourceId string, referenceTime timestamp, timeOffset string, elementId string, value double, unit string")
+        sinks.write_observation_table(df, path, mode, sketches=with_sketches)
+    assert looks.value == 3200
+    assert [r["rows"] for r in catalogue.read_catalogue(spark, path).collect()] == [3200]
+    assert not catalogue.stale_years(spark, path)
